@@ -122,7 +122,7 @@ def _shares(rows: DataFrame, share: float, *keys: str) -> DataFrame:
 def outlier_bounds(stats: DataFrame, at: str) -> DataFrame:
     """``stats``: group and x0.. of the rows to learn from. Returns for each group m<i>, l<i><j> and ``scale``."""
     middle = [F.round(F.percentile_approx(x, 0.5, 10000), 2).alias(f"m{i}") for i, x in enumerate(_X)]
-    near = stats.groupBy("grp").agg(*middle)
+    near = materialise(stats.groupBy("grp").agg(*middle), f"{at}/middle")  # small, so known to be: rows needn't move to it
     off = stats.join(near, "grp").groupBy("grp").agg(*[F.round(1.4826 * F.percentile_approx(F.abs(F.col(x) - F.col(f"m{i}")), 0.5, 10000), 2).alias(f"s{i}") for i, x in enumerate(_X)])
     robust = near.join(off, "grp").select("grp", *[f"m{i}" for i in range(len(_X))], *[(F.col(f"s{i}") * F.col(f"s{i}") if i == j else F.lit(0.0)).alias(f"c{i}{j}") for i, j in _PAIRS])
     starts = _factor(robust).withColumn("start", F.lit(0)).unionByName(_moments(stats, "grp").withColumn("start", F.lit(1)))
