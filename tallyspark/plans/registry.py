@@ -1,9 +1,398 @@
-"""All queries of the library by name, and their SQL."""
+"""All queries of the library by name, and their SQL over the same tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import text_rules as R
+from ..operators import catalog as C
+from ..operators import geo
+from ..operators import votes as V
+from ..sources import marc
+from ..streaming import ingest
+from . import proxy as P
+
+_Q: dict = {}
+_SQL: dict[str, str] = {}
+
+
+def _query(sql: str | None = None, prelude: bool = True):
+    def put(f):
+        _Q[f.__name__] = f
+        if sql is not None:
+            _SQL[f.__name__] = (P.SQL if prelude else "") + sql
+        return f
+
+    return put
+
+
+def _one(s: SparkSession, d: str) -> DataFrame:
+    return V.one_vote(P.votes(s, d).where("not am"))
+
+
+def _pairs(s: SparkSession, d: str) -> DataFrame:
+    return V.agreement_pairs(_one(s, d))
+
+
+def _res(s: SparkSession, d: str) -> DataFrame:
+    return C.scoped(P.resolutions(s, d))
+
+
+@_query("SELECT * FROM pairs")
+def agreement_pairs(s, d):
+    return _pairs(s, d)
+
+
+@_query("SELECT state_a, state_b, agreement_pct, rank FROM (SELECT *, CAST(row_number() OVER (PARTITION BY state_a ORDER BY agreement_pct DESC, state_b) AS BIGINT) AS rank FROM sym) WHERE rank <= 5")
+def partners_closest(s, d):
+    return V.partners(_pairs(s, d), 5, True)
+
+
+@_query("SELECT state_a, state_b, agreement_pct, rank FROM (SELECT *, CAST(row_number() OVER (PARTITION BY state_a ORDER BY agreement_pct, state_b) AS BIGINT) AS rank FROM sym) WHERE rank <= 5")
+def partners_furthest(s, d):
+    return V.partners(_pairs(s, d), 5, False)
+
+
+@_query("SELECT state_a, state_b, agreement_pct FROM sym UNION ALL SELECT DISTINCT state, state, 100.0::DOUBLE FROM one")
+def coincidence_matrix(s, d):
+    one = _one(s, d)
+    return V.coincidence_matrix(V.agreement_pairs(one), one.select("state"))
+
+
+@_query("SELECT state_a AS state, max(agreement_pct) FILTER (WHERE state_b = 'NATION_1') AS x, max(agreement_pct) FILTER (WHERE state_b = 'NATION_2') AS y, min(shared) AS shared_votes FROM sym WHERE state_b IN ('NATION_1', 'NATION_2') AND state_a NOT IN ('NATION_1', 'NATION_2') GROUP BY 1 HAVING count(*) = 2")
+def alignment_map(s, d):
+    return V.alignment_map(_pairs(s, d), "NATION_1", "NATION_2")
+
+
+@_query("SELECT grp, round(avg((m - (t - m) / 2) / t), 6) AS agreement_index, count(*) AS resolutions FROM (SELECT grp, record_id, CAST(greatest(y, n, a) AS DOUBLE) AS m, y + n + a AS t FROM (SELECT grp, record_id, count(*) FILTER (WHERE code = 'Y') AS y, count(*) FILTER (WHERE code = 'N') AS n, count(*) FILTER (WHERE code = 'A') AS a FROM one GROUP BY 1, 2)) WHERE t >= 2 GROUP BY 1")
+def cohesion_ai(s, d):
+    return V.cohesion(_one(s, d))
+
+
+@_query("SELECT state, round(count(*) FILTER (WHERE code <> won) * 100.0::DOUBLE / count(*), 4) AS minority_side_pct, count(*) AS votes FROM one JOIN (SELECT record_id, CASE WHEN y > n AND y > a THEN 'Y' WHEN n > y AND n > a THEN 'N' WHEN a > y AND a > n THEN 'A' END AS won FROM tally) USING (record_id) WHERE won IS NOT NULL GROUP BY 1")
+def outvoted(s, d):
+    return V.outvoted(_one(s, d))
+
+
+@_query("SELECT state, year, count(*) FILTER (WHERE code = 'Y') AS yes, count(*) FILTER (WHERE code = 'N') AS no, count(*) FILTER (WHERE code = 'A') AS abstain, round(count(*) FILTER (WHERE code = 'Y') * 100.0::DOUBLE / count(*), 4) AS yes_pct FROM one GROUP BY 1, 2")
+def composition_by_year(s, d):
+    return V.composition(_one(s, d))
+
+
+@_query("SELECT state, before, period AS after FROM (SELECT state, period, lag(period) OVER (PARTITION BY state ORDER BY period) AS before FROM (SELECT DISTINCT state, month AS period FROM one)) WHERE period - before > 1")
+def membership_gaps(s, d):
+    return V.membership_gaps(_one(s, d), "month")
+
+
+@_query("SELECT year, body, count(*) AS n FROM res WHERE NOT am GROUP BY 1, 2")
+def volume_by_year(s, d):
+    return C.volume_by_year(_res(s, d))
+
+
+_MARGIN = "(SELECT record_id, round(abs(yes - no) / CAST(yes + no + abstain AS DOUBLE), 6) AS margin FROM res WHERE NOT am AND yes + no + abstain > 0)"
+
+
+@_query(f"SELECT CAST(least(floor(margin * 10), 9) AS BIGINT) AS bin, count(*) AS n FROM {_MARGIN} GROUP BY 1")
+def margin_hist(s, d):
+    return C.margin_histogram(_res(s, d))
+
+
+@_query(f"SELECT record_id, margin FROM {_MARGIN} ORDER BY margin, record_id LIMIT 20")
+def most_divided(s, d):
+    return C.most_divided(_res(s, d), 20)
+
+
+@_query("SELECT subject, year, round(avg(yes * 100.0::DOUBLE / (yes + no + abstain)), 4) AS avg_yes_share_pct, count(*) AS n FROM res WHERE NOT am AND yes + no + abstain > 0 GROUP BY 1, 2")
+def topic_trend(s, d):
+    return C.topic_trend(_res(s, d))
+
+
+@_query("SELECT subject, round(regr_slope(yes * 100.0::DOUBLE / (yes + no + abstain), CAST(year AS DOUBLE)) * 10, 4) AS slope_pp_decade FROM res WHERE NOT am AND yes + no + abstain > 0 GROUP BY 1")
+def topic_slope(s, d):
+    return C.topic_slope(_res(s, d))
+
+
+_SHARES = "round(count(*) FILTER (WHERE code = 'Y') * 100.0::DOUBLE / count(*), 4) AS yes_pct, round(count(*) FILTER (WHERE code = 'N') * 100.0::DOUBLE / count(*), 4) AS no_pct, round(count(*) FILTER (WHERE code = 'A') * 100.0::DOUBLE / count(*), 4) AS abstain_pct, count(*) AS votes"
+
+
+@_query(f"SELECT subject, state, {_SHARES} FROM one GROUP BY 1, 2")
+def topic_by_state(s, d):
+    return V.by_topic(_one(s, d), "state")
+
+
+@_query(f"SELECT subject, grp, {_SHARES} FROM one GROUP BY 1, 2")
+def topic_by_group(s, d):
+    return V.by_topic(_one(s, d), "grp")
+
+
+@_query("SELECT year, round(count(*) FILTER (WHERE vt = 'C') * 100.0::DOUBLE / count(*), 4) AS consensus_share_pct, count(*) AS n FROM res0 WHERE NOT am GROUP BY 1")
+def consensus_by_year(s, d):
+    return C.consensus_by_year(C.scoped(P.resolutions(s, d, False)))
+
+
+@_query("SELECT year, vt, count(*) AS n, round(count(*) * 100.0::DOUBLE / sum(count(*)) OVER (PARTITION BY year), 4) AS share_pct FROM res0 WHERE NOT am GROUP BY 1, 2")
+def mode_stack(s, d):
+    return C.mode_stack(C.scoped(P.resolutions(s, d, False)))
+
+
+@_query(", m AS (SELECT (min(year) + max(year) + 1) // 2 AS y FROM res0 WHERE NOT am) SELECT subject, n_early, n_late, round(c_late * 100.0::DOUBLE / n_late - c_early * 100.0::DOUBLE / n_early, 4) AS delta_pp FROM (SELECT subject, count(*) FILTER (WHERE year < y) AS n_early, count(*) FILTER (WHERE year >= y) AS n_late, count(*) FILTER (WHERE year < y AND vt = 'C') AS c_early, count(*) FILTER (WHERE year >= y AND vt = 'C') AS c_late FROM res0, m WHERE NOT am GROUP BY 1) WHERE n_early >= 3 AND n_late >= 3")
+def consensus_flips(s, d):
+    res = C.scoped(P.resolutions(s, d, False))
+    return C.consensus_flips(res, C.middle_year(res))
+
+
+_CONSENSUS = "SELECT subject, round(count(*) FILTER (WHERE vt = 'C') * 100.0::DOUBLE / count(*), 4) AS consensus_pct, count(*) AS n FROM res0 WHERE NOT am GROUP BY 1 ORDER BY consensus_pct {}, subject LIMIT 10"
+
+
+@_query(_CONSENSUS.format("DESC"))
+def subjects_most_consensual(s, d):
+    return C.subject_consensus(C.scoped(P.resolutions(s, d, False)), 10, True)
+
+
+@_query(_CONSENSUS.format("ASC"))
+def subjects_least_consensual(s, d):
+    return C.subject_consensus(C.scoped(P.resolutions(s, d, False)), 10, False)
+
+
+@_query("SELECT year, count(*) AS n FROM res0 WHERE NOT am AND vt = 'WD' GROUP BY 1")
+def withdrawn_by_year(s, d):
+    return C.mode_by_year(C.scoped(P.resolutions(s, d, False)), "WD")
+
+
+@_query("SELECT record_id, title, year, body, subject, vt AS mode, am, CASE WHEN yes + no + abstain > 0 THEN yes END AS yes, CASE WHEN yes + no + abstain > 0 THEN no END AS no, CASE WHEN yes + no + abstain > 0 THEN abstain END AS abstain FROM res")
+def catalogue_explorer(s, d):
+    return C.explorer(P.resolutions(s, d))
+
+
+@_query("SELECT record_id, title, year, body, subject, yes, no, abstain, am FROM res WHERE n_rollcall > 0")
+def recorded_resolutions(s, d):
+    return P.resolutions(s, d).where("n_rollcall > 0").select("record_id", "title", "year", "body", "subject", "yes", "no", "abstain", "am")
+
+
+@_query("SELECT vt AS type, count(*) AS n, count(*) FILTER (WHERE n_rollcall > 0) AS has_rollcall FROM res GROUP BY 1")
+def vote_type_coverage(s, d):
+    return C.vote_types(P.resolutions(s, d))
+
+
+@_query("SELECT body, count(*) AS n FROM res0 GROUP BY 1")
+def body_counts(s, d):
+    return P.resolutions(s, d, False).groupBy("body").agg(F.count("*").alias("n"))
+
+
+@_query("SELECT CAST(year // 10 * 10 AS BIGINT) AS decade, count(*) AS \"all\", count(*) FILTER (WHERE n_rollcall > 0) AS recorded FROM res GROUP BY 1")
+def decade_coverage(s, d):
+    return C.decades(P.resolutions(s, d))
+
+
+@_query("SELECT count(*) AS resolutions, count(*) FILTER (WHERE n_rollcall > 0) AS recorded, count(*) FILTER (WHERE n_rollcall = 0 AND coalesce(yes + no + abstain > 0, false)) AS totals_no_rollcall, count(*) FILTER (WHERE n_rollcall = 0 AND NOT coalesce(yes + no + abstain > 0, false)) AS neither FROM res")
+def totals_coverage(s, d):
+    return C.totals_coverage(P.resolutions(s, d))
+
+
+@_query("SELECT count(*) AS n_resolutions, min(year) AS year_min, max(year) AS year_max, count(DISTINCT subject) AS n_subjects, count(*) FILTER (WHERE n_rollcall = 0) AS no_rollcall, (SELECT count(DISTINCT state) FROM states) AS n_states FROM res")
+def overview(s, d):
+    return C.overview(P.resolutions(s, d), P.states(s, d))
+
+
+@_query(", t AS (SELECT record_id, count(*) FILTER (WHERE code = 'Y') AS y, count(*) FILTER (WHERE code = 'N') AS n, count(*) FILTER (WHERE code = 'A') AS a FROM votes GROUP BY 1) SELECT count(*) FILTER (WHERE y = yes AND t.n = no AND a = abstain) AS reconciled, count(*) FILTER (WHERE NOT (y = yes AND t.n = no AND a = abstain)) AS mismatched FROM t JOIN res USING (record_id)")
+def reconciliation(s, d):
+    return V.reconciliation(P.votes(s, d), P.resolutions(s, d).where("n_rollcall > 0").select("record_id", "yes", "no", "abstain"))
+
+
+@_query("SELECT state, min(grp) AS grp, count(*) AS n, count(*) FILTER (WHERE code = 'Y') AS yes, count(*) FILTER (WHERE code = 'N') AS no, count(*) FILTER (WHERE code = 'A') AS abstain, count(*) FILTER (WHERE code = '.') AS absent, count(*) FILTER (WHERE code = '') AS blank, min(year) AS first, max(year) AS last FROM votes GROUP BY 1")
+def country_stats(s, d):
+    return V.state_statistics(P.votes(s, d))
+
+
+@_query("SELECT state, arg_max(name, (year, record_id, pos, name)) AS name FROM (SELECT *, grp || ' #' || CAST(part AS VARCHAR) AS name FROM votes) GROUP BY 1")
+def latest_name(s, d):
+    return V.latest_name(P.votes(s, d).withColumn("name", F.concat("grp", F.lit(" #"), F.col("part").cast("string"))), "name", ["record_id", "pos"])
+
+
+@_query("SELECT subject, count(*) AS n, bool_or(EXISTS (SELECT 1 FROM states WHERE upper(state) = upper(subject) OR (length(state) > 5 AND contains(upper(subject), upper(state))))) AS cs FROM (SELECT CASE WHEN record_id % 7 = 0 THEN subject || ' in NATION_' || CAST(record_id % 30 AS VARCHAR) ELSE subject END AS subject FROM res WHERE n_rollcall > 0) GROUP BY 1")
+def subject_index(s, d):
+    res = P.resolutions(s, d)
+    named = F.when(F.col("record_id") % 7 == 0, F.concat("subject", F.lit(" in NATION_"), (F.col("record_id") % 30).cast("string"))).otherwise(F.col("subject"))
+    return C.subject_index(res.withColumn("subject", named), P.states(s, d))
+
+
+@_query("SELECT subject, count(*) AS n FROM res0 WHERE contains(lower(subject), 'mach') GROUP BY 1 ORDER BY n DESC, subject LIMIT 5")
+def suggest_subjects(s, d):
+    return C.suggest(P.resolutions(s, d, False), "mach", 5)
+
+
+@_query("SELECT record_id, title, subject FROM res0 WHERE contains(lower(subject), 'furniture') OR contains(lower(title), 'furniture')")
+def search_titles(s, d):
+    return C.search(P.resolutions(s, d, False), "Furniture")
+
+
+@_query("SELECT 'state' AS kind, state AS name FROM (SELECT DISTINCT state FROM states) WHERE contains(lower(state), 'n_1') UNION ALL SELECT 'subject', subject FROM (SELECT DISTINCT subject FROM res0) WHERE contains(lower(subject), 'n_1') OR contains(lower(subject), 'build')")
+def palette_search(s, d):
+    hit = lambda c, *t: F.lit(False) if not t else F.col(c).isNotNull() & sum_or([F.contains(F.lower(c), F.lit(x)) for x in t])
+    a = P.states(s, d).select(F.lit("state").alias("kind"), F.col("state").alias("name")).distinct().where(hit("name", "n_1"))
+    b = P.resolutions(s, d, False).select(F.lit("subject").alias("kind"), F.col("subject").alias("name")).distinct().where(hit("name", "n_1", "build"))
+    return a.unionByName(b)
+
+
+def sum_or(conditions):
+    out = conditions[0]
+    for c in conditions[1:]:
+        out = out | c
+    return out
+
+
+@_query("SELECT b.subject, count(*) AS n FROM res0 a JOIN res0 b ON a.year = b.year AND a.month = b.month AND a.subject <> b.subject WHERE a.subject = '1-URGENT MACHINERY' GROUP BY 1 ORDER BY n DESC, 1 LIMIT 10")
+def related_tags(s, d):
+    res = P.resolutions(s, d, False)
+    months = res.where("subject = '1-URGENT MACHINERY'").groupBy("month").agg(F.count("*").alias("k"))
+    return res.where("subject <> '1-URGENT MACHINERY'").join(months, "month").groupBy("subject").agg(F.sum("k").alias("n")).orderBy(F.desc("n"), "subject").limit(10)
+
+
+@_query("SELECT code, count(*) AS n, string_agg(DISTINCT state, ',' ORDER BY state) AS states FROM votes WHERE record_id = (SELECT min(record_id) FROM votes) GROUP BY 1")
+def rollcall_detail(s, d):
+    votes = P.votes(s, d)
+    return V.rollcall(votes, votes.agg(F.min("record_id")).first()[0])
+
+
+@_query("SELECT record_id, year, title, code FROM votes JOIN (SELECT record_id, title FROM res0) USING (record_id) WHERE state = 'NATION_3'")
+def state_resolutions(s, d):
+    return P.votes(s, d).where("state = 'NATION_3'").join(P.resolutions(s, d, False).select("record_id", "title"), "record_id").select("record_id", "year", "title", "code")
+
+
+@_query("SELECT state, count(*) AS n FROM votes GROUP BY 1 ORDER BY n DESC, state LIMIT 10")
+def states_most_active(s, d):
+    return V.most_active(P.votes(s, d), 10)
+
+
+@_query("SELECT state_a AS state, round(avg(same * 100.0::DOUBLE / shared), 4) AS mean_agreement FROM sym GROUP BY 1 ORDER BY mean_agreement DESC, 1 LIMIT 10")
+def states_most_agreeing(s, d):
+    return V.most_agreeing(_pairs(s, d), 10)
+
+
+@_query("SELECT state, code, count(*) AS n FROM votes WHERE year BETWEEN 1996 AND 1998 AND state IN (SELECT state FROM states WHERE grp = (SELECT min(grp) FROM states)) GROUP BY 1, 2")
+def set_and_years(s, d):
+    votes, states = P.votes(s, d), P.states(s, d)
+    chosen = states.join(states.agg(F.min("grp").alias("grp")), "grp").select("state").distinct()
+    return votes.where("year between 1996 and 1998").join(chosen, "state", "left_semi").groupBy("state", "code").agg(F.count("*").alias("n"))
+
+
+_IDS = ("SELECT record_id FROM res0 WHERE year <= 1997", "SELECT record_id FROM res0 WHERE month % 2 = 0")
+
+
+def _ids(s, d):
+    res = P.resolutions(s, d, False)
+    return res.where("year <= 1997").select("record_id"), res.where("month % 2 = 0").select("record_id")
+
+
+@_query(f"{_IDS[0]} UNION {_IDS[1]}")
+def id_union(s, d):
+    return C.id_union(*_ids(s, d))
+
+
+@_query(f"{_IDS[0]} EXCEPT {_IDS[1]}")
+def id_difference(s, d):
+    return C.id_difference(*_ids(s, d))
+
+
+@_query(f"SELECT count(*) AS n FROM ({_IDS[0]} INTERSECT {_IDS[1]})")
+def id_overlap(s, d):
+    return C.id_overlap(*_ids(s, d))
+
+
+@_query("SELECT record_id, pos, state, code, part FROM (SELECT *, row_number() OVER (PARTITION BY record_id ORDER BY pos, state, code, part) AS k FROM votes) WHERE k = 1")
+def dedupe_first(s, d):
+    return C.distinct_first(P.votes(s, d).select("record_id", "pos", "state", "code", "part"), "record_id", "pos", "state", "code", "part")
+
+
+@_query(", i AS (SELECT record_id, row_number() OVER (ORDER BY record_id) - 1 AS ri FROM (SELECT DISTINCT record_id FROM votes)), m AS (SELECT state, ri, pos, CASE WHEN code = '' THEN '-' ELSE code END AS c FROM votes JOIN i USING (record_id)) SELECT state, string_agg(CAST(ri AS VARCHAR), ',' ORDER BY ri, pos, c) AS r, string_agg(c, '' ORDER BY ri, pos, c) AS v FROM m GROUP BY 1")
+def vote_matrix(s, d):
+    votes = P.votes(s, d)
+    out = V.vote_matrix(votes, V.dense_index(votes.select("record_id").distinct()))
+    return out.select("state", F.array_join(F.transform("r", lambda x: x.cast("string")), ",").alias("r"), "v")
+
+
+@_query("SELECT state, coalesce(g.grp, '') AS grp FROM (SELECT DISTINCT state FROM states) LEFT JOIN (SELECT DISTINCT state, grp FROM states WHERE grp <> 'ASIA') g USING (state) WHERE coalesce(g.grp, '') = ''")
+def states_unassigned(s, d):
+    states = P.states(s, d)
+    groups = states.where("grp <> 'ASIA'").select("state", "grp").distinct()
+    return states.select("state").distinct().join(F.broadcast(groups), "state", "left").select("state", F.coalesce("grp", F.lit("")).alias("grp")).where("grp = ''")
+
+
+_XML = "<record><controlfield tag=\"001\">", "</controlfield><datafield tag=\"245\"><subfield code=\"a\">", "</subfield></datafield><datafield tag=\"269\"><subfield code=\"a\">", "</subfield></datafield><datafield tag=\"991\"><subfield code=\"d\">", "</subfield></datafield>", "</record>"
+
+
+@_query(", v AS (SELECT record_id, count(*) AS n_rollcall, count(*) FILTER (WHERE code = 'Y') AS y FROM votes GROUP BY 1) SELECT CAST(record_id AS VARCHAR) AS record_id, title, CAST(year AS VARCHAR) || '-0' || CAST(month % 9 + 1 AS VARCHAR) || '-15' AS date, CAST(year AS VARCHAR) AS year, subject AS agenda_subject, n_rollcall, y FROM v JOIN res0 USING (record_id)")
+def marc_roundtrip(s, d):
+    """Records written as MARCXML and parsed back."""
+    one = lambda tag, *subs: F.concat(F.lit(f'<datafield tag="{tag}">'), *[x for code, c in subs for x in (F.lit(f'<subfield code="{code}">'), c, F.lit("</subfield>"))], F.lit("</datafield>"))
+    vote = one("967", ("b", F.col("state")), ("d", F.col("code")))
+    rolls = P.votes(s, d).groupBy("record_id").agg(F.array_join(F.collect_list(vote), "").alias("rolls"))
+    date = F.concat(F.col("year").cast("string"), F.lit("0"), (F.col("month") % 9 + 1).cast("string"), F.lit("15"))
+    text = F.concat(F.lit(_XML[0]), F.col("record_id").cast("string"), F.lit(_XML[1]), "title", F.lit(_XML[2]), date, F.lit(_XML[3]), "subject", F.lit(_XML[4]), "rolls", F.lit(_XML[5]))
+    made = P.resolutions(s, d, False).join(rolls, "record_id").select(text.alias("xml"))
+    parsed = marc.parse(marc.from_text(made, "xml", F.lit("made"), F.lit(0)))
+    yes = F.size(F.filter("rollcall", lambda v: v["d"] == "Y")).cast("long")
+    return parsed.select("record_id", "title", "date", "year", "agenda_subject", F.col("n_rollcall").cast("long").alias("n_rollcall"), yes.alias("y"))
+
+
+@_query("SELECT record_id, CASE record_id % 4 WHEN 0 THEN title ELSE title END AS trimmed, record_id % 5 = 0 AS amendment, CASE WHEN record_id % 3 = 0 THEN 'C' WHEN record_id % 3 = 1 THEN 'V' ELSE 'O' END AS mode, CAST(year // 10 * 10 AS INT) AS decade, 'Order Of' AS cased FROM res0")
+def scalar_rules(s, d):
+    res, key = P.resolutions(s, d, False), F.col("record_id")
+    title = F.concat("title", F.when(key % 4 == 0, F.lit(" : draft resolution / adopted by")).when(key % 5 == 0, F.lit(" : amendment / x")).otherwise(F.lit("")))
+    draft = F.when(key % 5 == 0, F.lit(" Amendment to")).otherwise(F.lit(""))
+    kind = F.when(key % 3 == 0, "ADOPTED WITHOUT VOTE").when(key % 3 == 1, "RECORDED").otherwise("else")
+    return res.select("record_id", R.trim_title(title).alias("trimmed"), R.is_amendment(title, draft).alias("amendment"), R.mode_code(kind).alias("mode"), R.decade(F.col("year")).alias("decade"), R.title_case(F.lit("ORDER of")).alias("cased"))
+
+
+@_query("SELECT record_id FROM res0 WHERE year BETWEEN 1993 AND 1998 AND record_id % 2 = 0 OR record_id % 2 = 1 AND record_id % 20 <= 11")
+def mirror_scope(s, d):
+    key = F.col("record_id")
+    symbol = F.when(key % 2 == 0, F.concat(F.lit("E/CN.4/"), key.cast("string"))).otherwise(F.concat(F.lit("A/HRC/RES/"), (key % 20).cast("string"), F.lit("/1")))
+    year = F.when(F.col("year") <= 1998, F.col("year").cast("string")).otherwise(F.lit(""))
+    return P.resolutions(s, d, False).where(R.mirror_scope(symbol, year)).select("record_id")
+
+
+@_query("SELECT CAST(record_id AS VARCHAR) AS symbol FROM res0 WHERE NOT (record_id % 3 = 0 AND record_id % 9 <> 0)")
+def still_to_do(s, d):
+    res = P.resolutions(s, d, False).select(F.col("record_id").cast("string").alias("symbol"), "record_id")
+    log = res.where("record_id % 3 = 0").select("symbol", F.when(F.col("record_id") % 9 == 0, "error:TimeoutError").otherwise("ok").alias("status"), F.lit("").alias("file"))
+    return ingest.still_to_do(res, log).select("symbol")
+
+
+@_query("SELECT CASE WHEN record_id % 5 = 0 THEN 'error' WHEN record_id % 5 < 3 THEN 'missing' ELSE 'ok' END AS outcome, count(*) AS n FROM res0 GROUP BY 1")
+def mirror_progress(s, d):
+    status = F.when(F.col("record_id") % 5 == 0, "error:x").when(F.col("record_id") % 5 == 1, "tiny").when(F.col("record_id") % 5 == 2, "missing").otherwise("ok")
+    return ingest.progress(P.resolutions(s, d, False).select(status.alias("status")))
+
+
+@_query("SELECT count(*) AS total, count(DISTINCT record_id) AS ids, count(*) FILTER (WHERE year IS NULL) AS undated FROM (SELECT record_id, CASE WHEN record_id % 11 <> 0 THEN year END AS year FROM votes)")
+def harvest_coverage(s, d):
+    return P.votes(s, d).select("record_id", F.when(F.col("record_id") % 11 != 0, F.col("year")).alias("year")).agg(F.count("*").alias("total"), F.countDistinct("record_id").alias("ids"), F.count_if(F.col("year").isNull()).alias("undated"))
+
+
+_ROB = "[" + ", ".join(map(str, geo.LENGTH)) + "]::DOUBLE[]", "[" + ", ".join(map(str, geo.DISTANCE)) + "]::DOUBLE[]"
+
+
+@_query(f"SELECT event_id, round({geo.WIDTH / 2} + {geo.FX} * (l[i + 1] + (l[i + 2] - l[i + 1]) * f) * radians(lon) * {geo.SCALE}, 6) AS x, round({geo.HEIGHT / 2} - {geo.FY} * (t[i + 1] + (t[i + 2] - t[i + 1]) * f) * CASE WHEN lat >= 0 THEN 1 ELSE -1 END * {geo.SCALE}, 6) AS y FROM (SELECT *, (abs(lat) - i * 5) / 5 AS f, {_ROB[0]} AS l, {_ROB[1]} AS t FROM (SELECT *, CAST(least(floor(abs(lat) / 5), 17) AS INT) AS i FROM (SELECT event_id, CAST(event_id % 361 AS DOUBLE) - 180 AS lon, CAST(event_id % 181 AS DOUBLE) - 90 AS lat FROM events)))", prelude=False)
+def robinson_points(s, d):
+    e = P.table(s, d, "events").select("event_id", (F.col("event_id") % 361 - 180).cast("double").alias("lon"), (F.col("event_id") % 181 - 90).cast("double").alias("lat"))
+    x, y = geo.project(F.col("lon"), F.col("lat"))
+    return e.select("event_id", F.round(x, 6).alias("x"), F.round(y, 6).alias("y"))
+
+
+@_query()
+def nearest_chain_order(s, d):
+    """A greedy order of the most active states (a chart's set, thirty at most) by agreement."""
+    states = [r.state for r in V.most_active(P.votes(s, d), 30).collect()]
+    pairs = V.both_ways(_pairs(s, d)).where(F.col("state_a").isin(states) & F.col("state_b").isin(states)).collect()
+    chain = V.nearest_chain({(r.state_a, r.state_b): r.agreement_pct for r in pairs}, states)
+    return s.createDataFrame([(i, x) for i, x in enumerate(chain)], "place long, state string")
 
 
 def queries() -> dict:
-    return {}
+    return dict(_Q)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)

@@ -19,7 +19,7 @@ def write_csv(df: DataFrame, path: str, *order: str) -> None:
     out.coalesce(1).write.mode("overwrite").csv(path, header=True, escape='"', emptyValue="", nullValue="")
 
 
-def write_export(df: DataFrame, path: str, title: str, source: str = "OHCHR") -> None:
+def write_export(df: DataFrame, path: str, title: str, source: str) -> None:
     """CSV lines after two comment lines, as one text file."""
     head = [f"# {title}", f"# Source: {source}", ",".join(df.columns)]
     quoted = [F.when(F.coalesce(F.col(c).cast("string"), F.lit("")).rlike('[",\n]'), F.concat(F.lit('"'), F.replace(F.col(c).cast("string"), F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in df.columns]
