@@ -25,6 +25,9 @@ SUBSET, STEPS, GROUP_ROWS = 0.7, 4, 60
 #: Squared distances (scaled so that half of a normal group lies below the median of chi-square with five
 #: degrees of freedom) beyond which a row is rejected: its upper 1e-5 quantile.
 CUTOFF, MEDIAN = 30.9, 4.351
+#: Rows (of under 400 bytes) up to which a table of estimates is broadcast. Beyond, the vectors meet it in a join
+#: whose key is salted so many ways, as no group's vectors may meet in one task.
+BROADCAST_ROWS, SALTS = 10_000, 64
 _PER_E = 40  # buckets of the distances' histogram for each factor of e
 
 
@@ -84,6 +87,19 @@ _X = list(VECTOR)
 _PAIRS = [(i, j) for i in range(len(_X)) for j in range(i + 1)]
 
 
+def _sized(params: DataFrame) -> DataFrame:
+    """A written table, marked for broadcast if its rows are few."""
+    return F.broadcast(params) if params.count() <= BROADCAST_ROWS else params
+
+
+def _meet(stats: DataFrame, params: DataFrame, *keys: str) -> DataFrame:
+    """``stats`` (with a column salt) joined to ``params``, a written table of a row for each value of ``keys``."""
+    if params.count() <= BROADCAST_ROWS:
+        return stats.join(F.broadcast(params), [*keys])
+    salted = params.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return stats.join(salted.hint("merge"), [*keys, "salt"])
+
+
 def _distance(rows: DataFrame) -> DataFrame:
     """The squared Mahalanobis distance d2 under the columns m<i> and l<i><j> (a Cholesky factor), by forward substitution."""
     for i, x in enumerate(_X):
@@ -120,22 +136,22 @@ def _shares(rows: DataFrame, share: float, *keys: str) -> DataFrame:
 
 
 def outlier_bounds(stats: DataFrame, at: str) -> DataFrame:
-    """``stats``: group and x0.. of the rows to learn from. Returns for each group m<i>, l<i><j> and ``scale``."""
+    """``stats``: group, x0.. and salt (a number below SALTS) of the rows to learn from. Returns for each group m<i>, l<i><j> and ``scale``."""
     middle = [F.round(F.percentile_approx(x, 0.5, 10000), 2).alias(f"m{i}") for i, x in enumerate(_X)]
-    near = materialise(stats.groupBy("grp").agg(*middle), f"{at}/middle")  # small, so known to be: rows needn't move to it
-    off = stats.join(near, "grp").groupBy("grp").agg(*[F.round(1.4826 * F.percentile_approx(F.abs(F.col(x) - F.col(f"m{i}")), 0.5, 10000), 2).alias(f"s{i}") for i, x in enumerate(_X)])
+    near = materialise(stats.groupBy("grp").agg(*middle), f"{at}/middle")
+    off = _meet(stats, near, "grp").groupBy("grp").agg(*[F.round(1.4826 * F.percentile_approx(F.abs(F.col(x) - F.col(f"m{i}")), 0.5, 10000), 2).alias(f"s{i}") for i, x in enumerate(_X)])
     robust = near.join(off, "grp").select("grp", *[f"m{i}" for i in range(len(_X))], *[(F.col(f"s{i}") * F.col(f"s{i}") if i == j else F.lit(0.0)).alias(f"c{i}{j}") for i, j in _PAIRS])
     starts = _factor(robust).withColumn("start", F.lit(0)).unionByName(_moments(stats, "grp").withColumn("start", F.lit(1)))
     params = materialise(starts, f"{at}/params0")
     for step in range(STEPS):
-        far = _distance(stats.join(params, "grp"))
+        far = _distance(_meet(stats, params, "grp"))
         cuts = materialise(_shares(far, SUBSET, "grp", "start"), f"{at}/cuts{step}")
-        core = far.join(cuts, ["grp", "start"]).where(_bucket(F.col("d2")) <= F.col("cut"))
+        core = _meet(far, cuts, "grp", "start").where(_bucket(F.col("d2")) <= F.col("cut"))
         params = materialise(_moments(core, "grp", "start"), f"{at}/params{step + 1}")
     best = Window.partitionBy("grp").orderBy("log_det", "start")  # two rows for each group
     params = params.withColumn("k", F.row_number().over(best)).where("k = 1").drop("k", "start", "log_det")
     params = materialise(params, f"{at}/best")
-    half = _shares(_distance(stats.join(params, "grp")), 0.5, "grp").select("grp", (F.lit(MEDIAN) / F.exp((F.col("cut") + 0.5) / _PER_E)).alias("scale"))
+    half = _shares(_distance(_meet(stats, params, "grp")), 0.5, "grp").select("grp", (F.lit(MEDIAN) / F.exp((F.col("cut") + 0.5) / _PER_E)).alias("scale"))
     return materialise(params.join(half, "grp").withColumn("scale", F.least("scale", F.lit(1.0))), f"{at}/bounds")
 
 
@@ -156,12 +172,14 @@ def judge(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sourc
     passed = held.where("not base_failed").select("lang", "source", *_X)
     sizes = passed.groupBy("lang", "source").agg(F.count("*").alias("n"))
     rest = sizes.where(F.col("n") < GROUP_ROWS).groupBy("lang").agg(F.sum("n").alias("in_lang"))
-    named = sizes.join(rest, "lang", "left").select("lang", "source", F.when(F.col("n") >= GROUP_ROWS, F.concat_ws("\x01", F.lit("1"), "lang", "source")).when(F.col("in_lang") >= GROUP_ROWS, F.concat_ws("\x01", F.lit("2"), "lang")).otherwise(F.lit("3")).alias("grp"))
+    named = sizes.join(rest, "lang", "left").select("lang", "source", "n", F.when(F.col("n") >= GROUP_ROWS, F.concat_ws("\x01", F.lit("1"), "lang", "source")).when(F.col("in_lang") >= GROUP_ROWS, F.concat_ws("\x01", F.lit("2"), "lang")).otherwise(F.lit("3")).alias("grp"))
     named = materialise(named, f"{at}/groups")
-    stats = passed.join(named, ["lang", "source"]).select("grp", *_X)
-    enough = stats.groupBy("grp").agg(F.count("*").alias("n")).where(F.col("n") >= GROUP_ROWS).select("grp")
-    bounds = outlier_bounds(materialise(stats.join(enough, "grp", "left_semi"), f"{at}/vectors"), at)
-    far = _distance(held.join(named, ["lang", "source"], "left").join(bounds, "grp", "left"))
+    stats = _meet(passed.withColumn("salt", (F.rand() * SALTS).cast("int")), named, "lang", "source").select("grp", *_X, "salt")
+    enough = named.groupBy("grp").agg(F.sum("n").alias("n")).where(F.col("n") >= GROUP_ROWS).select("grp")
+    stats = materialise(_meet(stats, materialise(enough, f"{at}/enough"), "grp"), f"{at}/vectors")
+    bounds = outlier_bounds(stats, at)
+    # no aggregation follows these: adaptive execution splits a hot group where they are shuffled
+    far = _distance(held.join(_sized(named).drop("n"), ["lang", "source"], "left").join(_sized(bounds), "grp", "left"))
     far = far.withColumn("distance", F.round(F.col("d2") * F.col("scale"), 6))
     far = far.withColumn("kept", ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= CUTOFF))
     verdicts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper", "base_failed", "distance", "kept"]

@@ -286,6 +286,12 @@ def test_op10_outliers(spark):
     assert (~got[got.quality == 0].kept).mean() > 0.9
 
 
+def test_op10_salted_joins_find_the_same(spark, sf, monkeypatch):
+    want = sorted(map(tuple, queries.op10_mcd_outliers(spark, sf).collect()))
+    monkeypatch.setattr(quality_rules, "BROADCAST_ROWS", 0)
+    assert sorted(map(tuple, queries.op10_mcd_outliers(spark, sf).collect())) == want
+
+
 def test_pipeline_small(spark, sf):
     import corpus_pipeline
 
