@@ -143,6 +143,18 @@ class Encoder:
         got = [t for p in self.pattern.findall(chunk) for t in self._piece(p)]
         return got if len(got) < _ODD_CHUNK else None
 
+    def odd(self, chunks: list[str]) -> np.ndarray:
+        """Which of some chunks hold a character or a special string that leaves their text to the library."""
+        joined = "\n".join(chunks)
+        if not _ODD.search(joined) and not any(x in joined for x in self.special):
+            return np.zeros(len(chunks), bool)
+        return np.array([bool(_ODD.search(c)) or any(x in c for x in self.special) for c in chunks], bool)
+
+    def size(self, chunk: str) -> int:
+        """The number of ids of a chunk that isn't odd, by the library's model."""
+        ids = self._chunk(chunk, True)
+        return len(ids) if ids is not None else sum(len(self._piece(p)) for p in self.pattern.findall(chunk.lower()))
+
     def _slots(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of some texts: the slot of each chunk, each text's first chunk (n + 1), and the texts left to the library."""
         n = len(off) - 1

@@ -238,7 +238,9 @@ def test_op7_breeding_keeps_every_item():
     assert packing.evolve(length, 2048, 1, [])[1] <= first
 
 
-def test_op8_counts(awkward):
+@pytest.mark.parametrize("head", [tokencount.HEAD_ROWS, 30, 0])
+def test_op8_counts(awkward, monkeypatch, head):
+    monkeypatch.setattr(tokencount, "HEAD_ROWS", head)
     own = tokens.encoder("word_bpe_49k.json")
     text = {r.doc_id: r.text for r in awkward.select("doc_id", "text").collect()}
     got = tokencount.token_counts(awkward).collect()
@@ -248,6 +250,25 @@ def test_op8_counts(awkward):
         assert tuple(r)[1:] == (len((text[r.doc_id] or "").encode()), n, n > 2048)
 
 
+def test_op8_whole_table(spark, sf, monkeypatch):
+    monkeypatch.setattr(tokencount, "HEAD_ROWS", 500)
+    own = tokens.encoder("word_bpe_49k.json")
+    text = {r.doc_id: r.text for r in shared.table(spark, sf, "documents").select("doc_id", "text").collect()}
+    got = {r.doc_id: r.n_tokens for r in queries.op8_token_counts(spark, sf).collect()}
+    assert got == {i: len(own.library(t or "")) for i, t in text.items()}
+
+
+def test_op8_edges(spark, awkward):
+    own = tokens.encoder("word_bpe_49k.json")
+    texts = ["ab" * 200_000, "a<|endoftext|>b c", "\u65e5\u672c\u8a9e", "\x1c", "Don't DON'T 12,5!! x", "!" * 70_000]
+    got = tokencount.token_counts(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r.doc_id: r.n_tokens for r in got} == {i: len(own.library(t)) for i, t in enumerate(texts)}
+    assert tokencount.token_counts(awkward.limit(0)).count() == 0
+    other = tokens.encoder("byte_bpe_50k.json")
+    got = tokencount.token_counts(awkward, tokenizer="byte_bpe_50k.json").where("doc_id = 8").first()
+    assert got.n_tokens == len(other.library(TEXTS[8]))
+
+
 def test_op9_held_out(spark, awkward, sf):
     at = "/root/testdata/sf0.01"
     truth = shared.table(spark, at, "labels").select("doc_id", "quality")
