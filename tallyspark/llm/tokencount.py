@@ -1,8 +1,9 @@
 """Token counts of whole texts: pieces are counted once for each distinct pre-token of the corpus, joined to
 every document's pre-token frequencies, and summed. No ids are kept.
 
-A pre-token here is what stands between white space: a word with the punctuation at it, whole pre-tokens of the
-library, which no merge crosses. The most frequent ones (``HEAD_ROWS`` and ``HEAD_BYTES`` bound them) go to all
+A pre-token here ends where no pattern of the library's split goes on: at white space, around a digit, between
+an ASCII letter and other ASCII characters (a letter after an apostrophe stays with it: "'s"). What holds other
+characters may be several of the library's, which no merge crosses. The most frequent ones (``HEAD_ROWS`` and ``HEAD_BYTES`` bound them) go to all
 workers and are joined there, so no frequent word is ever shuffled; of the rest none holds more than about
 one in ``HEAD_ROWS`` of all words or one in ``HEAD_BYTES`` of all bytes, and a shuffled join takes those.
 """
@@ -25,15 +26,43 @@ from .tokens import encoder
 HEAD_ROWS, HEAD_BYTES, BLOCK_BYTES = 100_000, 8 << 20, 4 << 20
 
 
+_BLANK, _LETTER, _OTHER, _APOSTROPHE, _DIGIT, _WIDE = range(6)
+_CLASS = np.full(256, _OTHER, np.uint8)
+_CLASS[[9, 10, 11, 12, 13, 32]] = _BLANK
+_CLASS[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = _LETTER
+_CLASS[0x27] = _APOSTROPHE
+_CLASS[0x30:0x3A] = _DIGIT
+_CLASS[0x80:] = _WIDE
+#: Whether a pre-token ends between two neighbours, by 6 * left + right.
+_ENDS = np.zeros((6, 6), bool)
+_ENDS[[_BLANK, _DIGIT], :] = _ENDS[:, [_BLANK, _DIGIT]] = True
+_ENDS[_LETTER, [_OTHER, _APOSTROPHE]] = _ENDS[_OTHER, _LETTER] = True
+_ENDS = _ENDS.ravel()
+
+
+def _split(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Lengths of the pre-tokens one after another, and each text's first one (n + 1)."""
+    if not len(data):
+        return np.zeros(0, np.int64), np.zeros(len(off), np.int64)
+    kind = _CLASS[data]
+    cut = np.ones(len(data) + 1, bool)
+    cut[1:-1] = _ENDS[kind[:-1] * np.uint8(6) + kind[1:]]
+    cut[off] = True
+    at = np.flatnonzero(cut)
+    real = kind[at[:-1]] != _BLANK
+    return (at[1:] - at[:-1])[real], np.searchsorted(at[:-1][real], off)
+
+
 def _blocks(column: pa.Array) -> Iterator[tuple]:
     """Blocks of whole texts: first and last row, bytes, offsets, each text's first pre-token (n + 1), pre-tokens
-    as numbers, and the distinct ones."""
+    (A-Z in lower case, as these vocabularies take them) as numbers, and the distinct ones."""
     data, off = K.text_buffer(column)
     for lo, hi in K.chunks(off, BLOCK_BYTES):
         here, at = data[off[lo] : off[hi]], off[lo : hi + 1] - off[lo]
-        s, e, first = K.words(here, at, K.SPACED)
-        ends = np.concatenate([[0], np.cumsum(e - s)]).astype(np.int32)
-        found = pa.StringArray.from_buffers(len(s), pa.py_buffer(ends), pa.py_buffer(here[K.SPACED[here] != 0].tobytes())).dictionary_encode()
+        lengths, first = _split(here, at)
+        ends = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+        words = K.LOWER[here[K.SPACED[here] != 0]]
+        found = pa.StringArray.from_buffers(len(lengths), pa.py_buffer(ends), pa.py_buffer(words.tobytes())).dictionary_encode()
         yield lo, hi, here, at, first, found.indices.to_numpy(zero_copy_only=False).astype(np.int64), found.dictionary
 
 
@@ -71,8 +100,11 @@ def _sums(tokenizer: str, head):
                 each = np.array([known.get(x, -1) for x in names], np.int64)[which]
                 number = np.bincount(of, np.maximum(each, 0), rows).astype(np.int64)
                 odd = np.bincount(of, own.odd(names)[which], rows) > 0
+                raw = here.tobytes()
+                if any(x.encode() in raw for x in own.special):
+                    odd |= np.array([any(x.encode() in raw[i:j] for x in own.special) for i, j in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)])
                 for k in np.flatnonzero(odd).tolist():  # these depend on their whole text
-                    number[k] = len(own.library(bytes(here[at[k] : at[k + 1]]).decode()))
+                    number[k] = len(own.library(raw[at[k] : at[k + 1]].decode()))
                 rare = (each < 0) & ~odd[of]
                 pair, freq = np.unique(of[rare] * max(len(names), 1) + which[rare], return_counts=True)
                 cut = pa.array(np.searchsorted(pair // max(len(names), 1), np.arange(rows + 1)).astype(np.int32))

@@ -258,9 +258,18 @@ def test_op8_whole_table(spark, sf, monkeypatch):
     assert got == {i: len(own.library(t or "")) for i, t in text.items()}
 
 
+def test_op8_any_mix_of_characters():
+    rng, own = np.random.default_rng(8), tokens.encoder("word_bpe_49k.json")
+    texts = ["".join(rng.choice(list("abstrvelmd'''.,-<|>1 2\n\tASTé’€"), 40)) for _ in range(3000)]
+    for _, _, _, _, first, which, distinct in tokencount._blocks(pa.array(texts)):
+        assert not own.odd(distinct.to_pylist()).any()
+        n = np.array([own.size(x) for x in distinct.to_pylist()])[which]
+        assert [int(n[a:b].sum()) for a, b in zip(first, first[1:], strict=False)] == [len(own.library(t)) for t in texts]
+
+
 def test_op8_edges(spark, awkward):
     own = tokens.encoder("word_bpe_49k.json")
-    texts = ["ab" * 200_000, "a<|endoftext|>b c", "\u65e5\u672c\u8a9e", "\x1c", "Don't DON'T 12,5!! x", "!" * 70_000]
+    texts = ["ab" * 200_000, "a<|endoftext|>b c", "\u65e5\u672c\u8a9e", "\x1c", "Don't DON'T 12,5!! x", "''s '.s x''t'll're1's's9 a.b'c,d''e (I'D) O'Neil's--it's", "\u00e9'l l'\u00c9t\u00e9 don\u2019t x\u20ac5 A<|ENDOFTEXT|>B", "'S'Ve''Re'\u00e9'd", "!" * 70_000]
     got = tokencount.token_counts(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
     assert {r.doc_id: r.n_tokens for r in got} == {i: len(own.library(t)) for i, t in enumerate(texts)}
     assert tokencount.token_counts(awkward.limit(0)).count() == 0
