@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from . import textkernel as K
 from .components import connected_components, forest
-from .shared import materialise, only, workspace
+from .shared import free_name, materialise, only, workspace
 
 #: Vantage points: 32-bit values that follow from a rule.
 _POINTS = [int(x) & 0xFFFFFFFF for x in K.mix(np.arange(1, 17, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))]
@@ -202,10 +202,12 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shin
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, bits: int = 3) -> DataFrame:
-    """The rows of ``docs`` (all its columns) whose id is their group's least; of equal rows under one id, one."""
-    from .shared import free_name
+    """The rows of ``docs`` (all its columns) whose id is their group's least; of rows under one id, one.
 
-    keep = free_name(docs, "representative")
+    Rows without an id can't be told apart by it, so they stay, one for each text.
+    """
+    keep, nameless = free_name(docs, "representative"), free_name(docs, "nameless")
     kept = groups(docs, id_col, text_col, shingle, bits).where("doc_id = component_id or doc_id is null").select(F.col("doc_id").alias(keep)).distinct()
     left = docs.join(kept, docs[f"`{id_col}`"].eqNullSafe(kept[keep]), "left_semi")
-    return left.dropDuplicates([id_col])
+    digest = F.when(F.col(f"`{id_col}`").isNull(), F.sha2(F.coalesce(F.concat(F.lit("="), F.col(f"`{text_col}`")), F.lit("-")), 256))
+    return left.withColumn(nameless, digest).dropDuplicates([id_col, nameless]).drop(nameless)

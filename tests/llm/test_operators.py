@@ -179,6 +179,13 @@ def test_op5_brute_force(awkward):
     assert simhash.groups(awkward.limit(0)).count() == 0
 
 
+def test_op5_rows_without_an_id_stay(spark):
+    rows = [(None, "one text of its own"), (None, "another text that is unlike it"), (None, "another text that is unlike it"), (None, None), (1, "a third"), (1, "a third"), (2, "a third")]
+    kept = simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle=3)
+    assert kept.columns == ["doc_id", "text"]
+    assert sorted(map(str, map(tuple, kept.collect()))) == sorted(map(str, [rows[0], rows[1], rows[3], rows[4]]))
+
+
 def test_op5_links_lose_nothing(spark):
     rng = np.random.default_rng(3)
     base = rng.integers(0, 2**63, 300)
