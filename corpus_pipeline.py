@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import decontam, linedup, packing, quality_rules, simhash
+from tallyspark.llm import decontam, linedup, neardup, packing, quality_rules
 from tallyspark.llm.shared import materialise, table, workspace
 
 
@@ -26,8 +26,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the least doc_id stays."""
-    return simhash.drop_near_duplicates(docs, shingle=3, bits=3)
+    """Of each group of near copies (five-word shingles, Jaccard similarity 0.8 or more) the document with the least doc_id stays."""
+    return neardup.drop_near_duplicates(docs, shingle=5, similar=0.8)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
