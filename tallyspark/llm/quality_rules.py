@@ -160,7 +160,8 @@ def judge(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sourc
 
     A row is kept if it passes the base rules and isn't an outlier among the rows of its language and source
     that pass. Groups of under GROUP_ROWS rows (a null language or source is one of its own) are judged with
-    the other small ones of their language, then with all small ones; too few of these reject nothing.
+    the other small ones of their language, then with all small ones; too few of these are judged by an estimate
+    over all rows of the table that pass, however many.
     Repeated rows count each time.
     """
     at = workspace(docs.sparkSession, "quality")
@@ -174,9 +175,12 @@ def judge(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sourc
     rest = sizes.where(F.col("n") < GROUP_ROWS).groupBy("lang").agg(F.sum("n").alias("in_lang"))
     named = sizes.join(rest, "lang", "left").select("lang", "source", "n", F.when(F.col("n") >= GROUP_ROWS, F.concat_ws("\x01", F.lit("1"), "lang", "source")).when(F.col("in_lang") >= GROUP_ROWS, F.concat_ws("\x01", F.lit("2"), "lang")).otherwise(F.lit("3")).alias("grp"))
     named = materialise(named, f"{at}/groups")
-    stats = _meet(passed.withColumn("salt", (F.rand() * SALTS).cast("int")), named, "lang", "source").select("grp", *_X, "salt")
-    enough = named.groupBy("grp").agg(F.sum("n").alias("n")).where(F.col("n") >= GROUP_ROWS).select("grp")
-    stats = materialise(_meet(stats, materialise(enough, f"{at}/enough"), "grp"), f"{at}/vectors")
+    passed = passed.withColumn("salt", (F.rand() * SALTS).cast("int"))
+    stats = _meet(passed, named, "lang", "source").select("grp", *_X, "salt")
+    few = named.where("grp = '3'").agg(F.sum("n")).first()[0] or 0
+    if 0 < few < GROUP_ROWS:  # the last pool is too small to learn from: it is judged by the whole table
+        stats = stats.where("grp <> '3'").unionByName(passed.select(F.lit("3").alias("grp"), *_X, "salt"))
+    stats = materialise(stats, f"{at}/vectors")
     bounds = outlier_bounds(stats, at)
     # no aggregation follows these: adaptive execution splits a hot group where they are shuffled
     far = _distance(held.join(_sized(named).drop("n"), ["lang", "source"], "left").join(_sized(bounds), "grp", "left"))
