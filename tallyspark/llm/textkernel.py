@@ -64,26 +64,6 @@ def words(data: np.ndarray, offsets: np.ndarray, classes: np.ndarray) -> tuple[n
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-_R = np.uint64(0x9E3779B97F4A7C15 | 1)
-_RINV = np.uint64(pow(int(_R), -1, 1 << 64))
-_powers: tuple[np.ndarray, np.ndarray] = (np.ones(1, np.uint64), np.ones(1, np.uint64))
-
-
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    global _powers
-    if len(_powers[0]) < n:
-        size = 1 << max(21, (n - 1).bit_length())
-        both = []
-        for base in (_R, _RINV):
-            p = np.full(size, base, np.uint64)
-            p[0] = 1
-            both.append(np.multiply.accumulate(p))
-        if size > 1 << 24:  # a single huge text: don't keep its tables
-            return both[0], both[1]
-        _powers = (both[0], both[1])
-    return _powers
-
-
 def mix(h: np.ndarray) -> np.ndarray:
     """A finaliser that spreads every input bit."""
     h = h ^ (h >> np.uint64(32))
@@ -94,12 +74,54 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
+_MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+#: Up to this many bytes a word is its length, first eight and last eight bytes.
+SHORT = 16
+
+
+def word_keys(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each byte range's first eight bytes, last eight bytes (as numbers) and length. Ranges of at most
+    ``SHORT`` bytes are equal if these are; longer ones must be compared byte by byte."""
+    padded = np.zeros(len(data) + 16, np.uint8)
+    padded[8 : 8 + len(data)] = data
+    at8 = np.ndarray((len(data) + 9,), "<u8", padded, 0, (1,))
+    n = ends - starts
+    first = at8[starts + 8] & _MASKS[np.minimum(n, 8)]
+    return first, np.where(n >= 8, at8[ends], first), n
+
+
+def key_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, keys: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
+    """A 64-bit hash of each byte range, given its word_keys(): XXH64 for long ones. Different ranges may share
+    one, so whoever needs certainty compares keys and, of long ranges, bytes."""
+    first, last, n = keys
+    h = mix(first ^ np.uint64(0x9E3779B97F4A7C15))
+    h += last * np.uint64(0xC2B2AE3D27D4EB4F)
+    h ^= n.astype(np.uint64) * np.uint64(0x165667B19E3779F9)
+    h = mix(h)
+    long = np.flatnonzero(n > SHORT)
+    if len(long):
+        h[long] = xxh64(data, starts[long], ends[long])
+    return h
+
+
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each byte range, by one running polynomial sum over the chunk."""
-    up, down = _power_tables(len(data) + 1)
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=total[1:])
-    return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    """A 64-bit hash of each byte range."""
+    return key_hashes(data, starts, ends, word_keys(data, starts, ends))
+
+
+def equal_ranges(a: np.ndarray, a_from: np.ndarray, b: np.ndarray, b_from: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Whether n[i] bytes of ``a`` from a_from[i] are those of ``b`` from b_from[i]; works in pieces of bounded size."""
+    out, lo, total = np.ones(len(n), bool), 0, np.cumsum(n)
+    while lo < len(n):
+        done = int(total[lo - 1]) if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(total, done + CHUNK_BYTES, side="right")))
+        for skip in range(0, int(n[lo]) if hi == lo + 1 else 1, CHUNK_BYTES):
+            k = np.minimum(n[lo:hi] - skip, CHUNK_BYTES) if hi == lo + 1 else n[lo:hi]
+            step = np.arange(int(k.sum())) - np.repeat(np.cumsum(k) - k, k) + skip
+            same = a[np.repeat(a_from[lo:hi], k) + step] == b[np.repeat(b_from[lo:hi], k) + step]
+            out[lo:hi] &= np.add.reduceat(np.append(~same, False), np.cumsum(k) - k, dtype=np.int64)[: hi - lo] == 0
+        lo = hi
+    return out
 
 
 _Q = 0xC2B2AE3D27D4EB4F

@@ -4,7 +4,7 @@ Both kinds of vocabulary split a text into pre-tokens before any merge, and no m
 a pre-token, so a text's ids are its pre-tokens' ids one after another. The library's model
 encodes each distinct chunk (a word with the punctuation around it: whole pre-tokens) once
 for each Python worker; a compact bounded table holds the ids, and whole batches are looked
-up at a time. Texts with characters whose normalisation or class could depend on context,
+up at a time. The table compares the chunks themselves, not just their hashes. Texts with characters whose normalisation or class could depend on context,
 and texts that hold a special token's string, go to the library whole.
 """
 
@@ -27,7 +27,9 @@ _ODD = regex.compile("[^\n\t\r -~¡-©«-±´-¸»¿-ÖØ-öø-ÿĀ-įĲ-ňŊ-ž
 SLOTS, ENTRIES = 1 << 22, 2_000_000
 _ODD_CHUNK = 0xFFFF  # the length that marks a chunk for the library
 _CLOSING = frozenset(".,;:!?|)\"")
-_FIRST = np.uint64(0x5851F42D4C957F2D)
+_LEAD = 32  # added to a chunk's length where no space comes before it
+#: Bytes of long chunks that a worker's table holds before it starts anew.
+_LONG_BYTES = 32 << 20
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
 _UNSPACED = np.ones(256, np.uint8)
@@ -42,53 +44,71 @@ def _byte_letters() -> dict[int, str]:
 
 
 class Table:
-    """An open-addressed table from 64-bit keys to runs of ids, as flat arrays."""
+    """A table from chunks to runs of ids, as flat arrays. A chunk of at most ``K.SHORT`` bytes is its first
+    eight and last eight bytes and its length; longer ones are keys of a dictionary. Entries are numbered as they come."""
 
     def __init__(self, slots: int, entries: int):
         self.mask, self.entries = np.uint64(slots - 1), entries
         self.clear()
 
     def clear(self) -> None:
-        slots = int(self.mask) + 1
-        self.key = np.zeros(slots, np.uint64)
-        self.at = np.zeros(slots, np.uint32)
-        self.size = np.zeros(slots, np.uint16)
+        self.slot = np.zeros(int(self.mask) + 1, np.uint32)  # an entry's number and one, or zero
+        self.first, self.last, self.length = np.zeros(1 << 12, np.uint64), np.zeros(1 << 12, np.uint64), np.zeros(1 << 12, np.uint8)
+        self.at, self.size = np.zeros(1 << 12, np.uint32), np.zeros(1 << 12, np.uint16)
         self.pool, self.used, self.n = np.zeros(1 << 16, np.uint32), 0, 0
+        self.long: dict[tuple[bytes, bool], int] = {}
+        self.long_bytes = 0
 
-    def find(self, h: np.ndarray) -> np.ndarray:
-        """Each key's slot, or -1."""
+    def full(self) -> bool:
+        return self.n > self.entries or self.long_bytes > _LONG_BYTES
+
+    def find(self, h: np.ndarray, first: np.ndarray, last: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """Each short chunk's entry, or -1."""
         slot = (h & self.mask).astype(np.int64)
         out = np.full(len(h), -1, np.int64)
         live = np.arange(len(h))
         while len(live):
-            k = self.key[slot[live]]
-            hit = k == h[live]
-            out[live[hit]] = slot[live[hit]]
-            live = live[~hit & (k != 0)]
+            k = self.slot[slot[live]].astype(np.int64) - 1
+            live, k = live[k >= 0], k[k >= 0]
+            hit = (self.first[k] == first[live]) & (self.last[k] == last[live]) & (self.length[k] == length[live])
+            out[live[hit]] = k[hit]
+            live = live[~hit]
             slot[live] = (slot[live] + 1) & int(self.mask)
         return out
 
-    def add(self, h: np.ndarray, ids: list[list[int] | None]) -> None:
-        """Put distinct new keys in; None marks a chunk for the library."""
+    def _store(self, ids: list[list[int] | None]) -> np.ndarray:
+        """New entries; None marks a chunk for the library."""
         sizes = np.array([_ODD_CHUNK if x is None else len(x) for x in ids], np.uint16)
         flat = np.array([t for x in ids if x is not None for t in x], np.uint32)
         while self.used + len(flat) > len(self.pool):
             self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
         self.pool[self.used : self.used + len(flat)] = flat
+        while self.n + len(ids) > len(self.at):
+            for name in ("first", "last", "length", "at", "size"):
+                old = getattr(self, name)
+                setattr(self, name, np.concatenate([old, np.zeros_like(old)]))
+        new = np.arange(self.n, self.n + len(ids))
         lengths = np.where(sizes == _ODD_CHUNK, 0, sizes).astype(np.int64)
-        at = self.used + np.cumsum(lengths) - lengths
+        self.at[new], self.size[new] = self.used + np.cumsum(lengths) - lengths, sizes
         self.used += len(flat)
+        self.n += len(ids)
+        return new
+
+    def add(self, h: np.ndarray, first: np.ndarray, last: np.ndarray, length: np.ndarray, ids: list[list[int] | None]) -> None:
+        """Put distinct new short chunks in."""
+        new = self._store(ids)
+        self.first[new], self.last[new], self.length[new] = first, last, length
         slot = (h & self.mask).astype(np.int64)
         live = np.arange(len(h))
         while len(live):
-            free = live[self.key[slot[live]] == 0]
-            self.key[slot[free]] = h[free]  # of several for one slot, the last stays
-            done = self.key[slot[live]] == h[live]
-            won = live[done]
-            self.at[slot[won]], self.size[slot[won]] = at[won], sizes[won]
-            live = live[~done]
+            free = live[self.slot[slot[live]] == 0]
+            self.slot[slot[free]] = new[free] + 1  # of several for one slot, the last stays
+            live = live[self.slot[slot[live]] != new[live] + 1]
             slot[live] = (slot[live] + 1) & int(self.mask)
-        self.n += len(h)
+
+    def add_long(self, keys: list[tuple[bytes, bool]], ids: list[list[int] | None]) -> None:
+        self.long.update(zip(keys, self._store(ids).tolist(), strict=True))
+        self.long_bytes += sum(len(k) for k, _ in keys)
 
 
 class Encoder:
@@ -155,13 +175,18 @@ class Encoder:
         ids = self._chunk(chunk, True)
         return len(ids) if ids is not None else sum(len(self._piece(p)) for p in self.pattern.findall(chunk.lower()))
 
+    def _ids(self, chunks: list[bytes]) -> list[list[int] | None]:
+        plain = not _ODD.search(b"\n".join(chunks).decode())
+        return [self._chunk(x.decode(), plain) for x in chunks]
+
     def _slots(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of some texts: the slot of each chunk, each text's first chunk (n + 1), and the texts left to the library."""
+        """Of some texts: the entry of each chunk, each text's first chunk (n + 1), and the texts left to the library."""
         n = len(off) - 1
         odd = np.zeros(n, bool)
         s, e, first = K.words(data, off, K.SPACED if self.words else _UNSPACED)
-        h = K.word_hashes(data, s, e)
-        lead = np.zeros(len(s), bool)
+        keys = K.word_keys(data, s, e)
+        h = K.key_hashes(data, s, e, keys)
+        lead = np.full(len(s), self.words)
         if not self.words:
             # between words just one space; other white space is inside a chunk, with no neighbour of its kind
             blank = _BLANK[data]
@@ -173,19 +198,23 @@ class Encoder:
             bad[off[1:][filled] - 1] |= blank[off[1:][filled] - 1]
             odd |= np.diff(np.concatenate([[0], np.cumsum(bad)])[off]) > 0
             lead[first[:-1][first[1:] > first[:-1]]] = True
-            h = np.where(lead, K.mix(h ^ _FIRST), h)
-        h[h == 0] = 1
-        if self.table.n > self.table.entries:
+        if self.table.full():
             self.table.clear()
-        slot = self.table.find(h)
-        if (missing := np.flatnonzero(slot < 0)).size:
-            new, which = np.unique(h[missing], return_index=True)
-            which = missing[which]
-            raw = data.tobytes()
-            texts = [raw[a:b] for a, b in zip((s[which] - (0 if self.words else ~lead[which])).tolist(), e[which].tolist(), strict=True)]
-            plain = not _ODD.search(b"\n".join(texts).decode())
-            self.table.add(new, [self._chunk(x.decode(), plain) for x in texts])
-            slot[missing] = self.table.find(h[missing])
+        raw, from_ = data.tobytes(), s - ~lead
+        slot = np.full(len(s), -1, np.int64)
+        short = np.flatnonzero(keys[2] <= K.SHORT)
+        key = (h[short], keys[0][short], keys[1][short], (keys[2] + _LEAD * lead)[short].astype(np.uint8))
+        slot[short] = self.table.find(*key)
+        while (missing := np.flatnonzero(slot[short] < 0)).size:  # chunks that share a hash take a turn each
+            which = missing[np.unique(key[0][missing], return_index=True)[1]]
+            self.table.add(*(k[which] for k in key), self._ids([raw[a:b] for a, b in zip(from_[short[which]].tolist(), e[short[which]].tolist(), strict=True)]))
+            slot[short[missing]] = self.table.find(*(k[missing] for k in key))
+        for k in np.flatnonzero(keys[2] > K.SHORT).tolist():
+            own = raw[s[k] : e[k]], bool(lead[k])
+            if (at := self.table.long.get(own)) is None:
+                self.table.add_long([own], self._ids([raw[from_[k] : e[k]]]))
+                at = self.table.long[own]
+            slot[k] = at
         odd |= np.add.reduceat(np.append(self.table.size[slot] == _ODD_CHUNK, False), first[:-1], dtype=np.int64) * (first[1:] > first[:-1]) > 0
         return slot, first, odd
 

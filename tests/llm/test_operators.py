@@ -7,6 +7,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import pytest
 import xxhash
@@ -338,3 +339,35 @@ def test_pipeline_small(spark, sf):
     assert ids and ids <= kept
     dirty = {r.doc_id for r in decontam.report(linedup.drop_boilerplate(shared.table(spark, sf, "documents").where(shared.F.col("doc_id").isin(list(kept)))), shared.table(spark, sf, "benchmark")).where("contaminated").collect()}
     assert not ids & dirty
+
+
+def thue_morse():
+    """Two unlike words of equal ends whose polynomial sums modulo 2 ** 64 are the same for every odd base."""
+    t, other = "a", str.maketrans("ab", "ba")
+    for _ in range(10):
+        t += t.translate(other)
+    return "c" * 8 + t + "c" * 8, "c" * 8 + t.translate(other) + "c" * 8
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_tokens_of_words_that_share_a_hash(name, monkeypatch):
+    own = tokens.Encoder(public_tokenizers.path(name))
+    a, b = thue_morse()
+    texts = [a, b, "one two", "two one one", f"{b} {a}", "abcdefgh12345678 abcdefgh12345678x"]
+    for weak in (False, True):
+        if weak:  # every chunk has one of three hashes
+            monkeypatch.setattr(textkernel, "key_hashes", lambda data, s, e, keys: (keys[2] % 3).astype(np.uint64))
+            own.table.clear()
+        ids, n = own.encode(pa.array(texts))
+        cut = np.concatenate([[0], np.cumsum(n)])
+        assert [ids[x:y].tolist() for x, y in zip(cut, cut[1:], strict=False)] == [own.library(t) for t in texts]
+
+
+def test_equal_ranges():
+    rng = np.random.default_rng(9)
+    a = rng.integers(0, 2, 5000).astype(np.uint8)
+    s, t, n = rng.integers(0, 2000, 400), rng.integers(0, 2000, 400), rng.integers(1, 12, 400)
+    assert textkernel.equal_ranges(a, s, a, t, n).tolist() == [(a[x : x + k] == a[y : y + k]).all() for x, y, k in zip(s, t, n, strict=True)]
+    big = np.zeros(3 << 20, np.uint8)
+    big[-1] = 1
+    assert textkernel.equal_ranges(big, np.array([0, 0]), big, np.array([0, 1]), np.array([len(big), len(big) - 1])).tolist() == [True, False]
