@@ -1,7 +1,6 @@
 """The training-data operators against brute force, and on awkward tables."""
 
 import hashlib
-import io
 import re
 import zlib
 
@@ -76,21 +75,6 @@ def test_op1_revisits_and_awkward_rows(spark):
     assert warc.round_trip(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
-@pytest.mark.parametrize("zipped", [False, True])
-def test_op1_salvage(zipped):
-    recs = [warc.record(i, "http://x", b"body%d " % i * 200, None) for i in range(6)]
-    if zipped:
-        recs = [z.compress(r) + z.flush() for r in recs for z in [zlib.compressobj(4, zlib.DEFLATED, 31)]]
-    at = np.cumsum([0, *map(len, recs)])
-    raw = bytearray(b"".join(recs))
-    raw[at[2] + len(recs[2]) // 2] ^= 255
-    raw = bytes(raw[: at[4]] + b"junk WARC/1.0 \x1f\x8b\x08 junk" + raw[at[4] : at[6] - 7])
-    found = list(warc.salvage(io.BytesIO(raw), len(raw)))
-    assert [x[0]["warc-record-id"][12:-1] for k, _, _, x in found if k == "record"] == ["0", "1", "3", "4"]
-    assert [k for k, *_ in found] == ["record", "record", "gap", "record", "gap", "record", "gap"]
-    assert sum(n for _, _, n, _ in found) == len(raw) and all(a + n == b for (_, a, n, _), (_, b, _, _) in zip(found, found[1:], strict=False))
-
-
 def brute_hits(text, items):
     word = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered(t))
     w, hit, hits = word(text), set(), set()
