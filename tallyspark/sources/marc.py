@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote, urlparse
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,15 +15,45 @@ _CONTROL = T.StructType([T.StructField("_tag", T.StringType()), T.StructField("_
 _DATA = T.StructType([T.StructField("_tag", T.StringType()), T.StructField("subfield", T.ArrayType(_SUB))])
 #: All text: inferred types would turn a record's number into an integer.
 RECORD = T.StructType([T.StructField("controlfield", T.ArrayType(_CONTROL)), T.StructField("datafield", T.ArrayType(_DATA))])
-COLLECTION = T.StructType([T.StructField("record", T.ArrayType(RECORD))])
 
-RECORD_URL = "https://digitallibrary.un.org/record/"
+#: Fixed value: the catalogue's address of a record.
+RECORD_URL = "https://searchlibrary.ohchr.org/record/"
+
+
+def xml_rows(reader):
+    """A (stream) reader of records one by one; a record that breaks off or isn't XML is an error."""
+    return reader.format("xml").schema(RECORD).option("rowTag", "record").option("ignoreNamespace", "true").option("mode", "FAILFAST")
+
+
+def located(rows: DataFrame) -> DataFrame:
+    """A reader's rows with the file and the block that each is from."""
+    return rows.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.struct("controlfield", "datafield").alias("record"))
+
 
+def placed(located: DataFrame) -> DataFrame:
+    """file, pos (its order within the file) and record."""
+    return located.select("file", F.struct("block", F.monotonically_increasing_id().alias("row")).alias("pos"), "record")
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    """record, file and pos of every record; a malformed file is an error."""
-    rows = spark.read.format("xml").schema(COLLECTION).option("rowTag", "collection").option("ignoreNamespace", "true").option("mode", "FAILFAST").load(path)
-    return rows.select(F.col("_metadata.file_path").alias("file"), F.posexplode("record").alias("pos", "record"))
+
+def cut_off(spark: SparkSession, files: list[str]) -> list[str]:
+    """Of some files (as URIs, like ``inputFiles()``) those, empty ones too, in which no collection ends: a reader of
+    records doesn't miss what should come after the last one."""
+    if not files:
+        return []
+    ends = F.max(F.col("value").rlike(r"</(?:\w+:)?collection\s*>|<(?:\w+:)?collection\b[^>]*/>"))
+    whole = spark.read.text([unquote(f) for f in files]).groupBy(F.col("_metadata.file_path").alias("file")).agg(ends.alias("whole")).where("whole")
+    plain = lambda uri: unquote(urlparse(uri).path)
+    done = {plain(r.file) for r in whole.collect()}  # a name for each file, of which the caller has a list
+    return sorted(f for f in files if plain(f) not in done)
+
+
+def read(spark: SparkSession, path: str, whole: bool = True) -> DataFrame:
+    """record, file and pos of every record. A malformed file is an error, and so is one that is cut off between two
+    records if it must be ``whole`` (this reads the files' text once more)."""
+    rows = xml_rows(spark.read).load(path)
+    if whole and (cut := cut_off(spark, rows.inputFiles())):
+        raise ValueError(f"no collection ends in {cut}")
+    return placed(located(rows))
 
 
 def from_text(rows: DataFrame, xml: str, file: Column, pos: Column) -> DataFrame:
@@ -93,6 +125,14 @@ def votes_long(parsed: DataFrame) -> DataFrame:
     return rows.select("record_id", "symbol", "date", "year", "body", "vote_type", F.col("v.seq").alias("seq"), R.repaired_iso(F.col("v.b")).alias("iso3"), R.recovered_name(F.col("v.b"), F.col("v.e")).alias("country"), code.alias("vote"))
 
 
+def merged(parts: list[DataFrame]) -> DataFrame:
+    """Several reads (pages of one harvest, say) as one: parse() then keeps each record once."""
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 def record_ids(text: DataFrame, column: str = "value") -> DataFrame:
     """Ids straight from the XML's text, without parsing it."""
     pattern = r'<controlfield tag="001">\s*([0-9]+)\s*</controlfield>'

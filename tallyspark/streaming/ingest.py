@@ -5,16 +5,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.marc import COLLECTION
+from ..sources import marc
 
 LOG = "symbol string, status string, file string"
 
 
+def _files(spark: SparkSession, checkpoint: str, number: int) -> list[str]:
+    """The files of a batch, empty ones too, from the checkpoint's logs: what the source listed up to the batch's offset."""
+
+    def offset(k: int) -> int:
+        lines = spark.read.text(f"{checkpoint}/offsets/{k}").where(F.col("value").contains("logOffset"))
+        return lines.select(F.get_json_object("value", "$.logOffset").cast("long")).first()[0]
+
+    frm, to = offset(number - 1) if number else -1, offset(number)
+    entries = spark.read.text(f"{checkpoint}/sources/0").select(F.from_json("value", "path string, batchId long").alias("e")).select("e.*")
+    return [r.path for r in entries.where((F.col("batchId") > frm) & (F.col("batchId") <= to)).select("path").distinct().collect()]
+
+
 def ingest_new(spark: SparkSession, source: str, target: str, checkpoint: str) -> None:
-    """Append the records of files that no earlier run has read; ends when there are no more."""
-    rows = spark.readStream.format("xml").schema(COLLECTION).option("rowTag", "collection").option("ignoreNamespace", "true").load(source)
-    records = rows.select(F.col("_metadata.file_path").alias("file"), F.posexplode("record").alias("pos", "record"))
-    query = records.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    """Write the records of files that no earlier run has read below ``target``; ends when there are no more.
+
+    A file that is cut off or malformed is an error that names it: the run's batch is not committed, nothing of it is
+    marked done, and the next run reads the batch's files again, as they are by then. A batch has a folder of its own,
+    which a repeated batch replaces, so nothing is written twice.
+    """
+
+    def put(batch: DataFrame, number: int) -> None:
+        if cut := marc.cut_off(spark, _files(spark, checkpoint, number)):
+            raise ValueError(f"no collection ends in {cut}")
+        marc.placed(batch).write.mode("overwrite").parquet(f"{target}/batch={number}")
+
+    rows = marc.located(marc.xml_rows(spark.readStream).load(source))
+    query = rows.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
 
 
@@ -24,6 +46,36 @@ def still_to_do(items: DataFrame, log: DataFrame) -> DataFrame:
     return items.join(final, "symbol", "left_anti")
 
 
+def to_fetch(partitions: DataFrame, fetched: DataFrame, least_bytes: int = 200, forced: tuple[str, ...] = (), page: int = 200) -> DataFrame:
+    """``partitions``: name. ``fetched``: name, n_bytes, n_records. The names that have to be fetched (again): those
+    without a file of more than ``least_bytes``, and of the ``forced`` ones those with no more than one page of records."""
+    done = fetched.where(F.col("n_bytes") > least_bytes).where(~(F.col("name").isin(list(forced)) & (F.col("n_records") <= page)))
+    return partitions.select("name").distinct().join(done.select("name").distinct(), "name", "left_anti")
+
+
+def undated(rows: DataFrame, year: str = "year") -> DataFrame:
+    """The complement of all years: rows whose year isn't a number from 1000 to 2100."""
+    text = F.coalesce(F.col(year).cast("string"), F.lit(""))
+    return rows.where(~F.coalesce(text.rlike(r"\A[0-9]{4}\z") & text.try_cast("int").between(1000, 2100), F.lit(False)))
+
+
+def harvest_summary(dated: DataFrame, without_date: DataFrame, pages: DataFrame) -> DataFrame:
+    """Each: record_id. One row: rows and distinct ids of the dated harvest, undated ids, ids of both, ids of all
+    three, and ids that only the pages have."""
+    of = lambda df, name: df.select("record_id", F.lit(name).alias("of"))
+    ids = of(dated, "d").unionByName(of(without_date, "u")).unionByName(of(pages, "p")).where("record_id is not null")
+    has = lambda name: F.max(F.col("of") == name).alias(name)
+    each = ids.groupBy("record_id").agg(F.count_if(F.col("of") == "d").alias("n"), has("d"), has("u"), has("p"))
+    return each.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
+        F.count_if("d").alias("ids"),
+        F.count_if("u").alias("undated"),
+        F.count_if(F.col("d") | F.col("u")).alias("dated_or_undated"),
+        F.count("*").alias("combined"),
+        F.count_if(F.col("p") & ~F.col("d") & ~F.col("u")).alias("missed"),
+    )
+
+
 def append_log(rows: DataFrame, path: str) -> None:
     rows.select("symbol", "status", "file").write.mode("append").csv(path)
 

@@ -127,3 +127,51 @@ def test_resumed_ingestion(spark, tmp_path):
     (src / "2.xml").write_text(XML.format(record("2", field("245", ("a", "y")))))
     run()
     assert marc.parse(spark.read.parquet(str(tmp_path / "out"))).count() == 2
+
+
+@pytest.mark.parametrize("cut", ["between", "inside", "empty", "malformed"])
+def test_a_cut_off_file_is_neither_lost_nor_done(spark, tmp_path, cut):
+    src, out = tmp_path / "in", str(tmp_path / "out")
+    src.mkdir()
+    run = lambda: ingest.ingest_new(spark, str(src), out, str(tmp_path / "check"))
+    whole = XML.format(record("1", field("245", ("a", "x"))) + record("2", field("245", ("a", "y"))))
+    broken = {"between": whole[: whole.rindex("<record>")], "inside": whole[:-40], "empty": "", "malformed": whole.replace("</subfield>", "</wrong>", 1)}[cut]
+    (src / "1.xml").write_text(XML.format(record("0", field("245", ("a", "z")))))
+    (src / "2 a.xml").write_text(broken)
+    for _ in range(2):
+        with pytest.raises(Exception, match="2%20a.xml|2 a.xml|FAILFAST|MALFORMED"):
+            run()
+    with pytest.raises(Exception, match="2%20a.xml|2 a.xml|FAILFAST|MALFORMED"):
+        marc.read(spark, str(src)).collect()
+    (src / "2 a.xml").write_text(whole)
+    run()
+    run()
+    assert sorted(r.record_id for r in marc.parse(spark.read.parquet(out)).collect()) == ["0", "1", "2"]
+
+
+def test_file_order_decides_between_records_of_one_id(spark, tmp_path):
+    for name, title in (("b", "second"), ("a", "first")):
+        (tmp_path / f"{name}.xml").write_text(XML.format(record("5", field("245", ("a", title))) + record("5", field("245", ("a", "third")))))
+    rows = marc.read(spark, str(tmp_path))
+    assert [r.title for r in marc.parse(rows).collect()] == ["first"]
+    half = marc.merged([marc.read(spark, str(tmp_path / "b.xml")), marc.read(spark, str(tmp_path / "a.xml"))])
+    assert [(r.title, r.record_url) for r in marc.parse(half).collect()] == [("first", marc.RECORD_URL + "5")]
+    text = spark.read.text(str(tmp_path), wholetext=True)
+    assert [r.record_id for r in marc.record_ids(text).collect()] == ["5"] * 4
+
+
+def test_what_is_to_be_fetched(spark):
+    names = spark.createDataFrame([("1999",), ("2000",), ("2001",), ("2002",)], "name string")
+    have = spark.createDataFrame([("1999", 5000, 150), ("2000", 100, 0), ("2001", 9000, 200)], "name string, n_bytes long, n_records long")
+    assert sorted(r.name for r in ingest.to_fetch(names, have, forced=("2001",)).collect()) == ["2000", "2001", "2002"]
+    years = spark.createDataFrame([("1999",), ("",), (None,), ("199",), ("3000",), ("19x9",), ("2100",)], "year string")
+    assert sorted(str(r.year) for r in ingest.undated(years).collect()) == ["", "199", "19x9", "3000", "None"]
+
+
+def test_log_and_outcomes(spark, tmp_path):
+    log = spark.createDataFrame([("a", "ok", "f"), ("b", "error:x", "")], ingest.LOG)
+    ingest.append_log(log, str(tmp_path / "log"))
+    ingest.append_log(log.where("symbol = 'b'"), str(tmp_path / "log"))
+    assert spark.read.csv(str(tmp_path / "log"), schema=ingest.LOG).count() == 3
+    got = spark.createDataFrame([("", 0), ("l", 10), ("l", 900)], "link string, size int").select(ingest.outcome(F.col("size"), F.col("link"))).collect()
+    assert [r[0] for r in got] == ["missing", "tiny", "ok"]
