@@ -6,12 +6,15 @@ nonterminals, and their occurrences (the more frequent pair first where two over
 from the largest count by ``SHRINK`` a round down to ``LEAST``; a pair that wins fewer places than that waits.
 A file holds the rules, their expansion lengths, the rewritten symbols with a checkpoint of the expanded position
 every ``STEP`` symbols, and the documents' starts, so any range of ids is decoded from the symbols around it alone.
-There may be any number of rules: symbols and rules are packed into as many bits as the largest symbol needs.
+There may be any number of rules: they are packed into as many bits as the largest symbol needs. Of the rewritten
+symbols the most frequent, as many as pay, are written as short numbers, with a bit for each symbol that tells.
 
 File format (little-endian): magic; the counts (rules, symbols, tokens, documents, first nonterminal, bits of a
-symbol, rounds, bits of a length) as unsigned 64-bit; rules of each round (u4); rules (two symbols each, packed);
-expansion lengths (packed); checkpoints (u8); documents' starts (u8, one more than documents); documents' ids (i8)
-and whether null (u1); symbols (packed). What is packed starts at a byte, its lowest bits first.
+symbol, rounds, bits of a length, bits of a short number, short symbols) as unsigned 64-bit; rules of each round (u4);
+rules (two symbols each, packed); expansion lengths (packed); the frequent symbols (packed); checkpoints (u8) and the
+long symbols before them (u4); documents' starts (u8, one more than documents); documents' ids (i8) and whether null
+(u1); whether a symbol is short (bits); short symbols (packed); long symbols (packed). What is packed starts at a
+byte, its lowest bits first.
 """
 
 from __future__ import annotations
@@ -29,48 +32,54 @@ from .shared import materialise, only, read_file, workspace, write_file
 from .textkernel import mix
 from .tokens import encoder
 
-MAGIC = b"TSREPAI2"
+MAGIC = b"TSREPAI3"
 STEP = 1024
 #: Ids are below this: readers hold a table of so many entries at most.
 MOST_IDS = 1 << 24
 #: Ids of a shard; occurrences from which a rule (two symbols) is shorter than what it replaces; the bar's fall from round to round.
-SHARD_TOKENS, LEAST, SHRINK = 2_000_000, 3, 4
+SHARD_TOKENS, LEAST, SHRINK = 2_000_000, 3, 8
 #: Ids up to which an expansion is held whole while decoding: longer ones are taken apart first.
 _WHOLE = 64
 _NONE = np.iinfo(np.int32).max
 
 
-def _neighbours(seq: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The pair at every place as one number, and whether it counts: of a run of equal ids every other pair does."""
-    key = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:]
-    counts = np.ones(len(key), bool)
-    same = np.flatnonzero(seq[1:] == seq[:-1])
-    if len(same):
-        at = np.arange(len(same))
-        first = np.concatenate([[True], same[1:] != same[:-1] + 1])
-        counts[same[(at - np.maximum.accumulate(np.where(first, at, 0))) & 1 == 1]] = False
-    return key, counts
-
-
 def compress(ids: np.ndarray, least: int = LEAST, shrink: int = SHRINK) -> tuple[np.ndarray, list[np.ndarray], int]:
     """The rewritten symbols, the rules (n, 2) of each round, and the first nonterminal."""
     base = int(ids.max(initial=0)) + 1
     if base > MOST_IDS:
         raise ValueError(f"ids must be below {MOST_IDS}")
     seq, made, count, bar = ids.astype(np.uint32), [], 0, 0
+    lost, fresh = None, base  # places that lost at the lowest bar, and the first symbol of the last round
     while len(seq) > 1:
-        key, counts = _neighbours(seq)
+        if lost is None:
+            near = np.arange(len(seq) - 1)
+            key = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:]
+        else:  # any other pair was too rare in the last round already, and has not become more frequent
+            new = seq >= fresh
+            near = np.flatnonzero(lost[:-1] | new[:-1] | new[1:])
+            key = (seq[near].astype(np.uint64) << np.uint64(32)) | seq[near + 1]
+        # of a run of equal ids every other pair counts
+        same = near[(key >> np.uint64(32)) == (key & np.uint64(0xFFFFFFFF))]
+        out = np.zeros(0, np.int64)
+        if len(same):
+            at = np.arange(len(same))
+            first = np.concatenate([[True], same[1:] != same[:-1] + 1])
+            out = same[(at - np.maximum.accumulate(np.where(first, at, 0))) & 1 == 1]
+            out = np.searchsorted(near, out)
         # a count of hashes leaves out most pairs that are too rare, before any sorting
-        cell = ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - 20)).astype(np.intp)
-        cell[~counts] = 1 << 20
-        often = np.bincount(cell, minlength=(1 << 20) + 1) >= max(least, bar)
-        often[1 << 20] = False
-        at = np.flatnonzero(often[cell])
-        order = np.argsort(key[at])
-        ordered = key[at[order]]
+        bits = min(20, max(8, len(near).bit_length()))
+        cell = ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.intp)
+        cell[out] = 1 << bits
+        times = np.bincount(cell, minlength=(1 << bits) + 1)
+        times[1 << bits] = 0
+        bar = bar or max(least, int(times.max()) // shrink)
+        often = times >= bar
+        some = np.flatnonzero(often[cell])
+        at, key = near[some], key[some]
+        order = np.argsort(key)
+        ordered = key[order]
         edge = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(at) else at
         times = np.diff(np.append(edge, len(at)))
-        bar = bar or max(least, int(times.max(initial=0)) // shrink)
         chosen = np.flatnonzero(times >= bar)
         if not len(chosen):
             if bar == least:
@@ -89,13 +98,16 @@ def compress(ids: np.ndarray, least: int = LEAST, shrink: int = SHRINK) -> tuple
         won = (rank < around[place]) & (rank < around[place + 2])
         good = np.bincount(rank[won], minlength=len(chosen)) >= least  # true of rank 0 at any rate
         won &= good[rank]
+        at_bottom, lost = bar == least, np.zeros(len(seq), bool)
+        lost[place[~won]] = lost[same] = True  # a run counts whole: which of its places do may change
         place, number = place[won], (np.cumsum(good) - 1)[rank[won]]
         pair = ordered[edge[chosen[good]]]
         made.append(np.stack([pair >> np.uint64(32), pair & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32))
-        seq[place] = base + count + number
+        fresh = base + count
+        seq[place] = fresh + number
         stay = np.ones(len(seq), bool)
         stay[place + 1] = False
-        seq = seq[stay]
+        seq, lost = seq[stay], lost[stay] if at_bottom else None
         count += len(pair)
         bar = max(least, bar // shrink)
     return seq, made, base
@@ -111,7 +123,7 @@ def expansion_lengths(rules: list[np.ndarray], base: int) -> np.ndarray:
 
 
 def pack_bits(values: np.ndarray, width: int) -> bytes:
-    """Numbers of ``width`` bits each, the lowest first."""
+    """Numbers of ``width`` bits each (none: all are zero), the lowest first."""
     parts, step = [], 1 << 16  # a multiple of eight: parts end at a byte
     for lo in range(0, len(values), step):
         bits = (values[lo : lo + step, None].astype(np.uint32) >> np.arange(width, dtype=np.uint32)) & np.uint32(1)
@@ -134,12 +146,25 @@ def serialise(seq: np.ndarray, rules: list[np.ndarray], base: int, starts: np.nd
     each[big] = lengths[seq[big].astype(np.int64) - base]
     total = np.cumsum(each)
     checkpoints = np.concatenate([[0], total])[:-1][::STEP] if len(seq) else np.zeros(0, np.int64)
-    head = np.array([len(lengths), len(seq), int(total[-1]) if len(seq) else 0, len(doc_ids), base, width, len(rules), wide], "<u8")
+    # short numbers of k bits for the 2 ** k most frequent symbols, where that saves most
+    times = np.bincount(seq, minlength=1)
+    often = np.argsort(-times, kind="stable")[: 1 << (width - 1)]
+    covered = np.concatenate([[0], np.cumsum(times[often])])
+    k = min(range(width), key=lambda k: width * min(len(often), 1 << k) - int(covered[min(len(often), 1 << k)]) * (width - k))
+    often = often[: 1 << k]
+    number = np.full(len(times), -1, np.int32)
+    number[often] = np.arange(len(often))
+    code = number[seq]
+    short = code >= 0
+    before = np.concatenate([[0], np.cumsum(~short)])[:-1][::STEP] if len(seq) else np.zeros(0, np.int64)
+    head = np.array([len(lengths), len(seq), int(total[-1]) if len(seq) else 0, len(doc_ids), base, width, len(rules), wide, k, int(short.sum())], "<u8")
     null = np.array([x is None for x in doc_ids], np.uint8)
     ids = np.array([x or 0 for x in doc_ids], "<i8")
     flat = np.concatenate([np.zeros(0, np.uint32), *(x.ravel() for x in rules)])
     rounds = np.array([len(x) for x in rules], "<u4")
-    return b"".join([MAGIC, head.tobytes(), rounds.tobytes(), pack_bits(flat, width), pack_bits(lengths, wide), checkpoints.astype("<u8").tobytes(), starts.astype("<u8").tobytes(), ids.tobytes(), null.tobytes(), pack_bits(seq, width)])
+    tables = [rounds.tobytes(), pack_bits(flat, width), pack_bits(lengths, wide), pack_bits(np.pad(often, (0, (1 << k) - len(often))), width)]
+    places = [checkpoints.astype("<u8").tobytes(), before.astype("<u4").tobytes(), starts.astype("<u8").tobytes(), ids.tobytes(), null.tobytes()]
+    return b"".join([MAGIC, head.tobytes(), *tables, *places, np.packbits(short, bitorder="little").tobytes(), pack_bits(code[short], k), pack_bits(seq[~short], width)])
 
 
 class Shard:
@@ -148,8 +173,8 @@ class Shard:
     def __init__(self, raw: bytes):
         if raw[:8] != MAGIC:
             raise ValueError("not a Re-Pair token file")
-        n_rules, self.n_symbols, self.n_tokens, n_docs, self.base, self.width, n_rounds, wide = np.frombuffer(raw, "<u8", 8, 8).tolist()
-        at = 72
+        n_rules, self.n_symbols, self.n_tokens, n_docs, self.base, self.width, n_rounds, wide, self.bits, n_short = np.frombuffer(raw, "<u8", 10, 8).tolist()
+        at = 88
 
         def take(kind: str, n: int) -> np.ndarray:
             nonlocal at
@@ -163,11 +188,14 @@ class Shard:
         rounds = take("<u4", n_rounds).tolist()
         self.rules = unpack_bits(packed(2 * n_rules, self.width), self.width, 0, 2 * n_rules).reshape(-1, 2)
         self.lengths = unpack_bits(packed(n_rules, wide), wide, 0, n_rules)
+        self.often = unpack_bits(packed(1 << self.bits, self.width), self.width, 0, 1 << self.bits)
         self.checkpoints = take("<u8", -(-self.n_symbols // STEP)).astype(np.int64)
+        self.before = take("<u4", -(-self.n_symbols // STEP)).astype(np.int64)
         self.starts = take("<u8", n_docs + 1).astype(np.int64)
         ids, null = take("<i8", n_docs), take("u1", n_docs)
         self.doc_ids = [None if z else i for i, z in zip(ids.tolist(), null.tolist(), strict=True)]
-        self.symbols = packed(self.n_symbols, self.width)
+        self.short, self.codes = take("u1", -(-self.n_symbols // 8)), packed(n_short, self.bits)
+        self.long = packed(self.n_symbols - n_short, self.width)
         # the expansions of all symbols of at most _WHOLE ids, one after another: terminals first, then round by round
         self.size = np.concatenate([np.ones(self.base, np.int64), self.lengths])
         held = np.where(self.size <= _WHOLE, self.size, 0)
@@ -186,6 +214,16 @@ class Shard:
         total = np.cumsum(size)
         return self.pool[np.repeat(self.at[symbols] - (total - size), size) + np.arange(int(total[-1]) if len(total) else 0)]
 
+    def _symbols(self, lo: int, hi: int) -> np.ndarray:
+        """Symbols from a checkpoint's on."""
+        short = np.unpackbits(self.short[lo // 8 : -(-hi // 8)], bitorder="little")[: hi - lo].astype(bool)
+        long = int(self.before[lo // STEP])
+        n = int(short.sum())
+        out = np.empty(hi - lo, np.int64)
+        out[short] = self.often[unpack_bits(self.codes, self.bits, lo - long, lo - long + n)]
+        out[~short] = unpack_bits(self.long, self.width, long, long + hi - lo - n)
+        return out
+
     def _expand(self, symbols: np.ndarray) -> np.ndarray:
         while (long := self.size[symbols] > _WHOLE).any():
             n = np.where(long, 2, 1)
@@ -201,7 +239,7 @@ class Shard:
             return np.zeros(0, np.uint32)
         a = int(np.searchsorted(self.checkpoints, start, side="right")) - 1
         b = int(np.searchsorted(self.checkpoints, start + n, side="left"))
-        got = self._expand(unpack_bits(self.symbols, self.width, a * STEP, min(b * STEP, self.n_symbols)))
+        got = self._expand(self._symbols(a * STEP, min(b * STEP, self.n_symbols)))
         return got[start - self.checkpoints[a] : start - self.checkpoints[a] + n]
 
     def document(self, k: int) -> np.ndarray:

@@ -20,46 +20,20 @@ from pyspark.sql import functions as F
 
 from . import textkernel as K
 from .shared import materialise, only, workspace
-from .tokens import encoder
+from .tokens import encoder, split
 
 #: Pre-tokens, and their bytes, that are sent to every worker; bytes of text that are worked on at a time.
 HEAD_ROWS, HEAD_BYTES, BLOCK_BYTES = 100_000, 8 << 20, 4 << 20
 
 
-_BLANK, _LETTER, _OTHER, _APOSTROPHE, _DIGIT, _WIDE = range(6)
-_CLASS = np.full(256, _OTHER, np.uint8)
-_CLASS[[9, 10, 11, 12, 13, 32]] = _BLANK
-_CLASS[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = _LETTER
-_CLASS[0x27] = _APOSTROPHE
-_CLASS[0x30:0x3A] = _DIGIT
-_CLASS[0x80:] = _WIDE
-#: Whether a pre-token ends between two neighbours, by 6 * left + right.
-_ENDS = np.zeros((6, 6), bool)
-_ENDS[[_BLANK, _DIGIT], :] = _ENDS[:, [_BLANK, _DIGIT]] = True
-_ENDS[_LETTER, [_OTHER, _APOSTROPHE]] = _ENDS[_OTHER, _LETTER] = True
-_ENDS = _ENDS.ravel()
-
-
-def _split(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Lengths of the pre-tokens one after another, and each text's first one (n + 1)."""
-    if not len(data):
-        return np.zeros(0, np.int64), np.zeros(len(off), np.int64)
-    kind = _CLASS[data]
-    cut = np.ones(len(data) + 1, bool)
-    cut[1:-1] = _ENDS[kind[:-1] * np.uint8(6) + kind[1:]]
-    cut[off] = True
-    at = np.flatnonzero(cut)
-    real = kind[at[:-1]] != _BLANK
-    return (at[1:] - at[:-1])[real], np.searchsorted(at[:-1][real], off)
-
-
 def _blocks(column: pa.Array) -> Iterator[tuple]:
     """Blocks of whole texts: first and last row, bytes, offsets, each text's first pre-token (n + 1), pre-tokens
     (A-Z in lower case, as these vocabularies take them) as numbers, and the distinct ones."""
     data, off = K.text_buffer(column)
     for lo, hi in K.chunks(off, BLOCK_BYTES):
         here, at = data[off[lo] : off[hi]], off[lo : hi + 1] - off[lo]
-        lengths, first = _split(here, at)
+        start, end, first = split(here, at, True, False)
+        lengths = end - start
         ends = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
         words = K.LOWER[here[K.SPACED[here] != 0]]
         found = pa.StringArray.from_buffers(len(lengths), pa.py_buffer(ends), pa.py_buffer(words.tobytes())).dictionary_encode()

@@ -2,7 +2,7 @@
 
 Both kinds of vocabulary split a text into pre-tokens before any merge, and no merge crosses
 a pre-token, so a text's ids are its pre-tokens' ids one after another. The library's model
-encodes each distinct chunk (a word with the punctuation around it: whole pre-tokens) once
+encodes each distinct chunk (one or a few whole pre-tokens, often with the space before) once
 for each Python worker; a compact bounded table holds the ids, and whole batches are looked
 up at a time. The table compares the chunks themselves, not just their hashes. Texts with characters whose normalisation or class could depend on context,
 and texts that hold a special token's string, go to the library whole.
@@ -26,14 +26,39 @@ _ODD = regex.compile("[^\n\t\r -~¡-©«-±´-¸»¿-ÖØ-öø-ÿĀ-įĲ-ňŊ-ž
 #: Slots of a worker's table (a power of two) and the entries after which it starts anew.
 SLOTS, ENTRIES = 1 << 22, 2_000_000
 _ODD_CHUNK = 0xFFFF  # the length that marks a chunk for the library
-_CLOSING = frozenset(".,;:!?|)\"")
 _LEAD = 32  # added to a chunk's length where no space comes before it
 #: Bytes of long chunks that a worker's table holds before it starts anew.
 _LONG_BYTES = 32 << 20
-_BLANK = np.zeros(256, bool)
-_BLANK[[9, 10, 11, 12, 13, 32]] = True
-_UNSPACED = np.ones(256, np.uint8)
-_UNSPACED[32] = 0
+_SPACE, _BLANK, _LETTER, _OTHER, _APOSTROPHE, _DIGIT, _WIDE = range(7)
+_KIND = np.full(256, _OTHER, np.uint8)
+_KIND[[9, 10, 11, 12, 13]] = _BLANK
+_KIND[32] = _SPACE
+_KIND[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = _LETTER
+_KIND[0x27] = _APOSTROPHE
+_KIND[0x30:0x3A] = _DIGIT
+_KIND[0x80:] = _WIDE
+#: Whether no pattern of the libraries' split goes on between two neighbours, by 7 * left + right: at white space, around a
+#: digit (in the second table between digits as well), between an ASCII letter and other ASCII characters (a letter after an
+#: apostrophe stays with it: "'s"). What holds other characters may be several of the library's.
+_ENDS = np.zeros((2, 7, 7), bool)
+_ENDS[:, [_SPACE, _BLANK, _DIGIT], :] = _ENDS[:, :, [_SPACE, _BLANK, _DIGIT]] = True
+_ENDS[:, _LETTER, [_OTHER, _APOSTROPHE]] = _ENDS[:, _OTHER, _LETTER] = True
+_ENDS[0, _DIGIT, _DIGIT] = False
+_ENDS = _ENDS.reshape(2, 49)
+
+
+def split(data: np.ndarray, off: np.ndarray, digits: bool, blanks: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of chunks that no pre-token crosses, and each text's first one (n + 1): no spaces, other white
+    space only if ``blanks`` are chunks; ``digits``: each one alone."""
+    if not len(data):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(off), np.int64)
+    kind = _KIND[data]
+    cut = np.ones(len(data) + 1, bool)
+    cut[1:-1] = _ENDS[int(digits)][kind[:-1] * np.uint8(7) + kind[1:]]
+    cut[off] = True
+    at = np.flatnonzero(cut)
+    real = kind[at[:-1]] > (_SPACE if blanks else _BLANK)
+    return at[:-1][real], at[1:][real], np.searchsorted(at[:-1][real], off)
 
 
 def _byte_letters() -> dict[int, str]:
@@ -149,18 +174,14 @@ class Encoder:
         return ids
 
     def _chunk(self, chunk: str, plain: bool) -> list[int] | None:
-        if not plain and _ODD.search(chunk) or "<" in chunk and any(s in chunk for s in self.special):
+        if not plain and _ODD.search(chunk):
             return None
         if self.words:
             chunk = chunk.lower()
-        head, last = chunk[:-1], chunk[-1:]
-        inner = head if self.words or head[:1] != " " else head[1:]
-        if inner.isalpha():
-            if last.isalpha():
-                return self._piece(chunk)
-            if last in _CLOSING:
-                return self._piece(head) + self._piece(last)
-        got = [t for p in self.pattern.findall(chunk) for t in self._piece(p)]
+        if chunk.isascii() and "'" not in chunk and (len(chunk) == 1 or not self.words or not chunk.isdigit()):
+            got = self._piece(chunk)  # one pre-token
+        else:
+            got = [t for p in self.pattern.findall(chunk) for t in self._piece(p)]
         return got if len(got) < _ODD_CHUNK else None
 
     def odd(self, chunks: list[str]) -> np.ndarray:
@@ -183,13 +204,19 @@ class Encoder:
         """Of some texts: the entry of each chunk, each text's first chunk (n + 1), and the texts left to the library."""
         n = len(off) - 1
         odd = np.zeros(n, bool)
-        s, e, first = K.words(data, off, K.SPACED if self.words else _UNSPACED)
+        raw = data.tobytes()
+        if any(x.encode() in raw for x in self.special):
+            odd |= np.array([any(x.encode() in raw[a:b] for x in self.special) for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)], bool)
+        if self.words:
+            data = K.LOWER[data]
+            raw = data.tobytes()
+        s, e, first = split(data, off, self.words, not self.words)
         keys = K.word_keys(data, s, e)
         h = K.key_hashes(data, s, e, keys)
-        lead = np.full(len(s), self.words)
-        if not self.words:
-            # between words just one space; other white space is inside a chunk, with no neighbour of its kind
-            blank = _BLANK[data]
+        lead = np.ones(len(s), bool)
+        if not self.words and len(s):
+            # white space is one space, which goes with what follows, or another blank that stands alone
+            blank = (_KIND <= _BLANK)[data]
             bad = np.zeros(len(data) + 1, bool)
             bad[1:-1] = blank[1:] & blank[:-1]
             bad[off] = False  # texts side by side
@@ -197,10 +224,11 @@ class Encoder:
             bad[off[:-1][filled]] |= blank[off[:-1][filled]]
             bad[off[1:][filled] - 1] |= blank[off[1:][filled] - 1]
             odd |= np.diff(np.concatenate([[0], np.cumsum(bad)])[off]) > 0
+            lead = (data[np.maximum(s, 1) - 1] != 32) | (s == 0)
             lead[first[:-1][first[1:] > first[:-1]]] = True
         if self.table.full():
             self.table.clear()
-        raw, from_ = data.tobytes(), s - ~lead
+        from_ = s - ~lead
         slot = np.full(len(s), -1, np.int64)
         short = np.flatnonzero(keys[2] <= K.SHORT)
         key = (h[short], keys[0][short], keys[1][short], (keys[2] + _LEAD * lead)[short].astype(np.uint8))

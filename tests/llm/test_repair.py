@@ -50,7 +50,7 @@ def test_no_pair_is_left_and_every_id_comes_back(name):
 
 
 def test_bits():
-    for width in (1, 7, 17, 31):
+    for width in (0, 1, 7, 17, 31):
         x = RNG.integers(0, 2**width, 70_001)
         raw = np.frombuffer(repair.pack_bits(x, width) + bytes(8), np.uint8)
         assert (repair.unpack_bits(raw, width, 0, len(x)) == x).all() and (repair.unpack_bits(raw, width, 66_000, 66_009) == x[66_000:66_009]).all()
