@@ -1,9 +1,11 @@
 """Packing documents' tokens into sequences of a fixed size by a distributed grouping genetic algorithm.
 
 Documents become pieces of at most a sequence's size. Pieces are dealt evenly into shards; for
-each shard several islands breed packings: crossover injects whole well-filled bins of another
-parent, bins that hold a piece twice give way, and displaced pieces are placed anew by best fit.
-Between epochs the best packing of each island moves to the next. Only lengths take part.
+each shard several islands breed packings, the first of which take the pieces in random order: crossover injects
+whole well-filled bins of another parent, bins that hold a piece twice give way, so do the emptiest, and displaced
+pieces are placed anew by best fit. Between epochs the best packings of each island also go to the next.
+An island rests when it has as few bins as can be, or bred nothing better for a while. What lies in
+the shards' emptiest bins is dealt into new shards and packed again. Only lengths take part.
 """
 
 from __future__ import annotations
@@ -22,8 +24,15 @@ from .shared import materialise, only, workspace
 from .tokens import encoder
 
 SEQUENCE = 2048
-#: Pieces in a shard, islands for each shard, epochs (migration between them), generations of an epoch, packings on an island.
-SHARD_PIECES, ISLANDS, EPOCHS, GENERATIONS, POPULATION = 5_000, 2, 2, 6, 4
+#: Pieces in a shard, islands for each shard, epochs (migration between them), generations of an epoch, packings on an
+#: island, and generations without a better packing after which an island rests.
+SHARD_PIECES, ISLANDS, EPOCHS, GENERATIONS, POPULATION, PATIENCE = 5_000, 2, 2, 30, 10, 10
+#: Best packings of an island that stay, and also go to the next one, between epochs.
+ELITES = 3
+#: Shares of a parent's bins that crossover injects, and of the child's emptiest bins that are dealt anew.
+INJECTED, EMPTIEST = 0.1, 0.3
+#: Share of a shard's bins, the emptiest that aren't full, whose pieces are packed again with those of other shards.
+LOOSE = 0.05
 
 
 def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str = "word_bpe_49k.json", end_id: int = 0, size: int = SEQUENCE) -> DataFrame:
@@ -104,88 +113,99 @@ def decode(chromosome: np.ndarray, length: np.ndarray, size: int) -> Packing:
 
 
 def crossover(a: Packing, b: Packing, length: list[int], size: int, rng: np.random.Generator) -> Packing:
-    """``a`` with some whole well-filled bins of ``b``: a's bins that share an item with them give way,
-    and their other items are placed anew, longest first."""
+    """``a`` with some whole well-filled bins of ``b``: a's bins that share an item with them give way, so do the
+    emptiest, and their other items are placed anew, longest first."""
     room = np.array(b.room)
-    full = np.flatnonzero(room <= np.quantile(room, 0.5)) if len(room) else room
-    take = rng.choice(full, max(1, len(full) // 10), replace=False) if len(full) else full
+    full = np.argsort(room, kind="stable")[: max(1, len(room) // 2)]
+    take = rng.choice(full, min(len(full), max(1, int(len(room) * INJECTED))), replace=False) if len(full) else full
     taken = [b.bins[k] for k in take.tolist()]
     twice = {i for x in taken for i in x}
-    child, loose = Packing([], []), []
+    kept, loose = [], []
     for items, r in zip(a.bins, a.room, strict=True):
         if twice.isdisjoint(items):
-            child.bins.append(list(items))
-            child.room.append(r)
+            kept.append((items, r))
         else:
             loose += [i for i in items if i not in twice]
-    for k, items in zip(take.tolist(), taken, strict=True):
-        child.bins.append(list(items))
-        child.room.append(int(b.room[k]))
-    # the emptiest bins are dealt anew with them
-    worst = np.argsort(np.array(child.room), kind="stable")[::-1][: max(1, len(child.room) // 50)]
-    drop = {int(k) for k in worst if child.room[int(k)]}
-    loose += [i for k in drop for i in child.bins[k]]
-    child.bins = [x for k, x in enumerate(child.bins) if k not in drop]
-    child.room = [x for k, x in enumerate(child.room) if k not in drop]
+    worst = np.argsort(-np.array([r for _, r in kept]), kind="stable")[: max(1, int(len(kept) * EMPTIEST))].tolist() if kept else []
+    drop = {k for k in worst if kept[k][1]}
+    loose += [i for k in drop for i in kept[k][0]]
+    kept = [x for k, x in enumerate(kept) if k not in drop]
+    child = Packing([list(x) for x, _ in kept] + [list(x) for x in taken], [r for _, r in kept] + [int(b.room[k]) for k in take.tolist()])
     child.place(sorted(loose, key=lambda i: -length[i]), length, size)
     return child
 
 
-def evolve(length: np.ndarray, size: int, seed: int, elites: list[np.ndarray], generations: int = GENERATIONS, population: int = POPULATION) -> tuple[np.ndarray, int, float]:
-    """The best packing found of items of these lengths: each item's bin, the number of bins, the fitness."""
+def evolve(length: np.ndarray, size: int, seed: int, elites: list[np.ndarray], generations: int = GENERATIONS, population: int = POPULATION, patience: int = PATIENCE) -> list[tuple[np.ndarray, int, float]]:
+    """The best packings found of items of these lengths, the best one first: each item's bin, the number of bins, the fitness.
+
+    Items of the whole size have a bin each; the others are bred from ``elites`` (packings of all items) and
+    packings in random order. No bin is empty."""
     rng = np.random.default_rng(seed)
-    n, lengths = len(length), length.tolist()
-    bound = math.ceil(int(length.sum()) / size)
-    pool = [decode(x, length, size) for x in elites]
-    while len(pool) < population and not (pool and len(pool[0].bins) <= bound):
-        key = length if len(pool) == 0 else length * (1 + 0.05 * len(pool) * rng.random(n))
+    whole = length >= size
+    rest = np.flatnonzero(~whole)
+    own = length[rest]
+    lengths = own.tolist()
+    bound = math.ceil(int(own.sum()) / size)
+    pool = [decode(np.unique(x[rest], return_inverse=True)[1], own, size) for x in elites]
+    while len(pool) < population:
         one = Packing([], [])
-        one.place(np.argsort(-key, kind="stable").tolist(), lengths, size)
+        one.place(rng.permutation(len(own)).tolist(), lengths, size)
         pool.append(one)
     rank = lambda p: (len(p.bins), -p.fitness(size))
-    pool.sort(key=rank)
+    pool = sorted(pool, key=rank)[: max(population, len(elites))]
+    best, since = rank(pool[0]), 0
     for _ in range(generations):
-        if len(pool[0].bins) <= bound or len(pool) < 2:
+        if len(pool[0].bins) <= bound or len(pool) < 2 or since >= patience:
             break
         i, j = sorted(rng.choice(len(pool), 2, replace=False).tolist())
         pool += [crossover(pool[i], pool[j], lengths, size, rng), crossover(pool[j], pool[i], lengths, size, rng)]
         pool = sorted(pool, key=rank)[:population]
-    best = pool[0] if pool else Packing([], [])
-    return best.chromosome(n), len(best.bins), best.fitness(size)
+        best, since = min(best, rank(pool[0])), 0 if rank(pool[0]) < best else since + 1
 
+    def whole_packing(p: Packing) -> tuple[np.ndarray, int, float]:
+        out = np.empty(len(length), np.int32)
+        out[rest] = p.chromosome(len(own))
+        out[whole] = len(p.bins) + np.arange(int(whole.sum()))
+        return out, len(p.bins) + int(whole.sum()), p.fitness(size)
 
-def pack(parts: DataFrame, size: int = SEQUENCE, shard_pieces: int = SHARD_PIECES, islands: int = ISLANDS, epochs: int = EPOCHS) -> DataFrame:
-    """``parts``: rows as pieces() gives them. The same rows with sequence_id and offset."""
-    spark = parts.sparkSession
-    at = workspace(spark, "packing")
-    held = materialise(parts.withColumn("row", F.monotonically_increasing_id()), f"{at}/pieces")
+    return [whole_packing(p) for p in pool[: 1 if len(pool[0].bins) <= bound else ELITES]]
+
+
+def breed(length: np.ndarray, size: int, epoch: int, island: int, elites: list[np.ndarray]) -> list[tuple[np.ndarray, int, float]]:
+    """An island's epoch: a seed of its own, and the elites that stayed or came."""
+    return evolve(length, size, 1000 * epoch + island, elites)
+
+
+def _level(held: DataFrame, at: str, level: int, size: int, shard_pieces: int, islands: int, epochs: int) -> tuple[DataFrame, int]:
+    """``held``: a written table with a row number. Its rows with sequence_id, offset and whether they are to be packed
+    again (``loose``), and the number of shards."""
+    spark = held.sparkSession
     shards = max(1, math.ceil(held.count() / shard_pieces))
-    held = held.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int"))
+    held = held.withColumn("shard", F.pmod(F.xxhash64("row", F.lit(level)), F.lit(shards)).cast("int"))
     items = held.select("shard", "row", "length").withColumn("island", F.explode(F.array(*[F.lit(i) for i in range(islands)])))
     kind = "shard int, island int, bins int, fitness double, chromosome binary"
     best = None
 
     def breeder(epoch: int):
-        def breed(key, own: pd.DataFrame, elite: pd.DataFrame) -> pd.DataFrame:
+        def run(key, own: pd.DataFrame, elite: pd.DataFrame) -> pd.DataFrame:
             if not len(own):
                 return pd.DataFrame({"shard": [], "island": [], "bins": [], "fitness": [], "chromosome": []}).astype({"shard": "int32", "island": "int32", "bins": "int32", "fitness": "float64"})
             length = own.sort_values("row")["length"].to_numpy()
             seeds = [np.frombuffer(x, np.int32) for x in elite.sort_values(["bins", "fitness"], ascending=[True, False])["chromosome"]]
-            chromosome, bins, fitness = evolve(length, size, 1000 * epoch + int(key[1]), seeds)
-            return pd.DataFrame({"shard": [key[0]], "island": [key[1]], "bins": [bins], "fitness": [fitness], "chromosome": [chromosome.tobytes()]})
+            got = breed(length, size, epoch, int(key[1]), seeds)
+            return pd.DataFrame({"shard": key[0], "island": key[1], "bins": [x[1] for x in got], "fitness": [x[2] for x in got], "chromosome": [x[0].tobytes() for x in got]})
 
-        return breed
+        return run
 
     for epoch in range(epochs):
         if best is None:
             moved = spark.createDataFrame([], kind)
-        else:  # an island's best stays and also goes to the next island
+        else:  # an island's best ones stay and also go to the next island
             moved = best.unionByName(best.withColumn("island", F.pmod(F.col("island") + 1, F.lit(islands)))).dropDuplicates(["shard", "island", "chromosome"])
         grown = items.groupBy("shard", "island").cogroup(moved.groupBy("shard", "island")).applyInPandas(breeder(epoch), kind)
-        best = materialise(grown, f"{at}/epoch{epoch}")
-    winner = best.groupBy("shard").agg(F.min_by("chromosome", F.struct("bins", -F.col("fitness"), "island")).alias("chromosome"))
+        best = materialise(grown, f"{at}/epoch{level}-{epoch}")
+    winner = best.groupBy("shard").agg(F.min_by("chromosome", F.struct("bins", -F.col("fitness"), "island", "chromosome")).alias("chromosome"))
     out_kind = held.schema.simpleString()[len("struct<") : -1].replace(":", " ")
-    names = [c for c in parts.columns]
 
     def assign(key, own: pd.DataFrame, won: pd.DataFrame) -> pd.DataFrame:
         own = own.sort_values("row")
@@ -196,11 +216,37 @@ def pack(parts: DataFrame, size: int = SEQUENCE, shard_pieces: int = SHARD_PIECE
         first = np.searchsorted(bins[order], bins[order])
         offset = np.empty(len(bins), np.int64)
         offset[order] = before - before[first]
-        return own.assign(sequence_id=(int(key[0]) << 32) + bins, offset=offset)
+        filled = np.bincount(bins, weights=own["length"].to_numpy())
+        again = np.zeros(len(filled), bool)
+        if shards > 1:
+            again[np.argsort(filled, kind="stable")[: max(1, int(len(filled) * LOOSE))]] = True
+            again &= filled < size
+        return own.assign(sequence_id=(level << 56) + (int(key[0]) << 24) + bins, offset=offset, loose=again[bins])
 
-    placed = held.groupBy("shard").cogroup(winner.groupBy("shard")).applyInPandas(assign, f"{out_kind}, sequence_id long, offset long")
-    return placed.select(*names, "sequence_id", "offset")
+    placed = held.groupBy("shard").cogroup(winner.groupBy("shard")).applyInPandas(assign, f"{out_kind}, sequence_id long, offset long, loose boolean")
+    return materialise(placed.drop("shard"), f"{at}/placed{level}"), shards
+
+
+def pack(parts: DataFrame, size: int = SEQUENCE, shard_pieces: int = SHARD_PIECES, islands: int = ISLANDS, epochs: int = EPOCHS) -> DataFrame:
+    """``parts``: rows as pieces() gives them. The same rows with sequence_id and offset.
+
+    Every level but the last leaves a few pieces of each shard for the next one."""
+    at = workspace(parts.sparkSession, "packing")
+    held, out, level = materialise(parts.withColumn("row", F.monotonically_increasing_id()), f"{at}/pieces"), None, 0
+    while True:
+        placed, shards = _level(held, at, level, size, shard_pieces, islands, epochs)
+        done = placed.where("not loose").select(*parts.columns, "sequence_id", "offset")
+        out = done if out is None else out.unionByName(done)
+        if shards == 1:
+            return out
+        held, level = placed.where("loose").drop("sequence_id", "offset", "loose"), level + 1
 
 
 def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str = "word_bpe_49k.json", end_id: int = 0, size: int = SEQUENCE) -> DataFrame:
+    """Of every text (a null is empty) its ids and ``end_id``, packed: a row for each piece with doc_id, piece, start, length,
+    ids_crc32, sequence_id and offset.
+
+    Repeated rows and null ids stay rows of their own, an empty table gives no rows, other columns don't matter; a text of
+    any length is cut into pieces of ``size``. Equal lengths are ties that the seeded search decides by row number.
+    """
     return pack(pieces(docs, id_col, text_col, tokenizer, end_id, size), size)

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import materialise, only, read_file, workspace, write_file
+from .shared import materialise, only, read_file, trim, workspace, write_file
 from .textkernel import mix
 from .tokens import encoder
 
@@ -262,11 +262,13 @@ def write(docs: DataFrame, uri: str, id_col: str = "doc_id", text_col: str = "te
         def flush() -> pa.RecordBatch:
             nonlocal ids, numbers, doc_ids, n, file
             flat, count = np.concatenate(ids), np.concatenate(numbers)
+            ids = []
             seq, rules, base = compress(flat)
             raw = serialise(seq, rules, base, np.concatenate([[0], np.cumsum(count)]), doc_ids)
             path = write_file(uri, f"ids-{part:06d}-{file:06d}", raw)
             row = [[part], [file], [path], [len(doc_ids)], [len(flat)], [len(seq)], [len(raw)]]
             ids, numbers, doc_ids, n, file = [], [], [], 0, file + 1
+            trim()
             return pa.record_batch([pa.array(row[0], pa.int32()), pa.array(row[1], pa.int32()), *map(pa.array, row[2:])], names=["part", "file", "path", "n_docs", "n_tokens", "n_symbols", "n_bytes"])
 
         for b in batches:

@@ -7,6 +7,8 @@ folder named by ``spark.checkpoint.dir``, so losing an executor loses no result.
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
 import tempfile
 import uuid
 from urllib.parse import urlparse
@@ -70,6 +72,12 @@ def read_file(uri: str) -> bytes:
         return f.read()
 
 
+def trim() -> None:
+    """Give a worker's freed memory back to the system, where the C library can: large arrays come and go in it."""
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def only(df: DataFrame, **columns: str) -> DataFrame:
     """The named columns alone, under the operators' own names: extra or clashing columns never matter."""
     return df.select(*[F.col(f"`{c}`").alias(own) for own, c in columns.items()])

@@ -24,7 +24,7 @@ from . import textkernel as K
 #: lower-cases by itself, and is a letter, a digit or punctuation in every Unicode version.
 _ODD = regex.compile("[^\n\t\r -~¡-©«-±´-¸»¿-ÖØ-öø-ÿĀ-įĲ-ňŊ-žА-я‐-‧€™]")
 #: Slots of a worker's table (a power of two) and the entries after which it starts anew.
-SLOTS, ENTRIES = 1 << 22, 2_000_000
+SLOTS, ENTRIES = 1 << 22, 1_500_000
 _ODD_CHUNK = 0xFFFF  # the length that marks a chunk for the library
 _LEAD = 32  # added to a chunk's length where no space comes before it
 #: Bytes of long chunks that a worker's table holds before it starts anew.
@@ -168,7 +168,7 @@ class Encoder:
             else:
                 shown = piece.encode().decode("latin-1").translate(self.letters)
             ids = [t.id for t in self.tokenize(shown)]
-            if len(self.pieces) >= 200_000:
+            if len(self.pieces) >= 20_000:
                 self.pieces.clear()
             self.pieces[piece] = ids
         return ids

