@@ -75,9 +75,14 @@ def decade(year: Column) -> Column:
     return (F.floor(year / 10) * 10).cast("int")
 
 
+def any_totals(yes: Column, no: Column, abstain: Column) -> Column:
+    """Three numbers that aren't all zero; one that is missing means none."""
+    return F.coalesce(yes + no + abstain > 0, F.lit(False))
+
+
 def has_totals(yes: Column, no: Column, abstain: Column) -> Column:
     """Three numbers that aren't all zero; a number missing beside a numeric ``yes`` means no totals."""
-    return F.coalesce(number(yes) + number(no) + number(abstain) > 0, F.lit(False))
+    return any_totals(number(yes), number(no), number(abstain))
 
 
 def vote_code(c: Column) -> Column:

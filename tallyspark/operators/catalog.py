@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text_rules import any_totals
+
 
 def scoped(res: DataFrame, everything: bool = False) -> DataFrame:
     """Without amendments unless asked for."""
@@ -88,7 +90,7 @@ def decades(res: DataFrame) -> DataFrame:
 
 
 def totals_coverage(res: DataFrame) -> DataFrame:
-    rest, has = F.col("n_rollcall") == 0, F.coalesce(F.col("yes") + F.col("no") + F.col("abstain") > 0, F.lit(False))
+    rest, has = F.col("n_rollcall") == 0, any_totals(F.col("yes"), F.col("no"), F.col("abstain"))
     return res.agg(F.count("*").alias("resolutions"), F.count_if(~rest).alias("recorded"), F.count_if(rest & has).alias("totals_no_rollcall"), F.count_if(rest & ~has).alias("neither"))
 
 
@@ -103,7 +105,7 @@ def subject_index(res: DataFrame, states: DataFrame) -> DataFrame:
     names = states.agg(F.collect_set(F.upper("state")).alias("names"))  # a chamber's names: some two hundred
     t = res.where("n_rollcall > 0 and trim(subject) <> ''").groupBy(F.trim("subject").alias("subject")).agg(F.count("*").alias("n"))
     hit = lambda u: lambda c: (c == u) | ((F.length(c) > 5) & F.contains(u, c))
-    return t.join(F.broadcast(names)).select("subject", "n", F.exists("names", hit(F.upper("subject"))).alias("cs"))
+    return t.join(names).select("subject", "n", F.exists("names", hit(F.upper("subject"))).alias("cs"))
 
 
 def suggest(res: DataFrame, text: str, k: int) -> DataFrame:
@@ -117,9 +119,15 @@ def search(res: DataFrame, text: str) -> DataFrame:
     return res.where(F.contains(F.lower("subject"), low) | F.contains(F.lower("title"), low)).select("record_id", "title", "subject")
 
 
+def related(res: DataFrame, text: str, k: int) -> DataFrame:
+    """The subjects of what a search finds, the most frequent first, without those that the text names."""
+    found = search(res, text).where(~F.contains(F.lower("subject"), F.lit(text.lower())))
+    return found.groupBy("subject").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "subject").limit(k)
+
+
 def explorer(res: DataFrame) -> DataFrame:
     """A lean row for every resolution: totals only where there are any."""
-    has = F.coalesce(F.col("yes") + F.col("no") + F.col("abstain") > 0, F.lit(False))
+    has = any_totals(F.col("yes"), F.col("no"), F.col("abstain"))
     return res.select("record_id", "title", "year", "body", "subject", F.col("vt").alias("mode"), "am", *[F.when(has, F.col(c)).alias(c) for c in ("yes", "no", "abstain")])
 
 

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text_rules import vote_code
+from ..sources.folders import materialise, workspace
+
 VALID = ("Y", "N", "A")
 
 
@@ -123,16 +126,19 @@ def latest_name(votes: DataFrame, name: str, order: list[str]) -> DataFrame:
 
 def vote_matrix(votes: DataFrame, index: DataFrame) -> DataFrame:
     """For each state its resolutions' numbers and its codes, in order: r and v of equal length."""
-    code = F.when(F.col("code").isin("Y", "N", "A", "."), F.col("code")).otherwise("-")
+    code = vote_code(F.col("code"))
     rows = votes.join(index, "record_id").groupBy("state").agg(F.sort_array(F.collect_list(F.struct(F.col("ri"), F.col("pos"), code.alias("c")))).alias("x"))
     return rows.select("state", F.transform("x", lambda e: e["ri"]).alias("r"), F.array_join(F.transform("x", lambda e: e["c"]), "").alias("v"))
 
 
 def dense_index(recorded: DataFrame, order: str = "record_id") -> DataFrame:
-    """Numbers from 0 in order, without gathering the rows: a number in its range part, after the parts before it."""
-    parts = recorded.select("record_id", order).distinct().repartitionByRange(order).sortWithinPartitions(order).withColumn("part", F.spark_partition_id())
-    numbered = parts.withColumn("k", F.row_number().over(Window.partitionBy("part").orderBy(order)))
-    sizes = numbered.groupBy("part").agg(F.count("*").alias("n"))
+    """Numbers from 0 in order, without gathering the rows: a number in its range part, after the parts before it. The
+    parts are written once, so that both uses see the same ones."""
+    spark = recorded.sparkSession
+    rows = recorded.select("record_id", F.col(order).alias("by")).distinct().repartitionByRange("by", "record_id").withColumn("part", F.spark_partition_id())
+    parts = materialise(rows, workspace(spark, "index"))
+    numbered = parts.withColumn("k", F.row_number().over(Window.partitionBy("part").orderBy("by", "record_id")))
+    sizes = parts.groupBy("part").agg(F.count("*").alias("n"))  # a row for each part
     before = sizes.withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     return numbered.join(F.broadcast(before.select("part", "before")), "part").select("record_id", (F.col("before") + F.col("k") - 1).cast("long").alias("ri"))
 
@@ -142,6 +148,24 @@ def rollcall(votes: DataFrame, record_id) -> DataFrame:
     return votes.where(F.col("record_id") == record_id).groupBy("code").agg(F.count("*").alias("n"), F.array_join(F.sort_array(F.collect_set("state")), ",").alias("states"))
 
 
+def vote_table(votes: DataFrame, state: str, by: str = "year", descending: bool = True) -> DataFrame:
+    """A state's votes in the order of a column, then by resolution."""
+    order = F.col(by).desc() if descending else F.col(by).asc()
+    return votes.where(F.col("state") == state).orderBy(order, "record_id", "pos")
+
+
+def ranked(rows: DataFrame, by: str, *ties: str, descending: bool = True) -> DataFrame:
+    """``rows`` (one for each state, or for each subject and state: few) with their place by a column."""
+    order = F.col(by).desc() if descending else F.col(by).asc()
+    return rows.withColumn("place", F.row_number().over(Window.orderBy(order, *ties)).cast("long"))
+
+
+def topic_trend_by(one: DataFrame, subject: str, by: str) -> DataFrame:
+    """Share of yes among a subject's votes, by year and state or group."""
+    t = _tally("year", by)(one.where(F.col("subject") == subject))
+    return t.select("year", by, F.round(F.col("y") * F.lit(100.0) / (F.col("y") + F.col("n") + F.col("a")), 4).alias("yes_pct"), (F.col("y") + F.col("n") + F.col("a")).alias("votes"))
+
+
 def most_active(votes: DataFrame, k: int) -> DataFrame:
     return votes.groupBy("state").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "state").limit(k)
 
@@ -151,11 +175,17 @@ def most_agreeing(pairs: DataFrame, k: int, most: bool = True) -> DataFrame:
     return mean.orderBy(F.desc("mean_agreement") if most else F.asc("mean_agreement"), "state").limit(k)
 
 
-def nearest_chain(matrix: dict[tuple[str, str], float], states: list[str]) -> list[str]:
-    """A greedy order: from the first state on, always the closest one left (ties by name). For small sets of
-    states (a chart's thirty), in the driver."""
-    left, chain = sorted(states[1:]), states[:1]
+def nearest_chain(one: DataFrame, k: int) -> DataFrame:
+    """place and state: a greedy order of the ``k`` most active states (a chart's thirty): from the most active on,
+    always the one left that agrees most with the last (ties by name). Only votes of these states are paired, and the k * k
+    agreements go to the driver."""
+    active = one.groupBy("state").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "state").limit(k)
+    pairs = both_ways(agreement_pairs(one.join(F.broadcast(active.select("state")), "state", "left_semi")))
+    left = [r.state for r in active.orderBy(F.desc("n"), "state").collect()]
+    share = {(r.state_a, r.state_b): r.agreement_pct for r in pairs.collect()}
+    chain = left[:1]
+    left = sorted(left[1:])
     while left:
-        chain.append(min(left, key=lambda s: (-matrix.get((chain[-1], s), -1.0), s)))
+        chain.append(min(left, key=lambda s: (-share.get((chain[-1], s), -1.0), s)))
         left.remove(chain[-1])
-    return chain
+    return one.sparkSession.createDataFrame(list(enumerate(chain)), "place long, state string")

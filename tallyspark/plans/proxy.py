@@ -41,6 +41,30 @@ def votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.join(res, "record_id").join(states(spark, sf_dir), F.col("l_suppkey") == F.col("s_suppkey")).drop("l_suppkey", "s_suppkey")
 
 
+def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The resolutions as text columns, with the gaps and endings that a catalogue has; pos is their order."""
+    r, key = resolutions(spark, sf_dir), F.col("record_id")
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    ending = F.when(key % 4 == 0, " : draft resolution / adopted by").when(key % 5 == 0, " : Amendment / x").otherwise("")
+    kind = F.when(key % 17 == 0, "").when(F.col("vt") == "C", "ADOPTED WITHOUT VOTE").when(F.col("vt") == "V", "RECORDED").otherwise("WITHDRAWN")
+    return r.select(
+        key.cast("string").alias("record_id"), F.concat(F.lit("S/"), key.cast("string")).alias("symbol"), F.concat("title", ending).alias("title"),
+        F.when(key % 6 == 0, " amendment to").otherwise("").alias("draft"), F.concat(text("year"), F.lit("-01-02 ")).alias("date"), F.when(key % 13 == 0, "").otherwise(text("year")).alias("year"),
+        F.when(F.col("body") == "HRC", "The Council").otherwise("Commission").alias("body"), kind.alias("vote_type"), F.concat(F.lit(" "), "subject").alias("agenda_subject"),
+        F.concat("subject", F.lit(" - ")).alias("agenda_item_title"), F.concat(F.lit("by "), F.col("month").cast("string"), F.lit(" ")).alias("main_sponsors"), F.lit("m").alias("meeting"),
+        F.concat(F.lit("u/"), key.cast("string")).alias("url_resolution"), F.lit("").alias("url_draft"), text("yes").alias("yes"), text("no").alias("no"), F.when(key % 19 == 0, "").otherwise(text("abstain")).alias("abstain"),
+        "n_rollcall", key.alias("pos"),
+    )
+
+
+def votes_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The votes as text columns: states by code and name; some without a code."""
+    v, line = votes(spark, sf_dir), F.col("pos")
+    code = F.when(line % 6 == 0, "").otherwise(F.col("state"))
+    order = F.col("record_id") * 100_000_000 + line * 1_000_000 + F.col("part")
+    return v.select(F.col("record_id").cast("string").alias("record_id"), code.alias("iso3"), F.concat(F.col("grp"), F.lit(" of "), F.col("state")).alias("country"), F.col("code").alias("vote"), F.col("year").cast("string").alias("year"), order.alias("pos"))
+
+
 #: The same views for the SQL versions.
 SQL = """WITH res0 AS (
   SELECT o_orderkey AS record_id, CAST(year(o_orderdate) AS BIGINT) AS year, CAST(year(o_orderdate) * 12 + month(o_orderdate) AS BIGINT) AS month,
@@ -63,5 +87,21 @@ pairs AS (SELECT a.state AS state_a, b.state AS state_b, count(*) AS shared, cou
          round(count(*) FILTER (WHERE a.code = b.code) * 100.0::DOUBLE / count(*), 4) AS agreement_pct
   FROM one a JOIN one b ON a.record_id = b.record_id AND a.state < b.state GROUP BY 1, 2),
 sym AS (SELECT state_a, state_b, shared, same, agreement_pct FROM pairs UNION ALL SELECT state_b, state_a, shared, same, agreement_pct FROM pairs),
-tally AS (SELECT record_id, count(*) FILTER (WHERE code = 'Y') AS y, count(*) FILTER (WHERE code = 'N') AS n, count(*) FILTER (WHERE code = 'A') AS a FROM one GROUP BY 1)
+tally AS (SELECT record_id, count(*) FILTER (WHERE code = 'Y') AS y, count(*) FILTER (WHERE code = 'N') AS n, count(*) FILTER (WHERE code = 'A') AS a FROM one GROUP BY 1),
+cat AS (SELECT CAST(record_id AS VARCHAR) AS record_id, 'S/' || record_id AS symbol, title || CASE WHEN record_id % 4 = 0 THEN ' : draft resolution / adopted by' WHEN record_id % 5 = 0 THEN ' : Amendment / x' ELSE '' END AS title,
+         CASE WHEN record_id % 6 = 0 THEN ' amendment to' ELSE '' END AS draft, year || '-01-02 ' AS date, CASE WHEN record_id % 13 = 0 THEN '' ELSE CAST(year AS VARCHAR) END AS year,
+         CASE body WHEN 'HRC' THEN 'The Council' ELSE 'Commission' END AS body,
+         CASE WHEN record_id % 17 = 0 THEN '' WHEN vt = 'C' THEN 'ADOPTED WITHOUT VOTE' WHEN vt = 'V' THEN 'RECORDED' ELSE 'WITHDRAWN' END AS vote_type, ' ' || subject AS agenda_subject,
+         subject || ' - ' AS agenda_item_title, 'by ' || month || ' ' AS main_sponsors, 'm' AS meeting, 'u/' || record_id AS url_resolution, '' AS url_draft,
+         coalesce(CAST(yes AS VARCHAR), '') AS yes, coalesce(CAST(no AS VARCHAR), '') AS no, CASE WHEN record_id % 19 = 0 THEN '' ELSE coalesce(CAST(abstain AS VARCHAR), '') END AS abstain, n_rollcall, record_id AS pos FROM res),
+rec AS (SELECT *, CAST(row_number() OVER (ORDER BY pos) - 1 AS BIGINT) AS ri FROM cat WHERE n_rollcall > 0),
+vl AS (SELECT CAST(record_id AS VARCHAR) AS record_id, CASE WHEN pos % 6 = 0 THEN '' ELSE state END AS iso3, grp || ' of ' || state AS country, code AS vote, CAST(year AS VARCHAR) AS year,
+         record_id * 100000000 + pos * 1000000 + part AS pos FROM votes),
+cast_ AS (SELECT vl.*, ri, TRY_CAST(nullif(rec.year, '') AS INT) AS res_year, CASE WHEN vote IN ('Y', 'N', 'A', '.') THEN vote ELSE '-' END AS code FROM vl JOIN rec USING (record_id) WHERE iso3 <> ''),
+made AS (SELECT record_id AS id, symbol AS sym, title, TRY_CAST(nullif(year, '') AS INT) AS year, CASE WHEN contains(body, 'Council') THEN 'HRC' ELSE 'CHR' END AS body, trim(agenda_subject) AS subj, trim(date) AS date,
+         rtrim(trim(agenda_item_title), ' -') AS item, trim(main_sponsors) AS spon, trim(meeting) AS mtg, trim(url_resolution) AS "urlR", trim(url_draft) AS "urlD",
+         TRY_CAST(nullif(yes, '') AS INT) AS y, TRY_CAST(nullif(no, '') AS INT) AS n, TRY_CAST(nullif(abstain, '') AS INT) AS a,
+         CASE WHEN regexp_matches(title, ':\\s*amendment', 'i') OR regexp_matches(draft, '^\\s*amendment', 'i') THEN 1 END AS am, ri FROM rec),
+land AS (SELECT iso3, arg_max(country, (CAST(year AS INT), pos)) AS name, count(*) AS n, count(*) FILTER (WHERE code = 'Y') AS y, count(*) FILTER (WHERE code = 'N') AS no, count(*) FILTER (WHERE code = 'A') AS a,
+         count(*) FILTER (WHERE code = '.') AS absent, count(*) FILTER (WHERE code = '-') AS blank, min(res_year) AS first, max(res_year) AS last FROM cast_ GROUP BY 1)
 """

@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from ..functions import text_rules as R
 from ..operators import catalog as C
 from ..operators import geo
+from ..operators import payload as PL
 from ..operators import votes as V
-from ..sources import marc
+from ..sources import files, marc
+from ..sources.folders import workspace
 from ..streaming import ingest
 from . import proxy as P
 
@@ -316,7 +318,7 @@ def vote_matrix(s, d):
 def states_unassigned(s, d):
     states = P.states(s, d)
     groups = states.where("grp <> 'ASIA'").select("state", "grp").distinct()
-    return states.select("state").distinct().join(F.broadcast(groups), "state", "left").select("state", F.coalesce("grp", F.lit("")).alias("grp")).where("grp = ''")
+    return states.select("state").distinct().join(groups, "state", "left").select("state", F.coalesce("grp", F.lit("")).alias("grp")).where("grp = ''")
 
 
 _XML = "<record><controlfield tag=\"001\">", "</controlfield><datafield tag=\"245\"><subfield code=\"a\">", "</subfield></datafield><datafield tag=\"269\"><subfield code=\"a\">", "</subfield></datafield><datafield tag=\"991\"><subfield code=\"d\">", "</subfield></datafield>", "</record>"
@@ -336,13 +338,13 @@ def marc_roundtrip(s, d):
     return parsed.select("record_id", "title", "date", "year", "agenda_subject", F.col("n_rollcall").cast("long").alias("n_rollcall"), yes.alias("y"))
 
 
-@_query("SELECT record_id, CASE record_id % 4 WHEN 0 THEN title ELSE title END AS trimmed, record_id % 5 = 0 AS amendment, CASE WHEN record_id % 3 = 0 THEN 'C' WHEN record_id % 3 = 1 THEN 'V' ELSE 'O' END AS mode, CAST(year // 10 * 10 AS INT) AS decade, 'Order Of' AS cased FROM res0")
+@_query(r"SELECT record_id, trim(regexp_replace(trim(long), '\s*:\s*(draft\s+)?(resolution|decision|amendment)s?\s*/[^\n]*$', '', 'i')) AS trimmed, regexp_matches(long, ':\s*amendment', 'i') OR regexp_matches(draft, '^\s*amendment', 'i') AS amendment, CASE kind WHEN 'ADOPTED WITHOUT VOTE' THEN 'C' WHEN 'RECORDED' THEN 'V' ELSE 'O' END AS mode, CAST(year // 10 * 10 AS INT) AS decade, array_to_string(list_transform(regexp_extract_all(lower(title), '[a-z]+|[^a-z]+'), lambda x: upper(x[1]) || x[2:]), '') AS cased, CASE WHEN strlen(item) = 0 THEN '' ELSE rtrim(trim(item), ' -') END AS item FROM (SELECT *, title || CASE WHEN record_id % 4 = 0 THEN ' : draft resolution / adopted by' WHEN record_id % 5 = 0 THEN ' : amendment / x' ELSE '' END AS long, CASE WHEN record_id % 5 = 0 THEN ' Amendment to' ELSE '' END AS draft, CASE WHEN record_id % 3 = 0 THEN 'ADOPTED WITHOUT VOTE' WHEN record_id % 3 = 1 THEN 'RECORDED' ELSE 'else' END AS kind, CASE WHEN record_id % 2 = 0 THEN subject || ' -- ' ELSE '' END AS item FROM res0)")
 def scalar_rules(s, d):
     res, key = P.resolutions(s, d, False), F.col("record_id")
     title = F.concat("title", F.when(key % 4 == 0, F.lit(" : draft resolution / adopted by")).when(key % 5 == 0, F.lit(" : amendment / x")).otherwise(F.lit("")))
     draft = F.when(key % 5 == 0, F.lit(" Amendment to")).otherwise(F.lit(""))
     kind = F.when(key % 3 == 0, "ADOPTED WITHOUT VOTE").when(key % 3 == 1, "RECORDED").otherwise("else")
-    return res.select("record_id", R.trim_title(title).alias("trimmed"), R.is_amendment(title, draft).alias("amendment"), R.mode_code(kind).alias("mode"), R.decade(F.col("year")).alias("decade"), R.title_case(F.lit("ORDER of")).alias("cased"))
+    return res.select("record_id", R.trim_title(title).alias("trimmed"), R.is_amendment(title, draft).alias("amendment"), R.mode_code(kind).alias("mode"), R.decade(F.col("year")).alias("decade"), R.title_case(F.col("title")).alias("cased"), R.clean_item(F.when(key % 2 == 0, F.concat("subject", F.lit(" -- "))).otherwise(F.lit(""))).alias("item"))
 
 
 @_query("SELECT record_id FROM res0 WHERE year BETWEEN 1993 AND 1998 AND record_id % 2 = 0 OR record_id % 2 = 1 AND record_id % 20 <= 11")
@@ -381,13 +383,205 @@ def robinson_points(s, d):
     return e.select("event_id", F.round(x, 6).alias("x"), F.round(y, 6).alias("y"))
 
 
-@_query()
+_CHAIN = """, top AS (SELECT state, count(*) AS n FROM one GROUP BY 1 ORDER BY n DESC, state LIMIT 30),
+chain AS (SELECT 0 AS place, state, [state] AS seen FROM (SELECT state FROM top ORDER BY n DESC, state LIMIT 1)
+  UNION ALL SELECT place + 1, arg_min(t.state, (-coalesce(agreement_pct, -1), t.state)), list_append(any_value(seen), arg_min(t.state, (-coalesce(agreement_pct, -1), t.state)))
+  FROM chain c JOIN top t ON NOT list_contains(c.seen, t.state) LEFT JOIN sym ON state_a = c.state AND state_b = t.state GROUP BY place)
+SELECT CAST(place AS BIGINT) AS place, state FROM chain"""
+
+
+@_query(P.SQL.replace("WITH", "WITH RECURSIVE", 1) + _CHAIN, prelude=False)
 def nearest_chain_order(s, d):
     """A greedy order of the most active states (a chart's set, thirty at most) by agreement."""
-    states = [r.state for r in V.most_active(P.votes(s, d), 30).collect()]
-    pairs = V.both_ways(_pairs(s, d)).where(F.col("state_a").isin(states) & F.col("state_b").isin(states)).collect()
-    chain = V.nearest_chain({(r.state_a, r.state_b): r.agreement_pct for r in pairs}, states)
-    return s.createDataFrame([(i, x) for i, x in enumerate(chain)], "place long, state string")
+    return V.nearest_chain(_one(s, d), 30)
+
+
+@_query("SELECT state, minority_side_pct, votes, CAST(row_number() OVER (ORDER BY minority_side_pct DESC, state) AS BIGINT) AS place FROM (SELECT state, round(count(*) FILTER (WHERE code <> won) * 100.0::DOUBLE / count(*), 4) AS minority_side_pct, count(*) AS votes FROM one JOIN (SELECT record_id, CASE WHEN y > n AND y > a THEN 'Y' WHEN n > y AND n > a THEN 'N' WHEN a > y AND a > n THEN 'A' END AS won FROM tally) USING (record_id) WHERE won IS NOT NULL GROUP BY 1)")
+def outvoted_ranked(s, d):
+    return V.ranked(V.outvoted(_one(s, d)), "minority_side_pct", "state")
+
+
+@_query(f"SELECT state, yes_pct, votes, CAST(row_number() OVER (ORDER BY yes_pct DESC, state) AS BIGINT) AS place FROM (SELECT subject, state, {_SHARES} FROM one WHERE subject = '1-URGENT MACHINERY' GROUP BY 1, 2)")
+def support_ranked(s, d):
+    """States by their support of one subject."""
+    return V.ranked(V.by_topic(_one(s, d).where("subject = '1-URGENT MACHINERY'"), "state").select("state", "yes_pct", "votes"), "yes_pct", "state")
+
+
+@_query("SELECT year, grp, round(count(*) FILTER (WHERE code = 'Y') * 100.0::DOUBLE / count(*), 4) AS yes_pct, count(*) AS votes FROM one WHERE subject = '1-URGENT MACHINERY' GROUP BY 1, 2")
+def topic_trend_by_group(s, d):
+    return V.topic_trend_by(_one(s, d), "1-URGENT MACHINERY", "grp")
+
+
+@_query("SELECT state_a AS state, max(agreement_pct) FILTER (WHERE state_b = 'NATION_1') AS \"NATION_1\", max(agreement_pct) FILTER (WHERE state_b = 'NATION_2') AS \"NATION_2\", max(agreement_pct) FILTER (WHERE state_b = 'NATION_3') AS \"NATION_3\" FROM (SELECT state_a, state_b, agreement_pct FROM sym UNION ALL SELECT DISTINCT state, state, 100.0::DOUBLE FROM one) GROUP BY 1")
+def coincidence_pivot(s, d):
+    one = _one(s, d)
+    return V.pivoted(V.coincidence_matrix(V.agreement_pairs(one), one.select("state")), ["NATION_1", "NATION_2", "NATION_3"])
+
+
+@_query("SELECT record_id, year, code, pos FROM votes WHERE state = 'NATION_3' ORDER BY year DESC, record_id, pos")
+def state_vote_table(s, d):
+    return V.vote_table(P.votes(s, d), "NATION_3").select("record_id", "year", "code", "pos")
+
+
+@_query("SELECT state_a AS state, round(avg(same * 100.0::DOUBLE / shared), 4) AS mean_agreement FROM sym GROUP BY 1 ORDER BY mean_agreement, 1 LIMIT 10")
+def states_most_disagreeing(s, d):
+    return V.most_agreeing(_pairs(s, d), 10, most=False)
+
+
+@_query("SELECT subject, count(*) AS n FROM res0 WHERE contains(title, 'no. 1') AND NOT contains(lower(subject), 'no. 1') GROUP BY 1 ORDER BY n DESC, 1 LIMIT 10")
+def related_by_match(s, d):
+    """Subjects of the resolutions that a search finds, besides those that it names."""
+    return C.related(P.resolutions(s, d, False), "no. 1", 10)
+
+
+@_query("SELECT year, body, count(*) AS n FROM res GROUP BY 1, 2")
+def volume_by_year_all(s, d):
+    return C.volume_by_year(C.scoped(P.resolutions(s, d), everything=True))
+
+
+@_query('SELECT id, sym, title, year, body, subj, date, item, spon, mtg, "urlR", "urlD", y, n, a, am, ri FROM made')
+def payload_res(s, d):
+    return PL.res_rows(PL.recorded(P.catalogue(s, d)))
+
+
+@_query(r"SELECT record_id AS id, symbol AS sym, trim(regexp_replace(trim(title), '\s*:\s*(draft\s+)?(resolution|decision|amendment)s?\s*/[^\n]*$', '', 'i')) AS t, TRY_CAST(nullif(year, '') AS INT) AS year, CASE WHEN contains(body, 'Council') THEN 'HRC' ELSE 'CHR' END AS body, trim(agenda_subject) AS subj, CASE vote_type WHEN 'ADOPTED WITHOUT VOTE' THEN 'C' WHEN 'RECORDED' THEN 'V' WHEN 'WITHDRAWN' THEN 'WD' ELSE 'O' END AS vt, CASE WHEN regexp_matches(title, ':\s*amendment', 'i') OR regexp_matches(draft, '^\s*amendment', 'i') THEN 1 END AS am, CASE WHEN has THEN CAST(yes AS INT) END AS y, CASE WHEN has THEN CAST(no AS INT) END AS n, CASE WHEN has THEN CAST(abstain AS INT) END AS a, pos FROM (SELECT *, coalesce(TRY_CAST(nullif(yes, '') AS INT) + TRY_CAST(nullif(no, '') AS INT) + TRY_CAST(nullif(abstain, '') AS INT) > 0, false) AS has FROM cat)")
+def payload_res_all(s, d):
+    return PL.res_all_rows(P.catalogue(s, d))
+
+
+def _cast(s: SparkSession, d: str) -> DataFrame:
+    return PL.vote_rows(P.votes_long(s, d), PL.recorded(P.catalogue(s, d)))
+
+
+def _groups(s: SparkSession, d: str) -> DataFrame:
+    return P.states(s, d).where("grp <> 'ASIA'").select(F.col("state").alias("iso3"), "grp").distinct()
+
+
+@_query("SELECT iso3, array_to_string(list_transform(regexp_extract_all(lower(name), '[a-z]+|[^a-z]+'), lambda x: upper(x[1]) || x[2:]), '') AS name, coalesce(grp, '') AS \"group\", n, y, no, a, absent, blank, first, last FROM land LEFT JOIN (SELECT DISTINCT state, grp FROM states WHERE grp <> 'ASIA') g ON iso3 = state")
+def payload_countries(s, d):
+    return PL.countries(_cast(s, d), _groups(s, d))
+
+
+@_query("SELECT iso3, string_agg(CAST(ri AS VARCHAR), ',' ORDER BY pos, ri, code) AS r, string_agg(code, '' ORDER BY pos, ri, code) AS v FROM cast_ GROUP BY 1")
+def payload_votes(s, d):
+    return PL.matrix(_cast(s, d)).select("iso3", F.array_join(F.transform("r", lambda x: x.cast("string")), ",").alias("r"), "v")
+
+
+@_query("SELECT subj AS name, count(*) AS n, min(ri) AS first_seen, bool_or(contains(upper(subj), 'MACHINERY')) AS cs FROM made WHERE subj <> '' GROUP BY 1")
+def payload_subjects(s, d):
+    names = s.createDataFrame([("Machinery",), ("A",)], "name string")
+    return PL.subjects(PL.res_rows(PL.recorded(P.catalogue(s, d))), names)
+
+
+@_query("SELECT CASE vote_type WHEN '' THEN '(blank)' ELSE vote_type END AS type, count(*) AS count, count(*) FILTER (WHERE n_rollcall > 0) AS \"hasRollcall\", min(pos) AS first_seen FROM cat GROUP BY 1")
+def payload_vote_types(s, d):
+    return PL.vote_types(P.catalogue(s, d))
+
+
+@_query(", t AS (SELECT record_id, count(*) FILTER (WHERE code = 'Y') AS ty, count(*) FILTER (WHERE code = 'N') AS tn, count(*) FILTER (WHERE code = 'A') AS ta FROM cast_ GROUP BY 1), q AS (SELECT coalesce(ty, 0) = CAST(yes AS INT) AND coalesce(tn, 0) = CAST(no AS INT) AND coalesce(ta, 0) = CAST(abstain AS INT) AS same FROM rec LEFT JOIN t USING (record_id) WHERE yes <> '' AND no <> '' AND abstain <> ''), c AS (SELECT count(*) AS total, count(*) FILTER (WHERE n_rollcall > 0) AS recorded, count(*) FILTER (WHERE body = 'The Council') AS hrc, count(*) FILTER (WHERE n_rollcall = 0 AND coalesce(TRY_CAST(nullif(yes, '') AS INT) + TRY_CAST(nullif(no, '') AS INT) + TRY_CAST(nullif(abstain, '') AS INT) > 0, false)) AS totals, count(DISTINCT trim(agenda_subject)) AS subjects FROM cat) SELECT recorded AS n_resolutions, (SELECT count(DISTINCT iso3) FROM cast_) AS n_countries, (SELECT min(year) FROM made) AS year_min, (SELECT max(year) FROM made) AS year_max, total, hrc, totals, total - recorded - totals AS neither, subjects, (SELECT count(DISTINCT subj) FROM made) AS subjects_recorded, (SELECT count(*) FILTER (WHERE same) FROM q) AS reconciled, (SELECT count(*) FILTER (WHERE NOT same) FROM q) AS mismatched, (SELECT count(DISTINCT CAST(year AS INT) // 10) FROM cat WHERE year <> '') AS n_decades FROM c")
+def payload_meta(s, d):
+    rows = PL.recorded(P.catalogue(s, d))
+    c = "meta.coverage."
+    return PL.meta(P.catalogue(s, d), PL.vote_rows(P.votes_long(s, d), rows), rows, {"A": "a"}).selectExpr("meta.nResolutions n_resolutions", "meta.nCountries n_countries", "meta.yearMin year_min", "meta.yearMax year_max", f"{c}totalResolutions total", f"{c}bodyAll['HRC'] hrc", f"{c}totalsNoRollcall totals", f"{c}neitherTotalsNorRollcall neither", f"{c}nSubjectsAll subjects", f"{c}nSubjectsRecorded subjects_recorded", f"{c}reconciled", f"{c}mismatched", f"cast(size({c}decades) as long) n_decades")
+
+
+_PAYLOAD = "meta struct<nResolutions long, nCountries long>, res array<struct<id string, y int, am int>>, countries array<struct<iso3 string, n long, first int>>, votes map<string, struct<r array<long>, v string>>, subjects array<struct<name string, n long>>, resAll array<struct<id string, y int>>"
+
+
+@_query("SELECT (SELECT count(*) FROM made) AS n_res, (SELECT count(*) FROM cat) AS n_all, (SELECT count(*) FROM land) AS n_countries, (SELECT count(DISTINCT subj) FROM made) AS n_subjects, (SELECT CAST(sum(y) AS BIGINT) FROM made) AS y, (SELECT count(am) FROM made) AS n_am, (SELECT count(*) FROM cast_) AS n_votes, (SELECT arg_min(id, ri) FROM made) AS first_id, (SELECT subj FROM made GROUP BY 1 ORDER BY count(*) DESC, min(ri) LIMIT 1) AS top_subject")
+def payload_file(s, d):
+    """The whole payload written as one script and read back."""
+    at = workspace(s, "payload")
+    PL.write(PL.lines(P.catalogue(s, d), P.votes_long(s, d), _groups(s, d), {"A": "a"}), at)
+    data = files.read_payload(s, f"{at}/part-*", "DATA", _PAYLOAD).select("data.*")
+    total = lambda a, f: F.aggregate(a, F.lit(0).cast("long"), lambda acc, x: acc + f(x))
+    size = lambda c: F.size(c).cast("long")
+    return data.select(size("res").alias("n_res"), size("resAll").alias("n_all"), size("countries").alias("n_countries"), size("subjects").alias("n_subjects"), total("res", lambda x: F.coalesce(x["y"], F.lit(0))).alias("y"), total("res", lambda x: F.coalesce(x["am"], F.lit(0))).alias("n_am"), total(F.map_values("votes"), lambda x: F.length(x["v"])).alias("n_votes"), F.col("res")[0]["id"].alias("first_id"), F.col("subjects")[0]["name"].alias("top_subject"))
+
+
+def _features(s: SparkSession, d: str) -> DataFrame:
+    """A square for most nations, a speck for some, and features that the map leaves out."""
+    n = P.table(s, d, "nation")
+    key = F.col("n_nationkey").cast("double")
+    side = F.when(F.col("n_nationkey") % 5 == 0, 0.01).otherwise(9.0)
+    west, south = key * 7 - 87.3, key * 3 - 41.7
+    ring = F.array(F.array(west, south), F.array(west + side, south), F.array(west + side, south + side), F.array(west, south))
+    named = F.when(F.col("n_nationkey") == 7, "ATA").when(F.col("n_nationkey") == 8, "").otherwise(F.col("n_name"))
+    return n.select(named.alias("id"), F.col("n_name").alias("name"), F.array(F.array(ring)).alias("polygons"), F.col("n_nationkey").alias("pos"))
+
+
+def _voters(s: SparkSession, d: str) -> DataFrame:
+    return P.states(s, d).select(F.col("state").alias("iso3"), F.concat("grp", F.lit("/"), "state").alias("name")).distinct()
+
+
+def _points(s: SparkSession, d: str) -> DataFrame:
+    key = F.col("n_nationkey")
+    return P.table(s, d, "nation").where(key % 10 == 0).select(F.col("n_name").alias("iso3"), (key * 7 - 87.3).alias("lon"), (key * 3 - 41.7).alias("lat"))
+
+
+def _plane(lon: str, lat: str) -> str:
+    """SQL for map x and y of degrees, to one decimal place."""
+    x = f"round({geo.WIDTH / 2} + {geo.FX} * (ll[i + 1] + (ll[i + 2] - ll[i + 1]) * f) * radians(lon) * {geo.SCALE}, 1)"
+    y = f"round({geo.HEIGHT / 2} - {geo.FY} * (dd[i + 1] + (dd[i + 2] - dd[i + 1]) * f) * CASE WHEN lat >= 0 THEN 1 ELSE -1 END * {geo.SCALE}, 1)"
+    return f"SELECT *, {x} AS x, {y} AS y FROM (SELECT *, (abs(lat) - i * 5) / 5 AS f, {_ROB[0]} AS ll, {_ROB[1]} AS dd FROM (SELECT *, CAST(least(floor(abs(lat) / 5), 17) AS INT) AS i FROM (SELECT *, {lon} AS lon, {lat} AS lat FROM {{}})))"
+
+
+_SHAPES = ", shp AS (SELECT n_name AS iso3, n_name AS name, 'M' || string_agg(CAST(x AS VARCHAR) || ' ' || CAST(y AS VARCHAR), 'L' ORDER BY k) || 'Z' AS path FROM (" + _plane("n_nationkey * 7 - 87.3::DOUBLE + 9 * dx", "n_nationkey * 3 - 41.7::DOUBLE + 9 * dy").format("(SELECT * FROM nation, (VALUES (0, 0, 0), (1, 1, 0), (2, 1, 1), (3, 0, 0)) c(k, dx, dy) WHERE n_nationkey % 5 <> 0 AND n_nationkey NOT IN (7, 8))") + ") GROUP BY 1), dot AS (SELECT n_name AS iso3, name, x, y FROM (" + _plane("n_nationkey * 7 - 87.3::DOUBLE", "n_nationkey * 3 - 41.7::DOUBLE").format("(SELECT nation.*, v.name FROM nation JOIN (SELECT DISTINCT state, grp || '/' || state AS name FROM states) v ON n_name = state WHERE n_nationkey % 10 = 0)") + "))"
+
+
+@_query(_SHAPES + " SELECT * FROM shp")
+def map_shapes(s, d):
+    return geo.shapes(_features(s, d))
+
+
+@_query(_SHAPES + " SELECT * FROM dot")
+def map_dots(s, d):
+    return geo.dots(_points(s, d), _voters(s, d), geo.shapes(_features(s, d)))
+
+
+@_query(_SHAPES + " SELECT DISTINCT state AS iso3 FROM states WHERE state NOT IN (SELECT iso3 FROM shp) AND state NOT IN (SELECT iso3 FROM dot)")
+def map_undrawn(s, d):
+    drawn = geo.shapes(_features(s, d))
+    return geo.undrawn(_voters(s, d), drawn, geo.dots(_points(s, d), _voters(s, d), drawn))
+
+
+@_query(_SHAPES + " SELECT iso3, kind, agreement_pct FROM (SELECT iso3, 'shape' AS kind FROM shp UNION ALL SELECT iso3, 'dot' FROM dot) LEFT JOIN (SELECT state_a AS iso3, agreement_pct FROM sym WHERE state_b = 'NATION_1') USING (iso3)")
+def agreement_map(s, d):
+    """Agreement with one state on the map: shapes and dots, those without common votes too."""
+    drawn = geo.shapes(_features(s, d))
+    values = V.both_ways(_pairs(s, d)).where("state_b = 'NATION_1'").select(F.col("state_a").alias("iso3"), "agreement_pct")
+    return geo.choropleth(values, drawn, geo.dots(_points(s, d), _voters(s, d), drawn))
+
+
+@_query(_SHAPES + " SELECT (SELECT count(*) FROM shp) AS shapes, (SELECT count(*) FROM dot) AS dots, (SELECT sum(length(path)) FROM shp)::BIGINT AS path_letters, (SELECT round(sum(x + y), 1) FROM dot) AS dot_sum")
+def map_file(s, d):
+    """The map's script written and read back."""
+    drawn = geo.shapes(_features(s, d))
+    at = workspace(s, "map")
+    geo.world(drawn, geo.dots(_points(s, d), _voters(s, d), drawn)).select(files.payload(F.col("world"), "WORLD").alias("value")).coalesce(1).write.text(at)
+    data = files.read_payload(s, f"{at}/part-*", "WORLD", "W int, H int, paths map<string, string>, dots map<string, array<double>>, names map<string, string>").select("data.*")
+    return data.select(F.size("paths").cast("long").alias("shapes"), F.size("dots").cast("long").alias("dots"), F.aggregate(F.map_values("paths"), F.lit(0).cast("long"), lambda a, x: a + F.length(x)).alias("path_letters"), F.round(F.aggregate(F.map_values("dots"), F.lit(0.0), lambda a, x: a + x[0] + x[1]), 1).alias("dot_sum"))
+
+
+_PAGES = "SELECT record_id FROM res0 WHERE record_id % 8 < 5"
+
+
+@_query(f", dated AS (SELECT record_id FROM votes WHERE record_id % 11 <> 0), und AS (SELECT DISTINCT record_id FROM votes WHERE record_id % 11 = 0 AND record_id % 2 = 0), pages AS ({_PAGES}) SELECT (SELECT count(*) FROM dated) AS total, (SELECT count(DISTINCT record_id) FROM dated) AS ids, (SELECT count(*) FROM und) AS undated, (SELECT count(*) FROM (SELECT record_id FROM dated UNION SELECT record_id FROM und)) AS dated_or_undated, (SELECT count(*) FROM (SELECT record_id FROM dated UNION SELECT record_id FROM und UNION SELECT record_id FROM pages)) AS combined, (SELECT count(*) FROM (SELECT record_id FROM pages EXCEPT (SELECT record_id FROM dated UNION SELECT record_id FROM und))) AS missed")
+def harvest_sets(s, d):
+    votes = P.votes(s, d).select("record_id")
+    return ingest.harvest_summary(votes.where("record_id % 11 <> 0"), votes.where("record_id % 11 = 0 and record_id % 2 = 0"), P.resolutions(s, d, False).where("record_id % 8 < 5"))
+
+
+@_query("SELECT record_id FROM cat WHERE NOT regexp_matches(year, '^[0-9]{4}$')")
+def undated_resolutions(s, d):
+    return ingest.undated(P.catalogue(s, d)).select("record_id")
+
+
+@_query("SELECT CAST(year AS VARCHAR) AS name FROM (SELECT DISTINCT year FROM res0) WHERE year NOT IN (SELECT year FROM res0 GROUP BY 1 HAVING count(*) * 10 > 200 AND NOT (year IN (1995, 1998) AND count(*) <= 2000))")
+def partitions_to_fetch(s, d):
+    res = P.resolutions(s, d, False).withColumn("name", F.col("year").cast("string"))
+    have = res.groupBy("name").agg((F.count("*") * 10).alias("n_bytes"), F.count("*").alias("n_records"))
+    return ingest.to_fetch(res.select("name"), have, forced=("1995", "1998"), page=2000)
 
 
 def queries() -> dict:

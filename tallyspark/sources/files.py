@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, **options) -> DataFrame:
     """Text columns are never null: an empty cell is an empty string."""
-    rows = spark.read.csv(path, schema=schema, header=True, multiLine=True, escape='"')
+    rows = spark.read.csv(path, schema=schema, header=True, multiLine=True, escape='"', **options)
     return rows.fillna("", [f.name for f in rows.schema.fields if isinstance(f.dataType, T.StringType)])
 
 
@@ -19,13 +19,18 @@ def write_csv(df: DataFrame, path: str, *order: str) -> None:
     out.coalesce(1).write.mode("overwrite").csv(path, header=True, escape='"', emptyValue="", nullValue="")
 
 
-def write_export(df: DataFrame, path: str, title: str, source: str) -> None:
-    """CSV lines after two comment lines, as one text file."""
-    head = [f"# {title}", f"# Source: {source}", ",".join(df.columns)]
+def write_export(df: DataFrame, path: str, title: str, source: str, order: tuple[str, ...] = (), bom: bool = False) -> None:
+    """CSV lines after two comment lines and the header, as one text file; with a byte order mark if asked for."""
+    head = [("\ufeff" if bom else "") + f"# {title}", f"# Source: {source}", ",".join(df.columns)]
     quoted = [F.when(F.coalesce(F.col(c).cast("string"), F.lit("")).rlike('[",\n]'), F.concat(F.lit('"'), F.replace(F.col(c).cast("string"), F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in df.columns]
-    lines = df.select(F.concat_ws(",", *quoted).alias("value"))
-    first = df.sparkSession.createDataFrame([("\n".join(head),)], "value string")
-    first.unionByName(lines).coalesce(1).write.mode("overwrite").text(path)
+    rows = (df.orderBy(*order) if order else df).select(F.lit(1).alias("part"), F.monotonically_increasing_id().alias("k"), F.concat_ws(",", *quoted).alias("value"))
+    first = df.sparkSession.createDataFrame([(0, 0, "\n".join(head))], "part int, k long, value string")
+    first.unionByName(rows).orderBy("part", "k").select("value").coalesce(1).write.mode("overwrite").text(path)
+
+
+def read_export(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """The rows of an export: with or without a byte order mark, comment lines left out."""
+    return read_csv(spark, path, schema, comment="#")
 
 
 def payload(value: Column, name: str) -> Column:
@@ -43,3 +48,14 @@ def read_payload(spark: SparkSession, path: str, name: str, schema: str) -> Data
     text = spark.read.text(path, wholetext=True)
     body = F.regexp_replace(F.regexp_replace("value", rf"\A\s*window\.{name} = ", ""), r";\s*\z", "")
     return text.select(F.from_json(body, schema).alias("data"))
+
+
+def read_geojson(spark: SparkSession, path: str) -> DataFrame:
+    """id, name, polygons (of rings of lon, lat) and pos of the features of a file (a map of the world: one small file)."""
+    point = "array<array<double>>"
+    feature = "struct<id string, properties struct<id string, name string>, geometry struct<type string, coordinates string>>"
+    text = spark.read.text(path, wholetext=True)
+    each = text.select(F.posexplode(F.from_json("value", f"features array<{feature}>")["features"]).alias("pos", "f"))
+    of = F.col("f.geometry.coordinates")
+    polygons = F.when(F.col("f.geometry.type") == "MultiPolygon", F.from_json(of, f"array<array<{point}>>")).when(F.col("f.geometry.type") == "Polygon", F.array(F.from_json(of, f"array<{point}>")))
+    return each.select(F.coalesce(F.nullif("f.id", F.lit("")), F.col("f.properties.id")).alias("id"), F.col("f.properties.name").alias("name"), polygons.alias("polygons"), "pos")

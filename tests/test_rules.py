@@ -1,12 +1,14 @@
 """The catalogue's rules on hand-made records."""
 
+import json
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from tallyspark.functions import text_rules as R
-from tallyspark.operators import catalog, geo, votes
+from tallyspark.operators import catalog, geo, payload, votes
 from tallyspark.sources import files, marc
 from tallyspark.streaming import ingest
 
@@ -175,3 +177,108 @@ def test_log_and_outcomes(spark, tmp_path):
     assert spark.read.csv(str(tmp_path / "log"), schema=ingest.LOG).count() == 3
     got = spark.createDataFrame([("", 0), ("l", 10), ("l", 900)], "link string, size int").select(ingest.outcome(F.col("size"), F.col("link"))).collect()
     assert [r[0] for r in got] == ["missing", "tiny", "ok"]
+
+
+def plain_ring(ring, least_area=3.0):
+    """A ring's path by the published tables, point by point."""
+    def place(lon, lat):
+        up = abs(lat)
+        i = min(int(up / 5), 17)
+        f = (up - i * 5) / 5
+        long, far = (t[i] + (t[i + 1] - t[i]) * f for t in (geo.LENGTH, geo.DISTANCE))
+        return geo.WIDTH / 2 + geo.FX * long * math.radians(lon) * geo.SCALE, geo.HEIGHT / 2 - geo.FY * far * (1 if lat >= 0 else -1) * geo.SCALE
+
+    points = [place(*p) for p in ring]
+    xs, ys = zip(*points, strict=True)
+    if (max(xs) - min(xs)) * (max(ys) - min(ys)) < least_area:
+        return ""
+    steps = []
+    for x, y in points:
+        if (q := (round(x, 1), round(y, 1))) != (steps[-1] if steps else None):
+            steps.append(q)
+    return "M" + "L".join(f"{x} {y}" for x, y in steps) + "Z" if len(steps) >= 3 else ""
+
+
+def test_paths_equal_plain_ones(spark):
+    rng = random.Random(1)
+    shape = lambda: [[rng.uniform(-180, 180), rng.uniform(-90, 90)] for _ in range(rng.randrange(1, 7))]
+    small = lambda: [[10 + rng.uniform(0, 1.2), 50 + rng.uniform(0, 1.2)] for _ in range(5)]
+    rows = [(i, [[shape(), small()], [small() if i % 2 else shape()]]) for i in range(60)]
+    got = {r.i: r.p for r in spark.createDataFrame(rows, "i int, polygons array<array<array<array<double>>>>").select("i", geo.shape_path(F.col("polygons")).alias("p")).collect()}
+    assert got == {i: "".join(plain_ring(ring) for polygon in polygons for ring in polygon) for i, polygons in rows}
+    assert any("" == plain_ring(ring) for _, ps in rows for p in ps for ring in p)
+
+
+def test_rounding_is_of_the_binary_value(spark):
+    rng = random.Random(2)
+    values = [0.15, 0.25, 0.35, 0.45, 0.05, 2.675, -0.15, -0.04, 0.0, 999.95, 1e-9, *[k / 20 for k in range(1, 4000, 7)], *[rng.uniform(-1000, 1000) for _ in range(500)]]
+    got = [r.r for r in spark.createDataFrame([(v,) for v in values], "x double").select(geo.rounded(F.col("x")).alias("r")).collect()]
+    assert list(map(str, got)) == [str(round(v, 1)) for v in values]
+
+
+def test_map_of_a_geojson_file(spark, tmp_path):
+    square = lambda x, n: [[x, 0], [x + n, 0], [x + n, n], [x, 0]]
+    features = [
+        {"id": "AAA", "properties": {"name": "A é"}, "geometry": {"type": "Polygon", "coordinates": [square(0, 9), square(1, 7)]}},
+        {"properties": {"id": "BBB"}, "geometry": {"type": "MultiPolygon", "coordinates": [[square(20, 9)], [square(40, 9)]]}},
+        {"id": "ATA", "properties": {"name": "ice"}, "geometry": {"type": "Polygon", "coordinates": [square(0, 9)]}},
+        {"id": "", "properties": {}, "geometry": {"type": "Polygon", "coordinates": [square(0, 9)]}},
+        {"id": "CCC", "properties": {"name": "speck"}, "geometry": {"type": "Polygon", "coordinates": [square(0, 0.01)]}},
+        {"id": "AAA", "properties": {"name": "again"}, "geometry": {"type": "Polygon", "coordinates": [square(5, 9)]}},
+    ]
+    (tmp_path / "world.json").write_text(json.dumps({"type": "FeatureCollection", "features": features}))
+    drawn = geo.shapes(files.read_geojson(spark, str(tmp_path / "world.json")))
+    assert {r.iso3: (r.name, r.path) for r in drawn.collect()} == {"AAA": ("again", plain_ring(square(5, 9))), "BBB": ("BBB", plain_ring(square(20, 9)) + plain_ring(square(40, 9)))}
+    voters = spark.createDataFrame([("AAA", "x"), ("CCC", "small"), ("DDD", "gone")], "iso3 string, name string")
+    points = spark.createDataFrame([("CCC", 1.0, 2.0), ("AAA", 1.0, 1.0), ("EEE", 0.0, 0.0)], "iso3 string, lon double, lat double")
+    dotted = geo.dots(points, voters, drawn)
+    assert [r.iso3 for r in dotted.collect()] == ["CCC"] and [r.iso3 for r in geo.undrawn(voters, drawn, dotted).collect()] == ["DDD"]
+    line = geo.world(drawn, dotted).select(files.payload(F.col("world"), "WORLD")).first()[0]
+    world = json.loads(line.removeprefix("window.WORLD = ").removesuffix(";"))
+    assert world["W"] == 1000 and set(world["paths"]) == {"AAA", "BBB"} and world["names"]["CCC"] == "small" and len(world["dots"]["CCC"]) == 2
+
+
+def test_payload_of_a_small_catalogue(spark, tmp_path):
+    text = "record_id symbol title draft date year body vote_type agenda_subject agenda_item_title main_sponsors meeting url_resolution url_draft yes no abstain".split()
+    rows = [
+        ("1", "S1", "T : draft resolution / x", "", " 1999 ", "1999", "The Council", "RECORDED", " B ", "I - ", " Cuba ", "m", "u", "d", "1", "1", "0", 2, 0),
+        ("2", "S2", "Second", " Amendment", "", "", "x", "odd", "A", "", "", "", "", "", "", "", "", 1, 1),
+        ("3", "S3", "Third", "", "", "2001", "x", "", "A", "", "", "", "", "", "5", "0", "0", 0, 2),
+        ("4", "S4", 'Quote " é', "", "", "2000", "x", "RECORDED", "A", "", "", "", "", "", "9", "", "1", 1, 3),
+    ]
+    res = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in text) + ", n_rollcall int, pos long")
+    cast = [("1", "VEN", "venezuela (x)", "Y", "1999", 0), ("1", "CUB", "cuba", "N", "1999", 1), ("2", "VEN", "new NAME", "?", "", 2), ("4", "", "none", "Y", "2000", 3), ("3", "VEN", "x", "Y", "2001", 4), ("4", "VEN", "late", "A", "2000", 5)]
+    votes_ = spark.createDataFrame(cast, "record_id string, iso3 string, country string, vote string, year string, pos long")
+    groups = spark.createDataFrame([("VEN", "GRULAC")], "iso3 string, grp string")
+    payload.write(payload.lines(res, votes_, groups, {"GRULAC": "Latin"}), str(tmp_path / "p"))
+    part, = (tmp_path / "p").glob("part-*")
+    data = json.loads(part.read_text().strip().removeprefix("window.DATA = ").removesuffix(";"))
+    assert [r["id"] for r in data["res"]] == ["1", "2", "4"] and list(data) == ["meta", "res", "countries", "votes", "subjects", "resAll"]
+    assert data["res"][0] == {"id": "1", "sym": "S1", "title": "T : draft resolution / x", "year": 1999, "date": "1999", "body": "HRC", "subj": "B", "item": "I", "spon": "Cuba", "mtg": "m", "urlR": "u", "urlD": "d", "y": 1, "n": 1, "a": 0}
+    assert data["res"][1]["am"] == 1 and data["res"][1]["y"] is None and data["res"][2]["title"] == 'Quote " é'
+    assert data["countries"] == [
+        {"iso3": "CUB", "name": "Cuba", "group": "", "n": 1, "y": 0, "no": 1, "a": 0, "absent": 0, "blank": 0, "first": 1999, "last": 1999},
+        {"iso3": "VEN", "name": "Late", "group": "GRULAC", "n": 3, "y": 1, "no": 0, "a": 1, "absent": 0, "blank": 1, "first": 1999, "last": 2000},
+    ]
+    assert data["votes"] == {"CUB": {"r": [0], "v": "N"}, "VEN": {"r": [0, 1, 2], "v": "Y-A"}}
+    assert data["subjects"] == [{"name": "A", "n": 2, "cs": False}, {"name": "B", "n": 1, "cs": False}]
+    assert data["resAll"][0] == {"id": "1", "sym": "S1", "t": "T", "year": 1999, "body": "HRC", "subj": "B", "vt": "V", "y": 1, "n": 1, "a": 0} and data["resAll"][2]["y"] == 5 and "y" not in data["resAll"][3]
+    cover = data["meta"]["coverage"]
+    assert cover["voteTypes"] == [{"type": "RECORDED", "count": 2, "hasRollcall": 2}, {"type": "odd", "count": 1, "hasRollcall": 1}, {"type": "(blank)", "count": 1, "hasRollcall": 0}]
+    assert (cover["totalResolutions"], cover["recordedResolutions"], cover["totalsNoRollcall"], cover["neitherTotalsNorRollcall"], cover["reconciled"], cover["mismatched"]) == (4, 3, 1, 0, 1, 0)
+    assert cover["bodyAll"] == {"CHR": 3, "HRC": 1} and cover["decades"] == [{"decade": 1990, "all": 1, "recorded": 1}, {"decade": 2000, "all": 2, "recorded": 1}]
+    assert data["meta"] | {"coverage": 0} == {"nResolutions": 3, "nCountries": 2, "yearMin": 1999, "yearMax": 2000, "groupLabels": {"GRULAC": "Latin"}, "coverage": 0}
+    empty = payload.lines(res.limit(0), votes_.limit(0), groups, {})
+    payload.write(empty, str(tmp_path / "e"))
+    part, = (tmp_path / "e").glob("part-*")
+    assert json.loads(part.read_text().strip().removeprefix("window.DATA = ").removesuffix(";"))["res"] == []
+
+
+@pytest.mark.parametrize("bom", [False, True])
+def test_export_comes_back(spark, tmp_path, bom):
+    df = spark.createDataFrame([(i, f'x "{i}",\ny') for i in range(50)], "year int, state string").repartition(4)
+    files.write_export(df, str(tmp_path / "e"), "Title, with comma", "Somewhere", ("year",), bom)
+    part, = (tmp_path / "e").glob("part-*")
+    head = part.read_text(encoding="utf-8-sig" if bom else "utf-8").splitlines()
+    assert head[:3] == ["# Title, with comma", "# Source: Somewhere", "year,state"] and head[3] == '0,"x ""0"",' and part.read_bytes().startswith(b"\xef\xbb\xbf") == bom
+    assert [tuple(r) for r in files.read_export(spark, str(part), df.schema).orderBy("year").collect()] == [(i, f'x "{i}",\ny') for i in range(50)]
