@@ -2,6 +2,7 @@
 
 A line's key is 128 bits of its hash. Sketches of the sites that hold it are built on the map side and
 merged by aggregation; only lines whose estimate lies near the threshold have their distinct sites counted.
+Which lines go is told by their numbers, so a text takes time in proportion to its lines.
 """
 
 from __future__ import annotations
@@ -22,10 +23,12 @@ def _key(line: Column) -> tuple[Column, Column]:
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str, site_col: str) -> DataFrame:
-    """id, site and the key of every line with a word; a null site is one of its own."""
-    line = F.explode(F.split(F.col(f"`{text_col}`"), "\n")).alias("line")
-    own = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.concat(F.lit("="), F.col(f"`{site_col}`").cast("string")), F.lit("-")).alias("site"), line)
-    return own.where(F.length(F.translate("line", SPACES, "")) > 0).select("id", "site", *_key(F.col("line")))
+    """id, text_key (of the whole text), site, pos and the key of every line with a word; a null site is one of its own."""
+    line = F.posexplode(F.split(F.col("text"), "\n")).alias("pos", "line")
+    site = F.coalesce(F.concat(F.lit("="), F.col(f"`{site_col}`").cast("string")), F.lit("-"))
+    own = docs.select(F.col(f"`{id_col}`").alias("id"), site.alias("site"), F.col(f"`{text_col}`").alias("text"))
+    own = own.select("id", "site", F.xxhash64("text").alias("text_key"), line)
+    return own.where(F.length(F.translate("line", SPACES, "")) > 0).select("id", "text_key", "site", "pos", *_key(F.col("line")))
 
 
 def boilerplate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
@@ -45,16 +48,21 @@ def drop_boilerplate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """``docs`` with its columns, and boilerplate lines taken out of every text but that of the least id that has them.
 
     Lines without a word always stay, in that text so do repeats of the line. A text may become empty; no row
-    is lost, a null text stays null. ``counts`` names two more columns: lines before, and lines taken out.
+    is lost, a null text stays null, an empty table gives no rows. Rows that share an id are told apart by their texts;
+    rows without an id lose a line if some id holds it, else all of them keep it. ``counts`` names two more
+    columns: lines before, and lines taken out.
     """
     found = boilerplate(docs, id_col, text_col, site_col, min_sites)
-    own, gone, lines, key = (free_name(docs, f"{x}_work") for x in ("id", "gone", "lines", "key"))
+    own, key, own_key, gone, lines, kept = (free_name(docs, f"{x}_work") for x in ("id", "key", "own_key", "gone", "lines", "kept"))
     hits = _lines(docs, id_col, text_col, site_col).join(found, ["h1", "h2"]).where(~F.col("id").eqNullSafe(F.col("first_id")))
-    todo = hits.groupBy("id").agg(F.collect_set(F.struct("h1", "h2")).alias(gone)).select(F.col("id").alias(own), gone)
-    out = docs.join(todo, docs[f"`{id_col}`"].eqNullSafe(todo[own]), "left")
+    todo = hits.groupBy("id", "text_key").agg(F.collect_set("pos").alias(gone)).select(F.col("id").alias(own), F.col("text_key").alias(own_key), gone)
+    out = docs.withColumn(key, F.xxhash64(F.col(f"`{text_col}`")))
+    out = out.join(todo, out[f"`{id_col}`"].eqNullSafe(todo[own]) & (out[key] == todo[own_key]), "left")
     out = out.withColumn(lines, F.split(F.col(f"`{text_col}`"), "\n"))
-    keep = F.filter(F.col(lines), lambda x: ~F.array_contains(F.col(gone), F.struct(*_key(x))) | (F.length(F.translate(x, SPACES, "")) == 0))
-    out = out.withColumn(key, F.when(F.col(gone).isNull(), F.col(lines)).otherwise(keep))
-    text = F.when(F.col(gone).isNull(), F.col(f"`{text_col}`")).otherwise(F.array_join(key, "\n"))
-    more = [F.coalesce(F.when(F.col(lines).isNull(), F.lit(0)).otherwise(F.size(lines)), F.lit(0)).cast("long").alias(counts[0]), F.coalesce(F.size(lines) - F.size(key), F.lit(0)).cast("long").alias(counts[1])] if counts else []
+    # the numbers that are left, in order: set operations take time in proportion
+    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone))
+    out = out.withColumn(kept, F.when(F.col(gone).isNotNull(), F.transform(left, lambda k: F.get(F.col(lines), k))))
+    text = F.when(F.col(gone).isNull(), F.col(f"`{text_col}`")).otherwise(F.array_join(kept, "\n"))
+    before = F.when(F.col(lines).isNull(), F.lit(0)).otherwise(F.size(lines)).cast("long")
+    more = [before.alias(counts[0]), F.when(F.col(gone).isNull(), F.lit(0)).otherwise(F.size(gone)).cast("long").alias(counts[1])] if counts else []
     return out.select(*[text.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns], *more)
