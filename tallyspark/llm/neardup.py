@@ -1,6 +1,8 @@
-"""Near-duplicates by Jaccard similarity of word shingles: MinHash bands find candidates, whole sets decide.
+"""Near-duplicates by Jaccard similarity of word shingles: SimHash trees and MinHash bands find candidates, whole sets decide.
 
-A pair of similarity 0.8 shares one of 24 bands of five MinHash values with a probability of
+Points whose SimHash fingerprints are linked by the vantage-point trees are checked first; what these links join need not
+be compared again. Fingerprints of a similarity of 0.8 mostly differ by more bits than any tree can prune by, so
+MinHash bands supply the rest. A pair of similarity 0.8 shares one of 24 bands of five MinHash values with a probability of
 1 - (1 - 0.8 ** 5) ** 24 > 0.9999, a closer pair with a higher one. Equal sets are one point. Every point
 of a bucket is checked against the bucket's least; then all pairs of a bucket that these links have
 not joined are checked block by block, so no candidate that could connect two groups goes unchecked, while a
@@ -19,7 +21,9 @@ from pyspark.sql import functions as F
 
 from . import textkernel as K
 from .components import connected_components, forest
-from .shared import free_name, materialise, only, workspace
+from .shared import materialise, only, text_key, workspace
+from .simhash import links as tree_links
+from .simhash import simhash
 
 BANDS, VALUES = 24, 5
 #: Rows of a part of a large bucket, and shingles compared at a time in a block.
@@ -63,11 +67,13 @@ def _per_text(column: pa.Array, shingle: int) -> Iterator[list[np.ndarray]]:
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """doc_id, key (of the set of shingles), size and bands of every row; a null or wordless text has no band."""
+    """doc_id, text_key, key (of the set of shingles), size, bands and fp of every row; a null or wordless text has no band."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keys, size, bands = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            data, off = K.text_buffer(b.column(1))
+            fps = [np.zeros(0, np.uint64)] + [simhash(data[off[lo] : off[hi]], off[lo : hi + 1] - off[lo], shingle) for lo, hi in K.chunks(off)]
             for sets in _per_text(b.column(1), shingle):
                 keys.append(_keys(sets))
                 size.append(np.array([len(x) for x in sets], np.int64))
@@ -76,10 +82,10 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> Dat
             n = np.concatenate(size)
             cut = np.concatenate([[0], np.cumsum(np.where(n > 0, BANDS, 0))]).astype(np.int32)
             listed = pa.ListArray.from_arrays(pa.array(cut), pa.array(np.concatenate(bands)))
-            yield pa.record_batch([b.column(0), pa.array(np.concatenate(keys)), pa.array(n), listed], names=["doc_id", "key", "size", "bands"])
+            yield pa.record_batch([b.column(0), b.column(2), pa.array(np.concatenate(keys)), pa.array(n), listed, pa.array(np.concatenate(fps).view(np.int64))], names=["doc_id", "text_key", "key", "size", "bands", "fp"])
 
-    src = only(docs, doc_id=id_col, text=text_col)
-    return src.mapInArrow(run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, key long, size long, bands array<long>")
+    src = only(docs, doc_id=id_col, text=text_col).withColumn("text_key", text_key(F.col("text")))
+    return src.mapInArrow(run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, text_key long, key long, size long, bands array<long>, fp long")
 
 
 def _wanted_sets(docs: DataFrame, text_col: str, shingle: int, keys: DataFrame) -> DataFrame:
@@ -195,14 +201,30 @@ def _blocks(apart: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
     return by.select("bucket", "p", "q", "key", "root", "second", "shingles").mapInArrow(run, "u long, v long")
 
 
-def links(docs: DataFrame, points: DataFrame, text_col: str, shingle: int, similar: float, at: str) -> DataFrame:
-    """``points``: key, size and bands, one row for each key. Returns u and v: links that connect what all similar candidates connect."""
+def _by_trees(points: DataFrame, bits: int, at: str) -> DataFrame:
+    """Candidates u and v: points of one fingerprint (each and the least), and of fingerprints that the trees link."""
+    first = materialise(points.groupBy("fp").agg(F.min("key").alias("head")), f"{at}/first")
+    linked = tree_links(first.select("fp"), bits)
+    u, v = (first.select(F.col("fp").alias(c), F.col("head").alias(f"{c}_key")) for c in ("u", "v"))
+    far = linked.join(u, "u").join(v, "v").select(F.col("u_key").alias("u"), F.col("v_key").alias("v"))
+    equal = points.select("fp", "key").join(first, "fp").where("key <> head").select(F.col("head").alias("u"), F.col("key").alias("v"))
+    return materialise(far.unionByName(equal), f"{at}/bytrees")
+
+
+def links(docs: DataFrame, points: DataFrame, text_col: str, shingle: int, similar: float, bits: int, at: str) -> DataFrame:
+    """``points``: key, size, bands and fp, one row for each key. Returns u and v: links that connect what all similar candidates connect."""
     rows = points.select("key", "size", F.explode("bands").alias("bucket"))
     shared = rows.groupBy("bucket").agg(F.min(F.struct("key", "size")).alias("first"), F.max("key").alias("last")).where("first.key < last")
     near = materialise(rows.join(shared.selectExpr("bucket", "first.key head", "first.size head_size"), "bucket"), f"{at}/near")
-    sets = materialise(_wanted_sets(docs, text_col, shingle, near.select("key")), f"{at}/sets")
+    trees = _by_trees(points, bits, at)
+    wanted = near.select("key").unionByName(trees.select(F.col("u").alias("key"))).unionByName(trees.select(F.col("v").alias("key")))
+    sets = materialise(_wanted_sets(docs, text_col, shingle, wanted), f"{at}/sets")
+    close = materialise(_similar(trees, sets, similar), f"{at}/close")
+    known = materialise(connected_components(close), f"{at}/known")
+    a, b = known.select(F.col("node").alias("u"), F.col("root").alias("ru")), known.select(F.col("node").alias("v"), F.col("root").alias("rv"))
     stars = near.where(f"key <> head and least(size, head_size) >= {similar} * greatest(size, head_size) - 1e-9").selectExpr("head u", "key v").distinct()
-    found = materialise(_similar(stars, sets, similar), f"{at}/stars")
+    stars = stars.join(a, "u", "left").join(b, "v", "left").where("coalesce(ru, u) <> coalesce(rv, v)").select("u", "v")
+    found = materialise(_similar(stars, sets, similar).unionByName(close), f"{at}/stars")
     joined = connected_components(found)
     named = near.join(joined, near.key == joined.node, "left").select("bucket", "key", F.coalesce("root", "key").alias("root"))
     named = materialise(named, f"{at}/named")
@@ -211,31 +233,22 @@ def links(docs: DataFrame, points: DataFrame, text_col: str, shingle: int, simil
     return found.unionByName(_blocks(apart, sets, similar))
 
 
-def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similar: float = 0.8) -> DataFrame:
-    """doc_id, key and component_id (the least doc_id that links reach) of every row of ``docs``.
-
-    Repeated rows stay repeated; a group all of whose ids are null has a null component_id.
-    """
+def members(docs: DataFrame, id_col: str, text_col: str, shingle: int, similar: float, bits: int) -> DataFrame:
+    """doc_id, text_key, key, root (of the group) and component_id of every row of ``docs``."""
     at = workspace(docs.sparkSession, "neardup")
     marks = materialise(signatures(docs, id_col, text_col, shingle), f"{at}/marks")
-    points = materialise(marks.groupBy("key").agg(F.min("doc_id").alias("least"), F.first("size").alias("size"), F.first("bands").alias("bands")), f"{at}/points")
-    joined = connected_components(materialise(links(docs, points.select("key", "size", "bands"), text_col, shingle, similar, at), f"{at}/links"))
+    points = materialise(marks.groupBy("key").agg(F.min("doc_id").alias("least"), F.first("size").alias("size"), F.first("bands").alias("bands"), F.min("fp").alias("fp")), f"{at}/points")
+    joined = connected_components(materialise(links(docs, points.select("key", "size", "bands", "fp"), text_col, shingle, similar, bits, at), f"{at}/links"))
     rooted = points.join(joined, points.key == joined.node, "left").select("key", "least", F.coalesce("root", "key").alias("root"))
     rooted = materialise(rooted, f"{at}/rooted")
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    member = rooted.select("key", "root").join(least, "root").select(F.col("key").alias("point"), "component_id")
-    return marks.select("doc_id", "key").join(member, F.col("key") == F.col("point")).select("doc_id", "key", "component_id")
+    member = rooted.select("key", "root").join(least, "root").select(F.col("key").alias("point"), "root", "component_id")
+    return marks.select("doc_id", "text_key", "key").join(member, F.col("key") == F.col("point")).select("doc_id", "text_key", "key", "root", "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similar: float = 0.8) -> DataFrame:
-    """The rows of ``docs`` (all its columns) whose id is their group's least; of rows under one id, one.
+def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similar: float = 0.8, bits: int = 3) -> DataFrame:
+    """doc_id, key and component_id (the least doc_id that links reach) of every row of ``docs``.
 
-    Rows without an id can't be told apart by it, so they stay, one for each text.
+    Repeated rows stay repeated; a group all of whose ids are null has a null component_id; an empty table gives no rows.
     """
-    name = free_name(docs, "row_name")
-    digest = F.sha2(F.coalesce(F.concat(F.lit("="), F.col(f"`{text_col}`")), F.lit("-")), 256)
-    # one name for the rows' shuffle and the join, so texts move once
-    named = docs.withColumn(name, F.coalesce(F.concat(F.lit("="), F.col(f"`{id_col}`").cast("string")), F.concat(F.lit("-"), digest)))
-    kept = groups(docs, id_col, text_col, shingle, similar).where("doc_id = component_id").select(F.concat(F.lit("="), F.col("doc_id").cast("string")).alias(name))
-    kept = kept.unionByName(named.where(F.col(f"`{id_col}`").isNull()).select(name)).distinct()
-    return named.dropDuplicates([name]).join(kept, name, "left_semi").drop(name).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return members(docs, id_col, text_col, shingle, similar, bits).select("doc_id", "key", "component_id")

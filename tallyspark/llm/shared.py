@@ -6,49 +6,15 @@ folder named by ``spark.checkpoint.dir``, so losing an executor loses no result.
 
 from __future__ import annotations
 
-import atexit
 import contextlib
 import ctypes
-import tempfile
 import uuid
-from urllib.parse import urlparse
 
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def shared_root(spark: SparkSession) -> str:
-    """The shared folder's URI; only where none is configured (tests) a local one is made and set."""
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not root:
-        at = spark.sparkContext._jsc.sc().getCheckpointDir()
-        root = at.get() if at.isDefined() else None
-    if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="tallyspark-")
-        spark.sparkContext.setCheckpointDir(root)
-    return root if urlparse(root).scheme else "file://" + root
-
-
-def workspace(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the shared one; it goes when the driver ends in the usual way."""
-    at = f"{shared_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
-    atexit.register(remove, spark, at)
-    return at
-
-
-def remove(spark: SparkSession, at: str) -> None:
-    try:
-        path = spark._jvm.org.apache.hadoop.fs.Path(at)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-    except Exception:  # noqa: BLE001  the session may be gone; the folder then stays
-        pass
-
-
-def materialise(df: DataFrame, at: str) -> DataFrame:
-    """Write ``df`` below the shared folder and read it back: cuts lineage, keeps sizes known."""
-    df.write.mode("overwrite").parquet(at)
-    return df.sparkSession.read.schema(df.schema).parquet(at)
+from ..sources.folders import materialise, remove, shared_root, workspace  # noqa: F401  for the operators
 
 
 def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -83,6 +49,23 @@ def only(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").alias(own) for own, c in columns.items()])
 
 
+def text_key(text: Column) -> Column:
+    """What tells the texts of one id apart; null for a null text."""
+    return F.when(text.isNotNull(), F.xxhash64(text))
+
+
+def one_of_each(docs: DataFrame, id_col: str, text_col: str, members: DataFrame) -> DataFrame:
+    """``members``: doc_id, text_key and root of every row of ``docs``. Of each root one row of ``docs``: the least by id (null
+    last) and text_key; of rows that are equal in both one."""
+    order = F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id").alias("b"), F.col("text_key").alias("c"))
+    kept = members.groupBy("root").agg(F.min(order).alias("k")).select("k.b", "k.c").distinct()
+    name, key, left, right = (free_name(docs, f"{x}_work") for x in ("id", "key", "kept_id", "kept_key"))
+    own = docs.withColumns({name: F.col(f"`{id_col}`"), key: text_key(F.col(f"`{text_col}`"))})
+    kept = kept.select(F.col("b").alias(left), F.col("c").alias(right))
+    found = own.join(kept, own[name].eqNullSafe(kept[left]) & own[key].eqNullSafe(kept[right]), "left_semi")
+    return found.dropDuplicates([name, key]).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def free_name(df: DataFrame, wanted: str) -> str:
     """A column name that ``df`` hasn't got."""
     taken = {c.lower() for c in df.columns}

@@ -1,17 +1,17 @@
 """SimHash near-duplicates: fingerprints, exact Hamming links through vantage-point shards, groups.
 
-Two 64-bit fingerprints within R bits agree within R // 2 bits in one of their 32-bit halves
-(R = 3: within one bit). Each half has a vantage-point tree whose levels are shells (equal
-Hamming distance) around fixed vantage points. By the triangle bound a half at distance one from
-another lies in the neighbouring shell of every vantage point, and an equal half in the same
-shells; so a fingerprint has one home shard in each tree and visits only the shards that its
-ball overlaps. Shards that stay large get more levels, and inside a shard further vantage points
-prune before the full distance is checked. Every link within R bits is found.
+Two 64-bit fingerprints within three bits are equal in one of their four 16-bit quarters. Each quarter has a
+vantage-point tree whose levels are shells (equal Hamming distance) around fixed vantage points. By the triangle bound
+an equal quarter lies in the same shell of every vantage point, so a fingerprint has one home shard in each tree and need
+visit no other. A shard that stays large is divided anew by trees over the other three quarters, one of which differs by
+one bit at most: there a quarter at distance one lies in the neighbouring shell of every vantage point, and a
+fingerprint also visits the shards that its ball of radius one overlaps. What stays large even then (most
+of its bits are the same) is dealt into parts of ``PART_ROWS`` that are compared two by two in separate tasks. Inside a
+shard a further vantage point prunes before the full distance is checked. Every link within three bits is found.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,12 +21,13 @@ from pyspark.sql import functions as F
 
 from . import textkernel as K
 from .components import connected_components, forest
-from .shared import free_name, materialise, only, workspace
+from .shared import materialise, one_of_each, only, text_key, workspace
 
-#: Vantage points: 32-bit values that follow from a rule.
-_POINTS = [int(x) & 0xFFFFFFFF for x in K.mix(np.arange(1, 17, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))]
-#: Fingerprints a shard may hold before it gets more levels, and the levels it then gets.
-SHARD_ROWS, DEEPER = 2000, 3
+#: Vantage points: 16-bit values that follow from a rule; a tree's levels, and those of a divided shard's trees.
+LEVELS, DEEPER = 8, 3
+_POINTS = [int(x) & 0xFFFF for x in K.mix(np.arange(1, LEVELS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))]
+#: Fingerprints a shard may hold before it is divided anew, and those of a divided one before it is dealt into parts.
+SHARD_ROWS, PART_ROWS = 2000, 8000
 #: Candidate pairs compared at a time inside a shard, and the size from which a shard is pruned by its own vantage points.
 _PAIRS, _LEAF = 1 << 20, 64
 
@@ -66,17 +67,18 @@ def simhash(data: np.ndarray, offsets: np.ndarray, shingle: int, seed: int = 42)
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5) -> DataFrame:
-    """doc_id and fp (the fingerprint as a signed long) of every row; a null or wordless text has fingerprint zero."""
+    """doc_id, text_key (a hash of the text) and fp (the fingerprint as a signed long) of every row; a null or wordless
+    text has fingerprint zero."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             data, off = K.text_buffer(b.column(1))
             fps = [np.zeros(0, np.uint64)]
             fps += [simhash(data[off[lo] : off[hi]], off[lo : hi + 1] - off[lo], shingle) for lo, hi in K.chunks(off)]
-            yield pa.record_batch([b.column(0), pa.array(np.concatenate(fps).view(np.int64))], names=["doc_id", "fp"])
+            yield pa.record_batch([b.column(0), b.column(2), pa.array(np.concatenate(fps).view(np.int64))], names=["doc_id", "text_key", "fp"])
 
-    src = only(docs, doc_id=id_col, text=text_col)
-    return src.mapInArrow(run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, fp long")
+    src = only(docs, doc_id=id_col, text=text_col).withColumn("text_key", text_key(F.col("text")))
+    return src.mapInArrow(run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, text_key long, fp long")
 
 
 def _ranges(n: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -128,41 +130,41 @@ def _in_shards(shard: np.ndarray, fp: np.ndarray, visits: np.ndarray, bits: int)
 def links(fps: DataFrame, bits: int = 3) -> DataFrame:
     """``fps``: one row for each distinct fp. Returns u and v: links within ``bits`` that connect what all such links connect."""
     if not 0 <= bits <= 3:
-        raise ValueError("the halves' trees are made for at most three differing bits")
-    n = fps.count()
-    levels = min(8, max(2, math.ceil(math.log10(max(n, 1) / 64 + 1))))
-
-    def shells(half: str, frm: int, to: int) -> str:
-        """The distances to vantage points frm..to, six bits each."""
-        return " | ".join(f"shiftleft(cast(bit_count(({half}) ^ {_POINTS[i]}L) as bigint), {6 * (i - frm)})" for i in range(frm, to)) or "0L"
-
-    def signs(k: int, fixed_first: bool) -> list[int]:
-        """What a step of one to each of k neighbouring shells adds to the packed distances; of two opposite steps one is enough."""
-        out = [0]
-        for i in range(k):
-            out = [x + s * (1 << 6 * i) for x in out for s in ((1,) if fixed_first and i == 0 else (1, -1))]
-        return out
-
-    rows = None
-    for tree, half in enumerate(("fp & 4294967295L", "shiftrightunsigned(fp, 32)")):
-        at = fps.selectExpr("fp", f"({half}) half", f"{tree} tree", f"{shells(half, 0, levels)} home")
-        steps = ", ".join(f"struct(home + ({s}L) as shard, {'true' if s else 'false'} as visits)" for s in [0, *signs(levels, True)])
-        at = at.selectExpr("fp", "half", "tree", f"inline(array({steps}))")
-        rows = at if rows is None else rows.unionByName(at)
-    large = rows.where("not visits").groupBy("tree", "shard").count().where(F.col("count") > SHARD_ROWS).selectExpr("tree", "shard", "true as large")
-    rows = rows.join(large, ["tree", "shard"], "left")
-    deeper = shells("half", levels, levels + DEEPER)
-    steps = ", ".join(f"deep + ({s}L)" for s in signs(DEEPER, False))
-    rows = rows.selectExpr("tree", "shard", "fp", "visits", "large", f"case when large then {deeper} else 0L end deep")
-    rows = rows.selectExpr("shard * 2 + tree shard", "fp", "visits", f"explode(case when large and visits then array({steps}) else array(deep) end) deep")
+        raise ValueError("the quarters' trees are made for at most three differing bits")
+    at = workspace(fps.sparkSession, "shards")
+
+    def quarter(k: int) -> str:
+        return f"(shiftrightunsigned(fp, {16 * (k % 4)}) & 65535L)"
+
+    def shells(k: int, levels: int) -> str:
+        """The quarter's distances to the first vantage points, five bits each."""
+        return " | ".join(f"shiftleft(cast(bit_count({quarter(k)} ^ {_POINTS[i]}L) as bigint), {5 * i})" for i in range(levels))
+
+    homes = ", ".join(f"struct({k} as tree, {shells(k, LEVELS)} as home)" for k in range(4))
+    rows = fps.selectExpr("fp", f"inline(array({homes}))")
+    large = materialise(rows.groupBy("tree", "home").count().where(F.col("count") > SHARD_ROWS).select("tree", "home", F.lit(True).alias("large")), f"{at}/large")
+    if large.isEmpty():
+        rows = rows.selectExpr("home * 4 + tree shard", "fp", "false visits", "0L deep", "0L part")
+    else:
+        # of a step of one to each neighbouring shell and its opposite one is enough: the other fingerprint takes it
+        signs = [0]
+        for i in range(DEEPER):
+            signs = [x + s * (1 << 5 * i) for x in signs for s in ((1,) if i == 0 else (1, -1))]
+        deeper = [f"case tree {' '.join(f'when {k} then {shells(k + sub, DEEPER)}' for k in range(4))} end" for sub in (1, 2, 3)]
+        cells = ", ".join(f"struct((d[{sub - 1}] + ({s}L)) * 4 + {sub} as deep, {'true' if s else 'false'} as visits)" for sub in (1, 2, 3) for s in [0, *signs])
+        rows = rows.join(large, ["tree", "home"], "left").selectExpr("home * 4 + tree shard", "fp", "large", f"case when large then array({', '.join(deeper)}) end d")
+        rows = rows.selectExpr("shard", "fp", "large", f"inline(case when large then array({cells}) else array(struct(0L as deep, false as visits)) end)")
+        full = rows.where("large").groupBy("shard", "deep").agg(F.ceil(F.count("*") / PART_ROWS).alias("parts")).where("parts > 1")
+        rows = rows.join(materialise(full, f"{at}/full"), ["shard", "deep"], "left").selectExpr("shard", "fp", "visits", "deep", "parts", "pmod(xxhash64(fp), parts) i")
+        rows = rows.selectExpr("shard", "fp", "visits", "deep", "explode(case when parts is null then array(0L) else transform(sequence(0L, parts - 1), j -> least(i, j) * 1000000L + greatest(i, j)) end) part")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = [np.zeros(0, np.int64)] * 4
+        kept = [np.zeros(0, np.int64)] * 5  # shard, deep and part, fp, visits
         found: list[tuple[np.ndarray, np.ndarray]] = []
 
-        def out(parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-            if len(parts[1]):
-                for a, b in _in_shards(np.stack(parts[::3], 1), parts[1].view(np.uint64), parts[2].astype(bool), bits):
+        def out(cols: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            if len(cols[0]):
+                for a, b in _in_shards(np.stack(cols[:3], 1), cols[3].view(np.uint64), cols[4].astype(bool), bits):
                     found.append((a, b))
                     if sum(len(x) for x, _ in found) > 4 * _PAIRS:
                         found[:] = [forest(np.concatenate([x for x, _ in found]), np.concatenate([x for _, x in found]))]
@@ -174,22 +176,18 @@ def links(fps: DataFrame, bits: int = 3) -> DataFrame:
         for b in batches:
             cols = [np.concatenate([k, b.column(i).to_numpy(zero_copy_only=False).astype(np.int64)]) for i, k in enumerate(kept)]
             if len(cols[0]):
-                change = np.flatnonzero((cols[0][1:] != cols[0][:-1]) | (cols[3][1:] != cols[3][:-1]))
+                change = np.flatnonzero((cols[0][1:] != cols[0][:-1]) | (cols[1][1:] != cols[1][:-1]) | (cols[2][1:] != cols[2][:-1]))
                 cut = int(change[-1]) + 1 if len(change) else 0
                 kept = [c[cut:] for c in cols]
                 yield from out([c[:cut] for c in cols])
         yield from out(kept)
 
-    by = rows.repartition("shard", "deep").sortWithinPartitions("shard", "deep", "visits")
-    return by.select("shard", "fp", "visits", "deep").mapInArrow(run, "u long, v long")
-
+    by = rows.repartition("shard", "deep", "part").sortWithinPartitions("shard", "deep", "part", "visits")
+    return by.select("shard", "deep", "part", "fp", "visits").mapInArrow(run, "u long, v long")
 
-def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, bits: int = 3) -> DataFrame:
-    """doc_id, fp and component_id (the least doc_id that links reach) of every row of ``docs``.
 
-    Equal fingerprints are one point throughout, so copies make no pairs. Repeated rows stay
-    repeated; a group all of whose ids are null has a null component_id.
-    """
+def _members(docs: DataFrame, id_col: str, text_col: str, shingle: int, bits: int) -> DataFrame:
+    """doc_id, text_key, fp, root (of the group) and component_id of every row of ``docs``."""
     at = workspace(docs.sparkSession, "simhash")
     fps = materialise(fingerprints(docs, id_col, text_col, shingle), f"{at}/fps")
     points = materialise(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), f"{at}/points")
@@ -197,17 +195,32 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shin
     rooted = points.join(joined, points.fp == joined.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     rooted = materialise(rooted, f"{at}/rooted")
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    member = rooted.select("fp", "root").join(least, "root").select(F.col("fp").alias("point"), "component_id")
-    return fps.join(member, fps.fp == member.point).select("doc_id", "fp", "component_id")
+    member = rooted.select("fp", "root").join(least, "root").select(F.col("fp").alias("point"), "root", "component_id")
+    return fps.join(member, fps.fp == member.point).select("doc_id", "text_key", "fp", "root", "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, bits: int = 3) -> DataFrame:
-    """The rows of ``docs`` (all its columns) whose id is their group's least; of rows under one id, one.
+def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, bits: int = 3) -> DataFrame:
+    """doc_id, fp and component_id (the least doc_id that links reach) of every row of ``docs``.
+
+    Equal fingerprints are one point throughout, so copies make no pairs. Repeated rows stay
+    repeated; a group all of whose ids are null has a null component_id; an empty table gives no rows.
+    """
+    return _members(docs, id_col, text_col, shingle, bits).select("doc_id", "fp", "component_id")
+
 
-    Rows without an id can't be told apart by it, so they stay, one for each text.
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, bits: int = 3, similar: float | None = None) -> DataFrame:
+    """Of each group of linked rows of ``docs`` one row, with all its columns: that of the least id (a null one comes
+    last), of several texts under it the one whose hash is least. So rows that share an id, or have none, are told apart
+    by their texts, and no text goes that isn't in a group with one that stays.
+
+    Without ``similar`` rows are linked by fingerprints within ``bits``. With it they are linked by a Jaccard
+    similarity of their shingles of at least ``similar``: the trees' links are checked by it and MinHash bands supply
+    those that lie further apart than ``bits``.
     """
-    keep, nameless = free_name(docs, "representative"), free_name(docs, "nameless")
-    kept = groups(docs, id_col, text_col, shingle, bits).where("doc_id = component_id or doc_id is null").select(F.col("doc_id").alias(keep)).distinct()
-    left = docs.join(kept, docs[f"`{id_col}`"].eqNullSafe(kept[keep]), "left_semi")
-    digest = F.when(F.col(f"`{id_col}`").isNull(), F.sha2(F.coalesce(F.concat(F.lit("="), F.col(f"`{text_col}`")), F.lit("-")), 256))
-    return left.withColumn(nameless, digest).dropDuplicates([id_col, nameless]).drop(nameless)
+    if similar is None:
+        members = _members(docs, id_col, text_col, shingle, bits)
+    else:
+        from .neardup import members as by_similarity
+
+        members = by_similarity(docs, id_col, text_col, shingle, similar, bits)
+    return one_of_each(docs, id_col, text_col, members)

@@ -3,7 +3,7 @@
 import numpy as np
 
 import corpus_pipeline
-from tallyspark.llm import neardup
+from tallyspark.llm import neardup, simhash
 
 
 def brute_set(text, k=5):
@@ -59,9 +59,19 @@ def test_large_buckets_go_in_blocks(spark, monkeypatch):
     assert [got[i] for i in range(60)] == brute_components(texts)[0]
 
 
-def test_rows_without_an_id_stay(spark):
-    rows = [(None, "one text of its own"), (None, "another text that is unlike it"), (None, "another text that is unlike it"), (None, None), (1, "a third"), (1, "a third"), (2, "a third")]
+def test_rows_are_told_apart_by_text(spark):
+    """Rows without an id, and different texts under one id, are judged by their texts; one row of each group stays."""
+    long = " ".join(f"w{i}" for i in range(60))
+    rows = [(None, "one text of its own"), (None, "another text that is unlike it"), (None, "another text that is unlike it"), (None, None), (1, "a third"), (1, "a third"), (2, "a third"), (5, long), (5, "other words under this id"), (None, long + " more")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    kept = neardup.drop_near_duplicates(docs)
-    assert sorted(map(str, map(tuple, kept.collect()))) == sorted(map(str, [rows[0], rows[1], rows[3], rows[4]]))
-    assert neardup.drop_near_duplicates(docs.limit(0)).count() == 0
+    kept = simhash.drop_near_duplicates(docs, similar=0.8)
+    assert sorted(map(str, map(tuple, kept.collect()))) == sorted(map(str, [rows[k] for k in (0, 1, 3, 4, 7, 8)]))
+    assert kept.columns == docs.columns and simhash.drop_near_duplicates(docs.limit(0), similar=0.8).count() == 0
+
+
+def test_trees_alone_miss_what_the_bands_find(spark):
+    """At similarities of 0.8 and more most pairs lie more than three bits apart: both kinds of candidates are needed."""
+    texts = planted()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    alone, both = simhash.drop_near_duplicates(docs).count(), simhash.drop_near_duplicates(docs, similar=0.8).count()
+    assert both == len(set(brute_components(texts)[0])) < alone

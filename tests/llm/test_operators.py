@@ -164,11 +164,31 @@ def test_op5_brute_force(awkward):
     assert simhash.groups(awkward.limit(0)).count() == 0
 
 
-def test_op5_rows_without_an_id_stay(spark):
-    rows = [(None, "one text of its own"), (None, "another text that is unlike it"), (None, "another text that is unlike it"), (None, None), (1, "a third"), (1, "a third"), (2, "a third")]
+def test_op5_rows_are_told_apart_by_text(spark):
+    rows = [(None, "one text of its own"), (None, "another text that is unlike it"), (None, "another text that is unlike it"), (None, None), (1, "a third"), (1, "a third"), (2, "a third"), (2, "two texts under one id")]
     kept = simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle=3)
     assert kept.columns == ["doc_id", "text"]
-    assert sorted(map(str, map(tuple, kept.collect()))) == sorted(map(str, [rows[0], rows[1], rows[3], rows[4]]))
+    assert sorted(map(str, map(tuple, kept.collect()))) == sorted(map(str, [rows[0], rows[1], rows[3], rows[4], rows[7]]))
+
+
+@pytest.mark.parametrize("rows, part", [(5, 6), (20, 8000), (2000, 8000)])
+@pytest.mark.parametrize("hot", [0, 16, 32, 48])
+def test_op5_links_lose_nothing_in_any_shard(spark, monkeypatch, rows, part, hot):
+    """Shards divided anew and dealt into parts, also where ``hot`` low bits are the same in all fingerprints."""
+    monkeypatch.setattr(simhash, "SHARD_ROWS", rows)
+    monkeypatch.setattr(simhash, "PART_ROWS", part)
+    rng = np.random.default_rng(hot)
+    base = [int(x) for x in rng.integers(0, 2**63, 150)]
+    f = base + [x ^ sum(1 << int(b) for b in rng.choice(64 - hot, int(rng.integers(1, 5)), replace=False) + hot) for x in base * 3]
+    f = np.unique(np.array([(x >> hot << hot) & (2**63 - 1) for x in f], np.int64))
+    u = f.view(np.uint64)
+    pairs = [(i, j) for i in range(len(u)) for j in i + 1 + np.flatnonzero(np.bitwise_count(u[i + 1 :] ^ u[i]) <= 3)]
+    a, b = components.forest(f[[i for i, _ in pairs]], f[[j for _, j in pairs]])
+    want = dict(zip(a.tolist(), b.tolist(), strict=True))
+    got = simhash.links(spark.createDataFrame([(int(x),) for x in f], "fp long")).collect()
+    assert all(bin((r.u ^ r.v) & (2**64 - 1)).count("1") >= 1 for r in got)
+    a, b = components.forest(np.array([r.u for r in got]), np.array([r.v for r in got]))
+    assert dict(zip(a.tolist(), b.tolist(), strict=True)) == want
 
 
 def test_op5_links_lose_nothing(spark):
