@@ -14,16 +14,16 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import textkernel as K
-from .shared import only
+from .shared import materialise, only, workspace
 
 #: Bits of a feature's hash: the weights take 2 ** BITS * 4 bytes wherever they are.
 BITS = 18
-#: Labelled rows used for training at most: those whose ids hash lowest.
-TRAIN_ROWS = 6000
+#: Labelled rows used for training, and bytes of their texts, at most: those whose ids hash lowest. One task learns from them.
+TRAIN_ROWS, TRAIN_BYTES = 6000, 64 << 20
 #: FTRL-proximal's parameters, and passes over the rows.
 ALPHA, BETA, L1, L2, EPOCHS = 0.5, 1.0, 1e-4, 1e-4, 3
 
@@ -87,15 +87,21 @@ def train(rows: list[tuple[np.ndarray, int]], epochs: int = EPOCHS) -> np.ndarra
     return w.astype(np.float32)
 
 
-def fit(docs: DataFrame, labels: DataFrame, keep: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", rows: int = TRAIN_ROWS) -> np.ndarray:
-    """Learn from at most ``rows`` labelled rows for which ``keep`` (over the column doc_id) holds.
+def fit(docs: DataFrame, labels: DataFrame, keep: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", rows: int = TRAIN_ROWS, size: int = TRAIN_BYTES) -> np.ndarray:
+    """Learn from at most ``rows`` labelled rows, and ``size`` bytes of text, for which ``keep`` (over the column doc_id) holds.
 
-    Of several labels of one id the larger counts; null labels and ids don't. The labels that are used
-    are at most ``rows`` small rows, so they go to the texts.
+    Of several labels of one id the larger counts, of several texts the least; null labels and ids don't. Without any
+    labelled text all weights are zero (every score is 0.5). The labels that are used are at most ``rows`` small
+    rows, so they go to the texts.
     """
     own = only(labels, doc_id=id_col, label=label_col).where("doc_id is not null and label is not null").where(keep)
     own = own.groupBy("doc_id").agg(F.max("label").cast("int").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    src = only(docs, doc_id=id_col, text=text_col).join(F.broadcast(own), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.min("label").alias("label")).select("doc_id", "label", "text")
+    src = only(docs, doc_id=id_col, text=text_col).join(F.broadcast(own), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.min("label").alias("label"))
+    src = materialise(src, workspace(docs.sparkSession, "training"))
+    sizes = src.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n"))
+    total = F.sum("n").over(Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0))  # at most ``rows`` numbers
+    some = sizes.withColumn("total", total).where(F.col("total") <= size).select("doc_id")
+    src = src.join(F.broadcast(some), "doc_id", "left_semi").select("doc_id", "label", "text")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -117,7 +123,8 @@ def fit(docs: DataFrame, labels: DataFrame, keep: Column, id_col: str = "doc_id"
 
 
 def score(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and score of every row; a null or empty text scores by the bias alone."""
+    """doc_id and score of every row; a null or empty text scores by the bias alone. Repeated rows and null ids stay rows
+    of their own, an empty table gives no rows; a long text is worked on whole."""
     sent = docs.sparkSession.sparkContext.broadcast(weights)  # 2 ** BITS + 1 numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
