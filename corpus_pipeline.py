@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import decontam, linedup, neardup, packing, quality_rules
+from tallyspark.llm import decontam, linedup, packing, quality_rules, simhash
 from tallyspark.llm.shared import materialise, table, workspace
 
 
@@ -27,7 +27,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies (five-word shingles, Jaccard similarity 0.8 or more) the document with the least doc_id stays."""
-    return neardup.drop_near_duplicates(docs, shingle=5, similar=0.8)
+    return simhash.drop_near_duplicates(docs, shingle=5, bits=3, similar=0.8)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,6 +47,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages one after another over all of ``documents``: the packed pieces of what is left.
+
+    Null texts and empty ones fail the quality rules; rows without an id, repeated rows and further columns (whatever their
+    names) go through like others; an empty table gives no rows."""
     docs, at = table(spark, sf_dir, "documents"), workspace(spark, "pipeline")
     for k, (_, stage) in enumerate(STAGES):
         docs = materialise(stage(spark, docs, sf_dir), f"{at}/{k}")
