@@ -53,19 +53,19 @@ def base_statistics(docs: DataFrame, text_col: str = "text", prefix: str = "") -
     """``docs`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_upper and base_failed
     (names after ``prefix``); a null text has no words."""
     text, w, h, n = (free_name(docs, f"{x}_work") for x in ("text", "words", "windows", "lines"))
-    squeeze = lambda c: F.translate(c, SPACES, "")
     out = docs.withColumn(text, F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
-    out = out.withColumns({w: F.filter(F.split(F.col(text), r"[ \t-\r]+"), lambda x: x != ""), n: F.filter(F.split(F.col(text), "\n"), lambda x: F.length(squeeze(x)) > 0)})
-    third = lambda x, i: F.xxhash64(x, F.get(F.col(w), i + 1), F.get(F.col(w), i + 2))
-    out = out.withColumn(h, F.when(F.size(w) >= 3, F.transform(F.slice(F.col(w), F.lit(1), F.greatest(F.size(w) - 2, F.lit(0))), third)).otherwise(F.array().cast("array<bigint>")))
-    no_upper = F.translate(F.col(text), "ABCDEFGHIJKLMNOPQRSTUVWXYZÀÂÄÇÈÉÊËÎÏÔÖÙÛÜÑÁÍÓÚ", "")
+    out = out.withColumns({w: F.filter(F.split(F.col(text), r"[ \t-\r]+"), lambda x: x != ""), n: F.filter(F.split(F.col(text), "\n"), lambda x: x.rlike(r"[^ \t-\r]"))})
+    # each word is hashed once, and each window of three hashes
+    third = lambda words: F.transform(F.slice(words, F.lit(1), F.greatest(F.size(words) - 2, F.lit(0))), lambda x, i: F.xxhash64(x, F.get(words, i + 1), F.get(words, i + 2)))
+    hashed = F.transform(F.col(w), lambda x: F.xxhash64(x))
+    out = out.withColumn(h, F.when(F.size(w) >= 3, _let(hashed, third)).otherwise(F.array().cast("array<bigint>")))
     out = out.withColumns({
         f"{prefix}n_words": F.size(w).cast("long"),
-        f"{prefix}word_chars": F.length(squeeze(F.col(text))).cast("long"),
-        f"{prefix}n_symbols": (F.length(text) - F.length(F.translate(F.col(text), SYMBOLS, ""))).cast("long"),
+        f"{prefix}word_chars": F.length(F.array_join(w, "")).cast("long"),
+        f"{prefix}n_symbols": F.regexp_count(text, F.lit(f"[{SYMBOLS}]")).cast("long"),
         f"{prefix}n_dup_lines": (F.size(n) - F.size(F.array_distinct(n))).cast("long"),
         f"{prefix}n_repeat_words": F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(_covered(F.col(h))).cast("long"),
-        f"{prefix}n_upper": (F.length(text) - F.length(no_upper)).cast("long"),
+        f"{prefix}n_upper": F.regexp_count(text, F.lit("[A-ZÀÂÄÇÈÉÊËÎÏÔÖÙÛÜÑÁÍÓÚ]")).cast("long"),
     }).drop(text, w, h, n)
     words, again = F.col(f"{prefix}n_words"), F.col(f"{prefix}n_repeat_words")
     return out.withColumn(f"{prefix}base_failed", (words < 50) | (100 * again > 50 * words))
