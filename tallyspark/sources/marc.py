@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from urllib.parse import unquote, urlparse
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,7 +16,8 @@ _DATA = T.StructType([T.StructField("_tag", T.StringType()), T.StructField("subf
 #: All text: inferred types would turn a record's number into an integer.
 RECORD = T.StructType([T.StructField("controlfield", T.ArrayType(_CONTROL)), T.StructField("datafield", T.ArrayType(_DATA))])
 
-#: Fixed value: the catalogue's address of a record.
+#: MARCXML's namespace, and the catalogue's address of a record.
+NAMESPACE = "http://www.loc.gov/MARC21/slim"
 RECORD_URL = "https://searchlibrary.ohchr.org/record/"
 
 
@@ -61,8 +62,12 @@ def from_text(rows: DataFrame, xml: str, file: Column, pos: Column) -> DataFrame
     return rows.select(file.alias("file"), pos.alias("pos"), F.from_xml(F.col(xml), RECORD, {"rowTag": "record"}).alias("record"))
 
 
+#: The field of a roll-call's votes: many times as many as of all others.
+VOTE = "967"
+
+
 def _fields(tag: str) -> Column:
-    return F.filter(F.coalesce(F.col("record.datafield"), F.array().cast(T.ArrayType(_DATA))), lambda d: d["_tag"] == tag)
+    return F.col("rolls") if tag == VOTE else F.filter("others", lambda d: d["_tag"] == tag)
 
 
 def _has(field: Column, code: str) -> Column:
@@ -94,8 +99,9 @@ def parse(records: DataFrame) -> DataFrame:
     """A wide row for every record with an id; of records with one id the first by (file, pos)."""
     control = F.filter(F.col("record.controlfield"), lambda c: c["_tag"] == "001")
     wide = records.withColumn("record_id", R.strip(R.filled(F.try_element_at(control, F.lit(-1))["_VALUE"]))).where("record_id <> ''")
-    order = Window.partitionBy("record_id").orderBy("file", "pos")
-    wide = wide.withColumn("nth", F.row_number().over(order)).where("nth = 1").drop("nth")
+    # votes apart from the rest, so that the other columns look through a few fields only
+    of = F.coalesce(F.col("record.datafield"), F.array().cast(T.ArrayType(_DATA)))
+    wide = wide.select("record_id", "file", "pos", F.filter(of, lambda d: d["_tag"] == VOTE).alias("rolls"), F.filter(of, lambda d: d["_tag"] != VOTE).alias("others"))
     date = R.iso_date(R.first_filled(_first("269", "a"), _first("992", "a")))
     title = F.array_join(F.filter(F.array(_of_first("245", "a"), _of_first("245", "b")), lambda x: x != ""), " ")
     notes = F.transform(F.filter(_fields("500"), lambda d: _has(d, "a")), lambda d: _value(d, "a"))
@@ -106,12 +112,13 @@ def parse(records: DataFrame) -> DataFrame:
         "agenda_item_no": _first("991", "b"), "agenda_item_title": _first("991", "c"), "agenda_symbol": _first("991", "a"), "agenda_subject": _first("991", "d"),
         "main_sponsors": R.sponsors(notes), "draft": R.first_filled(_first("993", "a"), _first("991", "a")),
         "yes": _of_first("996", "b"), "no": _of_first("996", "c"), "abstain": _of_first("996", "d"), "nonvoting": _of_first("996", "e"), "total": _of_first("996", "f"),
-        "n_rollcall": F.size(_fields("967")),
+        "n_rollcall": F.size(_fields(VOTE)),
         "url_resolution": _link(lambda y: has(y, "resolution") & ~has(y, "draft")), "url_draft": _link(lambda y: has(y, "draft")),
         "record_url": F.concat(F.lit(RECORD_URL), "record_id"),
     }
-    votes = F.transform(_fields("967"), lambda d: F.struct(_value(d, "a").alias("seq"), _value(d, "b").alias("b"), _value(d, "d").alias("d"), _value(d, "e").alias("e")))
-    return wide.select("record_id", *[c.alias(n) for n, c in columns.items()], votes.alias("rollcall"), "file", "pos")
+    votes = F.transform(_fields(VOTE), lambda d: F.struct(_value(d, "a").alias("seq"), _value(d, "b").alias("b"), _value(d, "d").alias("d"), _value(d, "e").alias("e")))
+    flat = wide.select("record_id", F.struct("file", "pos").alias("place"), F.struct(*[c.alias(n) for n, c in columns.items()], votes.alias("rollcall"), "file", "pos").alias("row"))
+    return flat.groupBy("record_id").agg(F.min_by("row", "place").alias("row")).select("record_id", "row.*")
 
 
 def resolutions(parsed: DataFrame) -> DataFrame:
@@ -133,6 +140,12 @@ def merged(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
+def write(records: DataFrame, path: str) -> None:
+    """The records as collections of MARCXML, a file for each partition."""
+    rows = records.select(F.col("record.controlfield").alias("controlfield"), F.col("record.datafield").alias("datafield"))
+    rows.write.mode("overwrite").format("xml").option("rootTag", f'collection xmlns="{NAMESPACE}"').option("rowTag", "record").save(path)
+
+
 def record_ids(text: DataFrame, column: str = "value") -> DataFrame:
     """Ids straight from the XML's text, without parsing it."""
     pattern = r'<controlfield tag="001">\s*([0-9]+)\s*</controlfield>'

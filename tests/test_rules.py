@@ -162,6 +162,17 @@ def test_file_order_decides_between_records_of_one_id(spark, tmp_path):
     assert [r.record_id for r in marc.record_ids(text).collect()] == ["5"] * 4
 
 
+def test_pages_are_merged_into_one_catalogue(spark, tmp_path):
+    """Two pages with a record in common, written as one catalogue and read back."""
+    for name, ids in (("1", "12"), ("2", "23")):
+        (tmp_path / f"{name}.xml").write_text(XML.format("".join(record(i, field("245", ("a", f"t{i} & é")), field("967", ("b", "AAA"), ("d", "Y"))) for i in ids).replace("&", "&amp;")))
+    pages = marc.merged([marc.read(spark, str(tmp_path / f"{k}.xml")) for k in "12"])
+    first = pages.groupBy(F.col("record.controlfield")[0]["_VALUE"].alias("id")).agg(F.min_by("record", F.struct("file", "pos")).alias("record"))
+    marc.write(first.coalesce(1), str(tmp_path / "all"))
+    back = marc.parse(marc.read(spark, str(tmp_path / "all")))
+    assert sorted((r.record_id, r.title, r.n_rollcall) for r in back.collect()) == [(i, f"t{i} & é", 1) for i in "123"]
+
+
 def test_what_is_to_be_fetched(spark):
     names = spark.createDataFrame([("1999",), ("2000",), ("2001",), ("2002",)], "name string")
     have = spark.createDataFrame([("1999", 5000, 150), ("2000", 100, 0), ("2001", 9000, 200)], "name string, n_bytes long, n_records long")
