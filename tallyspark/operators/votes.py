@@ -124,11 +124,21 @@ def latest_name(votes: DataFrame, name: str, order: list[str]) -> DataFrame:
     return votes.groupBy("state").agg(F.max_by(name, key).alias("name"))
 
 
+#: Resolutions of a part of the vote matrix: what one task sorts for one state.
+PART = 1 << 16
+
+
+def vote_parts(votes: DataFrame, index: DataFrame) -> DataFrame:
+    """The vote matrix in parts of ``PART`` resolutions: state, part, and r and v of equal length, in order."""
+    part = F.floor(F.col("ri") / PART).alias("part")
+    rows = votes.join(index, "record_id").groupBy("state", part).agg(F.sort_array(F.collect_list(F.struct("ri", "pos", vote_code(F.col("code")).alias("c")))).alias("x"))
+    return rows.select("state", "part", F.transform("x", lambda e: e["ri"]).alias("r"), F.array_join(F.transform("x", lambda e: e["c"]), "").alias("v"))
+
+
 def vote_matrix(votes: DataFrame, index: DataFrame) -> DataFrame:
-    """For each state its resolutions' numbers and its codes, in order: r and v of equal length."""
-    code = vote_code(F.col("code"))
-    rows = votes.join(index, "record_id").groupBy("state").agg(F.sort_array(F.collect_list(F.struct(F.col("ri"), F.col("pos"), code.alias("c")))).alias("x"))
-    return rows.select("state", F.transform("x", lambda e: e["ri"]).alias("r"), F.array_join(F.transform("x", lambda e: e["c"]), "").alias("v"))
+    """For each state its resolutions' numbers and its codes, in order: the parts one after another, as a browser reads them."""
+    whole = vote_parts(votes, index).groupBy("state").agg(F.sort_array(F.collect_list(F.struct("part", "r", "v"))).alias("x"))
+    return whole.select("state", F.flatten(F.transform("x", lambda e: e["r"])).alias("r"), F.array_join(F.transform("x", lambda e: e["v"]), "").alias("v"))
 
 
 def dense_index(recorded: DataFrame, order: str = "record_id") -> DataFrame:

@@ -584,6 +584,115 @@ def partitions_to_fetch(s, d):
     return ingest.to_fetch(res.select("name"), have, forced=("1995", "1998"), page=2000)
 
 
+@_query(r"""SELECT record_id, CASE WHEN record_id % 3 = 0 THEN 'Cuba, ' || state ELSE '' END AS sponsors, CASE WHEN record_id % 2 = 0 THEN 'HRC' ELSE 'CHR' END AS body,
+  CASE WHEN regexp_matches(iso, '\$') OR length(iso) > 3 THEN CASE WHEN regexp_extract(iso, '^([A-Za-z]{2,3})', 1) <> '' THEN upper(regexp_extract(iso, '^([A-Za-z]{2,3})', 1)) ELSE iso[1:3] END ELSE iso END AS iso3,
+  coalesce(nullif(CASE WHEN contains(iso, '$e') THEN regexp_extract(iso, '\$e(.+)$', 1) ELSE '' END, ''), '') AS country, regexp_replace(symbol, '[^A-Za-z0-9._-]', '_', 'g') AS file,
+  regexp_extract(page, '(?i)href="(E/[^"]+\.(?:doc|pdf))"', 1) AS link, TRY_CAST(CASE WHEN regexp_matches(digits, '^[0-9]+$') THEN digits END AS INT) AS number, coalesce(TRY_CAST(CASE WHEN regexp_matches(digits, '^[0-9]+$') THEN digits END AS INT) + 0 + 1 > 0, false) AS totals,
+  CASE code WHEN 'Y' THEN 'Y' WHEN 'N' THEN 'N' WHEN 'A' THEN 'A' WHEN '.' THEN '.' ELSE '-' END AS code, CASE WHEN length(day) = 8 THEN day[1:4] || '-' || day[5:6] || '-' || day[7:8] ELSE day END AS date, CASE WHEN length(day) >= 4 THEN day[1:4] ELSE '' END AS year
+  FROM (SELECT record_id, pos, state, code, CASE record_id % 4 WHEN 0 THEN 'ven$eVENEZUELA ' || pos WHEN 1 THEN '12345' WHEN 2 THEN 'ab' ELSE 'FRA' END AS iso, 'E/CN.4/' || record_id || ' (' || pos || ')' AS symbol,
+    '<a HREF="' || CASE WHEN record_id % 2 = 0 THEN 'E' ELSE 'F' END || '/CN 4-' || record_id || '.pdf">' AS page, CASE WHEN record_id % 5 = 0 THEN ' 7' WHEN record_id % 5 = 1 THEN '' ELSE CAST(record_id AS VARCHAR) END AS digits, CASE record_id % 3 WHEN 0 THEN '20010203' WHEN 1 THEN '1999' ELSE 'n' END AS day FROM votes)""")
+def text_rules(s, d):
+    """The rules on texts that have every form they know."""
+    key, pos = F.col("record_id"), F.col("pos").cast("string")
+    text = key.cast("string")
+    v = P.votes(s, d).select(
+        "record_id", "code", F.when(key % 3 == 0, F.array(F.lit("Note"), F.concat(F.lit(" main sponsor :Cuba, "), "state"))).otherwise(F.array(F.lit("Other"))).alias("notes"),
+        F.when(key % 2 == 0, "The Council").otherwise("Commission").alias("body"),
+        F.when(key % 4 == 0, F.concat(F.lit("ven$eVENEZUELA "), pos)).when(key % 4 == 1, "12345").when(key % 4 == 2, "ab").otherwise("FRA").alias("iso"),
+        F.concat(F.lit("E/CN.4/"), text, F.lit(" ("), pos, F.lit(")")).alias("symbol"),
+        F.concat(F.lit('<a HREF="'), F.when(key % 2 == 0, "E").otherwise("F"), F.lit("/CN 4-"), text, F.lit('.pdf">')).alias("page"),
+        F.when(key % 5 == 0, " 7").when(key % 5 == 1, "").otherwise(text).alias("digits"),
+        F.when(key % 3 == 0, "20010203").when(key % 3 == 1, "1999").otherwise("n").alias("day"),
+    )
+    date = R.iso_date(F.col("day"))
+    return v.select(
+        "record_id", R.sponsors(F.col("notes")).alias("sponsors"), R.body_code(F.col("body")).alias("body"), R.repaired_iso(F.col("iso")).alias("iso3"), R.recovered_name(F.col("iso"), F.lit("")).alias("country"),
+        R.safe_name(F.col("symbol")).alias("file"), R.document_link(F.col("page")).alias("link"), R.number(F.col("digits")).alias("number"), R.has_totals(F.col("digits"), F.lit("0"), F.lit("1")).alias("totals"),
+        R.vote_code(F.col("code")).alias("code"), date.alias("date"), R.year_text(F.col("day")).alias("year"),
+    )
+
+
+def _records(s: SparkSession, d: str, parts: int) -> DataFrame:
+    """Records as a catalogue has them: control number, titles, dates, notes, links and votes."""
+    one = lambda tag, *subs: F.concat(F.lit(f'<datafield tag="{tag}">'), *[x for code, c in subs for x in (F.lit(f'<subfield code="{code}">'), c, F.lit("</subfield>"))], F.lit("</datafield>"))
+    code = F.when((F.col("code") == "Y") & (F.col("pos") % 2 == 0), "y").otherwise(F.col("code"))
+    state = F.when(F.col("pos") % 3 == 0, F.concat(F.lit("VEN$e"), "state")).otherwise(F.substring("state", 1, 3))
+    vote = F.struct("pos", "part", one("967", ("a", F.col("pos").cast("string")), ("b", state), ("d", code), ("e", F.when(F.col("pos") % 3 == 0, "").otherwise(F.col("grp")))).alias("x"))
+    rolls = P.votes(s, d).groupBy("record_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(vote)), lambda v: v["x"]), "").alias("rolls"))
+    key = F.col("record_id").cast("string")
+    fields = [one("245", ("a", F.col("title")), ("b", F.lit("b"))), one("269", ("a", F.concat(F.col("year").cast("string"), F.lit("0215")))), one("500", ("a", F.concat(F.lit("Main sponsors: "), "subject"))), one("856", ("u", F.concat(F.lit("d/"), key)), ("y", F.lit("Draft resolution"))), one("856", ("u", F.concat(F.lit("r/"), key)), ("y", F.lit("Resolution"))), one("996", ("b", F.lit("3")))]
+    text = F.concat(F.lit("<record>"), F.concat(F.lit('<controlfield tag="001"> '), key, F.lit("</controlfield>")), *fields, "rolls", F.lit("</record>"))
+    made = P.resolutions(s, d, False).join(rolls, "record_id").select("record_id", text.alias("xml")).repartition(parts, "record_id")
+    return marc.from_text(made, "xml", F.lit("made"), F.lit(0))
+
+
+@_query("SELECT CAST(record_id AS VARCHAR) AS record_id, title || ' b' AS title, year || '-02-15' AS date, subject AS main_sponsors, 'r/' || record_id AS url_resolution, 'd/' || record_id AS url_draft, '3' AS yes, n AS n_rollcall, 'https://searchlibrary.ohchr.org/record/' || record_id AS record_url FROM res0 JOIN (SELECT record_id, CAST(count(*) AS INT) AS n FROM votes GROUP BY 1) USING (record_id)")
+def marc_files(s, d):
+    """A catalogue written to files, read back record by record and parsed."""
+    at = workspace(s, "catalogue")
+    marc.write(_records(s, d, 3), at)
+    return marc.parse(marc.read(s, at)).select("record_id", "title", "date", "main_sponsors", "url_resolution", "url_draft", "yes", "n_rollcall", "record_url")
+
+
+@_query("SELECT CAST(record_id AS VARCHAR) AS record_id, CAST(year AS VARCHAR) AS year, CAST(pos AS VARCHAR) AS seq, CASE WHEN pos % 3 = 0 THEN 'VEN' ELSE state[1:3] END AS iso3, CASE WHEN pos % 3 = 0 THEN state ELSE grp END AS country, code AS vote FROM votes")
+def marc_votes(s, d):
+    """A row for each vote, with its record's columns."""
+    return marc.votes_long(marc.parse(_records(s, d, 3))).select("record_id", "year", "seq", "iso3", "country", "vote")
+
+
+@_query("SELECT CAST(record_id AS VARCHAR) AS record_id, count(*) AS n FROM votes GROUP BY 1")
+def ingested_twice(s, d):
+    """Files ingested by two runs, some of them there only for the second: every record once, and nothing else."""
+    source, out = workspace(s, "harvest"), workspace(s, "ingested")
+    records = _records(s, d, 2)
+    odd = F.crc32(F.col("record.controlfield")[0]["_VALUE"].cast("binary")) % 2 == 1
+    marc.write(records.where(odd), f"{source}/a")
+    ingest.ingest_new(s, f"{source}/*", f"{out}/rows", f"{out}/log")
+    marc.write(records.where(~odd), f"{source}/b")
+    for _ in range(2):
+        ingest.ingest_new(s, f"{source}/*", f"{out}/rows", f"{out}/log")
+    parsed = marc.parse(s.read.parquet(f"{out}/rows"))
+    return parsed.groupBy("record_id").agg(F.sum("n_rollcall").alias("n"))
+
+
+@_query("SELECT record_id, symbol, title, draft, date, year, body, vote_type, agenda_subject, agenda_item_title, yes, no, abstain, n_rollcall FROM cat")
+def csv_files(s, d):
+    """The catalogue as CSV and back."""
+    at, rows = workspace(s, "csv"), P.catalogue(s, d).select("record_id", "symbol", "title", "draft", "date", "year", "body", "vote_type", "agenda_subject", "agenda_item_title", "yes", "no", "abstain", "n_rollcall")
+    files.write_csv(rows, at, "record_id")
+    return files.read_csv(s, at, rows.schema)
+
+
+@_query("SELECT state, year, count(*) FILTER (WHERE code = 'Y') AS yes, count(*) FILTER (WHERE code = 'N') AS no, count(*) FILTER (WHERE code = 'A') AS abstain, round(count(*) FILTER (WHERE code = 'Y') * 100.0::DOUBLE / count(*), 4) AS yes_pct FROM one GROUP BY 1, 2")
+def exported_composition(s, d):
+    """A chart's rows exported under their title and source, and read back."""
+    at, rows = workspace(s, "export"), V.composition(_one(s, d))
+    files.write_export(rows, at, "Votes, by year", "Somewhere", ("state", "year"), bom=True)
+    return files.read_export(s, at, rows.schema)
+
+
+@_query(_SHAPES + " SELECT * FROM shp")
+def geojson_shapes(s, d):
+    """The map's features written as GeoJSON, read back and drawn."""
+    at = workspace(s, "geojson")
+    feature = F.struct("id", F.struct("name").alias("properties"), F.struct(F.when(F.col("pos") % 2 == 0, "MultiPolygon").otherwise("Polygon").alias("type"), F.when(F.col("pos") % 2 == 0, F.to_json("polygons")).otherwise(F.to_json(F.col("polygons")[0])).alias("coordinates")).alias("geometry"))
+    rows = _features(s, d).select("pos", F.regexp_replace(F.replace(F.to_json(feature), F.lit('\\"'), F.lit('"')), r'"(\[.*\])"', "$1").alias("f"))
+    text = rows.agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pos", "f"))), lambda x: x["f"]), ",").alias("f")).select(F.concat(F.lit('{"type":"FeatureCollection","features":['), "f", F.lit("]}")).alias("value"))
+    text.coalesce(1).write.text(at)
+    return geo.shapes(files.read_geojson(s, f"{at}/part-*"))
+
+
+@_query("SELECT CAST(record_id AS VARCHAR) AS symbol, CASE WHEN record_id % 7 = 0 THEN 'missing' WHEN record_id % 11 < 5 THEN 'tiny' ELSE 'ok' END AS status FROM res0 WHERE record_id % 3 <> 0")
+def mirror_log(s, d):
+    """What became of documents, appended to a log in two turns."""
+    at = workspace(s, "mirrorlog")
+    key = F.col("record_id")
+    rows = P.resolutions(s, d, False).where("record_id % 3 <> 0").select(key.cast("string").alias("symbol"), ingest.outcome(key % 11 * 100, F.when(key % 7 == 0, "").otherwise("link")).alias("status"), F.lit("f").alias("file"))
+    for turn in (1, 2):
+        ingest.append_log(rows.where(F.col("symbol").cast("long") % 3 == turn), at)
+    return s.read.csv(at, schema=ingest.LOG).select("symbol", "status")
+
+
 def queries() -> dict:
     return dict(_Q)
 

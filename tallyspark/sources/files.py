@@ -16,7 +16,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, **optio
 def write_csv(df: DataFrame, path: str, *order: str) -> None:
     """One file in a fixed order, for people; quotes are doubled and empty cells stay empty."""
     out = df.orderBy(*order) if order else df
-    out.coalesce(1).write.mode("overwrite").csv(path, header=True, escape='"', emptyValue="", nullValue="")
+    out.coalesce(1).write.mode("overwrite").csv(path, header=True, escape='"', emptyValue="", nullValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 def write_export(df: DataFrame, path: str, title: str, source: str, order: tuple[str, ...] = (), bom: bool = False) -> None:
