@@ -37,7 +37,7 @@ STEP = 1024
 #: Ids are below this: readers hold a table of so many entries at most.
 MOST_IDS = 1 << 24
 #: Ids of a shard; occurrences from which a rule (two symbols) is shorter than what it replaces; the bar's fall from round to round.
-SHARD_TOKENS, LEAST, SHRINK = 2_000_000, 3, 8
+SHARD_TOKENS, LEAST, SHRINK = 2_000_000, 3, 16
 #: Ids up to which an expansion is held whole while decoding: longer ones are taken apart first.
 _WHOLE = 64
 _NONE = np.iinfo(np.int32).max

@@ -158,16 +158,18 @@ class Encoder:
     def library(self, text: str) -> list[int]:
         return self.whole.encode(text, add_special_tokens=False).ids
 
+    def _model(self, piece: str) -> list[int]:
+        """A pre-token's ids by the library's model."""
+        if piece.isascii() and piece > " ":  # a visible character, or a space before some: white space has letters of its own
+            shown = self.letters[32] + piece[1:] if piece[0] == " " else piece
+        else:
+            shown = piece.encode().decode("latin-1").translate(self.letters)
+        return [t.id for t in self.tokenize(shown)]
+
     def _piece(self, piece: str) -> list[int]:
         ids = self.pieces.get(piece)
         if ids is None:
-            if piece.isascii() and piece[1:].isalpha() and piece[0] == " ":
-                shown = self.letters[32] + piece[1:]
-            elif piece.isascii() and piece.isalpha():
-                shown = piece
-            else:
-                shown = piece.encode().decode("latin-1").translate(self.letters)
-            ids = [t.id for t in self.tokenize(shown)]
+            ids = self._model(piece)
             if len(self.pieces) >= 20_000:
                 self.pieces.clear()
             self.pieces[piece] = ids
@@ -179,7 +181,7 @@ class Encoder:
         if self.words:
             chunk = chunk.lower()
         if chunk.isascii() and "'" not in chunk and (len(chunk) == 1 or not self.words or not chunk.isdigit()):
-            got = self._piece(chunk)  # one pre-token
+            got = self._model(chunk)  # one pre-token
         else:
             got = [t for p in self.pattern.findall(chunk) for t in self._piece(p)]
         return got if len(got) < _ODD_CHUNK else None
