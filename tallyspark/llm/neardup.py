@@ -152,13 +152,13 @@ def _near_in(sets: list[np.ndarray], root: np.ndarray, second: np.ndarray, simil
     return np.argwhere(ask & (total >= similar * (size[:, None] + size[None, :] - total) - 1e-9))
 
 
-def _blocks(apart: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
+def _blocks(apart: DataFrame, sets: DataFrame, similar: float, at: str) -> DataFrame:
     """``apart``: bucket, key and root. Links u and v among similar pairs of a bucket whose roots differ.
 
     A bucket's rows are dealt into parts of about ``BLOCK`` rows; two parts (or one with itself) make a block, so a
     large bucket goes to many tasks and a set moves once for each part, not for each pair.
     """
-    parts = apart.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
+    parts = materialise(apart.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).alias("parts")), f"{at}/parts")
     rows = apart.join(parts, "bucket").selectExpr("bucket", "key", "root", "pmod(xxhash64(key), parts) i", "explode(sequence(0L, parts - 1)) j")
     rows = rows.selectExpr("bucket", "least(i, j) p", "greatest(i, j) q", "key", "root", "i > j second").join(sets, "key")
 
@@ -215,7 +215,8 @@ def links(docs: DataFrame, points: DataFrame, text_col: str, shingle: int, simil
     """``points``: key, size, bands and fp, one row for each key. Returns u and v: links that connect what all similar candidates connect."""
     rows = points.select("key", "size", F.explode("bands").alias("bucket"))
     shared = rows.groupBy("bucket").agg(F.min(F.struct("key", "size")).alias("first"), F.max("key").alias("last")).where("first.key < last")
-    near = materialise(rows.join(shared.selectExpr("bucket", "first.key head", "first.size head_size"), "bucket"), f"{at}/near")
+    shared = materialise(shared.selectExpr("bucket", "first.key head", "first.size head_size"), f"{at}/shared")
+    near = materialise(rows.join(shared, "bucket"), f"{at}/near")
     trees = _by_trees(points, bits, at)
     wanted = near.select("key").unionByName(trees.select(F.col("u").alias("key"))).unionByName(trees.select(F.col("v").alias("key")))
     sets = materialise(_wanted_sets(docs, text_col, shingle, wanted), f"{at}/sets")
@@ -229,8 +230,9 @@ def links(docs: DataFrame, points: DataFrame, text_col: str, shingle: int, simil
     named = near.join(joined, near.key == joined.node, "left").select("bucket", "key", F.coalesce("root", "key").alias("root"))
     named = materialise(named, f"{at}/named")
     mixed = named.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a < b").select("bucket")
+    mixed = materialise(mixed, f"{at}/mixed")  # of known size, like the buckets' heads: where they are few, hot buckets needn't meet
     apart = materialise(named.join(mixed, "bucket", "left_semi"), f"{at}/apart")
-    return found.unionByName(_blocks(apart, sets, similar))
+    return found.unionByName(_blocks(apart, sets, similar, at))
 
 
 def members(docs: DataFrame, id_col: str, text_col: str, shingle: int, similar: float, bits: int) -> DataFrame:
