@@ -26,6 +26,8 @@ from .shared import filesystem, materialise, only, workspace, write_file
 FILE_BYTES = 16 << 20
 #: Payloads from this size on are stored once.
 REVISIT_BYTES = 1000
+#: Tasks that read archives: one for each file, up to so many.
+MOST_TASKS = 50_000
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _MAGIC = b"\x1f\x8b\x08"
@@ -408,7 +410,7 @@ def scan(paths: DataFrame, payloads: bool = True) -> DataFrame:
                     yield make(rows)
 
     some = only(paths, path="path")
-    some = some.repartition(max(1, min(50_000, some.count())))
+    some = some.repartition(max(1, min(MOST_TASKS, some.count())))
     return some.mapInArrow(run, ", ".join(_SCHEMA.split(", ")[:width]))
 
 
