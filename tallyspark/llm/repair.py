@@ -288,7 +288,7 @@ def write(docs: DataFrame, uri: str, id_col: str = "doc_id", text_col: str = "te
 
     src = only(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
     # a text's first letters keep the order and split the rows of a frequent id
-    ordered = src.repartitionByRange("doc_id", F.substring("text", 1, 64)).sortWithinPartitions("doc_id", "text")
+    ordered = src.repartitionByRange("doc_id", F.substring("text", 1, 16)).sortWithinPartitions("doc_id", "text")
     made = materialise(ordered.mapInArrow(run, "part int, file int, path string, n_docs long, n_tokens long, n_symbols long, n_bytes long"), f"{uri}/manifest")
     before = Window.orderBy("part", "file").rowsBetween(Window.unboundedPreceding, -1)  # a row for each file
     return made.withColumn("start", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))

@@ -58,7 +58,7 @@ def one_of_each(docs: DataFrame, id_col: str, text_col: str, members: DataFrame)
     """``members``: doc_id, text_key and root of every row of ``docs``. Of each root one row of ``docs``: the least by id (null
     last) and text_key; of rows that are equal in both one."""
     order = F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id").alias("b"), F.col("text_key").alias("c"))
-    row = lambda i, k: F.concat(F.coalesce(F.concat(F.lit("="), i.cast("string")), F.lit("-")), F.coalesce(F.concat(F.lit("="), k.cast("string")), F.lit("-")))
+    row = lambda i, k: F.concat(F.coalesce(k.cast("string"), F.lit("")), F.coalesce(F.concat(F.lit("="), i.cast("string")), F.lit("-")))
     name = free_name(docs, "row_name")  # one name for the join and for what is left, so texts move once
     kept = members.groupBy("root").agg(F.min(order).alias("k")).select(row(F.col("k.b"), F.col("k.c")).alias(name)).distinct()
     own = docs.withColumn(name, row(F.col(f"`{id_col}`"), text_key(F.col(f"`{text_col}`"))))
