@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text_rules as R
 from ..sources import files
+from ..sources.folders import materialise, workspace
 from .votes import dense_index
 
 #: Names, besides the states', that make a subject one of a country's situation.
@@ -131,8 +132,10 @@ def meta(res: DataFrame, cast: DataFrame, rows: DataFrame, labels: dict[str, str
 
 def lines(res: DataFrame, votes: DataFrame, groups: DataFrame, labels: dict[str, str]) -> DataFrame:
     """The script's lines: section, ord and value. One after another in that order they are ``window.DATA = {...};``."""
-    rows = recorded(res)
-    cast = vote_rows(votes, rows)
+    at = workspace(res.sparkSession, "payload")  # every section reads these
+    res = materialise(res, f"{at}/res")
+    rows = materialise(recorded(res), f"{at}/recorded")
+    cast = materialise(vote_rows(votes, rows), f"{at}/votes")
     made, states = res_rows(rows), countries(cast, groups)
     json = lambda *c: F.to_json(F.struct(*c), {"ignoreNullFields": "false"})
     required = ["id", "sym", "title", "year", "date", "body", "subj", "item", "spon", "mtg", "urlR", "urlD", "y", "n", "a"]
