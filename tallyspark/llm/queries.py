@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, ftrl, licenses, linedup, packing, quality_rules, repair, simhash, tokencount, warc
+from . import decontam, divergence, fillin, ftrl, langid, licenses, linedup, packing, quality_rules, repair, simhash, tokencount, warc
 from .shared import table
 
 
@@ -56,8 +56,22 @@ def op10_mcd_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fillin.report(table(spark, sf_dir, "documents"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_centroid_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = langid.predict(docs, langid.fit(docs, langid.learnable()))
+    return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def queries() -> dict:
-    made = (op1_warc_salvage, op2_suffix_decontamination, op3_repair_ids, op4_line_spread, op5_simhash_vptree, op6_license_scan, op7_grouping_ga, op8_token_counts, op9_ftrl_quality, op10_mcd_outliers)
+    made = (op1_warc_salvage, op2_suffix_decontamination, op3_repair_ids, op4_line_spread, op5_simhash_vptree, op6_license_scan, op7_grouping_ga, op8_token_counts, op9_ftrl_quality, op10_mcd_outliers, op11_fill_in_middle, op12_source_divergence, op13_centroid_language)
     return {f.__name__: f for f in made}
 
 
@@ -97,6 +111,29 @@ SELECT doc_id, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(n_
 FROM documents LEFT JOIN t USING (doc_id)
 """
 
+_TERMS = _WORDS.replace(r"\x2F\x3A-\x60", r"\x40\x5B-\x60")
+_OP12 = f"""
+WITH d AS (SELECT row_number() OVER () AS k, coalesce(lang, '') AS lang, coalesce(source, '') AS source, {_TERMS} AS w FROM documents),
+t AS (SELECT k, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS n FROM t GROUP BY lang, term HAVING count(DISTINCT k) >= {divergence.MIN_DOCS}),
+l AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+n AS (SELECT lang, source, term, count(*) AS n FROM t GROUP BY lang, source, term),
+c AS (SELECT g.lang, g.source, kept.term, coalesce(n.n, 0) AS n, kept.n AS in_lang FROM g JOIN kept ON g.lang = kept.lang
+      LEFT JOIN n ON n.lang = g.lang AND n.source = g.source AND n.term = kept.term),
+s AS (SELECT lang, source, sum(n) AS size FROM c GROUP BY lang, source),
+p AS (SELECT c.lang, c.source, c.term, c.n, 1 + 1000000000::HUGEINT * (c.n + 2) // (size + 2 * v)::HUGEINT AS p, 1 + 1000000000::HUGEINT * (in_lang + 2) // (total + 2 * v)::HUGEINT AS q
+      FROM c JOIN s ON c.lang = s.lang AND c.source = s.source JOIN l ON c.lang = l.lang),
+f AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+      FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source),
+pairs AS (SELECT x.lang, x.source, 'pair' AS part, y.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+      FROM g x JOIN g y ON x.lang = y.lang AND x.source <> y.source LEFT JOIN f ON f.lang = x.lang AND f.source = x.source AND f.item = y.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, CAST((p - q) * (p - q) // (p + q) AS BIGINT) AS value FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value, CAST(rank AS INT) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+WHERE part = 'pair' OR rank <= {divergence.TOP}
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc_salvage": _OP1, "op2_suffix_decontamination": _OP2, "op4_line_spread": _OP4}
+    return {"op1_warc_salvage": _OP1, "op2_suffix_decontamination": _OP2, "op4_line_spread": _OP4, "op12_source_divergence": _OP12}
