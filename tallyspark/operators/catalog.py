@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text_rules import any_totals
+from .naming import naming
 
 
 def scoped(res: DataFrame, everything: bool = False) -> DataFrame:
@@ -102,15 +103,19 @@ def overview(res: DataFrame, states: DataFrame) -> DataFrame:
 
 def subject_index(res: DataFrame, states: DataFrame) -> DataFrame:
     """Recorded resolutions by subject, and whether it names a state: equal to its name, or holding one of over five letters."""
-    names = states.agg(F.collect_set(F.upper("state")).alias("names"))  # a chamber's names: some two hundred
     t = res.where("n_rollcall > 0 and trim(subject) <> ''").groupBy(F.trim("subject").alias("subject")).agg(F.count("*").alias("n"))
-    hit = lambda u: lambda c: (c == u) | ((F.length(c) > 5) & F.contains(u, c))
-    return t.join(names).select("subject", "n", F.exists("names", hit(F.upper("subject"))).alias("cs"))
+    hit = naming(t.select(F.col("subject").alias("text")), states.select(F.col("state").alias("name")))
+    return t.join(hit.select(F.col("text").alias("subject"), F.lit(True).alias("cs")), "subject", "left").fillna(False, ["cs"])
 
 
 def suggest(res: DataFrame, text: str, k: int) -> DataFrame:
     """Subjects that hold the text (two letters or more), the most frequent first."""
     found = res.where(F.contains(F.lower("subject"), F.lit(text.lower()))) if len(text) >= 2 else res.limit(0)
+    return suggested(found, k)
+
+
+def suggested(found: DataFrame, k: int) -> DataFrame:
+    """The subjects of what was found, the most frequent first."""
     return found.groupBy("subject").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "subject").limit(k)
 
 
@@ -122,7 +127,7 @@ def search(res: DataFrame, text: str) -> DataFrame:
 def related(res: DataFrame, text: str, k: int) -> DataFrame:
     """The subjects of what a search finds, the most frequent first, without those that the text names."""
     found = search(res, text).where(~F.contains(F.lower("subject"), F.lit(text.lower())))
-    return found.groupBy("subject").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "subject").limit(k)
+    return suggested(found, k)
 
 
 def explorer(res: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import text_rules as R
 from ..sources import files
 from ..sources.folders import materialise, workspace
+from .naming import naming
 from .votes import dense_index
 
 #: Names, besides the states', that make a subject one of a country's situation.
@@ -77,10 +78,11 @@ def matrix(cast: DataFrame) -> DataFrame:
 def subjects(made: DataFrame, names: DataFrame) -> DataFrame:
     """``made``: res_rows; ``names``: name. Subjects with their number of resolutions, the first one's number, and whether
     they name a state or situation: equal to its name, or holding one of over five letters."""
-    known = names.agg(F.collect_set(F.upper("name")).alias("names")).select(F.array_union("names", F.array(*map(F.lit, SITUATIONS))).alias("names"))  # a chamber's names: some two hundred
+    fixed = names.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, SITUATIONS))).alias("name"))
     t = made.where("subj <> ''").groupBy(F.col("subj").alias("name")).agg(F.count("*").alias("n"), F.min("ri").alias("first_seen"))
-    hit = lambda c: (c == F.upper("name")) | ((F.length(c) > 5) & F.contains(F.upper("name"), c))
-    return t.join(known).select("name", "n", F.exists("names", hit).alias("cs"), "first_seen")
+    hit = naming(t.select(F.col("name").alias("text")), names.select("name").unionByName(fixed))
+    flagged = t.join(hit.select(F.col("text").alias("name"), F.lit(True).alias("cs")), "name", "left").fillna(False, ["cs"])
+    return flagged.select("name", "n", "cs", "first_seen")
 
 
 def vote_types(res: DataFrame) -> DataFrame:

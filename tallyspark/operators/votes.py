@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from . import bits
 from ..functions.text_rules import vote_code
 from ..sources.folders import materialise, workspace
 
-VALID = ("Y", "N", "A")
+VALID = bits.VALID
 
 
 def one_vote(votes: DataFrame) -> DataFrame:
@@ -16,16 +18,16 @@ def one_vote(votes: DataFrame) -> DataFrame:
     return votes.where(F.col("code").isin(*VALID)).groupBy("record_id", "state").agg(F.min("grp").alias("grp"), F.min("code").alias("code"), F.min("year").alias("year"), F.min("month").alias("month"), F.min("subject").alias("subject"))
 
 
-def agreement_pairs(one: DataFrame) -> DataFrame:
-    """Share of equal votes among the resolutions that both states of a pair voted on.
+def agreement_pairs(votes: DataFrame) -> DataFrame:
+    """Share of equal votes among the resolutions that both states of a pair voted on (of several votes of a state on one
+    the least code counts), from the bit-sliced vote matrix. Ids that aren't whole numbers are numbered first."""
+    number = "record_id"
+    if not isinstance(votes.schema["record_id"].dataType, T.IntegralType):
+        votes, number = votes.join(dense_index(votes), "record_id"), "ri"
+    return agreement_of(bits.agreement(bits.bit_matrix(votes, number)))
 
-    Votes of a resolution are gathered first (a chamber is some two hundred states at most), and pairs
-    are made inside the row: no self-join moves the votes twice, and counting starts on the map side.
-    """
-    room = one.groupBy("record_id").agg(F.sort_array(F.collect_list(F.struct("state", "code"))).alias("v"))
-    a = room.select("v", F.posexplode("v").alias("i", "a"))
-    pairs = a.select("a", F.explode(F.slice("v", F.col("i") + 2, F.greatest(F.size("v") - F.col("i") - 1, F.lit(0)))).alias("b"))
-    counted = pairs.groupBy(F.col("a.state").alias("state_a"), F.col("b.state").alias("state_b")).agg(F.count("*").alias("shared"), F.count_if(F.col("a.code") == F.col("b.code")).alias("same"))
+
+def agreement_of(counted: DataFrame) -> DataFrame:
     return counted.withColumn("agreement_pct", F.round(F.col("same") * F.lit(100.0) / F.col("shared"), 4))
 
 
@@ -185,17 +187,23 @@ def most_agreeing(pairs: DataFrame, k: int, most: bool = True) -> DataFrame:
     return mean.orderBy(F.desc("mean_agreement") if most else F.asc("mean_agreement"), "state").limit(k)
 
 
-def nearest_chain(one: DataFrame, k: int) -> DataFrame:
+def nearest_chain(votes: DataFrame, k: int) -> DataFrame:
     """place and state: a greedy order of the ``k`` most active states (a chart's thirty): from the most active on,
-    always the one left that agrees most with the last (ties by name). Only votes of these states are paired, and the k * k
-    agreements go to the driver."""
-    active = one.groupBy("state").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "state").limit(k)
-    pairs = both_ways(agreement_pairs(one.join(F.broadcast(active.select("state")), "state", "left_semi")))
-    left = [r.state for r in active.orderBy(F.desc("n"), "state").collect()]
-    share = {(r.state_a, r.state_b): r.agreement_pct for r in pairs.collect()}
-    chain = left[:1]
-    left = sorted(left[1:])
-    while left:
-        chain.append(min(left, key=lambda s: (-share.get((chain[-1], s), -1.0), s)))
-        left.remove(chain[-1])
-    return one.sparkSession.createDataFrame(list(enumerate(chain)), "place long, state string")
+    always the one left that agrees most with the last (ties by name). Only votes of these states are paired; their
+    agreements are one row's map, and the order is built inside that row."""
+    active = votes.where(F.col("code").isin(*VALID)).groupBy("state").agg(F.countDistinct("record_id").alias("n")).orderBy(F.desc("n"), "state").limit(k)
+    active = materialise(active, workspace(votes.sparkSession, "active"))
+    pairs = both_ways(agreement_pairs(votes.join(F.broadcast(active.select("state")), "state", "left_semi")))  # k states
+    share = pairs.agg(F.map_from_entries(F.collect_list(F.struct(F.struct("state_a", "state_b").alias("pair"), "agreement_pct"))).alias("share"))  # k * k numbers
+    states = active.agg(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("n"), "state"))).alias("states"))
+    one = states.join(share).select(F.transform("states", lambda x: x["state"]).alias("states"), "share")  # a row each
+
+    def step(chain: Column, _) -> Column:
+        left = F.filter("states", lambda s: ~F.array_contains(chain, s))
+        agrees = lambda s: F.coalesce(F.try_element_at("share", F.struct(F.element_at(chain, -1).alias("state_a"), s.alias("state_b"))), F.lit(-1.0))
+        best = F.array_min(F.transform(left, lambda s: F.struct((-agrees(s)).alias("k"), s.alias("state"))))
+        return F.concat(chain, F.array(best["state"]))
+
+    turns = F.when(F.size("states") > 1, F.sequence(F.lit(2), F.size("states"))).otherwise(F.array().cast("array<int>"))
+    chain = F.aggregate(turns, F.slice("states", 1, 1), step)
+    return one.select(F.posexplode(chain).alias("place", "state")).select(F.col("place").cast("long").alias("place"), "state")

@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text_rules as R
+from ..operators import bits, geo
 from ..operators import catalog as C
-from ..operators import geo
 from ..operators import payload as PL
 from ..operators import votes as V
+from ..operators.naming import held
+from ..operators.textindex import TextIndex
 from ..sources import files, marc
 from ..sources.folders import workspace
 from ..streaming import ingest
@@ -33,8 +35,16 @@ def _one(s: SparkSession, d: str) -> DataFrame:
     return V.one_vote(P.votes(s, d).where("not am"))
 
 
+def _chamber(s: SparkSession, d: str) -> DataFrame:
+    return P.votes(s, d).where("not am")
+
+
 def _pairs(s: SparkSession, d: str) -> DataFrame:
-    return V.agreement_pairs(_one(s, d))
+    return V.agreement_pairs(_chamber(s, d))
+
+
+def _states_voting(s: SparkSession, d: str) -> DataFrame:
+    return _chamber(s, d).where(F.col("code").isin(*V.VALID)).select("state")
 
 
 def _res(s: SparkSession, d: str) -> DataFrame:
@@ -58,8 +68,7 @@ def partners_furthest(s, d):
 
 @_query("SELECT state_a, state_b, agreement_pct FROM sym UNION ALL SELECT DISTINCT state, state, 100.0::DOUBLE FROM one")
 def coincidence_matrix(s, d):
-    one = _one(s, d)
-    return V.coincidence_matrix(V.agreement_pairs(one), one.select("state"))
+    return V.coincidence_matrix(_pairs(s, d), _states_voting(s, d))
 
 
 @_query("SELECT state_a AS state, max(agreement_pct) FILTER (WHERE state_b = 'NATION_1') AS x, max(agreement_pct) FILTER (WHERE state_b = 'NATION_2') AS y, min(shared) AS shared_votes FROM sym WHERE state_b IN ('NATION_1', 'NATION_2') AND state_a NOT IN ('NATION_1', 'NATION_2') GROUP BY 1 HAVING count(*) = 2")
@@ -393,7 +402,7 @@ SELECT CAST(place AS BIGINT) AS place, state FROM chain"""
 @_query(P.SQL.replace("WITH", "WITH RECURSIVE", 1) + _CHAIN, prelude=False)
 def nearest_chain_order(s, d):
     """A greedy order of the most active states (a chart's set, thirty at most) by agreement."""
-    return V.nearest_chain(_one(s, d), 30)
+    return V.nearest_chain(_chamber(s, d), 30)
 
 
 @_query("SELECT state, minority_side_pct, votes, CAST(row_number() OVER (ORDER BY minority_side_pct DESC, state) AS BIGINT) AS place FROM (SELECT state, round(count(*) FILTER (WHERE code <> won) * 100.0::DOUBLE / count(*), 4) AS minority_side_pct, count(*) AS votes FROM one JOIN (SELECT record_id, CASE WHEN y > n AND y > a THEN 'Y' WHEN n > y AND n > a THEN 'N' WHEN a > y AND a > n THEN 'A' END AS won FROM tally) USING (record_id) WHERE won IS NOT NULL GROUP BY 1)")
@@ -414,8 +423,7 @@ def topic_trend_by_group(s, d):
 
 @_query("SELECT state_a AS state, max(agreement_pct) FILTER (WHERE state_b = 'NATION_1') AS \"NATION_1\", max(agreement_pct) FILTER (WHERE state_b = 'NATION_2') AS \"NATION_2\", max(agreement_pct) FILTER (WHERE state_b = 'NATION_3') AS \"NATION_3\" FROM (SELECT state_a, state_b, agreement_pct FROM sym UNION ALL SELECT DISTINCT state, state, 100.0::DOUBLE FROM one) GROUP BY 1")
 def coincidence_pivot(s, d):
-    one = _one(s, d)
-    return V.pivoted(V.coincidence_matrix(V.agreement_pairs(one), one.select("state")), ["NATION_1", "NATION_2", "NATION_3"])
+    return V.pivoted(V.coincidence_matrix(_pairs(s, d), _states_voting(s, d)), ["NATION_1", "NATION_2", "NATION_3"])
 
 
 @_query("SELECT record_id, year, code, pos FROM votes WHERE state = 'NATION_3' ORDER BY year DESC, record_id, pos")
@@ -693,6 +701,64 @@ def mirror_log(s, d):
     return s.read.csv(at, schema=ingest.LOG).select("symbol", "status")
 
 
+def _indexed(s: SparkSession, d: str) -> TextIndex:
+    return TextIndex.build(P.resolutions(s, d, False).select("record_id", "title", "subject"), ["title", "subject"], workspace(s, "index"))
+
+
+@_query("""
+SELECT 'furniture' AS text, record_id, title, subject FROM res0 WHERE contains(lower(subject), 'furniture') OR contains(lower(title), 'furniture')
+UNION ALL SELECT 'no. 12', record_id, title, subject FROM res0 WHERE contains(lower(subject), 'no. 12') OR contains(lower(title), 'no. 12')
+UNION ALL SELECT '77', record_id, title, subject FROM res0 WHERE contains(lower(subject), '77') OR contains(lower(title), '77')
+UNION ALL SELECT 'y', record_id, title, subject FROM res0 WHERE contains(lower(subject), 'y') OR contains(lower(title), 'y')
+""")
+def indexed_search(s, d):
+    """Searches in titles and subjects by the index, of three letters and more, of two and of one."""
+    index, out = _indexed(s, d), None
+    for text in ("Furniture", "No. 12", "77", "Y"):
+        found = index.search(text, ["title", "subject"]).select(F.lit(text.lower()).alias("text"), "record_id", "title", "subject")
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+@_query("""
+SELECT subject, count(*) AS n FROM res0 WHERE contains(lower(subject), 'mach') GROUP BY 1 ORDER BY n DESC, subject LIMIT 5
+""")
+def indexed_suggestions(s, d):
+    return C.suggested(_indexed(s, d).search("mach", ["subject"]), 5)
+
+
+@_query("""
+SELECT 'state' AS kind, state AS name FROM (SELECT DISTINCT state FROM states) WHERE contains(lower(state), 'n_1') OR contains(lower(state), 'build')
+UNION ALL SELECT 'subject', subject FROM (SELECT DISTINCT subject FROM res0) WHERE contains(lower(subject), 'n_1') OR contains(lower(subject), 'build')
+""")
+def indexed_palette(s, d):
+    """States and subjects of one palette, found by either of two texts."""
+    names = P.states(s, d).select(F.lit("state").alias("kind"), F.col("state").alias("name"))
+    names = names.unionByName(P.resolutions(s, d, False).select(F.lit("subject").alias("kind"), F.col("subject").alias("name"))).distinct()
+    index = TextIndex.build(names, ["name"], workspace(s, "palette"))
+    return index.search("n_1", ["name"]).unionByName(index.search("build", ["name"])).distinct()
+
+
+@_query("""
+SELECT record_id // 64 AS word, state, count(*) FILTER (WHERE code = 'Y') AS yes FROM one GROUP BY 1, 2
+""")
+def bit_words(s, d):
+    """How many votes of yes each word of the bit-sliced matrix holds."""
+    return bits.bit_matrix(_chamber(s, d), "record_id").select("word", "state", F.bit_count("y").cast("long").alias("yes"))
+
+
+@_query("""
+, texts AS (SELECT DISTINCT upper(title) AS text FROM res0),
+names AS (SELECT DISTINCT 'NO. ' || CAST(record_id AS VARCHAR) AS name FROM res0 WHERE record_id % 50 = 0)
+SELECT text, name FROM texts, names WHERE length(name) >= 6 AND contains(text, name)
+""")
+def names_in_titles(s, d):
+    """Many names that lie in one another looked for in every title."""
+    res = P.resolutions(s, d, False)
+    names = res.where("record_id % 50 = 0").select(F.concat(F.lit("NO. "), F.col("record_id").cast("string")).alias("name"))
+    return held(res.select(F.upper("title").alias("text")), names)
+
+
 def queries() -> dict:
     return dict(_Q)
 
