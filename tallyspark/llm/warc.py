@@ -31,7 +31,9 @@ MOST_TASKS = 50_000
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _MAGIC = b"\x1f\x8b\x08"
-_VERSION = re.compile(rb"WARC/1\.[01]\r?\n")
+#: How a record begins, and its version line: of any version.
+_START = b"WARC/"
+_VERSION = re.compile(rb"WARC/[0-9]{1,4}\.[0-9]{1,4}\r?\n")
 _NAME = re.compile(r"<urn:x-page:(-?[0-9]+)>")
 _LENGTH = re.compile(r"[0-9]{1,18}")
 
@@ -176,7 +178,8 @@ def _find(src, what: bytes, at: int) -> int:
 
 
 def _headers(src, at: int) -> tuple[dict[str, str], int] | str:
-    """Headers and the place where the block begins; or what is wrong. Headers may be of any length."""
+    """Headers and the place where the block begins; or what is wrong. Headers may be of any length, and folded: a line
+    that begins with white space goes on with the header before it, after one space."""
     raw = src.get(at, 1 << 12)
     m = _VERSION.match(raw)
     if not m:
@@ -190,15 +193,23 @@ def _headers(src, at: int) -> tuple[dict[str, str], int] | str:
                 return "headers don't end"
             if src.get(pos, 2) == b"\r\n":
                 break
-            if b":" not in src.get(pos, min(stop - pos, 1 << 10)):
+            if src.get(pos, 1) not in (b" ", b"\t") and b":" not in src.get(pos, min(stop - pos, 1 << 10)):
                 return "malformed header"
             pos = stop + 1
         end = pos - 2 - at
         raw = src.get(at, end + 4)
-    out = {}
+    lines: list[bytes] = []
     for line in raw[m.end() : end].split(b"\r\n"):
+        if b"\n" in line or b"\r" in line:
+            return "malformed header"
+        if line[:1] in (b" ", b"\t") and lines:  # a folded line goes on with the header before it
+            lines[-1] += b" " + line.strip()
+        else:
+            lines.append(line)
+    out = {}
+    for line in lines:
         name, colon, value = line.partition(b":")
-        if not colon or b"\n" in line or b"\r" in line:
+        if not colon or not name.strip():
             return "malformed header"
         out[name.strip().decode("latin-1").lower()] = value.strip().decode("utf-8", "replace")
     if not _LENGTH.fullmatch(out.get("content-length", "")):
@@ -273,7 +284,7 @@ def _inside(member: _Member) -> Iterator[Piece]:
         got = _record(member, at, not member.error)
         if isinstance(got, str):
             bad, why = (at, got) if bad < 0 else (bad, why)
-            at = _find(member, b"WARC/1.", at + 1)
+            at = _find(member, _START, at + 1)
             if at < 0:
                 break
             continue
@@ -308,7 +319,7 @@ def salvage(f, size: int) -> Iterator[Piece]:
                 at += member.length
                 continue
             pieces, wrong = _inside(member), member.error
-        elif start.startswith(b"WARC/1."):
+        elif start.startswith(_START):
             got = _record(window, at)
             if isinstance(got, str):
                 wrong = got
@@ -328,7 +339,7 @@ def salvage(f, size: int) -> Iterator[Piece]:
         # the next place that could start a record
         at += 1
         while raw := window.get(at, 1 << 16):
-            found = [k for k in (raw.find(_MAGIC), raw.find(b"WARC/1.")) if k >= 0]
+            found = [k for k in (raw.find(_MAGIC), raw.find(_START)) if k >= 0]
             if found or len(raw) < 7:
                 at = at + min(found) if found else size
                 break

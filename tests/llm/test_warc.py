@@ -139,3 +139,28 @@ def test_lost_records_are_an_error(spark, monkeypatch):
     monkeypatch.setattr(warc, "salvage_files", lambda paths, uri, payloads: (warc.records(paths, payloads).limit(1), warc.gaps(paths)))
     with pytest.raises(RuntimeError, match="2 records"):
         warc.round_trip(spark.createDataFrame([(1, "u", "a"), (2, "u", "b")], PAGES))
+
+
+def other(version, *headers, block=b"HTTP/1.1 200 OK\r\n\r\nsome payload"):
+    """A record with extra header lines, as other writers make them."""
+    head = [version, b"WARC-Type: response", b"WARC-Record-ID: <urn:x-page:7>", *headers, b"WARC-Payload-Digest: " + warc._digest(warc.payload_of(block)).encode(), b"Content-Length: %d" % len(block)]
+    return b"\r\n".join(head) + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+@pytest.mark.parametrize("zipped", [False, True])
+@pytest.mark.parametrize("version", [b"WARC/0.17", b"WARC/0.18", b"WARC/1.0", b"WARC/1.1", b"WARC/2.0"])
+def test_folded_headers_and_any_version(spark, tmp_path, zipped, version):
+    """Through scan(): a target that goes on over two lines, one header over 5000 lines, after damage too."""
+    folded = other(version, b"WARC-Target-URI: http://x/", b"\ta b", b"  c", b"Note: a", *[b" " + b"y" * 20] * 5000)
+    recs = [other(version), folded, b"junk", other(version, b"WARC-Target-URI: http://y/")]
+    raw = b"".join(pack(r) if zipped and r != b"junk" else r for r in recs)
+    rows = warc.scan(spark.createDataFrame(write(tmp_path, {"a": raw}), "path string")).orderBy("offset").collect()
+    assert [(r.kind, r.url) for r in rows] == [("record", None), ("record", "http://x/ a b c"), ("gap", None), ("record", "http://y/")]
+    assert {r.payload_digest for r in rows if r.kind == "record"} == {hashlib.sha1(b"some payload").hexdigest()}
+
+
+@pytest.mark.parametrize("line", [b" folded from nothing", b": no name", b"no colon"])
+def test_headers_that_are_still_malformed(line):
+    head, rest = other(b"WARC/1.1").split(b"\r\n", 1)
+    got, names = found(head + b"\r\n" + line + b"\r\n" + rest)
+    assert [p.kind for p in got] == ["gap"] and got[0].reason == "malformed header"
