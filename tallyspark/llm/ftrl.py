@@ -24,6 +24,8 @@ from .shared import materialise, only, workspace
 BITS = 18
 #: Labelled rows used for training, and bytes of their texts, at most: those whose ids hash lowest. One task learns from them.
 TRAIN_ROWS, TRAIN_BYTES = 6000, 64 << 20
+#: A text of over this share of those bytes isn't learned from, and takes no other text's room.
+LONGEST_SHARE = 64
 #: FTRL-proximal's parameters, and passes over the rows.
 ALPHA, BETA, L1, L2, EPOCHS = 0.5, 1.0, 1e-4, 1e-4, 3
 
@@ -89,6 +91,7 @@ def train(rows: list[tuple[np.ndarray, int]], epochs: int = EPOCHS) -> np.ndarra
 
 def fit(docs: DataFrame, labels: DataFrame, keep: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", rows: int = TRAIN_ROWS, size: int = TRAIN_BYTES) -> np.ndarray:
     """Learn from at most ``rows`` labelled rows, and ``size`` bytes of text, for which ``keep`` (over the column doc_id) holds.
+    Of these rows, texts of over ``size / LONGEST_SHARE`` bytes are left out alone; the rest are taken in order while they fit.
 
     Of several labels of one id the larger counts, of several texts the least; null labels and ids don't. Without any
     labelled text all weights are zero (every score is 0.5). The labels that are used are at most ``rows`` small
@@ -98,7 +101,7 @@ def fit(docs: DataFrame, labels: DataFrame, keep: Column, id_col: str = "doc_id"
     own = own.groupBy("doc_id").agg(F.max("label").cast("int").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     src = only(docs, doc_id=id_col, text=text_col).join(F.broadcast(own), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.min("label").alias("label"))
     src = materialise(src, workspace(docs.sparkSession, "training"))
-    sizes = src.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n"))
+    sizes = src.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n")).where(F.col("n") <= size // LONGEST_SHARE)
     total = F.sum("n").over(Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0))  # at most ``rows`` numbers
     some = sizes.withColumn("total", total).where(F.col("total") <= size).select("doc_id")
     src = src.join(F.broadcast(some), "doc_id", "left_semi").select("doc_id", "label", "text")
@@ -150,5 +153,5 @@ def score(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col
 
 
 def held_out(column: str = "doc_id") -> Column:
-    """True for ids (as text) whose crc32 leaves 1 when divided by 3."""
-    return F.crc32(F.encode(F.col(column).cast("string"), "utf-8")) % 3 == 1
+    """True for ids (as text) whose crc32 leaves 1 when divided by 3; false for null ids."""
+    return F.coalesce(F.crc32(F.encode(F.col(column).cast("string"), "utf-8")) % 3 == 1, F.lit(False))

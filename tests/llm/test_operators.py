@@ -372,3 +372,21 @@ def test_equal_ranges():
     big = np.zeros(3 << 20, np.uint8)
     big[-1] = 1
     assert textkernel.equal_ranges(big, np.array([0, 0]), big, np.array([0, 1]), np.array([len(big), len(big) - 1])).tolist() == [True, False]
+
+
+def test_op9_one_long_text_doesnt_end_learning(spark):
+    """The first text in the order of hashes is longer than all bytes there are: it is left out alone."""
+    from pyspark.sql import functions as F
+
+    ids = [r.id for r in spark.range(300).orderBy(F.xxhash64("id"), "id").collect()]
+    rows = [(i, ("good clean words here " if i % 2 else "bad ### spam !!! ") * (4000 if i == ids[0] else 3), i % 2) for i in ids]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    fit = lambda d: ftrl.fit(d, d.select("doc_id", "quality"), F.lit(True), size=64 << 10)
+    weights = fit(docs)
+    assert (weights != 0).sum() > 10 and (weights == fit(docs.where(F.col("doc_id") != ids[0]))).all()
+    scored = {r.doc_id: r.score for r in ftrl.score(docs, weights).collect()}
+    assert all((scored[i] > 0.5) == bool(i % 2) for i in ids)
+
+
+def test_op9_null_id_isnt_held_out(spark):
+    assert spark.createDataFrame([(None,)], "doc_id long").select(ftrl.held_out()).first()[0] is False
