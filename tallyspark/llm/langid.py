@@ -165,6 +165,20 @@ def cluster(x: np.ndarray, k: int = CLUSTERS, steps: int = STEPS) -> tuple[np.nd
     return centres[used].astype(np.float32), np.minimum(reach, 1.0)
 
 
+def lowest(ids: DataFrame, rows: int) -> DataFrame:
+    """Of distinct (lang, h) the ``rows`` least h of each language.
+
+    The hashes are counted by their first 16 bits, which shows below which of these all that are wanted lie, so the task
+    that orders a language's hashes gets little more than ``rows``, however many tasks there are."""
+    part = F.shiftright("h", 48).alias("part")
+    counts = ids.groupBy("lang", part).agg(F.count("*").alias("n"))
+    upto = F.sum("n").over(Window.partitionBy("lang").orderBy("part"))  # 65,536 rows of a language at most
+    last = counts.withColumn("before", upto - F.col("n")).where(F.col("before") < rows).groupBy("lang").agg(F.max("part").alias("last_part"))
+    some = ids.join(last, "lang").where(F.shiftright("h", 48) <= F.col("last_part"))
+    first = Window.partitionBy("lang").orderBy("h")
+    return some.withColumn("k", F.row_number().over(first)).where(F.col("k") <= rows).select("lang", "h")
+
+
 class Model:
     """Fitted centroids: a table (lang, reach, centre) in the shared folder, and the cells' weights."""
 
@@ -183,9 +197,7 @@ def fit(docs: DataFrame, keep: Column, id_col: str = "doc_id", text_col: str = "
     own = only(docs, doc_id=id_col, text=text_col, lang=lang_col).where(keep).where("doc_id is not null and text is not null and lang is not null")
     idf = document_frequencies(own.select("text"))
     own = own.select("lang", F.xxhash64(F.col("doc_id").cast("string")).alias("h"), "text")
-    first = Window.partitionBy("lang").orderBy("h")  # each task passes on its first ones only
-    low = own.select("lang", "h").distinct().withColumn("k", F.row_number().over(first)).where(F.col("k") <= rows)
-    low = materialise(low.groupBy("lang").agg(F.max("h").alias("last")), f"{at}/sample")
+    low = materialise(lowest(own.select("lang", "h").distinct(), rows).groupBy("lang").agg(F.max("h").alias("last")), f"{at}/sample")
     sample = own.join(low, "lang").where(F.col("h") <= F.col("last")).groupBy("lang", "h").agg(F.min("text").alias("text"))
     sent = spark.sparkContext.broadcast(idf)  # 2 ** BITS numbers
 

@@ -270,6 +270,16 @@ def test_op13_blocks_of_centroids_find_the_same(spark, sf, monkeypatch):
     assert sorted(map(tuple, langid.predict(docs, model).collect())) == whole
 
 
+@pytest.mark.parametrize("rows", [1, 7, 500, 10_000])
+def test_op13_samples_the_lowest_hashes(spark, rows):
+    from pyspark.sql import functions as F
+
+    ids = spark.range(3000).select(F.when(F.col("id") % 10 == 0, "few").otherwise("many").alias("lang"), F.xxhash64("id").alias("h"))
+    got = sorted(map(tuple, langid.lowest(ids, rows).collect()))
+    want = sorted(map(tuple, ids.collect()))
+    assert got == sorted(x for lang in ("few", "many") for x in [r for r in want if r[0] == lang][:rows])
+
+
 def test_op13_awkward_rows(spark, awkward):
     model = langid.fit(awkward, langid.learnable())
     rows = langid.predict(awkward, model).collect()
