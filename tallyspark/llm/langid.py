@@ -30,8 +30,10 @@ TRAIN_ROWS = 600
 CLUSTERS, STEPS = 3, 8
 #: A cluster reaches as far as this share of its sample, and this many times as far again.
 REACH_SHARE, REACH = 0.99, 1.15
-#: Bytes of a text that are counted at a time, and centroids that are held at a time where all of them take over MODEL_BYTES.
-PIECE, BLOCK, MODEL_BYTES = 1 << 22, 64, 32 << 20
+#: Bytes of texts whose grams are counted together: a task's arrays take some two hundred times as much.
+CHUNK = 1 << 18
+#: Bytes of one long text that are counted at a time, and centroids that are held at a time where all of them take over MODEL_BYTES.
+PIECE, BLOCK, MODEL_BYTES = 1 << 20, 64, 32 << 20
 UNKNOWN = "und"
 
 _SPACE = 0x20
@@ -108,8 +110,9 @@ def vectors(data: np.ndarray, off: np.ndarray, idf: np.ndarray) -> tuple[np.ndar
 
 def _chunked(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     data, off = K.text_buffer(column)
-    for lo, hi in K.chunks(off):
+    for lo, hi in K.chunks(off, CHUNK):
         yield data[off[lo] : off[hi]], off[lo : hi + 1] - off[lo]
+    trim()
 
 
 def learnable(column: str = "doc_id") -> Column:
@@ -294,7 +297,6 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
                 out.append(~known | (1 - near > reach))
             join = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, kind)
             yield pa.record_batch([b.column(0), pa.array(langs, pa.string()), pa.array(join(scores, float)), pa.array(join(out, bool))], names=["doc_id", "lang_pred", "score", "rejected"])
-            trim()
 
     src = only(docs, doc_id=id_col, text=text_col)
     return src.mapInArrow(run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, lang_pred string, score double, rejected boolean")
