@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text_rules as R
@@ -12,7 +12,7 @@ from ..operators import payload as PL
 from ..operators import votes as V
 from ..operators.naming import held
 from ..operators.textindex import TextIndex
-from ..sources import files, marc
+from ..sources import documents, files, marc, pages
 from ..sources.folders import workspace
 from ..streaming import ingest
 from . import proxy as P
@@ -655,11 +655,11 @@ def ingested_twice(s, d):
     records = _records(s, d, 2)
     odd = F.crc32(F.col("record.controlfield")[0]["_VALUE"].cast("binary")) % 2 == 1
     marc.write(records.where(odd), f"{source}/a")
-    ingest.ingest_new(s, f"{source}/*", f"{out}/rows", f"{out}/log")
+    ingest.ingest_new(s, f"{source}/*/*.xml", out)
     marc.write(records.where(~odd), f"{source}/b")
     for _ in range(2):
-        ingest.ingest_new(s, f"{source}/*", f"{out}/rows", f"{out}/log")
-    parsed = marc.parse(s.read.parquet(f"{out}/rows"))
+        ingest.ingest_new(s, f"{source}/*/*.xml", out)
+    parsed = marc.parse(ingest.ingested(s, out))
     return parsed.groupBy("record_id").agg(F.sum("n_rollcall").alias("n"))
 
 
@@ -701,6 +701,104 @@ def mirror_log(s, d):
     return s.read.csv(at, schema=ingest.LOG).select("symbol", "status")
 
 
+@_query("""
+SELECT CAST(year AS VARCHAR) AS year, 'again' AS version, count(*) AS n FROM res0 r
+WHERE year = 1995 OR (year = 1998 AND (SELECT count(*) FROM res0 WHERE year = 1998 AND record_id % 3 <> 0) <= 200) GROUP BY year
+UNION ALL SELECT CAST(year AS VARCHAR), 'first', count(*) FROM res0
+WHERE record_id % 3 <> 0 AND NOT (year = 1995 OR (year = 1998 AND (SELECT count(*) FROM res0 WHERE year = 1998 AND record_id % 3 <> 0) <= 200)) GROUP BY year
+""")
+def forced_years(s, d):
+    """A harvest that misses records; one year is fetched again whatever it holds, another if it has a page of records at most."""
+    at = workspace(s, "years") + "/rows"
+    res = P.resolutions(s, d, False).select("record_id", F.col("year").cast("string").alias("year"), "title")
+    ingest.store_years(res.where("record_id % 3 <> 0").withColumn("version", F.lit("first")), at)
+    again, years = res.withColumn("version", F.lit("again")), res.select(F.col("year").alias("name"))
+    ingest.fetch_again(again, at, years, forced=("1995",), page=1 << 40)
+    ingest.fetch_again(again, at, years, forced=("1998",))
+    return s.read.parquet(at).groupBy(F.col("year").cast("string").alias("year"), "version").agg(F.count("*").alias("n"))
+
+
+@_query("""
+SELECT CAST(record_id AS VARCHAR) AS record_id, 1 AS times, 0 AS aside FROM (SELECT DISTINCT record_id FROM votes)
+UNION ALL SELECT '', 2, 1
+""")
+def ingested_with_damage(s, d):
+    """A run that meets a file which breaks off, and one after it was mended: every record once, and the files that each run tried."""
+    source, out = workspace(s, "harvest"), workspace(s, "ingested")
+    marc.write(_records(s, d, 3), f"{source}/a")
+    whole = s.read.text(f"{source}/a/*.xml", wholetext=True).orderBy("value").limit(1)
+    cut = whole.select(F.expr("substring(value, 1, length(value) - 40)").alias("value"))
+    cut.coalesce(1).write.text(f"{source}/b")
+    ingest.ingest_new(s, f"{source}/*/part-*", out)
+    aside = ingest.set_aside(s, out).count()
+    whole.coalesce(1).write.mode("overwrite").text(f"{source}/b")
+    ingest.ingest_new(s, f"{source}/*/part-*", out)
+    good = marc.parse(ingest.ingested(s, out)).select("record_id", F.lit(1).cast("long").alias("times"), F.lit(0).cast("long").alias("aside"))
+    runs = ingest.ledger(s, out).agg(F.lit("").alias("record_id"), F.countDistinct("run").alias("times"), F.count_if(F.col("reason").isNotNull()).alias("aside"))
+    return good.unionByName(runs.where(F.lit(aside >= 1)))
+
+
+def _paged(s: SparkSession, d: str) -> str:
+    """The catalogue's records as pages of 200 below a new folder: a query for each year, and one of a single subject."""
+    at, key = workspace(s, "paged"), F.col("record_id").cast("string")
+    res = P.resolutions(s, d, False).select("record_id", "subject", F.col("year").cast("string").alias("query"))
+    res = res.unionByName(res.where("subject = '1-URGENT MACHINERY'").withColumn("query", F.lit("urgent: x/y")))
+    xml = F.concat(F.lit('<record><controlfield tag="001">'), key, F.lit('</controlfield><datafield tag="991"><subfield code="d">'), "subject", F.lit("</subfield></datafield></record>"))
+    place = F.row_number().over(Window.partitionBy("query").orderBy("record_id")) - 1  # a year's records
+    pages.write_pages(res.select("query", place.alias("k"), xml.alias("xml")), at).write.format("noop").mode("overwrite").save()
+    return at
+
+
+_PAGED = """
+, q AS (SELECT CAST(year AS VARCHAR) AS query, record_id, subject FROM res0 UNION ALL SELECT 'urgent: x/y', record_id, subject FROM res0 WHERE subject = '1-URGENT MACHINERY'),
+got AS (SELECT query, record_id, subject FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY record_id) AS k FROM q) WHERE k <= 4000)
+"""
+
+
+@_query(_PAGED + """
+SELECT query, CAST(least(20, count(*) // 200 + 1) AS BIGINT) AS pages, count(*) AS records, count(*) >= 4000 AS capped
+FROM got g WHERE true GROUP BY query HAVING count(*) % 200 <> 0 OR count(*) >= 4000
+UNION ALL SELECT query, CAST(count(*) // 200 AS BIGINT), count(*), false FROM got GROUP BY query HAVING count(*) % 200 = 0 AND count(*) < 4000
+""")
+def harvest_pages(s, d):
+    """Pages, records and whether the bound was met, of every query."""
+    return pages.summary(pages.read_pages(s, _paged(s, d)))
+
+
+@_query(_PAGED + "SELECT query, CAST(record_id AS VARCHAR) AS record_id, subject FROM got")
+def harvested_records(s, d):
+    """The records of all pages that count, parsed."""
+    rows = pages.records(pages.read_pages(s, _paged(s, d)))
+    control, field = F.col("record.controlfield")[0]["_VALUE"], F.col("record.datafield")[0]["subfield"][0]["_VALUE"]
+    return rows.select(F.col("file").alias("query"), control.alias("record_id"), field.alias("subject"))
+
+
+@_query("""
+SELECT 'A/' || page_id AS symbol,
+       CASE WHEN page_id % 7 = 0 OR html IS NULL THEN 'missing' WHEN strlen(html) < 500 THEN 'tiny' ELSE 'ok' END AS status,
+       CASE WHEN page_id % 7 = 0 OR html IS NULL THEN '' WHEN strlen(html) < 500 THEN 'E/' || page_id || '.PDF' ELSE 'A_' || page_id || '.pdf' END AS file,
+       CASE WHEN page_id % 7 <> 0 AND strlen(html) >= 500 THEN CAST(strlen(html) AS BIGINT) END AS n_bytes,
+       CASE WHEN page_id % 7 <> 0 AND strlen(html) >= 500 THEN sha256(html) END AS sha256
+FROM pages
+""", prelude=False)
+def mirrored_documents(s, d):
+    """Every page written as a document of its own, logged, and read back byte for byte."""
+    at, key = workspace(s, "documents"), F.col("page_id").cast("string")
+    made = P.table(s, d, "pages").select(F.concat(F.lit("A/"), key).alias("symbol"), F.when(F.col("page_id") % 7 != 0, F.concat(F.lit("E/"), key, F.lit(".PDF"))).alias("link"), F.col("html").cast("binary").alias("data"))
+    log = documents.write_documents(made, at)
+    back = documents.read_documents(s, at).select("file", "n_bytes", F.sha2("data", 256).alias("sha256"))
+    return log.join(back, "file", "left").select("symbol", "status", "file", "n_bytes", "sha256")
+
+
+@_query("SELECT CAST(record_id AS VARCHAR) AS record_id FROM votes", prelude=True)
+def record_ids_in_text(s, d):
+    """Ids straight from the text of files, in the order of files and of places in them."""
+    at = workspace(s, "text")
+    made = P.votes(s, d).select(F.concat(F.lit('<record><controlfield tag="001"> '), F.col("record_id").cast("string"), F.lit("</controlfield></record>")).alias("value"))
+    made.write.text(at)
+    return marc.record_ids(s.read.text(at))
+
+
 def _indexed(s: SparkSession, d: str) -> TextIndex:
     return TextIndex.build(P.resolutions(s, d, False).select("record_id", "title", "subject"), ["title", "subject"], workspace(s, "index"))
 

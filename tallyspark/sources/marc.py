@@ -36,15 +36,34 @@ def placed(located: DataFrame) -> DataFrame:
     return located.select("file", F.struct("block", F.monotonically_increasing_id().alias("row")).alias("pos"), "record")
 
 
+#: Where a record that isn't XML is kept.
+_DAMAGED = "damaged_text"
+
+
+def checked(spark: SparkSession, files: list[str]) -> DataFrame:
+    """file, pos, record, damaged and text of every record of some files (as URIs, like ``inputFiles()``): a record that breaks off
+    or isn't XML is a row with its text and no record, and ends its file's reading."""
+    schema = T.StructType([*RECORD.fields, T.StructField(_DAMAGED, T.StringType())])
+    reader = spark.read.format("xml").schema(schema).option("rowTag", "record").option("ignoreNamespace", "true").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _DAMAGED)
+    rows = reader.load([unquote(f) for f in files])
+    pos = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    bad = F.col(_DAMAGED).isNotNull()
+    return rows.select(F.col("_metadata.file_path").alias("file"), pos.alias("pos"), F.when(~bad, F.struct("controlfield", "datafield")).alias("record"), bad.alias("damaged"), F.col(_DAMAGED).alias("text"))
+
+
+def ends(spark: SparkSession, files: list[str]) -> DataFrame:
+    """file and whole (true) of those of some files in which a collection ends."""
+    end = F.max(F.col("value").rlike(r"</(?:\w+:)?collection\s*>|<(?:\w+:)?collection\b[^>]*/>"))
+    return spark.read.text([unquote(f) for f in files]).groupBy(F.col("_metadata.file_path").alias("file")).agg(end.alias("whole")).where("whole")
+
+
 def cut_off(spark: SparkSession, files: list[str]) -> list[str]:
     """Of some files (as URIs, like ``inputFiles()``) those, empty ones too, in which no collection ends: a reader of
     records doesn't miss what should come after the last one."""
     if not files:
         return []
-    ends = F.max(F.col("value").rlike(r"</(?:\w+:)?collection\s*>|<(?:\w+:)?collection\b[^>]*/>"))
-    whole = spark.read.text([unquote(f) for f in files]).groupBy(F.col("_metadata.file_path").alias("file")).agg(ends.alias("whole")).where("whole")
     plain = lambda uri: unquote(urlparse(uri).path)
-    done = {plain(r.file) for r in whole.collect()}  # a name for each file, of which the caller has a list
+    done = {plain(r.file) for r in ends(spark, files).collect()}  # a name for each file, of which the caller has a list
     return sorted(f for f in files if plain(f) not in done)
 
 

@@ -5,7 +5,7 @@ import pytest
 
 from tallyspark.plans import registry
 
-TABLES = "region nation customer supplier part orders lineitem events".split()
+TABLES = "region nation customer supplier part orders lineitem events pages".split()
 
 
 @pytest.fixture(scope="module")

@@ -119,36 +119,102 @@ def test_csv_and_payload(spark, tmp_path):
     assert text.splitlines()[:3] == ["# Title", "# Source: Somewhere", "s,n"]
 
 
-def test_resumed_ingestion(spark, tmp_path):
-    src = tmp_path / "in"
-    src.mkdir()
-    (src / "1.xml").write_text(XML.format(record("1", field("245", ("a", "x")))))
-    run = lambda: ingest.ingest_new(spark, str(src), str(tmp_path / "out"), str(tmp_path / "check"))
-    run()
-    run()
-    (src / "2.xml").write_text(XML.format(record("2", field("245", ("a", "y")))))
-    run()
-    assert marc.parse(spark.read.parquet(str(tmp_path / "out"))).count() == 2
+def one(number, title):
+    return record(number, field("245", ("a", title)))
+
+
+def damaged(whole):
+    return {"between": whole[: whole.rindex("<record>")], "inside": whole[:-40], "empty": "", "malformed": whole.replace("</subfield>", "</wrong>", 1)}
 
 
 @pytest.mark.parametrize("cut", ["between", "inside", "empty", "malformed"])
-def test_a_cut_off_file_is_neither_lost_nor_done(spark, tmp_path, cut):
-    src, out = tmp_path / "in", str(tmp_path / "out")
+def test_a_damaged_file_is_set_aside_alone(spark, tmp_path, cut):
+    """Of ten files one is bad: nine come in, it is logged, and when mended it comes in once."""
+    src, out = tmp_path / "in", f"file://{tmp_path}/out"
+    src.mkdir()
+    for k in range(9):
+        (src / f"{k} é+%.xml").write_text(XML.format(one(str(k), "x") + one(f"1{k}", "y")))
+    whole = XML.format(one("100", "x") + one("101", "y"))
+    (src / "bad one.xml").write_text(damaged(whole)[cut])
+    assert ingest.ingest_new(spark, str(src), out) == 1
+    ids = lambda: sorted(int(r.record_id) for r in marc.parse(ingest.ingested(spark, out)).collect())
+    good = sorted([*range(9), *range(10, 19)])
+    assert ids() == good
+    aside = ingest.set_aside(spark, out).collect()
+    assert [(r.path.endswith("bad%20one.xml"), r.reason) for r in aside] == [(True, {"between": "no collection ends", "empty": "empty"}.get(cut, "a malformed record"))]
+    assert (aside[0].text is not None) == (cut in ("inside", "malformed"))
+    assert ingest.ingest_new(spark, str(src), out) == 0  # nothing has changed
+    (src / "bad one.xml").write_text(whole)
+    (src / "new.xml").write_text(XML.format(one("200", "z")))
+    assert ingest.ingest_new(spark, str(src), out) == 1 and ingest.ingest_new(spark, str(src), out) == 0
+    assert ids() == [*good, 100, 101, 200] and ingest.set_aside(spark, out).count() == 0
+    tried = ingest.ledger(spark, out).groupBy("path").count().collect()
+    assert sum(r["count"] for r in tried) == 12 and max(r["count"] for r in tried) == 2
+
+
+def test_a_good_file_that_changes(spark, tmp_path):
+    """The new reading replaces the old; a damaged new version leaves the old records; runs may be of one file each."""
+    src, out = tmp_path / "in", f"file://{tmp_path}/out"
     src.mkdir()
-    run = lambda: ingest.ingest_new(spark, str(src), out, str(tmp_path / "check"))
-    whole = XML.format(record("1", field("245", ("a", "x"))) + record("2", field("245", ("a", "y"))))
-    broken = {"between": whole[: whole.rindex("<record>")], "inside": whole[:-40], "empty": "", "malformed": whole.replace("</subfield>", "</wrong>", 1)}[cut]
-    (src / "1.xml").write_text(XML.format(record("0", field("245", ("a", "z")))))
-    (src / "2 a.xml").write_text(broken)
-    for _ in range(2):
-        with pytest.raises(Exception, match="2%20a.xml|2 a.xml|FAILFAST|MALFORMED"):
-            run()
+    for k in range(3):
+        (src / f"{k}.xml").write_text(XML.format(one(str(k), "old")))
+    assert ingest.ingest_new(spark, str(src), out, files=1) == 3
+    titles = lambda: sorted((r.record_id, r.title) for r in marc.parse(ingest.ingested(spark, out)).collect())
+    (src / "1.xml").write_text(XML.format(one("1", "newer") + one("5", "more")))
+    (src / "2.xml").write_text("<collection><record>")
+    ingest.ingest_new(spark, str(src), out)
+    assert titles() == [("0", "old"), ("1", "newer"), ("2", "old"), ("5", "more")]
+    assert [r.path[-5:] for r in ingest.set_aside(spark, out).collect()] == ["2.xml"]
+
+
+def test_a_run_that_fails_leaves_nothing_that_counts(spark, tmp_path, monkeypatch):
+    src, out = tmp_path / "in", f"file://{tmp_path}/out"
+    src.mkdir()
+    (src / "1.xml").write_text(XML.format(one("1", "x")))
+    ingest.ingest_new(spark, str(src), out)
+    (src / "2.xml").write_text(XML.format(one("2", "x")))
+    # the records and what is aside are written, the ledger isn't
+    real, put = ingest.materialise, type(spark.range(1).write).parquet
+    monkeypatch.setattr("pyspark.sql.readwriter.DataFrameWriter.parquet", lambda self, path, *a, **b: (_ for _ in ()).throw(OSError("lost")) if "/ledger/" in path else put(self, path, *a, **b))
+    with pytest.raises(OSError, match="lost"):
+        ingest.ingest_new(spark, str(src), out)
+    monkeypatch.undo()
+    assert ingest.materialise is real and len(list((tmp_path / "out/records").glob("part=2"))) == 1
+    assert [r.record_id for r in marc.parse(ingest.ingested(spark, out)).collect()] == ["1"]
+    ingest.ingest_new(spark, str(src), out)
+    assert sorted(r.record_id for r in marc.parse(ingest.ingested(spark, out)).collect()) == ["1", "2"]
+
+
+@pytest.mark.parametrize("cut", ["between", "inside", "empty", "malformed"])
+def test_a_read_of_a_damaged_file_is_an_error(spark, tmp_path, cut):
+    (tmp_path / "1.xml").write_text(XML.format(one("0", "z")))
+    (tmp_path / "2 a.xml").write_text(damaged(XML.format(one("1", "x") + one("2", "y")))[cut])
     with pytest.raises(Exception, match="2%20a.xml|2 a.xml|FAILFAST|MALFORMED"):
-        marc.read(spark, str(src)).collect()
-    (src / "2 a.xml").write_text(whole)
-    run()
-    run()
-    assert sorted(r.record_id for r in marc.parse(spark.read.parquet(out)).collect()) == ["0", "1", "2"]
+        marc.read(spark, str(tmp_path)).collect()
+
+
+def test_only_forced_years_change(spark, tmp_path, monkeypatch):
+    at = f"file://{tmp_path}/rows"
+    rows = lambda years, v: spark.createDataFrame([(y, k, v) for y in years for k in range(5)], "year string, id int, v string")
+    years = ["1999", "2000", "2001", "undated"]
+    ingest.store_years(rows(years, "a"), at)
+    files = lambda y: {(p.name, p.stat().st_mtime_ns, p.stat().st_ino) for p in (tmp_path / f"rows/year={y}").glob("*.parquet")}
+    before = {y: files(y) for y in years}
+    names = spark.createDataFrame([(y,) for y in [*years, "2002"]], "name string")
+    got = ingest.fetch_again(rows([*years, "2002"], "b"), at, names, forced=("2000", "undated"), page=5)
+    assert sorted(r.name for r in got.collect()) == ["2000", "2002", "undated"]
+    assert files("1999") == before["1999"] and files("2001") == before["2001"] and not files("2000") & before["2000"]
+    versions = lambda: {(r.year, r.v, r["count"]) for r in spark.read.schema("id int, v string, year string").parquet(at).groupBy("year", "v").count().collect()}
+    want = {("1999", "a", 5), ("2001", "a", 5), ("2000", "b", 5), ("2002", "b", 5), ("undated", "b", 5)}
+    assert versions() == want
+    ingest.fetch_again(rows([*years, "2002"], "b"), at, names, forced=("2000", "undated"), page=5)  # repeated
+    assert versions() == want
+    before = {y: files(y) for y in years}
+    broken = rows(years, "c").withColumn("v", F.when(F.col("id") < 4, "c").otherwise(F.raise_error(F.lit("lost"))))
+    with pytest.raises(Exception, match="lost"):  # a job that fails on its way
+        ingest.store_years(broken, at)
+    assert versions() == want and {y: files(y) for y in years} == before
+    assert ingest.fetch_again(rows(years, "d"), at, names, forced=("2000",), page=4).count() == 0 and versions() == want
 
 
 def test_file_order_decides_between_records_of_one_id(spark, tmp_path):
