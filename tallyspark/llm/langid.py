@@ -177,6 +177,7 @@ def lowest(ids: DataFrame, rows: int) -> DataFrame:
     counts = ids.groupBy("lang", part).agg(F.count("*").alias("n"))
     upto = F.sum("n").over(Window.partitionBy("lang").orderBy("part"))  # 65,536 rows of a language at most
     last = counts.withColumn("before", upto - F.col("n")).where(F.col("before") < rows).groupBy("lang").agg(F.max("part").alias("last_part"))
+    last = materialise(last, workspace(ids.sparkSession, "prefixes"))  # a row for each language, so Spark knows that it is small where it is
     some = ids.join(last, "lang").where(F.shiftright("h", 48) <= F.col("last_part"))
     first = Window.partitionBy("lang").orderBy("h")
     return some.withColumn("k", F.row_number().over(first)).where(F.col("k") <= rows).select("lang", "h")
