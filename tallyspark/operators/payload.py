@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text_rules as R
-from ..sources import files
+from ..sources import files, parts
 from ..sources.folders import materialise, workspace
 from .naming import naming
 from .votes import dense_index
@@ -132,44 +132,46 @@ def meta(res: DataFrame, cast: DataFrame, rows: DataFrame, labels: dict[str, str
     return one.select(F.struct(F.col("recordedResolutions").alias("nResolutions"), "nCountries", "yearMin", "yearMax", names.alias("groupLabels"), own.alias("coverage")).alias("meta"))
 
 
-def lines(res: DataFrame, votes: DataFrame, groups: DataFrame, labels: dict[str, str]) -> DataFrame:
-    """The script's lines: section, ord and value. One after another in that order they are ``window.DATA = {...};``."""
-    at = workspace(res.sparkSession, "payload")  # every section reads these
+def matrix_rows(cast: DataFrame) -> DataFrame:
+    """The vote matrix as rows of text, none for a whole state: iso3, step, pos, ri, code, kind and value. One after another in that
+    order they are ``"AAA":{"r":[0,1],"v":"YN"},...``: a row for each number and each code, and three for what stands around them."""
+    name = F.to_json(F.array("iso3"))
+    states = cast.groupBy("iso3").agg(F.count("*").alias("n"))
+    frame = lambda step, value, kind: F.struct(F.lit(step).alias("step"), value.alias("value"), F.lit(kind).alias("kind"))
+    around = F.array(
+        frame(0, F.concat(name.substr(F.lit(2), F.length(name) - 2), F.lit(':{"r":[')), parts.ITEM),
+        frame(2, F.lit('],"v":"'), parts.PLAIN),
+        frame(4, F.lit('"}'), parts.PLAIN),
+    )
+    own = F.array(frame(1, F.col("ri").cast("string"), parts.INNER), frame(3, F.col("code"), parts.PLAIN))
+    least = F.lit(-(1 << 63)).cast("long")
+    a = states.select("iso3", F.explode(around).alias("x"), least.alias("pos"), least.alias("ri"), F.lit("").alias("code"))
+    b = cast.select("iso3", F.explode(own).alias("x"), F.col("pos").cast("long").alias("pos"), F.col("ri").cast("long").alias("ri"), "code")
+    return a.unionByName(b).select("iso3", "x.step", "pos", "ri", "code", "x.kind", "x.value")
+
+
+def write(res: DataFrame, votes: DataFrame, groups: DataFrame, labels: dict[str, str], folder: str, ranges: int | None = None) -> None:
+    """The script ``window.DATA = {...};`` in parts below ``folder``: parts.join_parts() makes the browser's file of them. Every section
+    is evaluated once and written by ranges (some ``ranges``, else as Spark sees fit)."""
+    at = workspace(res.sparkSession, "payload")  # several sections read these
     res = materialise(res, f"{at}/res")
     rows = materialise(recorded(res), f"{at}/recorded")
     cast = materialise(vote_rows(votes, rows), f"{at}/votes")
-    made, states = res_rows(rows), countries(cast, groups)
+    made = materialise(res_rows(rows), f"{at}/made")
+    states = materialise(countries(cast, groups), f"{at}/states")
     json = lambda *c: F.to_json(F.struct(*c), {"ignoreNullFields": "false"})
     required = ["id", "sym", "title", "year", "date", "body", "subj", "item", "spon", "mtg", "urlR", "urlD", "y", "n", "a"]
     lean = ["id", "sym", "t", "year", "body", "subj", "vt"]
-    seen = subjects(made, states.select("name"))
-    parts = [
-        (meta(res, cast, rows, labels), F.lit(0).cast("long"), F.concat(F.lit('window.DATA = {"meta":'), F.to_json("meta", {"ignoreNullFields": "false"}), F.lit(',"res":['))),
-        (made, F.col("ri"), files.optional(F.struct(*required), F.struct("am"))),
-        (None, None, '],"countries":['),
-        (states, F.lit(0).cast("long"), json(*states.columns)),
-        (None, None, '],"votes":{'),
-        (matrix(cast), F.lit(0).cast("long"), F.concat(F.to_json(F.array("iso3")).substr(F.lit(2), F.length(F.to_json(F.array("iso3"))) - 2), F.lit(":"), json("r", "v"))),
-        (None, None, '},"subjects":['),
-        (seen, -F.col("n"), json("name", "n", "cs")),
-        (None, None, '],"resAll":['),
-        (res_all_rows(res), F.lit(0).cast("long"), files.optional(F.struct(*lean), F.struct("am", "y", "n", "a"))),
-        (None, None, "]};"),
-    ]
-    # a second order: states by code, subjects by their first resolution, resolutions by their place in the catalogue
-    then = {3: F.col("iso3"), 5: F.col("iso3"), 7: F.lpad(F.col("first_seen").cast("string"), 20, "0"), 9: F.lpad(F.col("pos").cast("string"), 20, "0")}
-    out = None
-    for k, (df, order, text) in enumerate(parts):
-        if df is None:
-            df, order, text = res.sparkSession.range(1), F.lit(0).cast("long"), F.lit(text)
-        one = df.select(F.lit(k).alias("section"), order.cast("long").alias("ord"), then.get(k, F.lit("")).alias("ord2"), text.alias("value"))
-        out = one if out is None else out.unionByName(one)
-    lead = out.groupBy("section").agg(F.min(F.struct("ord", "ord2")).alias("lead"))  # eleven rows
-    out = out.join(F.broadcast(lead), "section")
-    comma = F.when(F.col("section").isin(1, 3, 5, 7, 9) & (F.struct("ord", "ord2") > F.col("lead")), ",").otherwise("")
-    return out.select("section", "ord", "ord2", F.concat(comma, F.col("value")).alias("value"))
-
-
-def write(made: DataFrame, path: str) -> None:
-    """The script as one file, in order."""
-    made.orderBy("section", "ord", "ord2").select("value").coalesce(1).write.mode("overwrite").text(path)
+    head = meta(res, cast, rows, labels).select(F.to_json("meta", {"ignoreNullFields": "false"})).first()[0]  # counts and labels
+    listed = {
+        1: (made.withColumn("value", files.optional(F.struct(*required), F.struct("am"))), ["ri"]),
+        3: (states.withColumn("value", json(*states.columns)), ["iso3"]),
+        5: (matrix_rows(cast), ["iso3", "step", "pos", "ri", "code"]),
+        7: (subjects(made, states.select("name")).withColumn("value", json("name", "n", "cs")).withColumn("k", -F.col("n")), ["k", "first_seen"]),
+        9: (res_all_rows(res).withColumn("value", files.optional(F.struct(*lean), F.struct("am", "y", "n", "a"))), ["pos"]),
+    }
+    sections: list = ['window.DATA = {"meta":' + head + ',"res":[', None, '],"countries":[', None, '],"votes":{', None, '},"subjects":[', None, '],"resAll":[', None, "]};"]
+    for k, (df, order) in listed.items():
+        kind = F.col("kind") if "kind" in df.columns else F.lit(parts.ITEM).alias("kind")
+        sections[k] = parts.write_section(df.select(kind, "value", *order), order, folder, k, ranges)
+    parts.write_manifest(sections, folder)

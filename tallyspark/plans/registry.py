@@ -6,15 +6,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text_rules as R
-from ..operators import bits, geo
+from ..operators import bits, exports, geo, sets
 from ..operators import catalog as C
 from ..operators import payload as PL
 from ..operators import votes as V
 from ..operators.naming import held
 from ..operators.textindex import TextIndex
-from ..sources import documents, files, marc, pages
+from ..sources import documents, files, layout, marc, pages, parts
 from ..sources.folders import workspace
-from ..streaming import ingest
+from ..streaming import ingest, logstate
 from . import proxy as P
 
 _Q: dict = {}
@@ -498,10 +498,11 @@ _PAYLOAD = "meta struct<nResolutions long, nCountries long>, res array<struct<id
 
 @_query("SELECT (SELECT count(*) FROM made) AS n_res, (SELECT count(*) FROM cat) AS n_all, (SELECT count(*) FROM land) AS n_countries, (SELECT count(DISTINCT subj) FROM made) AS n_subjects, (SELECT CAST(sum(y) AS BIGINT) FROM made) AS y, (SELECT count(am) FROM made) AS n_am, (SELECT count(*) FROM cast_) AS n_votes, (SELECT arg_min(id, ri) FROM made) AS first_id, (SELECT subj FROM made GROUP BY 1 ORDER BY count(*) DESC, min(ri) LIMIT 1) AS top_subject")
 def payload_file(s, d):
-    """The whole payload written as one script and read back."""
+    """The whole payload written in parts, joined to one script and read back."""
     at = workspace(s, "payload")
-    PL.write(PL.lines(P.catalogue(s, d), P.votes_long(s, d), _groups(s, d), {"A": "a"}), at)
-    data = files.read_payload(s, f"{at}/part-*", "DATA", _PAYLOAD).select("data.*")
+    PL.write(P.catalogue(s, d), P.votes_long(s, d), _groups(s, d), {"A": "a"}, f"{at}/parts")
+    parts.join_parts(s, f"{at}/parts", f"{at}/whole/data.js")
+    data = files.read_payload(s, f"{at}/whole", "DATA", _PAYLOAD).select("data.*")
     total = lambda a, f: F.aggregate(a, F.lit(0).cast("long"), lambda acc, x: acc + f(x))
     size = lambda c: F.size(c).cast("long")
     return data.select(size("res").alias("n_res"), size("resAll").alias("n_all"), size("countries").alias("n_countries"), size("subjects").alias("n_subjects"), total("res", lambda x: F.coalesce(x["y"], F.lit(0))).alias("y"), total("res", lambda x: F.coalesce(x["am"], F.lit(0))).alias("n_am"), total(F.map_values("votes"), lambda x: F.length(x["v"])).alias("n_votes"), F.col("res")[0]["id"].alias("first_id"), F.col("subjects")[0]["name"].alias("top_subject"))
@@ -799,6 +800,93 @@ def record_ids_in_text(s, d):
     return marc.record_ids(s.read.text(at))
 
 
+@_query("""
+, n AS (SELECT (SELECT count(*) FROM made) AS res, (SELECT count(*) FROM land) AS countries, (SELECT 2 * count(*) + 3 * count(DISTINCT iso3) FROM cast_) AS votes, (SELECT count(DISTINCT subj) FROM made WHERE subj <> '') AS subjects, (SELECT count(*) FROM cat) AS all_)
+SELECT 1 AS section, CAST(res AS BIGINT) AS n_rows FROM n UNION ALL SELECT 3, CAST(countries AS BIGINT) FROM n UNION ALL SELECT 5, CAST(votes AS BIGINT) FROM n
+UNION ALL SELECT 7, CAST(subjects AS BIGINT) FROM n UNION ALL SELECT 9, CAST(all_ AS BIGINT) FROM n
+""")
+def payload_manifest(s, d):
+    """Rows of each section of the payload, from its manifest."""
+    at = workspace(s, "payload")
+    PL.write(P.catalogue(s, d), P.votes_long(s, d), _groups(s, d), {"A": "a"}, at)
+    return parts.manifest(s, at).where("file is not null").groupBy("section").agg(F.sum("n_rows").alias("n_rows"))
+
+
+def _chosen(s: SparkSession, d: str) -> exports.Chosen:
+    return exports.Chosen("NATION_1", "1-URGENT MACHINERY", ["NATION_1", "NATION_2", "NATION_3"], ("NATION_1", "NATION_2"), C.middle_year(C.scoped(P.resolutions(s, d, False))))
+
+
+@_query("""
+, m AS (SELECT (min(year) + max(year) + 1) // 2 AS y FROM res0 WHERE NOT am), mu AS (SELECT * FROM res WHERE NOT am),
+fl AS (SELECT subject FROM mu, m GROUP BY subject HAVING count(*) FILTER (WHERE year < y) >= 3 AND count(*) FILTER (WHERE year >= y) >= 3)
+SELECT 'ovtl' AS key, (SELECT count(*) FROM (SELECT DISTINCT year, body FROM mu)) AS n, 'year,body,n' AS header
+UNION ALL SELECT 'ctl', (SELECT count(DISTINCT year) FROM one WHERE state = 'NATION_1'), 'state,year,yes,no,abstain,yes_pct'
+UNION ALL SELECT 'cal', (SELECT count(*) FROM sym WHERE state_a = 'NATION_1'), 'state,shared,same,agreement_pct'
+UNION ALL SELECT 'ttrend', (SELECT count(DISTINCT year) FROM mu WHERE subject = '1-URGENT MACHINERY' AND yes + no + abstain > 0), 'subject,year,avg_yes_share_pct,n'
+UNION ALL SELECT 'bheat', (SELECT count(DISTINCT state) FROM votes WHERE NOT am), 'state,NATION_1,NATION_2,NATION_3'
+UNION ALL SELECT 'bmds', (SELECT count(*) FROM (SELECT state_a FROM sym WHERE state_b IN ('NATION_1', 'NATION_2') AND state_a NOT IN ('NATION_1', 'NATION_2') GROUP BY 1 HAVING count(*) = 2)), 'state,x,y,shared_votes'
+UNION ALL SELECT 'bcoh', (SELECT count(DISTINCT grp) FROM (SELECT grp, record_id FROM one GROUP BY 1, 2 HAVING count(*) >= 2)), 'grp,agreement_index,resolutions'
+UNION ALL SELECT 'biso', (SELECT count(DISTINCT state) FROM one JOIN tally USING (record_id) WHERE (y > n AND y > a) OR (n > y AND n > a) OR (a > y AND a > n)), 'state,minority_side_pct,votes'
+UNION ALL SELECT 'cflips', (SELECT count(*) FROM fl), 'subject,n_early,n_late,delta_pp'
+UNION ALL SELECT 'cero', (SELECT count(DISTINCT year) FROM mu), 'year,consensus_share_pct,n'
+UNION ALL SELECT 'cexplorer', (SELECT count(*) FROM mu), 'record_id,title,year,body,subject,mode,am,yes,no,abstain'
+""")
+def exported_charts(s, d):
+    """Every chart's file, written and read back: its rows, and the header line it has."""
+    at, votes, res, on, out = workspace(s, "charts"), _chamber(s, d), _res(s, d), _chosen(s, d), None
+    for key in exports.EXPORTS:
+        made = exports.write(key, votes, res, on, at, "Somewhere")
+        back = files.read_export(s, f"{at}/{key}", made.schema).agg(F.count("*").alias("n"))
+        line = s.read.text(f"{at}/{key}").where(F.col("value") == ",".join(made.columns)).limit(1).select(F.col("value").alias("header"))
+        one = back.join(line).select(F.lit(key).alias("key"), "n", "header")  # a row each
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@_query("""
+, act AS (SELECT state FROM (SELECT state, count(*) AS n FROM votes WHERE NOT am GROUP BY 1 ORDER BY n DESC, state LIMIT 5)),
+agr AS (SELECT state_a AS state, round(avg(same * 100.0::DOUBLE / shared), 4) AS m FROM sym GROUP BY 1),
+sets AS (SELECT 'most active' AS name, state FROM act
+  UNION ALL SELECT 'most agreeing', state FROM (SELECT state FROM agr ORDER BY m DESC, state LIMIT 5) UNION ALL SELECT 'most disagreeing', state FROM (SELECT state FROM agr ORDER BY m, state LIMIT 5)
+  UNION ALL SELECT 'P5+', state FROM (SELECT DISTINCT state FROM votes WHERE NOT am) WHERE state IN ('NATION_4', 'NATION_5')
+  UNION ALL SELECT 'AFRICAN', state FROM (SELECT DISTINCT state FROM votes WHERE NOT am AND grp = 'AFRICA'))
+SELECT name, state, count(record_id) AS votes FROM sets LEFT JOIN (SELECT * FROM votes WHERE NOT am AND year BETWEEN 1996 AND 1998) USING (state) GROUP BY 1, 2 HAVING count(record_id) > 0
+""")
+def named_sets(s, d):
+    """Votes from 1996 to 1998 in each named set."""
+    votes, out = _chamber(s, d), None
+    groups = P.states(s, d).select(F.col("state").alias("iso3"), F.when(F.col("grp") == "AFRICA", "AFRICAN").otherwise(F.col("grp")).alias("grp")).distinct()
+    for name in ("most active", "most agreeing", "most disagreeing", "P5+", "AFRICAN"):
+        own = sets.within(votes, sets.members(name, votes, groups, 5, ("NATION_4", "NATION_5")), 1996, 1998)
+        one = own.groupBy("state").agg(F.count("*").alias("votes")).select(F.lit(name).alias("name"), "state", "votes")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@_query("""
+SELECT CAST(record_id AS VARCHAR) AS symbol, CASE WHEN record_id % 5 = 0 AND record_id % 2 = 0 THEN 'error:Timeout' WHEN record_id % 7 = 0 THEN 'missing' ELSE 'ok' END AS status,
+       record_id % 5 = 0 AND record_id % 2 = 0 AS open FROM res0
+""")
+def mirror_state(s, d):
+    """The log as a stream's state: errors first, then what came of another turn, then the first lines once more."""
+    at, key = workspace(s, "logstate"), F.col("record_id")
+    rows = P.resolutions(s, d, False).select(key.cast("string").alias("symbol"), "record_id")
+    final = F.when(key % 7 == 0, "missing").otherwise("ok")
+    first = rows.select("symbol", F.when(key % 5 == 0, "error:Timeout").otherwise(final).alias("status"), F.lit("f").alias("file"))
+    second = rows.where("record_id % 5 = 0 and record_id % 2 = 1").select("symbol", final.alias("status"), F.lit("f").alias("file"))
+    for lines in (first, second, first):
+        ingest.append_log(lines, f"{at}/log")
+        logstate.follow(s, f"{at}/log", f"{at}/state", f"{at}/checkpoint")
+    return logstate.current(s, f"{at}/state").select("symbol", "status", "open")
+
+
+@_query("SELECT state, round(count(*) FILTER (WHERE code <> won) * 100.0::DOUBLE / count(*), 4) AS minority_side_pct, count(*) AS votes FROM one JOIN (SELECT record_id, CASE WHEN y > n AND y > a THEN 'Y' WHEN n > y AND n > a THEN 'N' WHEN a > y AND a > n THEN 'A' END AS won FROM tally) USING (record_id) WHERE won IS NOT NULL AND year BETWEEN 1996 AND 1998 GROUP BY state")
+def outvoted_in_years(s, d):
+    """Some years' outvoted states, from a table in folders of years and buckets of resolutions."""
+    stored = layout.store_votes(_chamber(s, d), workspace(s, "layout"))
+    return V.outvoted(V.one_vote(stored.where("year between 1996 and 1998")))
+
+
 def _indexed(s: SparkSession, d: str) -> TextIndex:
     return TextIndex.build(P.resolutions(s, d, False).select("record_id", "title", "subject"), ["title", "subject"], workspace(s, "index"))
 

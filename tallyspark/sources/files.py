@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,24 +13,43 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, **optio
     return rows.fillna("", [f.name for f in rows.schema.fields if isinstance(f.dataType, T.StringType)])
 
 
-def write_csv(df: DataFrame, path: str, *order: str) -> None:
-    """One file in a fixed order, for people; quotes are doubled and empty cells stay empty."""
-    out = df.orderBy(*order) if order else df
-    out.coalesce(1).write.mode("overwrite").csv(path, header=True, escape='"', emptyValue="", nullValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+def write_csv(df: DataFrame, path: str, *order: str, one_file: bool = False) -> None:
+    """CSV with quotes doubled and empty cells left empty. With an ``order``, files in that order that hold a range of the rows each,
+    every one with the header; ``one_file`` for tables that people open (all rows then pass through one task)."""
+    out = df
+    if order:
+        out = df.orderBy(*order) if one_file else df.repartitionByRange(*order).sortWithinPartitions(*order)
+    if one_file:
+        out = out.coalesce(1)
+    out.write.mode("overwrite").csv(path, header=True, escape='"', emptyValue="", nullValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 def write_export(df: DataFrame, path: str, title: str, source: str, order: tuple[str, ...] = (), bom: bool = False) -> None:
     """CSV lines after two comment lines and the header, as one text file; with a byte order mark if asked for."""
-    head = [("\ufeff" if bom else "") + f"# {title}", f"# Source: {source}", ",".join(df.columns)]
+    head = [("\ufeff" if bom else "") + f"# {_line(title)}", f"# Source: {_line(source)}", ",".join(df.columns)]
     quoted = [F.when(F.coalesce(F.col(c).cast("string"), F.lit("")).rlike('[",\n]'), F.concat(F.lit('"'), F.replace(F.col(c).cast("string"), F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in df.columns]
     rows = (df.orderBy(*order) if order else df).select(F.lit(1).alias("part"), F.monotonically_increasing_id().alias("k"), F.concat_ws(",", *quoted).alias("value"))
     first = df.sparkSession.createDataFrame([(0, 0, "\n".join(head))], "part int, k long, value string")
     first.unionByName(rows).orderBy("part", "k").select("value").coalesce(1).write.mode("overwrite").text(path)
 
 
+def _line(text: str) -> str:
+    return " ".join(text.split())
+
+
+#: Lines before an export's rows: its title, its source and the header.
+HEAD = 3
+
+
 def read_export(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """The rows of an export: with or without a byte order mark, comment lines left out."""
-    return read_csv(spark, path, schema, comment="#")
+    """The rows of an export: with or without a byte order mark, without the lines before them. A row may begin with #."""
+    kind = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in kind.fields])
+    rows = spark.read.csv(path, schema=text, header=False, multiLine=True, escape='"')
+    rows = rows.select("*", F.col("_metadata.file_path").alias("file_"), F.monotonically_increasing_id().alias("line_"))
+    rows = rows.withColumn("k_", F.row_number().over(Window.partitionBy("file_").orderBy("line_"))).where(F.col("k_") > HEAD)  # a chart's rows
+    cell = lambda f: F.coalesce(F.col(f"`{f.name}`"), F.lit("")) if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`").try_cast(f.dataType)
+    return rows.select(*[cell(f).alias(f.name) for f in kind.fields])
 
 
 def payload(value: Column, name: str) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyspark.functions import text_rules as R
 from tallyspark.operators import catalog, geo, payload, votes
-from tallyspark.sources import files, marc
+from tallyspark.sources import files, marc, parts
 from tallyspark.streaming import ingest
 
 XML = """<collection xmlns="http://www.loc.gov/MARC21/slim">{}</collection>"""
@@ -315,7 +315,8 @@ def test_map_of_a_geojson_file(spark, tmp_path):
     assert world["W"] == 1000 and set(world["paths"]) == {"AAA", "BBB"} and world["names"]["CCC"] == "small" and len(world["dots"]["CCC"]) == 2
 
 
-def test_payload_of_a_small_catalogue(spark, tmp_path):
+@pytest.mark.parametrize("ranges", [1, 40])
+def test_payload_of_a_small_catalogue(spark, tmp_path, ranges):
     text = "record_id symbol title draft date year body vote_type agenda_subject agenda_item_title main_sponsors meeting url_resolution url_draft yes no abstain".split()
     rows = [
         ("1", "S1", "T : draft resolution / x", "", " 1999 ", "1999", "The Council", "RECORDED", " B ", "I - ", " Cuba ", "m", "u", "d", "1", "1", "0", 2, 0),
@@ -327,9 +328,14 @@ def test_payload_of_a_small_catalogue(spark, tmp_path):
     cast = [("1", "VEN", "venezuela (x)", "Y", "1999", 0), ("1", "CUB", "cuba", "N", "1999", 1), ("2", "VEN", "new NAME", "?", "", 2), ("4", "", "none", "Y", "2000", 3), ("3", "VEN", "x", "Y", "2001", 4), ("4", "VEN", "late", "A", "2000", 5)]
     votes_ = spark.createDataFrame(cast, "record_id string, iso3 string, country string, vote string, year string, pos long")
     groups = spark.createDataFrame([("VEN", "GRULAC")], "iso3 string, grp string")
-    payload.write(payload.lines(res, votes_, groups, {"GRULAC": "Latin"}), str(tmp_path / "p"))
-    part, = (tmp_path / "p").glob("part-*")
-    data = json.loads(part.read_text().strip().removeprefix("window.DATA = ").removesuffix(";"))
+    payload.write(res, votes_, groups, {"GRULAC": "Latin"}, f"file://{tmp_path}/p", ranges)
+    n = parts.join_parts(spark, f"file://{tmp_path}/p", f"file://{tmp_path}/data.js")
+    raw = (tmp_path / "data.js").read_bytes()
+    listed = [r for r in parts.manifest(spark, f"file://{tmp_path}/p").collect()]
+    assert raw == b"".join(r.text.encode() + ((tmp_path / "p" / r.file).read_bytes() if r.file else b"") for r in listed)
+    assert n == len(raw) == sum(r.n_bytes + len(r.text.encode()) for r in listed)
+    assert ranges == 1 or sum(r.section == 5 for r in listed) > 8 and {r.first_kind for r in listed if r.section == 5} == {parts.ITEM, parts.INNER, parts.PLAIN}
+    data = json.loads(raw.decode().removeprefix("window.DATA = ").removesuffix(";"))
     assert [r["id"] for r in data["res"]] == ["1", "2", "4"] and list(data) == ["meta", "res", "countries", "votes", "subjects", "resAll"]
     assert data["res"][0] == {"id": "1", "sym": "S1", "title": "T : draft resolution / x", "year": 1999, "date": "1999", "body": "HRC", "subj": "B", "item": "I", "spon": "Cuba", "mtg": "m", "urlR": "u", "urlD": "d", "y": 1, "n": 1, "a": 0}
     assert data["res"][1]["am"] == 1 and data["res"][1]["y"] is None and data["res"][2]["title"] == 'Quote " é'
@@ -345,10 +351,9 @@ def test_payload_of_a_small_catalogue(spark, tmp_path):
     assert (cover["totalResolutions"], cover["recordedResolutions"], cover["totalsNoRollcall"], cover["neitherTotalsNorRollcall"], cover["reconciled"], cover["mismatched"]) == (4, 3, 1, 0, 1, 0)
     assert cover["bodyAll"] == {"CHR": 3, "HRC": 1} and cover["decades"] == [{"decade": 1990, "all": 1, "recorded": 1}, {"decade": 2000, "all": 2, "recorded": 1}]
     assert data["meta"] | {"coverage": 0} == {"nResolutions": 3, "nCountries": 2, "yearMin": 1999, "yearMax": 2000, "groupLabels": {"GRULAC": "Latin"}, "coverage": 0}
-    empty = payload.lines(res.limit(0), votes_.limit(0), groups, {})
-    payload.write(empty, str(tmp_path / "e"))
-    part, = (tmp_path / "e").glob("part-*")
-    assert json.loads(part.read_text().strip().removeprefix("window.DATA = ").removesuffix(";"))["res"] == []
+    payload.write(res.limit(0), votes_.limit(0), groups, {}, f"file://{tmp_path}/e", ranges)
+    empty = b"".join(parts.read_parts(spark, f"file://{tmp_path}/e")).decode()
+    assert json.loads(empty.removeprefix("window.DATA = ").removesuffix(";"))["res"] == []
 
 
 @pytest.mark.parametrize("bom", [False, True])
