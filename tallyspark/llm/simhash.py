@@ -1,13 +1,10 @@
-"""SimHash near-duplicates: fingerprints, exact Hamming links through vantage-point shards, groups.
-
-Two 64-bit fingerprints within three bits are equal in one of their four 16-bit quarters. Each quarter has a
-vantage-point tree whose levels are shells (equal Hamming distance) around fixed vantage points. By the triangle bound
-an equal quarter lies in the same shell of every vantage point, so a fingerprint has one home shard in each tree and need
-visit no other. A shard that stays large is divided anew by trees over the other three quarters, one of which differs by
-one bit at most: there a quarter at distance one lies in the neighbouring shell of every vantage point, and a
-fingerprint also visits the shards that its ball of radius one overlaps. What stays large even then (most
-of its bits are the same) is dealt into parts of ``PART_ROWS`` that are compared two by two in separate tasks. Inside a
-shard a further vantage point prunes before the full distance is checked. Every link within three bits is found.
+"""SimHash near-duplicates: fingerprints, exact Hamming links by vantage-point trees, groups.
+
+Of two 64-bit fingerprints within ``bits`` bits one half of 32 bits differs in at most half as many. Each half has a
+vantage-point tree (vptree.py) of its own, built from a bounded sample of the fingerprints: its leaves are shards, a fingerprint
+has one home in each tree, and visits the shards whose boundary its ball crosses. Inside a shard a further tree prunes before the
+full distance is checked. What a shard holds beyond ``PART_ROWS`` is dealt into parts that are compared two by two in
+separate tasks. Every link is found, for any number of bits.
 """
 
 from __future__ import annotations
@@ -20,16 +17,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textkernel as K
+from . import vptree
 from .components import connected_components, forest
 from .shared import materialise, one_of_each, only, text_key, workspace
 
-#: Vantage points: 16-bit values that follow from a rule; a tree's levels, and those of a divided shard's trees.
-LEVELS, DEEPER = 8, 3
-_POINTS = [int(x) & 0xFFFF for x in K.mix(np.arange(1, LEVELS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))]
-#: Fingerprints a shard may hold before it is divided anew, and those of a divided one before it is dealt into parts.
-SHARD_ROWS, PART_ROWS = 2000, 8000
-#: Candidate pairs compared at a time inside a shard, and the size from which a shard is pruned by its own vantage points.
-_PAIRS, _LEAF = 1 << 20, 64
+#: Fingerprints of a shard (a leaf) as far as levels allow, levels at most, and the sample that trees are built from.
+SHARD_ROWS, LEVELS, SAMPLE = 2000, 14, 1 << 16
+#: Fingerprints of a shard before it is dealt into parts.
+PART_ROWS = 50_000
+#: Linked pairs that a task holds before it keeps only those that connect.
+_HELD = 1 << 22
 
 
 def simhash(data: np.ndarray, offsets: np.ndarray, shingle: int, seed: int = 42) -> np.ndarray:
@@ -81,95 +78,81 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return src.mapInArrow(run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, text_key long, fp long")
 
 
-def _ranges(n: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Row ranges that make about ``_PAIRS`` pairs."""
-    total, lo = np.cumsum(n), 0
-    while lo < len(n):
-        done = total[lo - 1] if lo else 0
-        hi = max(lo + 1, int(np.searchsorted(total, done + _PAIRS, side="right")))
-        yield lo, hi
-        lo = hi
-
-
-def _compare(fp: np.ndarray, left: np.ndarray, frm: np.ndarray, n: np.ndarray, homes: np.ndarray, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Row left[i] against homes[frm[i] : frm[i] + n[i]]; yields the linked pairs of fingerprints."""
-    for lo, hi in _ranges(n):
-        k = n[lo:hi]
-        a = np.repeat(left[lo:hi], k)
-        b = homes[np.repeat(frm[lo:hi] - (np.cumsum(k) - k), k) + np.arange(int(k.sum()))]
-        near = np.bitwise_count(fp[a] ^ fp[b]) <= bits
-        near &= a != b
-        if near.any():
-            yield fp[a[near]], fp[b[near]]
-
-
-def _in_shards(shard: np.ndarray, fp: np.ndarray, visits: np.ndarray, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Linked pairs of whole shards; rows are sorted by shard, homes before visitors."""
-    edge = np.flatnonzero(np.concatenate([[True], (shard[1:] != shard[:-1]).any(axis=1)]))
-    size = np.diff(np.append(edge, len(fp)))
-    home = np.add.reduceat(~visits, edge, dtype=np.int64)
-    row = np.arange(len(fp))
-    start, homes = np.repeat(edge, size), np.repeat(home, size)
-    small = homes <= _LEAF
-    n = np.where(visits, homes, row - start)
-    at = np.flatnonzero(small & (n > 0))
-    yield from _compare(fp, at, start[at], n[at], row, bits)
-    for k in np.flatnonzero(home > _LEAF).tolist():
-        lo, mid, hi = edge[k], edge[k] + home[k], edge[k] + size[k]
-        # shells around one of the shard's own points; a link's distances to it differ by at most ``bits``
-        d = np.bitwise_count(fp[lo:hi] ^ fp[lo + (home[k] >> 1)]).astype(np.int64)
-        order = lo + np.argsort(d[: home[k]], kind="stable")
-        shells = np.sort(d[: home[k]])
-        frm = np.searchsorted(shells, d - bits, side="left")
-        n = np.searchsorted(shells, d + bits, side="right") - frm
-        at = np.flatnonzero(n)
-        yield from _compare(fp, lo + at, frm[at], n[at], order, bits)
-        del mid
+def trees(fps: DataFrame, bits: int) -> list[vptree.Tree]:
+    """A tree for each half, from at most SAMPLE fingerprints (those that hash lowest)."""
+    n = fps.count()
+    levels = int(np.clip(np.ceil(np.log2(max(n, 1) / SHARD_ROWS)), 0, LEVELS))
+    sample = [r.fp for r in fps.orderBy(F.xxhash64("fp")).limit(SAMPLE).collect()] if levels else []
+    halves = _halves(np.array(sample, np.int64).view(np.uint64))
+    return [vptree.build(h, levels, bits // 2) for h in halves]
 
 
-def links(fps: DataFrame, bits: int = 3) -> DataFrame:
-    """``fps``: one row for each distinct fp. Returns u and v: links within ``bits`` that connect what all such links connect."""
-    if not 0 <= bits <= 3:
-        raise ValueError("the quarters' trees are made for at most three differing bits")
-    at = workspace(fps.sparkSession, "shards")
+def _halves(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return fp & np.uint64(0xFFFFFFFF), fp >> np.uint64(32)
 
-    def quarter(k: int) -> str:
-        return f"(shiftrightunsigned(fp, {16 * (k % 4)}) & 65535L)"
 
-    def shells(k: int, levels: int) -> str:
-        """The quarter's distances to the first vantage points, five bits each."""
-        return " | ".join(f"shiftleft(cast(bit_count({quarter(k)} ^ {_POINTS[i]}L) as bigint), {5 * i})" for i in range(levels))
+def shards(fps: DataFrame, forest_: list[vptree.Tree], bits: int) -> DataFrame:
+    """half, shard, fp and visits: a row for each home of a fingerprint and each shard that it visits."""
+    sent = fps.sparkSession.sparkContext.broadcast(forest_)  # two trees of 2 ** LEVELS nodes at most
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            fp = b.column(0).to_numpy().view(np.uint64)
+            for k, (half, tree) in enumerate(zip(_halves(fp), sent.value, strict=True)):
+                row, leaf, home, _ = vptree.place(half, tree, bits // 2)
+                yield pa.record_batch([pa.array(np.full(len(row), k, np.int32)), pa.array(leaf.astype(np.int32)), pa.array(fp[row].view(np.int64)), pa.array(~home)], names=["half", "shard", "fp", "visits"])
+
+    return fps.select("fp").mapInArrow(run, "half int, shard int, fp long, visits boolean")
 
-    homes = ", ".join(f"struct({k} as tree, {shells(k, LEVELS)} as home)" for k in range(4))
-    rows = fps.selectExpr("fp", f"inline(array({homes}))")
-    large = materialise(rows.groupBy("tree", "home").count().where(F.col("count") > SHARD_ROWS).select("tree", "home", F.lit(True).alias("large")), f"{at}/large")
-    if large.isEmpty():
-        rows = rows.selectExpr("home * 4 + tree shard", "fp", "false visits", "0L deep", "0L part")
-    else:
-        # of a step of one to each neighbouring shell and its opposite one is enough: the other fingerprint takes it
-        signs = [0]
-        for i in range(DEEPER):
-            signs = [x + s * (1 << 5 * i) for x in signs for s in ((1,) if i == 0 else (1, -1))]
-        deeper = [f"case tree {' '.join(f'when {k} then {shells(k + sub, DEEPER)}' for k in range(4))} end" for sub in (1, 2, 3)]
-        cells = ", ".join(f"struct((d[{sub - 1}] + ({s}L)) * 4 + {sub} as deep, {'true' if s else 'false'} as visits)" for sub in (1, 2, 3) for s in [0, *signs])
-        rows = rows.join(large, ["tree", "home"], "left").selectExpr("home * 4 + tree shard", "fp", "large", f"case when large then array({', '.join(deeper)}) end d")
-        rows = rows.selectExpr("shard", "fp", "large", f"inline(case when large then array({cells}) else array(struct(0L as deep, false as visits)) end)")
-        full = rows.where("large").groupBy("shard", "deep").agg(F.ceil(F.count("*") / PART_ROWS).alias("parts")).where("parts > 1")
-        rows = rows.join(materialise(full, f"{at}/full"), ["shard", "deep"], "left").selectExpr("shard", "fp", "visits", "deep", "parts", "pmod(xxhash64(fp), parts) i")
-        rows = rows.selectExpr("shard", "fp", "visits", "deep", "explode(case when parts is null then array(0L) else transform(sequence(0L, parts - 1), j -> least(i, j) * 1000000L + greatest(i, j)) end) part")
+
+def traffic(fps: DataFrame, bits: int = 3) -> dict[str, int]:
+    """What the trees do with some fingerprints: shards, homes, visits over boundaries, and branches pruned."""
+    made = trees(fps, bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = [np.zeros(0, np.int64)] * 5  # shard, deep and part, fp, visits
+        for b in batches:
+            fp = b.column(0).to_numpy().view(np.uint64)
+            for half, tree in zip(_halves(fp), made, strict=True):
+                _, _, home, pruned = vptree.place(half, tree, bits // 2)
+                yield pa.record_batch([pa.array([int(home.sum())]), pa.array([int((~home).sum())]), pa.array([pruned])], names=["homes", "visits", "pruned"])
+
+    total = fps.select("fp").mapInArrow(run, "homes long, visits long, pruned long").agg(*[F.sum(c).alias(c) for c in ("homes", "visits", "pruned")]).first()
+    return {"shards": sum(1 << t.levels for t in made), **{k: v or 0 for k, v in total.asDict().items()}}
+
+
+def links(fps: DataFrame, bits: int = 3) -> DataFrame:
+    """``fps``: one row for each distinct fp. Returns u and v: links within ``bits`` that connect what all such links connect."""
+    if not 0 <= bits <= 64:
+        raise ValueError("fingerprints differ in 0 to 64 bits")
+    at = workspace(fps.sparkSession, "shards")
+    rows = shards(fps, trees(fps, bits), bits)
+    full = rows.where("not visits").groupBy("half", "shard").agg(F.ceil(F.count("*") / PART_ROWS).alias("parts")).where("parts > 1")
+    full = materialise(full, f"{at}/full")
+    if full.isEmpty():
+        rows = rows.withColumn("part", F.lit(0).cast("long"))
+    else:  # two parts, or one with itself, make a block; a fingerprint goes to one block for each part there is
+        rows = rows.join(full, ["half", "shard"], "left").withColumn("i", F.pmod(F.xxhash64("fp"), F.coalesce("parts", F.lit(1).cast("long"))))
+        block = F.transform(F.sequence(F.lit(0).cast("long"), F.coalesce("parts", F.lit(1).cast("long")) - 1), lambda j: F.least("i", j) * 1_000_000 + F.greatest("i", j))
+        rows = rows.withColumn("part", F.explode(block)).select("half", "shard", "fp", "visits", "part")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = [np.zeros(0, np.int64)] * 5  # half, shard, part, fp, visits
         found: list[tuple[np.ndarray, np.ndarray]] = []
 
+        def held() -> tuple[np.ndarray, np.ndarray]:
+            return forest(np.concatenate([x for x, _ in found]), np.concatenate([x for _, x in found]))
+
         def out(cols: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-            if len(cols[0]):
-                for a, b in _in_shards(np.stack(cols[:3], 1), cols[3].view(np.uint64), cols[4].astype(bool), bits):
-                    found.append((a, b))
-                    if sum(len(x) for x, _ in found) > 4 * _PAIRS:
-                        found[:] = [forest(np.concatenate([x for x, _ in found]), np.concatenate([x for _, x in found]))]
+            place = np.stack(cols[:3], 1)
+            edge = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]).any(axis=1), [True]])) if len(place) else [0]
+            for lo, hi in zip(edge[:-1], edge[1:], strict=True):
+                fp = cols[3][lo:hi].view(np.uint64)
+                for pair in vptree.near_pairs(_halves(fp)[cols[0][lo]], fp, cols[4][lo:hi].astype(bool), bits // 2, bits):
+                    found.append(pair)
+                    if sum(len(x) for x, _ in found) > _HELD:
+                        found[:] = [held()]
             if found:
-                u, v = forest(np.concatenate([x for x, _ in found]), np.concatenate([x for _, x in found]))
+                u, v = held()
                 found.clear()
                 yield pa.record_batch([pa.array(u.view(np.int64)), pa.array(v.view(np.int64))], names=["u", "v"])
 
@@ -182,8 +165,8 @@ def links(fps: DataFrame, bits: int = 3) -> DataFrame:
                 yield from out([c[:cut] for c in cols])
         yield from out(kept)
 
-    by = rows.repartition("shard", "deep", "part").sortWithinPartitions("shard", "deep", "part", "visits")
-    return by.select("shard", "deep", "part", "fp", "visits").mapInArrow(run, "u long, v long")
+    by = rows.repartition("half", "shard", "part").sortWithinPartitions("half", "shard", "part")
+    return by.select("half", "shard", "part", "fp", "visits").mapInArrow(run, "u long, v long")
 
 
 def _members(docs: DataFrame, id_col: str, text_col: str, shingle: int, bits: int) -> DataFrame:

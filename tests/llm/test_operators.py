@@ -171,23 +171,56 @@ def test_op5_rows_are_told_apart_by_text(spark):
     assert sorted(map(str, map(tuple, kept.collect()))) == sorted(map(str, [rows[0], rows[1], rows[3], rows[4], rows[7]]))
 
 
-@pytest.mark.parametrize("rows, part, hot", [(5, 6, 0), (5, 6, 32), (20, 8000, 0), (20, 8000, 16), (20, 30, 48), (2000, 8000, 0)])
-def test_op5_links_lose_nothing_in_any_shard(spark, monkeypatch, rows, part, hot):
-    """Shards divided anew and dealt into parts, also where ``hot`` low bits are the same in all fingerprints."""
+def near_roots(f, bits):
+    u = f.view(np.uint64)
+    pairs = [(i, j) for i in range(len(u)) for j in i + 1 + np.flatnonzero(np.bitwise_count(u[i + 1 :] ^ u[i]) <= bits)]
+    a, b = components.forest(f[[i for i, _ in pairs]], f[[j for _, j in pairs]])
+    return dict(zip(a.tolist(), b.tolist(), strict=True))
+
+
+def linked_roots(spark, f, bits):
+    got = simhash.links(spark.createDataFrame([(int(x),) for x in f], "fp long"), bits).collect()
+    assert all(1 <= bin((r.u ^ r.v) & (2**64 - 1)).count("1") for r in got)
+    a, b = components.forest(np.array([r.u for r in got], np.int64), np.array([r.v for r in got], np.int64))
+    return dict(zip(a.tolist(), b.tolist(), strict=True))
+
+
+@pytest.mark.parametrize("rows, part, leaf, hot, bits", [(5, 6, 4, 0, 3), (5, 6, 4, 32, 3), (20, 8000, 8, 0, 5), (20, 8000, 2, 16, 3), (20, 30, 300, 48, 3), (2000, 8000, 10, 40, 8), (9, 50, 4, 0, 0)])
+def test_op5_links_lose_nothing_in_any_shard(spark, monkeypatch, rows, part, leaf, hot, bits):
+    """Many small shards, parts, and trees inside shards; also where ``hot`` low bits are the same in all fingerprints."""
     monkeypatch.setattr(simhash, "SHARD_ROWS", rows)
     monkeypatch.setattr(simhash, "PART_ROWS", part)
+    monkeypatch.setattr(simhash.vptree, "LEAF", leaf)
     rng = np.random.default_rng(hot)
     base = [int(x) for x in rng.integers(0, 2**63, 150)]
-    f = base + [x ^ sum(1 << int(b) for b in rng.choice(64 - hot, int(rng.integers(1, 5)), replace=False) + hot) for x in base * 3]
+    f = base + [x ^ sum(1 << int(b) for b in rng.choice(64 - hot, int(rng.integers(1, bits + 2)), replace=False) + hot) for x in base * 3]
     f = np.unique(np.array([(x >> hot << hot) & (2**63 - 1) for x in f], np.int64))
-    u = f.view(np.uint64)
-    pairs = [(i, j) for i in range(len(u)) for j in i + 1 + np.flatnonzero(np.bitwise_count(u[i + 1 :] ^ u[i]) <= 3)]
-    a, b = components.forest(f[[i for i, _ in pairs]], f[[j for _, j in pairs]])
-    want = dict(zip(a.tolist(), b.tolist(), strict=True))
-    got = simhash.links(spark.createDataFrame([(int(x),) for x in f], "fp long")).collect()
-    assert all(bin((r.u ^ r.v) & (2**64 - 1)).count("1") >= 1 for r in got)
-    a, b = components.forest(np.array([r.u for r in got]), np.array([r.v for r in got]))
-    assert dict(zip(a.tolist(), b.tolist(), strict=True)) == want
+    assert linked_roots(spark, f, bits) == near_roots(f, bits)
+
+
+def test_op5_default_trees_prune_and_visit(spark):
+    """7000 fingerprints, the constants as they are: shards, boundary visits and pruned branches, and all links of brute force."""
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 2**63, 5000)
+    some = [int(x) ^ (1 << int(a)) ^ (1 << int(b)) for x, a, b in zip(base[:2000], rng.integers(0, 63, 2000), rng.integers(0, 63, 2000), strict=True)]
+    f = np.unique(np.array([*map(int, base), *some], np.int64))
+    seen = simhash.traffic(spark.createDataFrame([(int(x),) for x in f], "fp long"))
+    assert seen["shards"] == 8 and seen["homes"] == 2 * len(f)
+    assert 0 < seen["visits"] < seen["homes"] and seen["pruned"] > seen["homes"] / 4
+    want = near_roots(f, 3)
+    assert linked_roots(spark, f, 3) == want and len(want) > 1500
+
+
+def test_op5_a_large_cluster_of_near_fingerprints():
+    """5000 fingerprints of one half: no vantage point parts that half, so the whole fingerprints are parted."""
+    rng = np.random.default_rng(7)
+    high = np.unique(rng.integers(0, 2**31, 5000)).astype(np.uint64)
+    fp = (high << np.uint64(32)) | np.uint64(77)
+    got = list(simhash.vptree.near_pairs(fp & np.uint64(0xFFFFFFFF), fp, np.zeros(len(fp), bool), 1, 3))
+    found = {(min(a, b), max(a, b)) for x, y in got for a, b in zip(x.tolist(), y.tolist(), strict=True)}
+    near = np.bitwise_count(fp[:, None] ^ fp[None, :]) <= 3
+    i, j = np.nonzero(np.triu(near, 1))
+    assert found == {(min(a, b), max(a, b)) for a, b in zip(fp[i].tolist(), fp[j].tolist(), strict=True)}
 
 
 def test_op5_links_lose_nothing(spark):
