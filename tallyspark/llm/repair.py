@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,6 +39,10 @@ STEP = 1024
 MOST_IDS = 1 << 24
 #: Ids of a shard; occurrences from which a rule (two symbols) is shorter than what it replaces; the bar's fall from round to round.
 SHARD_TOKENS, LEAST, SHRINK = 2_000_000, 3, 16
+#: Tasks that read files: one for each, up to so many.
+MOST_TASKS = 50_000
+#: Rows, and bytes of text, that are encoded at a time; a shard's share of ids by which it may be too large.
+SLICE_ROWS, SLICE_BYTES, OVER = 512, 4 << 20, 0.1
 #: Ids up to which an expansion is held whole while decoding: longer ones are taken apart first.
 _WHOLE = 64
 _NONE = np.iinfo(np.int32).max
@@ -252,7 +257,7 @@ def write(docs: DataFrame, uri: str, id_col: str = "doc_id", text_col: str = "te
     Returns the manifest: part and file (the shards' order), path, n_docs, n_tokens, n_symbols, n_bytes, start (ids
     of all shards before). Ids are whole numbers (others are an error of Spark's cast). Rows of one id are ordered by their
     texts, repeated rows stay repeated; a null id comes first; an empty table gives no files; other columns don't
-    matter. Files of attempts that were lost are in no manifest.
+    matter. A shard has at most a tenth more than ``shard_tokens`` ids, unless a single document has. Files of attempts that were lost are in no manifest.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -271,18 +276,32 @@ def write(docs: DataFrame, uri: str, id_col: str = "doc_id", text_col: str = "te
             trim()
             return pa.record_batch([pa.array(row[0], pa.int32()), pa.array(row[1], pa.int32()), *map(pa.array, row[2:])], names=["part", "file", "path", "n_docs", "n_tokens", "n_symbols", "n_bytes"])
 
+        most = int(shard_tokens * (1 + OVER))
         for b in batches:
-            for lo in range(0, b.num_rows, 512):
-                some = b.slice(lo, 512)
+            size = np.concatenate([[0], np.cumsum(pc.fill_null(pc.binary_length(b.column(1)), 0).to_numpy(zero_copy_only=False))])
+            lo = 0
+            while lo < b.num_rows:
+                hi = int(np.searchsorted(size, size[lo] + SLICE_BYTES, side="right")) - 1
+                hi = min(max(hi, lo + 1), lo + SLICE_ROWS, b.num_rows)
+                some, lo = b.slice(lo, hi - lo), hi
                 flat, count = own.encode(some.column(1))
-                ends = np.cumsum(count)
-                flat = np.insert(flat, ends, end_id)
-                ids.append(flat)
-                numbers.append(count + 1)
-                doc_ids += some.column(0).to_pylist()
-                n += len(flat)
-                if n >= shard_tokens:
-                    yield flush()
+                flat, count, names = np.insert(flat, np.cumsum(count), end_id), count + 1, some.column(0).to_pylist()
+                cut, done = np.concatenate([[0], np.cumsum(count)]), 0
+                while done < len(count):  # as many documents as the shard has room for
+                    to = int(np.searchsorted(cut, cut[done] + most - n, side="right")) - 1
+                    if to == done and n:
+                        yield flush()
+                        continue
+                    to = max(to, done + 1)  # a document that is longer than a shard is one of its own
+                    full = np.flatnonzero(cut[done + 1 : to + 1] - cut[done] + n >= shard_tokens)
+                    to = done + 1 + int(full[0]) if len(full) else to
+                    ids.append(flat[cut[done] : cut[to]])
+                    numbers.append(count[done:to])
+                    doc_ids += names[done:to]
+                    n += int(cut[to] - cut[done])
+                    done = to
+                    if n >= shard_tokens:
+                        yield flush()
         if doc_ids:
             yield flush()
 
@@ -312,7 +331,7 @@ def read(manifest: DataFrame, ids: bool = True) -> DataFrame:
                     yield pa.record_batch(cols, names=["doc_id", "start", "n_tokens", "ids_crc32", *["ids"] * ids])
 
     some = manifest.select("path", "start")
-    some = some.repartition(max(1, min(2000, manifest.count())))
+    some = some.repartition(max(1, min(MOST_TASKS, manifest.count())))
     return some.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<long>" * ids)
 
 

@@ -239,12 +239,12 @@ class Encoder:
             which = missing[np.unique(key[0][missing], return_index=True)[1]]
             self.table.add(*(k[which] for k in key), self._ids([raw[a:b] for a, b in zip(from_[short[which]].tolist(), e[short[which]].tolist(), strict=True)]))
             slot[short[missing]] = self.table.find(*(k[missing] for k in key))
-        for k in np.flatnonzero(keys[2] > K.SHORT).tolist():
-            own = raw[s[k] : e[k]], bool(lead[k])
-            if (at := self.table.long.get(own)) is None:
-                self.table.add_long([own], self._ids([raw[from_[k] : e[k]]]))
-                at = self.table.long[own]
-            slot[k] = at
+        long = np.flatnonzero(keys[2] > K.SHORT)
+        if len(long):
+            own = [(raw[a:b], x) for a, b, x in zip(s[long].tolist(), e[long].tolist(), lead[long].tolist(), strict=True)]
+            new = {x: raw[a:b] for x, a, b in zip(own, from_[long].tolist(), e[long].tolist(), strict=True) if x not in self.table.long}
+            self.table.add_long(list(new), self._ids(list(new.values())))
+            slot[long] = [self.table.long[x] for x in own]
         odd |= np.add.reduceat(np.append(self.table.size[slot] == _ODD_CHUNK, False), first[:-1], dtype=np.int64) * (first[1:] > first[:-1]) > 0
         return slot, first, odd
 

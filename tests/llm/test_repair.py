@@ -86,3 +86,20 @@ def test_rows_of_one_id_and_clashing_columns(spark):
         want.append((at, i, len(ids), ids))
         at += len(ids)
     assert got == want
+
+
+@pytest.mark.parametrize("slice_bytes", [1 << 20, 300])
+def test_shards_keep_their_bound(spark, monkeypatch, slice_bytes):
+    """Long texts side by side, and one that is longer than a shard: no other shard has over a tenth more than its ids."""
+    monkeypatch.setattr(repair, "SLICE_BYTES", slice_bytes)
+    rng = np.random.default_rng(8)
+    text = lambda n: " ".join("".join(rng.choice(list("abcdefgh"), 4)) for _ in range(n))
+    rows = [(i, text(int(rng.integers(1, 300)))) for i in range(60)] + [(60, text(3000)), (61, None), (62, ""), (63, text(5))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    made = repair.write(docs, repair.workspace(spark, "bound"), shard_tokens=1500).orderBy("part", "file")
+    files = made.collect()
+    assert sum(f.n_docs for f in files) == 64 and len(files) > 5
+    assert [f.n_docs for f in files if f.n_tokens > 1650] == [1]
+    got = {r.doc_id: r.ids for r in repair.read(made).collect()}
+    own = repair.encoder("byte_bpe_50k.json")
+    assert all(got[i] == [*own.library(t or ""), 0] for i, t in rows)
