@@ -79,11 +79,12 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def trees(fps: DataFrame, bits: int) -> list[vptree.Tree]:
-    """A tree for each half, from at most SAMPLE fingerprints (those that hash lowest)."""
+    """A tree for each half, from some SAMPLE fingerprints (those that hash below what so many of all do; never twice as many)."""
     n = fps.count()
     levels = int(np.clip(np.ceil(np.log2(max(n, 1) / SHARD_ROWS)), 0, LEVELS))
-    sample = [r.fp for r in fps.orderBy(F.xxhash64("fp")).limit(SAMPLE).collect()] if levels else []
-    halves = _halves(np.array(sample, np.int64).view(np.uint64))
+    low = F.xxhash64("fp") <= F.lit(min((1 << 63) - 1, int(SAMPLE / max(n, 1) * 2.0**64) - (1 << 63))).cast("long")
+    sample = [r.fp for r in fps.where(low).limit(2 * SAMPLE).collect()] if levels else []
+    halves = _halves(np.sort(np.array(sample, np.int64)).view(np.uint64))
     return [vptree.build(h, levels, bits // 2) for h in halves]
 
 
