@@ -80,10 +80,12 @@ def mode_by_year(res: DataFrame, vt: str) -> DataFrame:
     return res.where(F.col("vt") == vt).groupBy("year").agg(F.count("*").alias("n"))
 
 
-def vote_types(res: DataFrame) -> DataFrame:
-    """How often each type occurs and how often with a roll-call; a blank type is "(blank)"."""
+def vote_types(res: DataFrame, first_seen: str | None = None) -> DataFrame:
+    """How often each type occurs and how often with a roll-call; a blank type is "(blank)". With a column of ``first_seen`` also
+    its least value."""
     kind = F.when(F.coalesce(F.col("vt"), F.lit("")) == "", "(blank)").otherwise(F.col("vt"))
-    return res.groupBy(kind.alias("type")).agg(F.count("*").alias("n"), F.count_if(F.col("n_rollcall") > 0).alias("has_rollcall"))
+    seen = [F.min(first_seen).alias("first_seen")] if first_seen else []
+    return res.groupBy(kind.alias("type")).agg(F.count("*").alias("n"), F.count_if(F.col("n_rollcall") > 0).alias("has_rollcall"), *seen)
 
 
 def decades(res: DataFrame) -> DataFrame:

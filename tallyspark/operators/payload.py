@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from ..functions import text_rules as R
 from ..sources import files, parts
 from ..sources.folders import materialise, workspace
+from . import catalog
 from .naming import naming
-from .votes import dense_index
+from .votes import dense_index, reconciliation
 
 #: Names, besides the states', that make a subject one of a country's situation.
 SITUATIONS = ["PALESTINE", "STATE OF PALESTINE", "OCCUPIED ARAB TERRITORIES", "OCCUPIED PALESTINIAN TERRITORY", "SOUTHERN AFRICA", "KOSOVO", "WESTERN SAHARA", "IRAN", "SYRIA", "BURMA"]
@@ -85,11 +86,16 @@ def subjects(made: DataFrame, names: DataFrame) -> DataFrame:
     return flagged.select("name", "n", "cs", "first_seen")
 
 
+def _typed(res: DataFrame) -> DataFrame:
+    """The catalogue's text columns as the numbers that the statistics of catalog.py take."""
+    rolls = F.coalesce(R.number(F.col("n_rollcall").cast("string")), F.lit(0))
+    return res.select(R.filled(F.col("vote_type")).alias("vt"), rolls.alias("n_rollcall"), R.number(F.col("year")).alias("year"), "pos")
+
+
 def vote_types(res: DataFrame) -> DataFrame:
     """type ("(blank)" if blank), count, hasRollcall and first_seen."""
-    kind = R.filled(F.col("vote_type"))
-    has = R.number(F.col("n_rollcall").cast("string")) > 0
-    return res.groupBy(F.when(kind == "", "(blank)").otherwise(kind).alias("type")).agg(F.count("*").alias("count"), F.count_if(has).alias("hasRollcall"), F.min("pos").alias("first_seen"))
+    made = catalog.vote_types(_typed(res), first_seen="pos")
+    return made.select("type", F.col("n").alias("count"), F.col("has_rollcall").alias("hasRollcall"), "first_seen")
 
 
 def coverage(res: DataFrame) -> DataFrame:
@@ -106,17 +112,13 @@ def coverage(res: DataFrame) -> DataFrame:
 
 
 def decades(res: DataFrame) -> DataFrame:
-    has_rolls = F.coalesce(R.number(F.col("n_rollcall").cast("string")) > 0, F.lit(False))
-    return res.where(R.is_number(F.col("year"))).groupBy(R.decade(R.number(F.col("year"))).alias("decade")).agg(F.count("*").alias("all"), F.count_if(has_rolls).alias("recorded"))
+    return catalog.decades(_typed(res))
 
 
 def reconciled(cast: DataFrame, rows: DataFrame) -> DataFrame:
     """One row: recorded resolutions whose roll-call gives all three official totals, and those where it doesn't."""
-    tally = cast.groupBy("record_id").agg(*[F.count_if(F.col("code") == c).alias(f"t{c}") for c in "YNA"])
-    given = rows.select("record_id", *[R.number(F.col(c)).alias(c) for c in ("yes", "no", "abstain")]).where("yes is not null and no is not null and abstain is not null")
-    both = given.join(tally, "record_id", "left").fillna(0, ["tY", "tN", "tA"])
-    same = (F.col("tY") == F.col("yes")) & (F.col("tN") == F.col("no")) & (F.col("tA") == F.col("abstain"))
-    return both.agg(F.count_if(same).alias("reconciled"), F.count_if(~same).alias("mismatched"))
+    totals = rows.select("record_id", *[R.number(F.col(c)).alias(c) for c in ("yes", "no", "abstain")])
+    return reconciliation(cast.withColumnRenamed("iso3", "state"), totals)
 
 
 def meta(res: DataFrame, cast: DataFrame, rows: DataFrame, labels: dict[str, str]) -> DataFrame:

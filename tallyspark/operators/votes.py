@@ -108,8 +108,10 @@ def tally(votes: DataFrame) -> DataFrame:
 
 
 def reconciliation(votes: DataFrame, totals: DataFrame) -> DataFrame:
-    """How many roll-calls give the official totals; without all three totals a resolution is in neither count."""
-    both = tally(votes).join(totals.where("yes is not null and no is not null and abstain is not null"), "record_id")
+    """How many roll-calls give the official totals; without all three totals a resolution is in neither count. One without a
+    named state's vote has three zeros to compare."""
+    given = totals.where("yes is not null and no is not null and abstain is not null")
+    both = given.join(tally(votes), "record_id", "left").fillna(0, ["y", "n", "a"])
     same = (F.col("y") == F.col("yes")) & (F.col("n") == F.col("no")) & (F.col("a") == F.col("abstain"))
     return both.agg(F.count_if(same).alias("reconciled"), F.count_if(~same).alias("mismatched"))
 

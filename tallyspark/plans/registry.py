@@ -56,12 +56,26 @@ def agreement_pairs(s, d):
     return _pairs(s, d)
 
 
-@_query("SELECT state_a, state_b, agreement_pct, rank FROM (SELECT *, CAST(row_number() OVER (PARTITION BY state_a ORDER BY agreement_pct DESC, state_b) AS BIGINT) AS rank FROM sym) WHERE rank <= 5")
+@_query("""
+SELECT state_a, state_b, agreement_pct, rank
+FROM (SELECT *,
+       CAST(row_number() OVER (PARTITION BY state_a
+ORDER BY agreement_pct DESC, state_b) AS BIGINT) AS rank
+FROM sym)
+WHERE rank <= 5
+""")
 def partners_closest(s, d):
     return V.partners(_pairs(s, d), 5, True)
 
 
-@_query("SELECT state_a, state_b, agreement_pct, rank FROM (SELECT *, CAST(row_number() OVER (PARTITION BY state_a ORDER BY agreement_pct, state_b) AS BIGINT) AS rank FROM sym) WHERE rank <= 5")
+@_query("""
+SELECT state_a, state_b, agreement_pct, rank
+FROM (SELECT *,
+       CAST(row_number() OVER (PARTITION BY state_a
+ORDER BY agreement_pct, state_b) AS BIGINT) AS rank
+FROM sym)
+WHERE rank <= 5
+""")
 def partners_furthest(s, d):
     return V.partners(_pairs(s, d), 5, False)
 
@@ -71,27 +85,75 @@ def coincidence_matrix(s, d):
     return V.coincidence_matrix(_pairs(s, d), _states_voting(s, d))
 
 
-@_query("SELECT state_a AS state, max(agreement_pct) FILTER (WHERE state_b = 'NATION_1') AS x, max(agreement_pct) FILTER (WHERE state_b = 'NATION_2') AS y, min(shared) AS shared_votes FROM sym WHERE state_b IN ('NATION_1', 'NATION_2') AND state_a NOT IN ('NATION_1', 'NATION_2') GROUP BY 1 HAVING count(*) = 2")
+@_query("""
+SELECT state_a AS state,
+       max(agreement_pct) FILTER (WHERE state_b = 'NATION_1') AS x,
+       max(agreement_pct) FILTER (WHERE state_b = 'NATION_2') AS y,
+       min(shared) AS shared_votes
+FROM sym
+WHERE state_b IN ('NATION_1', 'NATION_2') AND state_a NOT IN ('NATION_1', 'NATION_2')
+GROUP BY 1
+HAVING count(*) = 2
+""")
 def alignment_map(s, d):
     return V.alignment_map(_pairs(s, d), "NATION_1", "NATION_2")
 
 
-@_query("SELECT grp, round(avg((m - (t - m) / 2) / t), 6) AS agreement_index, count(*) AS resolutions FROM (SELECT grp, record_id, CAST(greatest(y, n, a) AS DOUBLE) AS m, y + n + a AS t FROM (SELECT grp, record_id, count(*) FILTER (WHERE code = 'Y') AS y, count(*) FILTER (WHERE code = 'N') AS n, count(*) FILTER (WHERE code = 'A') AS a FROM one GROUP BY 1, 2)) WHERE t >= 2 GROUP BY 1")
+@_query("""
+SELECT grp,
+       round(avg((m - (t - m) / 2) / t), 6) AS agreement_index,
+       count(*) AS resolutions
+FROM (SELECT grp, record_id,
+       CAST(greatest(y, n, a) AS DOUBLE) AS m, y + n + a AS t
+FROM (SELECT grp, record_id,
+       count(*) FILTER (WHERE code = 'Y') AS y,
+       count(*) FILTER (WHERE code = 'N') AS n,
+       count(*) FILTER (WHERE code = 'A') AS a
+FROM one
+GROUP BY 1, 2))
+WHERE t >= 2
+GROUP BY 1
+""")
 def cohesion_ai(s, d):
     return V.cohesion(_one(s, d))
 
 
-@_query("SELECT state, round(count(*) FILTER (WHERE code <> won) * 100.0::DOUBLE / count(*), 4) AS minority_side_pct, count(*) AS votes FROM one JOIN (SELECT record_id, CASE WHEN y > n AND y > a THEN 'Y' WHEN n > y AND n > a THEN 'N' WHEN a > y AND a > n THEN 'A' END AS won FROM tally) USING (record_id) WHERE won IS NOT NULL GROUP BY 1")
+@_query("""
+SELECT state,
+       round(count(*) FILTER (WHERE code <> won) * 100.0::DOUBLE / count(*), 4) AS minority_side_pct,
+       count(*) AS votes
+FROM one
+JOIN (SELECT record_id,
+       CASE WHEN y > n AND y > a THEN 'Y' WHEN n > y AND n > a THEN 'N' WHEN a > y AND a > n THEN 'A' END AS won
+FROM tally) USING (record_id)
+WHERE won IS NOT NULL
+GROUP BY 1
+""")
 def outvoted(s, d):
     return V.outvoted(_one(s, d))
 
 
-@_query("SELECT state, year, count(*) FILTER (WHERE code = 'Y') AS yes, count(*) FILTER (WHERE code = 'N') AS no, count(*) FILTER (WHERE code = 'A') AS abstain, round(count(*) FILTER (WHERE code = 'Y') * 100.0::DOUBLE / count(*), 4) AS yes_pct FROM one GROUP BY 1, 2")
+@_query("""
+SELECT state, year,
+       count(*) FILTER (WHERE code = 'Y') AS yes,
+       count(*) FILTER (WHERE code = 'N') AS no,
+       count(*) FILTER (WHERE code = 'A') AS abstain,
+       round(count(*) FILTER (WHERE code = 'Y') * 100.0::DOUBLE / count(*), 4) AS yes_pct
+FROM one
+GROUP BY 1, 2
+""")
 def composition_by_year(s, d):
     return V.composition(_one(s, d))
 
 
-@_query("SELECT state, before, period AS after FROM (SELECT state, period, lag(period) OVER (PARTITION BY state ORDER BY period) AS before FROM (SELECT DISTINCT state, month AS period FROM one)) WHERE period - before > 1")
+@_query("""
+SELECT state, before, period AS after
+FROM (SELECT state, period, lag(period) OVER (PARTITION BY state
+ORDER BY period) AS before
+FROM (SELECT DISTINCT state, month AS period
+FROM one))
+WHERE period - before > 1
+""")
 def membership_gaps(s, d):
     return V.membership_gaps(_one(s, d), "month")
 
@@ -114,12 +176,26 @@ def most_divided(s, d):
     return C.most_divided(_res(s, d), 20)
 
 
-@_query("SELECT subject, year, round(avg(yes * 100.0::DOUBLE / (yes + no + abstain)), 4) AS avg_yes_share_pct, count(*) AS n FROM res WHERE NOT am AND yes + no + abstain > 0 GROUP BY 1, 2")
+@_query("""
+SELECT subject, year,
+       round(avg(yes * 100.0::DOUBLE / (yes + no + abstain)), 4) AS avg_yes_share_pct,
+       count(*) AS n
+FROM res
+WHERE NOT am AND yes + no + abstain > 0
+GROUP BY 1, 2
+""")
 def topic_trend(s, d):
     return C.topic_trend(_res(s, d))
 
 
-@_query("SELECT subject, round(regr_slope(yes * 100.0::DOUBLE / (yes + no + abstain), CAST(year AS DOUBLE)) * 10, 4) AS slope_pp_decade FROM res WHERE NOT am AND yes + no + abstain > 0 GROUP BY 1")
+@_query("""
+SELECT subject,
+       round(regr_slope(yes * 100.0::DOUBLE / (yes + no + abstain),
+       CAST(year AS DOUBLE)) * 10, 4) AS slope_pp_decade
+FROM res
+WHERE NOT am AND yes + no + abstain > 0
+GROUP BY 1
+""")
 def topic_slope(s, d):
     return C.topic_slope(_res(s, d))
 
@@ -137,17 +213,45 @@ def topic_by_group(s, d):
     return V.by_topic(_one(s, d), "grp")
 
 
-@_query("SELECT year, round(count(*) FILTER (WHERE vt = 'C') * 100.0::DOUBLE / count(*), 4) AS consensus_share_pct, count(*) AS n FROM res0 WHERE NOT am GROUP BY 1")
+@_query("""
+SELECT year,
+       round(count(*) FILTER (WHERE vt = 'C') * 100.0::DOUBLE / count(*), 4) AS consensus_share_pct,
+       count(*) AS n
+FROM res0
+WHERE NOT am
+GROUP BY 1
+""")
 def consensus_by_year(s, d):
     return C.consensus_by_year(C.scoped(P.resolutions(s, d, False)))
 
 
-@_query("SELECT year, vt, count(*) AS n, round(count(*) * 100.0::DOUBLE / sum(count(*)) OVER (PARTITION BY year), 4) AS share_pct FROM res0 WHERE NOT am GROUP BY 1, 2")
+@_query("""
+SELECT year, vt,
+       count(*) AS n,
+       round(count(*) * 100.0::DOUBLE / sum(count(*)) OVER (PARTITION BY year), 4) AS share_pct
+FROM res0
+WHERE NOT am
+GROUP BY 1, 2
+""")
 def mode_stack(s, d):
     return C.mode_stack(C.scoped(P.resolutions(s, d, False)))
 
 
-@_query(", m AS (SELECT (min(year) + max(year) + 1) // 2 AS y FROM res0 WHERE NOT am) SELECT subject, n_early, n_late, round(c_late * 100.0::DOUBLE / n_late - c_early * 100.0::DOUBLE / n_early, 4) AS delta_pp FROM (SELECT subject, count(*) FILTER (WHERE year < y) AS n_early, count(*) FILTER (WHERE year >= y) AS n_late, count(*) FILTER (WHERE year < y AND vt = 'C') AS c_early, count(*) FILTER (WHERE year >= y AND vt = 'C') AS c_late FROM res0, m WHERE NOT am GROUP BY 1) WHERE n_early >= 3 AND n_late >= 3")
+@_query("""
+, m AS (SELECT (min(year) + max(year) + 1) // 2 AS y
+FROM res0
+WHERE NOT am) SELECT subject, n_early, n_late,
+       round(c_late * 100.0::DOUBLE / n_late - c_early * 100.0::DOUBLE / n_early, 4) AS delta_pp
+FROM (SELECT subject,
+       count(*) FILTER (WHERE year < y) AS n_early,
+       count(*) FILTER (WHERE year >= y) AS n_late,
+       count(*) FILTER (WHERE year < y AND vt = 'C') AS c_early,
+       count(*) FILTER (WHERE year >= y AND vt = 'C') AS c_late
+FROM res0, m
+WHERE NOT am
+GROUP BY 1)
+WHERE n_early >= 3 AND n_late >= 3
+""")
 def consensus_flips(s, d):
     res = C.scoped(P.resolutions(s, d, False))
     return C.consensus_flips(res, C.middle_year(res))
@@ -171,7 +275,13 @@ def withdrawn_by_year(s, d):
     return C.mode_by_year(C.scoped(P.resolutions(s, d, False)), "WD")
 
 
-@_query("SELECT record_id, title, year, body, subject, vt AS mode, am, CASE WHEN yes + no + abstain > 0 THEN yes END AS yes, CASE WHEN yes + no + abstain > 0 THEN no END AS no, CASE WHEN yes + no + abstain > 0 THEN abstain END AS abstain FROM res")
+@_query("""
+SELECT record_id, title, year, body, subject, vt AS mode, am,
+       CASE WHEN yes + no + abstain > 0 THEN yes END AS yes,
+       CASE WHEN yes + no + abstain > 0 THEN no END AS no,
+       CASE WHEN yes + no + abstain > 0 THEN abstain END AS abstain
+FROM res
+""")
 def catalogue_explorer(s, d):
     return C.explorer(P.resolutions(s, d))
 
@@ -196,22 +306,59 @@ def decade_coverage(s, d):
     return C.decades(P.resolutions(s, d))
 
 
-@_query("SELECT count(*) AS resolutions, count(*) FILTER (WHERE n_rollcall > 0) AS recorded, count(*) FILTER (WHERE n_rollcall = 0 AND coalesce(yes + no + abstain > 0, false)) AS totals_no_rollcall, count(*) FILTER (WHERE n_rollcall = 0 AND NOT coalesce(yes + no + abstain > 0, false)) AS neither FROM res")
+@_query("""
+SELECT count(*) AS resolutions,
+       count(*) FILTER (WHERE n_rollcall > 0) AS recorded,
+       count(*) FILTER (WHERE n_rollcall = 0 AND coalesce(yes + no + abstain > 0, false)) AS totals_no_rollcall,
+       count(*) FILTER (WHERE n_rollcall = 0 AND NOT coalesce(yes + no + abstain > 0, false)) AS neither
+FROM res
+""")
 def totals_coverage(s, d):
     return C.totals_coverage(P.resolutions(s, d))
 
 
-@_query("SELECT count(*) AS n_resolutions, min(year) AS year_min, max(year) AS year_max, count(DISTINCT subject) AS n_subjects, count(*) FILTER (WHERE n_rollcall = 0) AS no_rollcall, (SELECT count(DISTINCT state) FROM states) AS n_states FROM res")
+@_query("""
+SELECT count(*) AS n_resolutions,
+       min(year) AS year_min,
+       max(year) AS year_max,
+       count(DISTINCT subject) AS n_subjects,
+       count(*) FILTER (WHERE n_rollcall = 0) AS no_rollcall, (SELECT count(DISTINCT state)
+FROM states) AS n_states
+FROM res
+""")
 def overview(s, d):
     return C.overview(P.resolutions(s, d), P.states(s, d))
 
 
-@_query(", t AS (SELECT record_id, count(*) FILTER (WHERE code = 'Y') AS y, count(*) FILTER (WHERE code = 'N') AS n, count(*) FILTER (WHERE code = 'A') AS a FROM votes GROUP BY 1) SELECT count(*) FILTER (WHERE y = yes AND t.n = no AND a = abstain) AS reconciled, count(*) FILTER (WHERE NOT (y = yes AND t.n = no AND a = abstain)) AS mismatched FROM t JOIN res USING (record_id)")
+@_query("""
+, t AS (SELECT record_id,
+       count(*) FILTER (WHERE code = 'Y') AS y,
+       count(*) FILTER (WHERE code = 'N') AS n,
+       count(*) FILTER (WHERE code = 'A') AS a
+FROM votes
+GROUP BY 1) SELECT count(*) FILTER (WHERE y = yes AND t.n = no AND a = abstain) AS reconciled,
+       count(*) FILTER (WHERE NOT (y = yes AND t.n = no AND a = abstain)) AS mismatched
+FROM t
+JOIN res USING (record_id)
+""")
 def reconciliation(s, d):
     return V.reconciliation(P.votes(s, d), P.resolutions(s, d).where("n_rollcall > 0").select("record_id", "yes", "no", "abstain"))
 
 
-@_query("SELECT state, min(grp) AS grp, count(*) AS n, count(*) FILTER (WHERE code = 'Y') AS yes, count(*) FILTER (WHERE code = 'N') AS no, count(*) FILTER (WHERE code = 'A') AS abstain, count(*) FILTER (WHERE code = '.') AS absent, count(*) FILTER (WHERE code = '') AS blank, min(year) AS first, max(year) AS last FROM votes GROUP BY 1")
+@_query("""
+SELECT state,
+       min(grp) AS grp,
+       count(*) AS n,
+       count(*) FILTER (WHERE code = 'Y') AS yes,
+       count(*) FILTER (WHERE code = 'N') AS no,
+       count(*) FILTER (WHERE code = 'A') AS abstain,
+       count(*) FILTER (WHERE code = '.') AS absent,
+       count(*) FILTER (WHERE code = '') AS blank,
+       min(year) AS first,
+       max(year) AS last
+FROM votes
+GROUP BY 1
+""")
 def country_stats(s, d):
     return V.state_statistics(P.votes(s, d))
 
@@ -221,7 +368,17 @@ def latest_name(s, d):
     return V.latest_name(P.votes(s, d).withColumn("name", F.concat("grp", F.lit(" #"), F.col("part").cast("string"))), "name", ["record_id", "pos"])
 
 
-@_query("SELECT subject, count(*) AS n, bool_or(EXISTS (SELECT 1 FROM states WHERE upper(state) = upper(subject) OR (length(state) > 5 AND contains(upper(subject), upper(state))))) AS cs FROM (SELECT CASE WHEN record_id % 7 = 0 THEN subject || ' in NATION_' || CAST(record_id % 30 AS VARCHAR) ELSE subject END AS subject FROM res WHERE n_rollcall > 0) GROUP BY 1")
+@_query("""
+SELECT subject,
+       count(*) AS n,
+       bool_or(EXISTS (SELECT 1
+FROM states
+WHERE upper(state) = upper(subject) OR (length(state) > 5 AND contains(upper(subject), upper(state))))) AS cs
+FROM (SELECT CASE WHEN record_id % 7 = 0 THEN subject || ' in NATION_' || CAST(record_id % 30 AS VARCHAR) ELSE subject END AS subject
+FROM res
+WHERE n_rollcall > 0)
+GROUP BY 1
+""")
 def subject_index(s, d):
     res = P.resolutions(s, d)
     named = F.when(F.col("record_id") % 7 == 0, F.concat("subject", F.lit(" in NATION_"), (F.col("record_id") % 30).cast("string"))).otherwise(F.col("subject"))
@@ -238,7 +395,16 @@ def search_titles(s, d):
     return C.search(P.resolutions(s, d, False), "Furniture")
 
 
-@_query("SELECT 'state' AS kind, state AS name FROM (SELECT DISTINCT state FROM states) WHERE contains(lower(state), 'n_1') UNION ALL SELECT 'subject', subject FROM (SELECT DISTINCT subject FROM res0) WHERE contains(lower(subject), 'n_1') OR contains(lower(subject), 'build')")
+@_query("""
+SELECT 'state' AS kind, state AS name
+FROM (SELECT DISTINCT state
+FROM states)
+WHERE contains(lower(state), 'n_1')
+UNION ALL SELECT 'subject', subject
+FROM (SELECT DISTINCT subject
+FROM res0)
+WHERE contains(lower(subject), 'n_1') OR contains(lower(subject), 'build')
+""")
 def palette_search(s, d):
     hit = lambda c, *t: F.lit(False) if not t else F.col(c).isNotNull() & sum_or([F.contains(F.lower(c), F.lit(x)) for x in t])
     a = P.states(s, d).select(F.lit("state").alias("kind"), F.col("state").alias("name")).distinct().where(hit("name", "n_1"))
@@ -253,14 +419,31 @@ def sum_or(conditions):
     return out
 
 
-@_query("SELECT b.subject, count(*) AS n FROM res0 a JOIN res0 b ON a.year = b.year AND a.month = b.month AND a.subject <> b.subject WHERE a.subject = '1-URGENT MACHINERY' GROUP BY 1 ORDER BY n DESC, 1 LIMIT 10")
+@_query("""
+SELECT b.subject,
+       count(*) AS n
+FROM res0 a
+JOIN res0 b ON a.year = b.year AND a.month = b.month AND a.subject <> b.subject
+WHERE a.subject = '1-URGENT MACHINERY'
+GROUP BY 1
+ORDER BY n DESC, 1 LIMIT 10
+""")
 def related_tags(s, d):
     res = P.resolutions(s, d, False)
     months = res.where("subject = '1-URGENT MACHINERY'").groupBy("month").agg(F.count("*").alias("k"))
     return res.where("subject <> '1-URGENT MACHINERY'").join(months, "month").groupBy("subject").agg(F.sum("k").alias("n")).orderBy(F.desc("n"), "subject").limit(10)
 
 
-@_query("SELECT code, count(*) AS n, string_agg(DISTINCT state, ',' ORDER BY state) AS states FROM votes WHERE record_id = (SELECT min(record_id) FROM votes) GROUP BY 1")
+@_query("""
+SELECT code,
+       count(*) AS n,
+       string_agg(DISTINCT state, ','
+ORDER BY state) AS states
+FROM votes
+WHERE record_id = (SELECT min(record_id)
+FROM votes)
+GROUP BY 1
+""")
 def rollcall_detail(s, d):
     votes = P.votes(s, d)
     return V.rollcall(votes, votes.agg(F.min("record_id")).first()[0])
@@ -281,7 +464,16 @@ def states_most_agreeing(s, d):
     return V.most_agreeing(_pairs(s, d), 10)
 
 
-@_query("SELECT state, code, count(*) AS n FROM votes WHERE year BETWEEN 1996 AND 1998 AND state IN (SELECT state FROM states WHERE grp = (SELECT min(grp) FROM states)) GROUP BY 1, 2")
+@_query("""
+SELECT state, code,
+       count(*) AS n
+FROM votes
+WHERE year BETWEEN 1996 AND 1998 AND state IN (SELECT state
+FROM states
+WHERE grp = (SELECT min(grp)
+FROM states))
+GROUP BY 1, 2
+""")
 def set_and_years(s, d):
     votes, states = P.votes(s, d), P.states(s, d)
     chosen = states.join(states.agg(F.min("grp").alias("grp")), "grp").select("state").distinct()
@@ -311,19 +503,49 @@ def id_overlap(s, d):
     return C.id_overlap(*_ids(s, d))
 
 
-@_query("SELECT record_id, pos, state, code, part FROM (SELECT *, row_number() OVER (PARTITION BY record_id ORDER BY pos, state, code, part) AS k FROM votes) WHERE k = 1")
+@_query("""
+SELECT record_id, pos, state, code, part
+FROM (SELECT *, row_number() OVER (PARTITION BY record_id
+ORDER BY pos, state, code, part) AS k
+FROM votes)
+WHERE k = 1
+""")
 def dedupe_first(s, d):
     return C.distinct_first(P.votes(s, d).select("record_id", "pos", "state", "code", "part"), "record_id", "pos", "state", "code", "part")
 
 
-@_query(", i AS (SELECT record_id, row_number() OVER (ORDER BY record_id) - 1 AS ri FROM (SELECT DISTINCT record_id FROM votes)), m AS (SELECT state, ri, pos, CASE WHEN code = '' THEN '-' ELSE code END AS c FROM votes JOIN i USING (record_id)) SELECT state, string_agg(CAST(ri AS VARCHAR), ',' ORDER BY ri, pos, c) AS r, string_agg(c, '' ORDER BY ri, pos, c) AS v FROM m GROUP BY 1")
+@_query("""
+, i AS (SELECT record_id, row_number() OVER (ORDER BY record_id) - 1 AS ri
+FROM (SELECT DISTINCT record_id
+FROM votes)),
+m AS (SELECT state, ri, pos,
+       CASE WHEN code = '' THEN '-' ELSE code END AS c
+FROM votes
+JOIN i USING (record_id)) SELECT state,
+       string_agg(CAST(ri AS VARCHAR), ','
+ORDER BY ri, pos, c) AS r,
+       string_agg(c, ''
+ORDER BY ri, pos, c) AS v
+FROM m
+GROUP BY 1
+""")
 def vote_matrix(s, d):
     votes = P.votes(s, d)
     out = V.vote_matrix(votes, V.dense_index(votes.select("record_id").distinct()))
     return out.select("state", F.array_join(F.transform("r", lambda x: x.cast("string")), ",").alias("r"), "v")
 
 
-@_query("SELECT state, coalesce(g.grp, '') AS grp FROM (SELECT DISTINCT state FROM states) LEFT JOIN (SELECT DISTINCT state, grp FROM states WHERE grp <> 'ASIA') g USING (state) WHERE coalesce(g.grp, '') = ''")
+@_query("""
+SELECT state,
+       coalesce(g.grp, '') AS grp
+FROM (SELECT DISTINCT state
+FROM states)
+LEFT
+JOIN (SELECT DISTINCT state, grp
+FROM states
+WHERE grp <> 'ASIA') g USING (state)
+WHERE coalesce(g.grp, '') = ''
+""")
 def states_unassigned(s, d):
     states = P.states(s, d)
     groups = states.where("grp <> 'ASIA'").select("state", "grp").distinct()
@@ -333,7 +555,17 @@ def states_unassigned(s, d):
 _XML = "<record><controlfield tag=\"001\">", "</controlfield><datafield tag=\"245\"><subfield code=\"a\">", "</subfield></datafield><datafield tag=\"269\"><subfield code=\"a\">", "</subfield></datafield><datafield tag=\"991\"><subfield code=\"d\">", "</subfield></datafield>", "</record>"
 
 
-@_query(", v AS (SELECT record_id, count(*) AS n_rollcall, count(*) FILTER (WHERE code = 'Y') AS y FROM votes GROUP BY 1) SELECT CAST(record_id AS VARCHAR) AS record_id, title, CAST(year AS VARCHAR) || '-0' || CAST(month % 9 + 1 AS VARCHAR) || '-15' AS date, CAST(year AS VARCHAR) AS year, subject AS agenda_subject, n_rollcall, y FROM v JOIN res0 USING (record_id)")
+@_query("""
+, v AS (SELECT record_id,
+       count(*) AS n_rollcall,
+       count(*) FILTER (WHERE code = 'Y') AS y
+FROM votes
+GROUP BY 1) SELECT CAST(record_id AS VARCHAR) AS record_id, title,
+       CAST(year AS VARCHAR) || '-0' || CAST(month % 9 + 1 AS VARCHAR) || '-15' AS date,
+       CAST(year AS VARCHAR) AS year, subject AS agenda_subject, n_rollcall, y
+FROM v
+JOIN res0 USING (record_id)
+""")
 def marc_roundtrip(s, d):
     """Records written as MARCXML and parsed back."""
     one = lambda tag, *subs: F.concat(F.lit(f'<datafield tag="{tag}">'), *[x for code, c in subs for x in (F.lit(f'<subfield code="{code}">'), c, F.lit("</subfield>"))], F.lit("</datafield>"))
@@ -347,7 +579,19 @@ def marc_roundtrip(s, d):
     return parsed.select("record_id", "title", "date", "year", "agenda_subject", F.col("n_rollcall").cast("long").alias("n_rollcall"), yes.alias("y"))
 
 
-@_query(r"SELECT record_id, trim(regexp_replace(trim(long), '\s*:\s*(draft\s+)?(resolution|decision|amendment)s?\s*/[^\n]*$', '', 'i')) AS trimmed, regexp_matches(long, ':\s*amendment', 'i') OR regexp_matches(draft, '^\s*amendment', 'i') AS amendment, CASE kind WHEN 'ADOPTED WITHOUT VOTE' THEN 'C' WHEN 'RECORDED' THEN 'V' ELSE 'O' END AS mode, CAST(year // 10 * 10 AS INT) AS decade, array_to_string(list_transform(regexp_extract_all(lower(title), '[a-z]+|[^a-z]+'), lambda x: upper(x[1]) || x[2:]), '') AS cased, CASE WHEN strlen(item) = 0 THEN '' ELSE rtrim(trim(item), ' -') END AS item FROM (SELECT *, title || CASE WHEN record_id % 4 = 0 THEN ' : draft resolution / adopted by' WHEN record_id % 5 = 0 THEN ' : amendment / x' ELSE '' END AS long, CASE WHEN record_id % 5 = 0 THEN ' Amendment to' ELSE '' END AS draft, CASE WHEN record_id % 3 = 0 THEN 'ADOPTED WITHOUT VOTE' WHEN record_id % 3 = 1 THEN 'RECORDED' ELSE 'else' END AS kind, CASE WHEN record_id % 2 = 0 THEN subject || ' -- ' ELSE '' END AS item FROM res0)")
+@_query(r"""
+SELECT record_id,
+       trim(regexp_replace(trim(long), '\s*:\s*(draft\s+)?(resolution|decision|amendment)s?\s*/[^\n]*$', '', 'i')) AS trimmed, regexp_matches(long, ':\s*amendment', 'i') OR regexp_matches(draft, '^\s*amendment', 'i') AS amendment,
+       CASE kind WHEN 'ADOPTED WITHOUT VOTE' THEN 'C' WHEN 'RECORDED' THEN 'V' ELSE 'O' END AS mode,
+       CAST(year // 10 * 10 AS INT) AS decade,
+       array_to_string(list_transform(regexp_extract_all(lower(title), '[a-z]+|[^a-z]+'), lambda x: upper(x[1]) || x[2:]), '') AS cased,
+       CASE WHEN strlen(item) = 0 THEN '' ELSE rtrim(trim(item), ' -') END AS item
+FROM (SELECT *, title || CASE WHEN record_id % 4 = 0 THEN ' : draft resolution / adopted by' WHEN record_id % 5 = 0 THEN ' : amendment / x' ELSE '' END AS long,
+       CASE WHEN record_id % 5 = 0 THEN ' Amendment to' ELSE '' END AS draft,
+       CASE WHEN record_id % 3 = 0 THEN 'ADOPTED WITHOUT VOTE' WHEN record_id % 3 = 1 THEN 'RECORDED' ELSE 'else' END AS kind,
+       CASE WHEN record_id % 2 = 0 THEN subject || ' -- ' ELSE '' END AS item
+FROM res0)
+""")
 def scalar_rules(s, d):
     res, key = P.resolutions(s, d, False), F.col("record_id")
     title = F.concat("title", F.when(key % 4 == 0, F.lit(" : draft resolution / adopted by")).when(key % 5 == 0, F.lit(" : amendment / x")).otherwise(F.lit("")))
@@ -377,7 +621,14 @@ def mirror_progress(s, d):
     return ingest.progress(P.resolutions(s, d, False).select(status.alias("status")))
 
 
-@_query("SELECT count(*) AS total, count(DISTINCT record_id) AS ids, count(*) FILTER (WHERE year IS NULL) AS undated FROM (SELECT record_id, CASE WHEN record_id % 11 <> 0 THEN year END AS year FROM votes)")
+@_query("""
+SELECT count(*) AS total,
+       count(DISTINCT record_id) AS ids,
+       count(*) FILTER (WHERE year IS NULL) AS undated
+FROM (SELECT record_id,
+       CASE WHEN record_id % 11 <> 0 THEN year END AS year
+FROM votes)
+""")
 def harvest_coverage(s, d):
     return P.votes(s, d).select("record_id", F.when(F.col("record_id") % 11 != 0, F.col("year")).alias("year")).agg(F.count("*").alias("total"), F.countDistinct("record_id").alias("ids"), F.count_if(F.col("year").isNull()).alias("undated"))
 
@@ -385,7 +636,18 @@ def harvest_coverage(s, d):
 _ROB = "[" + ", ".join(map(str, geo.LENGTH)) + "]::DOUBLE[]", "[" + ", ".join(map(str, geo.DISTANCE)) + "]::DOUBLE[]"
 
 
-@_query(f"SELECT event_id, round({geo.WIDTH / 2} + {geo.FX} * (l[i + 1] + (l[i + 2] - l[i + 1]) * f) * radians(lon) * {geo.SCALE}, 6) AS x, round({geo.HEIGHT / 2} - {geo.FY} * (t[i + 1] + (t[i + 2] - t[i + 1]) * f) * CASE WHEN lat >= 0 THEN 1 ELSE -1 END * {geo.SCALE}, 6) AS y FROM (SELECT *, (abs(lat) - i * 5) / 5 AS f, {_ROB[0]} AS l, {_ROB[1]} AS t FROM (SELECT *, CAST(least(floor(abs(lat) / 5), 17) AS INT) AS i FROM (SELECT event_id, CAST(event_id % 361 AS DOUBLE) - 180 AS lon, CAST(event_id % 181 AS DOUBLE) - 90 AS lat FROM events)))", prelude=False)
+@_query(f"""
+SELECT event_id,
+       round({geo.WIDTH / 2} + {geo.FX} * (l[i + 1] + (l[i + 2] - l[i + 1]) * f) * radians(lon) * {geo.SCALE}, 6) AS x,
+       round({geo.HEIGHT / 2} - {geo.FY} * (t[i + 1] + (t[i + 2] - t[i + 1]) * f) * CASE WHEN lat >= 0 THEN 1 ELSE -1 END * {geo.SCALE}, 6) AS y
+FROM (SELECT *, (abs(lat) - i * 5) / 5 AS f, {_ROB[0]} AS l, {_ROB[1]} AS t
+FROM (SELECT *,
+       CAST(least(floor(abs(lat) / 5), 17) AS INT) AS i
+FROM (SELECT event_id,
+       CAST(event_id % 361 AS DOUBLE) - 180 AS lon,
+       CAST(event_id % 181 AS DOUBLE) - 90 AS lat
+FROM events)))
+""", prelude=False)
 def robinson_points(s, d):
     e = P.table(s, d, "events").select("event_id", (F.col("event_id") % 361 - 180).cast("double").alias("lon"), (F.col("event_id") % 181 - 90).cast("double").alias("lat"))
     x, y = geo.project(F.col("lon"), F.col("lat"))
@@ -405,23 +667,59 @@ def nearest_chain_order(s, d):
     return V.nearest_chain(_chamber(s, d), 30)
 
 
-@_query("SELECT state, minority_side_pct, votes, CAST(row_number() OVER (ORDER BY minority_side_pct DESC, state) AS BIGINT) AS place FROM (SELECT state, round(count(*) FILTER (WHERE code <> won) * 100.0::DOUBLE / count(*), 4) AS minority_side_pct, count(*) AS votes FROM one JOIN (SELECT record_id, CASE WHEN y > n AND y > a THEN 'Y' WHEN n > y AND n > a THEN 'N' WHEN a > y AND a > n THEN 'A' END AS won FROM tally) USING (record_id) WHERE won IS NOT NULL GROUP BY 1)")
+@_query("""
+SELECT state, minority_side_pct, votes,
+       CAST(row_number() OVER (ORDER BY minority_side_pct DESC, state) AS BIGINT) AS place
+FROM (SELECT state,
+       round(count(*) FILTER (WHERE code <> won) * 100.0::DOUBLE / count(*), 4) AS minority_side_pct,
+       count(*) AS votes
+FROM one
+JOIN (SELECT record_id,
+       CASE WHEN y > n AND y > a THEN 'Y' WHEN n > y AND n > a THEN 'N' WHEN a > y AND a > n THEN 'A' END AS won
+FROM tally) USING (record_id)
+WHERE won IS NOT NULL
+GROUP BY 1)
+""")
 def outvoted_ranked(s, d):
     return V.ranked(V.outvoted(_one(s, d)), "minority_side_pct", "state")
 
 
-@_query(f"SELECT state, yes_pct, votes, CAST(row_number() OVER (ORDER BY yes_pct DESC, state) AS BIGINT) AS place FROM (SELECT subject, state, {_SHARES} FROM one WHERE subject = '1-URGENT MACHINERY' GROUP BY 1, 2)")
+@_query(f"""
+SELECT state, yes_pct, votes,
+       CAST(row_number() OVER (ORDER BY yes_pct DESC, state) AS BIGINT) AS place
+FROM (SELECT subject, state, {_SHARES}
+FROM one
+WHERE subject = '1-URGENT MACHINERY'
+GROUP BY 1, 2)
+""")
 def support_ranked(s, d):
     """States by their support of one subject."""
     return V.ranked(V.by_topic(_one(s, d).where("subject = '1-URGENT MACHINERY'"), "state").select("state", "yes_pct", "votes"), "yes_pct", "state")
 
 
-@_query("SELECT year, grp, round(count(*) FILTER (WHERE code = 'Y') * 100.0::DOUBLE / count(*), 4) AS yes_pct, count(*) AS votes FROM one WHERE subject = '1-URGENT MACHINERY' GROUP BY 1, 2")
+@_query("""
+SELECT year, grp,
+       round(count(*) FILTER (WHERE code = 'Y') * 100.0::DOUBLE / count(*), 4) AS yes_pct,
+       count(*) AS votes
+FROM one
+WHERE subject = '1-URGENT MACHINERY'
+GROUP BY 1, 2
+""")
 def topic_trend_by_group(s, d):
     return V.topic_trend_by(_one(s, d), "1-URGENT MACHINERY", "grp")
 
 
-@_query("SELECT state_a AS state, max(agreement_pct) FILTER (WHERE state_b = 'NATION_1') AS \"NATION_1\", max(agreement_pct) FILTER (WHERE state_b = 'NATION_2') AS \"NATION_2\", max(agreement_pct) FILTER (WHERE state_b = 'NATION_3') AS \"NATION_3\" FROM (SELECT state_a, state_b, agreement_pct FROM sym UNION ALL SELECT DISTINCT state, state, 100.0::DOUBLE FROM one) GROUP BY 1")
+@_query("""
+SELECT state_a AS state,
+       max(agreement_pct) FILTER (WHERE state_b = 'NATION_1') AS "NATION_1",
+       max(agreement_pct) FILTER (WHERE state_b = 'NATION_2') AS "NATION_2",
+       max(agreement_pct) FILTER (WHERE state_b = 'NATION_3') AS "NATION_3"
+FROM (SELECT state_a, state_b, agreement_pct
+FROM sym
+UNION ALL SELECT DISTINCT state, state, 100.0::DOUBLE
+FROM one)
+GROUP BY 1
+""")
 def coincidence_pivot(s, d):
     return V.pivoted(V.coincidence_matrix(_pairs(s, d), _states_voting(s, d)), ["NATION_1", "NATION_2", "NATION_3"])
 
@@ -436,7 +734,14 @@ def states_most_disagreeing(s, d):
     return V.most_agreeing(_pairs(s, d), 10, most=False)
 
 
-@_query("SELECT subject, count(*) AS n FROM res0 WHERE contains(title, 'no. 1') AND NOT contains(lower(subject), 'no. 1') GROUP BY 1 ORDER BY n DESC, 1 LIMIT 10")
+@_query("""
+SELECT subject,
+       count(*) AS n
+FROM res0
+WHERE contains(title, 'no. 1') AND NOT contains(lower(subject), 'no. 1')
+GROUP BY 1
+ORDER BY n DESC, 1 LIMIT 10
+""")
 def related_by_match(s, d):
     """Subjects of the resolutions that a search finds, besides those that it names."""
     return C.related(P.resolutions(s, d, False), "no. 1", 10)
@@ -452,7 +757,21 @@ def payload_res(s, d):
     return PL.res_rows(PL.recorded(P.catalogue(s, d)))
 
 
-@_query(r"SELECT record_id AS id, symbol AS sym, trim(regexp_replace(trim(title), '\s*:\s*(draft\s+)?(resolution|decision|amendment)s?\s*/[^\n]*$', '', 'i')) AS t, TRY_CAST(nullif(year, '') AS INT) AS year, CASE WHEN contains(body, 'Council') THEN 'HRC' ELSE 'CHR' END AS body, trim(agenda_subject) AS subj, CASE vote_type WHEN 'ADOPTED WITHOUT VOTE' THEN 'C' WHEN 'RECORDED' THEN 'V' WHEN 'WITHDRAWN' THEN 'WD' ELSE 'O' END AS vt, CASE WHEN regexp_matches(title, ':\s*amendment', 'i') OR regexp_matches(draft, '^\s*amendment', 'i') THEN 1 END AS am, CASE WHEN has THEN CAST(yes AS INT) END AS y, CASE WHEN has THEN CAST(no AS INT) END AS n, CASE WHEN has THEN CAST(abstain AS INT) END AS a, pos FROM (SELECT *, coalesce(TRY_CAST(nullif(yes, '') AS INT) + TRY_CAST(nullif(no, '') AS INT) + TRY_CAST(nullif(abstain, '') AS INT) > 0, false) AS has FROM cat)")
+@_query(r"""
+SELECT record_id AS id, symbol AS sym,
+       trim(regexp_replace(trim(title), '\s*:\s*(draft\s+)?(resolution|decision|amendment)s?\s*/[^\n]*$', '', 'i')) AS t,
+       TRY_CAST(nullif(year, '') AS INT) AS year,
+       CASE WHEN contains(body, 'Council') THEN 'HRC' ELSE 'CHR' END AS body,
+       trim(agenda_subject) AS subj,
+       CASE vote_type WHEN 'ADOPTED WITHOUT VOTE' THEN 'C' WHEN 'RECORDED' THEN 'V' WHEN 'WITHDRAWN' THEN 'WD' ELSE 'O' END AS vt,
+       CASE WHEN regexp_matches(title, ':\s*amendment', 'i') OR regexp_matches(draft, '^\s*amendment', 'i') THEN 1 END AS am,
+       CASE WHEN has THEN CAST(yes AS INT) END AS y,
+       CASE WHEN has THEN CAST(no AS INT) END AS n,
+       CASE WHEN has THEN CAST(abstain AS INT) END AS a, pos
+FROM (SELECT *,
+       coalesce(TRY_CAST(nullif(yes, '') AS INT) + TRY_CAST(nullif(no, '') AS INT) + TRY_CAST(nullif(abstain, '') AS INT) > 0, false) AS has
+FROM cat)
+""")
 def payload_res_all(s, d):
     return PL.res_all_rows(P.catalogue(s, d))
 
@@ -465,7 +784,16 @@ def _groups(s: SparkSession, d: str) -> DataFrame:
     return P.states(s, d).where("grp <> 'ASIA'").select(F.col("state").alias("iso3"), "grp").distinct()
 
 
-@_query("SELECT iso3, array_to_string(list_transform(regexp_extract_all(lower(name), '[a-z]+|[^a-z]+'), lambda x: upper(x[1]) || x[2:]), '') AS name, coalesce(grp, '') AS \"group\", n, y, no, a, absent, blank, first, last FROM land LEFT JOIN (SELECT DISTINCT state, grp FROM states WHERE grp <> 'ASIA') g ON iso3 = state")
+@_query("""
+SELECT iso3,
+       array_to_string(list_transform(regexp_extract_all(lower(name), '[a-z]+|[^a-z]+'), lambda x: upper(x[1]) || x[2:]), '') AS name,
+       coalesce(grp, '') AS "group", n, y, no, a, absent, blank, first, last
+FROM land
+LEFT
+JOIN (SELECT DISTINCT state, grp
+FROM states
+WHERE grp <> 'ASIA') g ON iso3 = state
+""")
 def payload_countries(s, d):
     return PL.countries(_cast(s, d), _groups(s, d))
 
@@ -481,12 +809,46 @@ def payload_subjects(s, d):
     return PL.subjects(PL.res_rows(PL.recorded(P.catalogue(s, d))), names)
 
 
-@_query("SELECT CASE vote_type WHEN '' THEN '(blank)' ELSE vote_type END AS type, count(*) AS count, count(*) FILTER (WHERE n_rollcall > 0) AS \"hasRollcall\", min(pos) AS first_seen FROM cat GROUP BY 1")
+@_query("""
+SELECT CASE vote_type WHEN '' THEN '(blank)' ELSE vote_type END AS type,
+       count(*) AS count,
+       count(*) FILTER (WHERE n_rollcall > 0) AS "hasRollcall",
+       min(pos) AS first_seen
+FROM cat
+GROUP BY 1
+""")
 def payload_vote_types(s, d):
     return PL.vote_types(P.catalogue(s, d))
 
 
-@_query(", t AS (SELECT record_id, count(*) FILTER (WHERE code = 'Y') AS ty, count(*) FILTER (WHERE code = 'N') AS tn, count(*) FILTER (WHERE code = 'A') AS ta FROM cast_ GROUP BY 1), q AS (SELECT coalesce(ty, 0) = CAST(yes AS INT) AND coalesce(tn, 0) = CAST(no AS INT) AND coalesce(ta, 0) = CAST(abstain AS INT) AS same FROM rec LEFT JOIN t USING (record_id) WHERE yes <> '' AND no <> '' AND abstain <> ''), c AS (SELECT count(*) AS total, count(*) FILTER (WHERE n_rollcall > 0) AS recorded, count(*) FILTER (WHERE body = 'The Council') AS hrc, count(*) FILTER (WHERE n_rollcall = 0 AND coalesce(TRY_CAST(nullif(yes, '') AS INT) + TRY_CAST(nullif(no, '') AS INT) + TRY_CAST(nullif(abstain, '') AS INT) > 0, false)) AS totals, count(DISTINCT trim(agenda_subject)) AS subjects FROM cat) SELECT recorded AS n_resolutions, (SELECT count(DISTINCT iso3) FROM cast_) AS n_countries, (SELECT min(year) FROM made) AS year_min, (SELECT max(year) FROM made) AS year_max, total, hrc, totals, total - recorded - totals AS neither, subjects, (SELECT count(DISTINCT subj) FROM made) AS subjects_recorded, (SELECT count(*) FILTER (WHERE same) FROM q) AS reconciled, (SELECT count(*) FILTER (WHERE NOT same) FROM q) AS mismatched, (SELECT count(DISTINCT CAST(year AS INT) // 10) FROM cat WHERE year <> '') AS n_decades FROM c")
+@_query("""
+, t AS (SELECT record_id,
+       count(*) FILTER (WHERE code = 'Y') AS ty,
+       count(*) FILTER (WHERE code = 'N') AS tn,
+       count(*) FILTER (WHERE code = 'A') AS ta
+FROM cast_
+GROUP BY 1),
+q AS (SELECT coalesce(ty, 0) = CAST(yes AS INT) AND coalesce(tn, 0) = CAST(no AS INT) AND coalesce(ta, 0) = CAST(abstain AS INT) AS same
+FROM rec
+LEFT
+JOIN t USING (record_id)
+WHERE yes <> '' AND no <> '' AND abstain <> ''),
+c AS (SELECT count(*) AS total,
+       count(*) FILTER (WHERE n_rollcall > 0) AS recorded,
+       count(*) FILTER (WHERE body = 'The Council') AS hrc,
+       count(*) FILTER (WHERE n_rollcall = 0 AND coalesce(TRY_CAST(nullif(yes, '') AS INT) + TRY_CAST(nullif(no, '') AS INT) + TRY_CAST(nullif(abstain, '') AS INT) > 0, false)) AS totals,
+       count(DISTINCT trim(agenda_subject)) AS subjects
+FROM cat) SELECT recorded AS n_resolutions, (SELECT count(DISTINCT iso3)
+FROM cast_) AS n_countries, (SELECT min(year)
+FROM made) AS year_min, (SELECT max(year)
+FROM made) AS year_max, total, hrc, totals, total - recorded - totals AS neither, subjects, (SELECT count(DISTINCT subj)
+FROM made) AS subjects_recorded, (SELECT count(*) FILTER (WHERE same)
+FROM q) AS reconciled, (SELECT count(*) FILTER (WHERE NOT same)
+FROM q) AS mismatched, (SELECT count(DISTINCT CAST(year AS INT) // 10)
+FROM cat
+WHERE year <> '') AS n_decades
+FROM c
+""")
 def payload_meta(s, d):
     rows = PL.recorded(P.catalogue(s, d))
     c = "meta.coverage."
@@ -496,7 +858,21 @@ def payload_meta(s, d):
 _PAYLOAD = "meta struct<nResolutions long, nCountries long>, res array<struct<id string, y int, am int>>, countries array<struct<iso3 string, n long, first int>>, votes map<string, struct<r array<long>, v string>>, subjects array<struct<name string, n long>>, resAll array<struct<id string, y int>>"
 
 
-@_query("SELECT (SELECT count(*) FROM made) AS n_res, (SELECT count(*) FROM cat) AS n_all, (SELECT count(*) FROM land) AS n_countries, (SELECT count(DISTINCT subj) FROM made) AS n_subjects, (SELECT CAST(sum(y) AS BIGINT) FROM made) AS y, (SELECT count(am) FROM made) AS n_am, (SELECT count(*) FROM cast_) AS n_votes, (SELECT arg_min(id, ri) FROM made) AS first_id, (SELECT subj FROM made GROUP BY 1 ORDER BY count(*) DESC, min(ri) LIMIT 1) AS top_subject")
+@_query("""
+SELECT (SELECT count(*)
+FROM made) AS n_res, (SELECT count(*)
+FROM cat) AS n_all, (SELECT count(*)
+FROM land) AS n_countries, (SELECT count(DISTINCT subj)
+FROM made) AS n_subjects, (SELECT CAST(sum(y) AS BIGINT)
+FROM made) AS y, (SELECT count(am)
+FROM made) AS n_am, (SELECT count(*)
+FROM cast_) AS n_votes, (SELECT arg_min(id, ri)
+FROM made) AS first_id, (SELECT subj
+FROM made
+GROUP BY 1
+ORDER BY count(*) DESC,
+       min(ri) LIMIT 1) AS top_subject
+""")
 def payload_file(s, d):
     """The whole payload written in parts, joined to one script and read back."""
     at = workspace(s, "payload")
@@ -554,7 +930,17 @@ def map_undrawn(s, d):
     return geo.undrawn(_voters(s, d), drawn, geo.dots(_points(s, d), _voters(s, d), drawn))
 
 
-@_query(_SHAPES + " SELECT iso3, kind, agreement_pct FROM (SELECT iso3, 'shape' AS kind FROM shp UNION ALL SELECT iso3, 'dot' FROM dot) LEFT JOIN (SELECT state_a AS iso3, agreement_pct FROM sym WHERE state_b = 'NATION_1') USING (iso3)")
+@_query(_SHAPES + """
+ SELECT iso3, kind, agreement_pct
+FROM (SELECT iso3, 'shape' AS kind
+FROM shp
+UNION ALL SELECT iso3, 'dot'
+FROM dot)
+LEFT
+JOIN (SELECT state_a AS iso3, agreement_pct
+FROM sym
+WHERE state_b = 'NATION_1') USING (iso3)
+""")
 def agreement_map(s, d):
     """Agreement with one state on the map: shapes and dots, those without common votes too."""
     drawn = geo.shapes(_features(s, d))
@@ -562,7 +948,13 @@ def agreement_map(s, d):
     return geo.choropleth(values, drawn, geo.dots(_points(s, d), _voters(s, d), drawn))
 
 
-@_query(_SHAPES + " SELECT (SELECT count(*) FROM shp) AS shapes, (SELECT count(*) FROM dot) AS dots, (SELECT sum(length(path)) FROM shp)::BIGINT AS path_letters, (SELECT round(sum(x + y), 1) FROM dot) AS dot_sum")
+@_query(_SHAPES + """
+ SELECT (SELECT count(*)
+FROM shp) AS shapes, (SELECT count(*)
+FROM dot) AS dots, (SELECT sum(length(path))
+FROM shp)::BIGINT AS path_letters, (SELECT round(sum(x + y), 1)
+FROM dot) AS dot_sum
+""")
 def map_file(s, d):
     """The map's script written and read back."""
     drawn = geo.shapes(_features(s, d))
@@ -575,7 +967,29 @@ def map_file(s, d):
 _PAGES = "SELECT record_id FROM res0 WHERE record_id % 8 < 5"
 
 
-@_query(f", dated AS (SELECT record_id FROM votes WHERE record_id % 11 <> 0), und AS (SELECT DISTINCT record_id FROM votes WHERE record_id % 11 = 0 AND record_id % 2 = 0), pages AS ({_PAGES}) SELECT (SELECT count(*) FROM dated) AS total, (SELECT count(DISTINCT record_id) FROM dated) AS ids, (SELECT count(*) FROM und) AS undated, (SELECT count(*) FROM (SELECT record_id FROM dated UNION SELECT record_id FROM und)) AS dated_or_undated, (SELECT count(*) FROM (SELECT record_id FROM dated UNION SELECT record_id FROM und UNION SELECT record_id FROM pages)) AS combined, (SELECT count(*) FROM (SELECT record_id FROM pages EXCEPT (SELECT record_id FROM dated UNION SELECT record_id FROM und))) AS missed")
+@_query(f"""
+, dated AS (SELECT record_id
+FROM votes
+WHERE record_id % 11 <> 0),
+und AS (SELECT DISTINCT record_id
+FROM votes
+WHERE record_id % 11 = 0 AND record_id % 2 = 0),
+pages AS ({_PAGES}) SELECT (SELECT count(*)
+FROM dated) AS total, (SELECT count(DISTINCT record_id)
+FROM dated) AS ids, (SELECT count(*)
+FROM und) AS undated, (SELECT count(*)
+FROM (SELECT record_id
+FROM dated UNION SELECT record_id
+FROM und)) AS dated_or_undated, (SELECT count(*)
+FROM (SELECT record_id
+FROM dated UNION SELECT record_id
+FROM und UNION SELECT record_id
+FROM pages)) AS combined, (SELECT count(*)
+FROM (SELECT record_id
+FROM pages EXCEPT (SELECT record_id
+FROM dated UNION SELECT record_id
+FROM und))) AS missed
+""")
 def harvest_sets(s, d):
     votes = P.votes(s, d).select("record_id")
     return ingest.harvest_summary(votes.where("record_id % 11 <> 0"), votes.where("record_id % 11 = 0 and record_id % 2 = 0"), P.resolutions(s, d, False).where("record_id % 8 < 5"))
@@ -586,7 +1000,15 @@ def undated_resolutions(s, d):
     return ingest.undated(P.catalogue(s, d)).select("record_id")
 
 
-@_query("SELECT CAST(year AS VARCHAR) AS name FROM (SELECT DISTINCT year FROM res0) WHERE year NOT IN (SELECT year FROM res0 GROUP BY 1 HAVING count(*) * 10 > 200 AND NOT (year IN (1995, 1998) AND count(*) <= 2000))")
+@_query("""
+SELECT CAST(year AS VARCHAR) AS name
+FROM (SELECT DISTINCT year
+FROM res0)
+WHERE year NOT IN (SELECT year
+FROM res0
+GROUP BY 1
+HAVING count(*) * 10 > 200 AND NOT (year IN (1995, 1998) AND count(*) <= 2000))
+""")
 def partitions_to_fetch(s, d):
     res = P.resolutions(s, d, False).withColumn("name", F.col("year").cast("string"))
     have = res.groupBy("name").agg((F.count("*") * 10).alias("n_bytes"), F.count("*").alias("n_records"))
@@ -635,7 +1057,14 @@ def _records(s: SparkSession, d: str, parts: int) -> DataFrame:
     return marc.from_text(made, "xml", F.lit("made"), F.lit(0))
 
 
-@_query("SELECT CAST(record_id AS VARCHAR) AS record_id, title || ' b' AS title, year || '-02-15' AS date, subject AS main_sponsors, 'r/' || record_id AS url_resolution, 'd/' || record_id AS url_draft, '3' AS yes, n AS n_rollcall, 'https://searchlibrary.ohchr.org/record/' || record_id AS record_url FROM res0 JOIN (SELECT record_id, CAST(count(*) AS INT) AS n FROM votes GROUP BY 1) USING (record_id)")
+@_query("""
+SELECT CAST(record_id AS VARCHAR) AS record_id, title || ' b' AS title, year || '-02-15' AS date, subject AS main_sponsors, 'r/' || record_id AS url_resolution, 'd/' || record_id AS url_draft, '3' AS yes, n AS n_rollcall, 'https://searchlibrary.ohchr.org/record/' || record_id AS record_url
+FROM res0
+JOIN (SELECT record_id,
+       CAST(count(*) AS INT) AS n
+FROM votes
+GROUP BY 1) USING (record_id)
+""")
 def marc_files(s, d):
     """A catalogue written to files, read back record by record and parsed."""
     at = workspace(s, "catalogue")
@@ -643,7 +1072,14 @@ def marc_files(s, d):
     return marc.parse(marc.read(s, at)).select("record_id", "title", "date", "main_sponsors", "url_resolution", "url_draft", "yes", "n_rollcall", "record_url")
 
 
-@_query("SELECT CAST(record_id AS VARCHAR) AS record_id, CAST(year AS VARCHAR) AS year, CAST(pos AS VARCHAR) AS seq, CASE WHEN pos % 3 = 0 THEN 'VEN' ELSE state[1:3] END AS iso3, CASE WHEN pos % 3 = 0 THEN state ELSE grp END AS country, code AS vote FROM votes")
+@_query("""
+SELECT CAST(record_id AS VARCHAR) AS record_id,
+       CAST(year AS VARCHAR) AS year,
+       CAST(pos AS VARCHAR) AS seq,
+       CASE WHEN pos % 3 = 0 THEN 'VEN' ELSE state[1:3] END AS iso3,
+       CASE WHEN pos % 3 = 0 THEN state ELSE grp END AS country, code AS vote
+FROM votes
+""")
 def marc_votes(s, d):
     """A row for each vote, with its record's columns."""
     return marc.votes_long(marc.parse(_records(s, d, 3))).select("record_id", "year", "seq", "iso3", "country", "vote")
@@ -672,7 +1108,15 @@ def csv_files(s, d):
     return files.read_csv(s, at, rows.schema)
 
 
-@_query("SELECT state, year, count(*) FILTER (WHERE code = 'Y') AS yes, count(*) FILTER (WHERE code = 'N') AS no, count(*) FILTER (WHERE code = 'A') AS abstain, round(count(*) FILTER (WHERE code = 'Y') * 100.0::DOUBLE / count(*), 4) AS yes_pct FROM one GROUP BY 1, 2")
+@_query("""
+SELECT state, year,
+       count(*) FILTER (WHERE code = 'Y') AS yes,
+       count(*) FILTER (WHERE code = 'N') AS no,
+       count(*) FILTER (WHERE code = 'A') AS abstain,
+       round(count(*) FILTER (WHERE code = 'Y') * 100.0::DOUBLE / count(*), 4) AS yes_pct
+FROM one
+GROUP BY 1, 2
+""")
 def exported_composition(s, d):
     """A chart's rows exported under their title and source, and read back."""
     at, rows = workspace(s, "export"), V.composition(_one(s, d))
@@ -691,7 +1135,12 @@ def geojson_shapes(s, d):
     return geo.shapes(files.read_geojson(s, f"{at}/part-*"))
 
 
-@_query("SELECT CAST(record_id AS VARCHAR) AS symbol, CASE WHEN record_id % 7 = 0 THEN 'missing' WHEN record_id % 11 < 5 THEN 'tiny' ELSE 'ok' END AS status FROM res0 WHERE record_id % 3 <> 0")
+@_query("""
+SELECT CAST(record_id AS VARCHAR) AS symbol,
+       CASE WHEN record_id % 7 = 0 THEN 'missing' WHEN record_id % 11 < 5 THEN 'tiny' ELSE 'ok' END AS status
+FROM res0
+WHERE record_id % 3 <> 0
+""")
 def mirror_log(s, d):
     """What became of documents, appended to a log in two turns."""
     at = workspace(s, "mirrorlog")
@@ -880,13 +1329,45 @@ def mirror_state(s, d):
     return logstate.current(s, f"{at}/state").select("symbol", "status", "open")
 
 
-@_query("SELECT state, round(count(*) FILTER (WHERE code <> won) * 100.0::DOUBLE / count(*), 4) AS minority_side_pct, count(*) AS votes FROM one JOIN (SELECT record_id, CASE WHEN y > n AND y > a THEN 'Y' WHEN n > y AND n > a THEN 'N' WHEN a > y AND a > n THEN 'A' END AS won FROM tally) USING (record_id) WHERE won IS NOT NULL AND year BETWEEN 1996 AND 1998 GROUP BY state")
+@_query("""
+SELECT state,
+       round(count(*) FILTER (WHERE code <> won) * 100.0::DOUBLE / count(*), 4) AS minority_side_pct,
+       count(*) AS votes
+FROM one
+JOIN (SELECT record_id,
+       CASE WHEN y > n AND y > a THEN 'Y' WHEN n > y AND n > a THEN 'N' WHEN a > y AND a > n THEN 'A' END AS won
+FROM tally) USING (record_id)
+WHERE won IS NOT NULL AND year BETWEEN 1996 AND 1998
+GROUP BY state
+""")
 def outvoted_in_years(s, d):
     """Some years' outvoted states, from a table in folders of years and buckets of resolutions."""
     stored = layout.store_votes(_chamber(s, d), workspace(s, "layout"))
     return V.outvoted(V.one_vote(stored.where("year between 1996 and 1998")))
 
 
+@_query("""
+SELECT CAST(record_id AS VARCHAR) AS record_id,
+       CASE WHEN record_id % 3 = 0 THEN title || ', first' WHEN record_id % 3 = 1 THEN title || ', second' ELSE title || ', first' END AS title
+FROM res0
+""")
+def first_in_file_order(s, d):
+    """Records that several files have: the first file by name counts, and in it the first place."""
+    at, res = workspace(s, "ordered"), P.resolutions(s, d, False).select("record_id", "title")
+    third, key = F.col("record_id") % 3, F.col("record_id").cast("string")
+
+    def put(folder: str, rows: DataFrame, note: str) -> None:
+        begin = F.concat(F.lit('<record><controlfield tag="001">'), key, F.lit('</controlfield><datafield tag="245"><subfield code="a">'))
+        xml = F.concat(begin, "title", F.lit(f", {note}</subfield></datafield></record>"))
+        marc.write(marc.from_text(rows.select(xml.alias("xml")), "xml", F.lit("made"), F.lit(0)).coalesce(1), f"{at}/{folder}")
+
+    put("c", res, "third")
+    put("a", res.where(third == 0), "first")
+    put("b", res.where(third != 2), "second")
+    put("aa", res.where(third == 2), "first")
+    return marc.parse(marc.read(s, f"{at}/*")).select("record_id", "title")
+
+
 def _indexed(s: SparkSession, d: str) -> TextIndex:
     return TextIndex.build(P.resolutions(s, d, False).select("record_id", "title", "subject"), ["title", "subject"], workspace(s, "index"))
 
