@@ -83,8 +83,8 @@ def trees(fps: DataFrame, bits: int) -> list[vptree.Tree]:
     n = fps.count()
     levels = int(np.clip(np.ceil(np.log2(max(n, 1) / SHARD_ROWS)), 0, LEVELS))
     low = F.xxhash64("fp") <= F.lit(min((1 << 63) - 1, int(SAMPLE / max(n, 1) * 2.0**64) - (1 << 63))).cast("long")
-    sample = [r.fp for r in fps.where(low).limit(2 * SAMPLE).collect()] if levels else []
-    halves = _halves(np.sort(np.array(sample, np.int64)).view(np.uint64))
+    sample = fps.where(low).limit(2 * SAMPLE).toArrow().column(0).to_numpy() if levels else np.zeros(0, np.int64)
+    halves = _halves(np.sort(sample).view(np.uint64))
     return [vptree.build(h, levels, bits // 2) for h in halves]
 
 
