@@ -10,6 +10,7 @@ the shards' emptiest bins is dealt into new shards and packed again. Only length
 
 from __future__ import annotations
 
+import bisect
 import math
 import zlib
 from collections.abc import Iterator
@@ -27,12 +28,18 @@ SEQUENCE = 2048
 #: Pieces in a shard, islands for each shard, epochs (migration between them), generations of an epoch, packings on an
 #: island, and generations without a better packing after which an island rests.
 SHARD_PIECES, ISLANDS, EPOCHS, GENERATIONS, POPULATION, PATIENCE = 5_000, 2, 2, 30, 10, 10
+#: Generations and patience on the last level: one shard, which decides whether the sequences are as few as can be.
+LAST_GENERATIONS, LAST_PATIENCE = 300, 150
 #: Best packings of an island that stay, and also go to the next one, between epochs.
 ELITES = 3
-#: Shares of a parent's bins that crossover injects, and of the child's emptiest bins that are dealt anew.
-INJECTED, EMPTIEST = 0.1, 0.3
+#: Shares of a parent's bins that crossover injects, and of the child's emptiest bins that are dealt anew: islands take turns
+#: at these rates, careful ones that improve what they have and bold ones that try more, so what migrates is of another kind.
+INJECTED, EMPTIEST = 0.1, (0.05, 0.2)
+#: Share of the child's bins, full ones too, that are dealt anew besides, by chance: new combinations for a pool that has become alike.
+MUTATED = 0.02
 #: Share of a shard's bins, the emptiest that aren't full, whose pieces are packed again with those of other shards.
-LOOSE = 0.05
+LOOSE = 0.1
+_LAST = 1 << 62  # above every piece's number
 
 
 def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str = "word_bpe_49k.json", end_id: int = 0, size: int = SEQUENCE) -> DataFrame:
@@ -93,6 +100,28 @@ class Packing:
                 by_room[left].append(b)
                 mask |= 1 << left
 
+    def refill(self, loose: list[int], length: list[int]) -> list[int]:
+        """Pieces of bins with room give way to displaced ones (``loose``) that fill their bin better: the room's best filler first.
+        Returns what is then displaced, smaller pieces that are easier to place."""
+        held = sorted((length[i], i) for i in loose)
+        for b, r in enumerate(self.room):
+            if not r or not held:
+                continue
+            items = self.bins[b]
+            gain, which, by = 0, -1, -1
+            for k, i in enumerate(items):
+                at = bisect.bisect_right(held, (length[i] + r, _LAST)) - 1
+                if at >= 0 and held[at][0] - length[i] > gain:
+                    gain, which, by = held[at][0] - length[i], k, at
+                    if gain == r:
+                        break
+            if gain:
+                old = items[which]
+                items[which] = held.pop(by)[1]
+                bisect.insort(held, (length[old], old))
+                self.room[b] = r - gain
+        return [i for _, i in held]
+
     def fitness(self, size: int) -> float:
         """The mean squared fill: more for fewer, fuller bins."""
         return sum((1 - r / size) ** 2 for r in self.room) / max(1, len(self.room))
@@ -112,7 +141,7 @@ def decode(chromosome: np.ndarray, length: np.ndarray, size: int) -> Packing:
     return Packing([x.tolist() for x in np.split(order, cuts)] if n else [], (size - fill).astype(np.int64).tolist())
 
 
-def crossover(a: Packing, b: Packing, length: list[int], size: int, rng: np.random.Generator) -> Packing:
+def crossover(a: Packing, b: Packing, length: list[int], size: int, rng: np.random.Generator, emptiest: float = EMPTIEST[0]) -> Packing:
     """``a`` with some whole well-filled bins of ``b``: a's bins that share an item with them give way, so do the
     emptiest, and their other items are placed anew, longest first."""
     room = np.array(b.room)
@@ -126,16 +155,19 @@ def crossover(a: Packing, b: Packing, length: list[int], size: int, rng: np.rand
             kept.append((items, r))
         else:
             loose += [i for i in items if i not in twice]
-    worst = np.argsort(-np.array([r for _, r in kept]), kind="stable")[: max(1, int(len(kept) * EMPTIEST))].tolist() if kept else []
+    worst = np.argsort(-np.array([r for _, r in kept]), kind="stable")[: max(1, int(len(kept) * emptiest))].tolist() if kept else []
     drop = {k for k in worst if kept[k][1]}
+    if kept and drop:
+        drop |= set(rng.integers(0, len(kept), int(len(kept) * MUTATED)).tolist())
     loose += [i for k in drop for i in kept[k][0]]
     kept = [x for k, x in enumerate(kept) if k not in drop]
     child = Packing([list(x) for x, _ in kept] + [list(x) for x in taken], [r for _, r in kept] + [int(b.room[k]) for k in take.tolist()])
+    loose = child.refill(loose, length)
     child.place(sorted(loose, key=lambda i: -length[i]), length, size)
     return child
 
 
-def evolve(length: np.ndarray, size: int, seed: int, elites: list[np.ndarray], generations: int = GENERATIONS, population: int = POPULATION, patience: int = PATIENCE) -> list[tuple[np.ndarray, int, float]]:
+def evolve(length: np.ndarray, size: int, seed: int, elites: list[np.ndarray], generations: int = GENERATIONS, population: int = POPULATION, patience: int = PATIENCE, emptiest: float = EMPTIEST[0]) -> list[tuple[np.ndarray, int, float]]:
     """The best packings found of items of these lengths, the best one first: each item's bin, the number of bins, the fitness.
 
     Items of the whole size have a bin each; the others are bred from ``elites`` (packings of all items) and
@@ -158,7 +190,7 @@ def evolve(length: np.ndarray, size: int, seed: int, elites: list[np.ndarray], g
         if len(pool[0].bins) <= bound or len(pool) < 2 or since >= patience:
             break
         i, j = sorted(rng.choice(len(pool), 2, replace=False).tolist())
-        pool += [crossover(pool[i], pool[j], lengths, size, rng), crossover(pool[j], pool[i], lengths, size, rng)]
+        pool += [crossover(pool[i], pool[j], lengths, size, rng, emptiest), crossover(pool[j], pool[i], lengths, size, rng, emptiest)]
         pool = sorted(pool, key=rank)[:population]
         best, since = min(best, rank(pool[0])), 0 if rank(pool[0]) < best else since + 1
 
@@ -171,9 +203,10 @@ def evolve(length: np.ndarray, size: int, seed: int, elites: list[np.ndarray], g
     return [whole_packing(p) for p in pool[: 1 if len(pool[0].bins) <= bound else ELITES]]
 
 
-def breed(length: np.ndarray, size: int, epoch: int, island: int, elites: list[np.ndarray]) -> list[tuple[np.ndarray, int, float]]:
-    """An island's epoch: a seed of its own, and the elites that stayed or came."""
-    return evolve(length, size, 1000 * epoch + island, elites)
+def breed(length: np.ndarray, size: int, epoch: int, island: int, elites: list[np.ndarray], last: bool = False) -> list[tuple[np.ndarray, int, float]]:
+    """An island's epoch: a seed and a rate of its own, and the elites that stayed or came."""
+    longer = {"generations": LAST_GENERATIONS, "patience": LAST_PATIENCE} if last else {}
+    return evolve(length, size, 1000 * epoch + island, elites, **longer, emptiest=EMPTIEST[island % len(EMPTIEST)])
 
 
 def _level(held: DataFrame, at: str, level: int, size: int, shard_pieces: int, islands: int, epochs: int) -> tuple[DataFrame, int]:
@@ -192,7 +225,7 @@ def _level(held: DataFrame, at: str, level: int, size: int, shard_pieces: int, i
                 return pd.DataFrame({"shard": [], "island": [], "bins": [], "fitness": [], "chromosome": []}).astype({"shard": "int32", "island": "int32", "bins": "int32", "fitness": "float64"})
             length = own.sort_values("row")["length"].to_numpy()
             seeds = [np.frombuffer(x, np.int32) for x in elite.sort_values(["bins", "fitness"], ascending=[True, False])["chromosome"]]
-            got = breed(length, size, epoch, int(key[1]), seeds)
+            got = breed(length, size, epoch, int(key[1]), seeds, level > 0 and shards == 1)
             return pd.DataFrame({"shard": key[0], "island": key[1], "bins": [x[1] for x in got], "fitness": [x[2] for x in got], "chromosome": [x[0].tobytes() for x in got]})
 
         return run
