@@ -1169,7 +1169,7 @@ def forced_years(s, d):
 
 
 @_query("""
-SELECT CAST(record_id AS VARCHAR) AS record_id, 1 AS times, 0 AS aside FROM (SELECT DISTINCT record_id FROM votes)
+SELECT CAST(record_id AS VARCHAR) AS record_id, CAST(1 AS BIGINT) AS times, CAST(0 AS BIGINT) AS aside FROM (SELECT DISTINCT record_id FROM votes)
 UNION ALL SELECT '', 2, 1
 """)
 def ingested_with_damage(s, d):
