@@ -28,6 +28,7 @@ CUTOFF, MEDIAN = 30.9, 4.351
 #: Rows (of under 400 bytes) up to which a table of estimates is broadcast. Beyond, the vectors meet it in a join
 #: whose key is salted so many ways, as no group's vectors may meet in one task.
 BROADCAST_ROWS, SALTS = 10_000, 64
+VERDICTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper", "base_failed", "distance", "kept"]
 _PER_E = 40  # buckets of the distances' histogram for each factor of e
 
 
@@ -87,14 +88,14 @@ _X = list(VECTOR)
 _PAIRS = [(i, j) for i in range(len(_X)) for j in range(i + 1)]
 
 
-def _sized(params: DataFrame) -> DataFrame:
-    """A written table, marked for broadcast if its rows are few."""
-    return F.broadcast(params) if params.count() <= BROADCAST_ROWS else params
+def _sized(params: DataFrame, few: bool) -> DataFrame:
+    """A written table, marked for broadcast if its rows are known to be few."""
+    return F.broadcast(params) if few else params
 
 
-def _meet(stats: DataFrame, params: DataFrame, *keys: str) -> DataFrame:
+def _meet(stats: DataFrame, params: DataFrame, few: bool, *keys: str) -> DataFrame:
     """``stats`` (with a column salt) joined to ``params``, a written table of a row for each value of ``keys``."""
-    if params.count() <= BROADCAST_ROWS:
+    if few:
         return stats.join(F.broadcast(params), [*keys])
     salted = params.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return stats.join(salted.hint("merge"), [*keys, "salt"])
@@ -135,28 +136,33 @@ def _shares(rows: DataFrame, share: float, *keys: str) -> DataFrame:
     return done.where(F.col("below") >= F.col("all") * share).groupBy(*keys).agg(F.min("b").alias("cut"))
 
 
-def outlier_bounds(stats: DataFrame, at: str) -> DataFrame:
-    """``stats``: group, x0.. and salt (a number below SALTS) of the rows to learn from. Returns for each group m<i>, l<i><j> and ``scale``."""
+def outlier_bounds(stats: DataFrame, at: str, few: bool) -> DataFrame:
+    """``stats``: group, x0.. and salt (a number below SALTS) of the rows to learn from; ``few``: whether twice the groups are at
+    most BROADCAST_ROWS. Returns for each group m<i>, l<i><j> and ``scale``."""
     middle = [F.round(F.percentile_approx(x, 0.5, 10000), 2).alias(f"m{i}") for i, x in enumerate(_X)]
     near = materialise(stats.groupBy("grp").agg(*middle), f"{at}/middle")
-    off = _meet(stats, near, "grp").groupBy("grp").agg(*[F.round(1.4826 * F.percentile_approx(F.abs(F.col(x) - F.col(f"m{i}")), 0.5, 10000), 2).alias(f"s{i}") for i, x in enumerate(_X)])
+    off = _meet(stats, near, few, "grp").groupBy("grp").agg(*[F.round(1.4826 * F.percentile_approx(F.abs(F.col(x) - F.col(f"m{i}")), 0.5, 10000), 2).alias(f"s{i}") for i, x in enumerate(_X)])
     robust = near.join(off, "grp").select("grp", *[f"m{i}" for i in range(len(_X))], *[(F.col(f"s{i}") * F.col(f"s{i}") if i == j else F.lit(0.0)).alias(f"c{i}{j}") for i, j in _PAIRS])
     starts = _factor(robust).withColumn("start", F.lit(0)).unionByName(_moments(stats, "grp").withColumn("start", F.lit(1)))
     params = materialise(starts, f"{at}/params0")
     for step in range(STEPS):
-        far = _distance(_meet(stats, params, "grp"))
+        far = _distance(_meet(stats, params, few, "grp"))
         cuts = materialise(_shares(far, SUBSET, "grp", "start"), f"{at}/cuts{step}")
-        core = _meet(far, cuts, "grp", "start").where(_bucket(F.col("d2")) <= F.col("cut"))
+        core = _meet(far, cuts, few, "grp", "start").where(_bucket(F.col("d2")) <= F.col("cut"))
         params = materialise(_moments(core, "grp", "start"), f"{at}/params{step + 1}")
     best = Window.partitionBy("grp").orderBy("log_det", "start")  # two rows for each group
     params = params.withColumn("k", F.row_number().over(best)).where("k = 1").drop("k", "start", "log_det")
     params = materialise(params, f"{at}/best")
-    half = _shares(_distance(_meet(stats, params, "grp")), 0.5, "grp").select("grp", (F.lit(MEDIAN) / F.exp((F.col("cut") + 0.5) / _PER_E)).alias("scale"))
+    half = _shares(_distance(_meet(stats, params, few, "grp")), 0.5, "grp").select("grp", (F.lit(MEDIAN) / F.exp((F.col("cut") + 0.5) / _PER_E)).alias("scale"))
     return materialise(params.join(half, "grp").withColumn("scale", F.least("scale", F.lit(1.0))), f"{at}/bounds")
 
 
 def judge(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", carry: list[str] | None = None) -> DataFrame:
-    """``docs`` (or its columns ``carry``) with the base statistics, ``distance`` and ``kept``.
+    """``docs`` (or its columns ``carry``) with the base statistics, ``distance`` and ``kept``. A carried column of one of their names
+    (in any case) gives way to them.
+
+    Null and empty texts have no words and fail the base rules, as do very short ones; their distance is that from their group, if it
+    has an estimate, else null. A text of any length is judged whole. An empty table gives no rows.
 
     A row is kept if it passes the base rules and isn't an outlier among the rows of its language and source
     that pass. Groups of under GROUP_ROWS rows (a null language or source is one of its own) are judged with
@@ -165,7 +171,8 @@ def judge(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sourc
     Repeated rows count each time.
     """
     at = workspace(docs.sparkSession, "quality")
-    carry = docs.columns if carry is None else carry
+    taken = {x.lower() for x in VERDICTS}
+    carry = [c for c in (docs.columns if carry is None else carry) if c.lower() not in taken]
     own = [f"carried{i}" for i in range(len(carry))]
     src = docs.select(*[F.col(f"`{c}`").alias(o) for c, o in zip(carry, own, strict=True)], F.col(f"`{text_col}`").alias("text"), F.coalesce(F.concat(F.lit("="), f"`{lang_col}`"), F.lit("-")).alias("lang"), F.coalesce(F.concat(F.lit("="), f"`{source_col}`"), F.lit("-")).alias("source"))
     held = base_statistics(src, "text").drop("text")
@@ -175,19 +182,19 @@ def judge(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sourc
     rest = sizes.where(F.col("n") < GROUP_ROWS).groupBy("lang").agg(F.sum("n").alias("in_lang"))
     named = sizes.join(rest, "lang", "left").select("lang", "source", "n", F.when(F.col("n") >= GROUP_ROWS, F.concat_ws("\x01", F.lit("1"), "lang", "source")).when(F.col("in_lang") >= GROUP_ROWS, F.concat_ws("\x01", F.lit("2"), "lang")).otherwise(F.lit("3")).alias("grp"))
     named = materialise(named, f"{at}/groups")
+    few = 2 * named.count() <= BROADCAST_ROWS  # no table of estimates has more rows: two starts for each group
     passed = passed.withColumn("salt", (F.rand() * SALTS).cast("int"))
-    stats = _meet(passed, named, "lang", "source").select("grp", *_X, "salt")
+    stats = _meet(passed, named, few, "lang", "source").select("grp", *_X, "salt")
     few = named.where("grp = '3'").agg(F.sum("n")).first()[0] or 0
     if 0 < few < GROUP_ROWS:  # the last pool is too small to learn from: it is judged by the whole table
         stats = stats.where("grp <> '3'").unionByName(passed.select(F.lit("3").alias("grp"), *_X, "salt"))
     stats = materialise(stats, f"{at}/vectors")
-    bounds = outlier_bounds(stats, at)
+    bounds = outlier_bounds(stats, at, few)
     # no aggregation follows these: adaptive execution splits a hot group where they are shuffled
-    far = _distance(held.join(_sized(named).drop("n"), ["lang", "source"], "left").join(_sized(bounds), "grp", "left"))
+    far = _distance(held.join(_sized(named, few).drop("n"), ["lang", "source"], "left").join(_sized(bounds, few), "grp", "left"))
     far = far.withColumn("distance", F.round(F.col("d2") * F.col("scale"), 6))
     far = far.withColumn("kept", ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= CUTOFF))
-    verdicts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper", "base_failed", "distance", "kept"]
-    return far.select(*[F.col(o).alias(c) for o, c in zip(own, carry, strict=True)], *verdicts)
+    return far.select(*[F.col(o).alias(c) for o, c in zip(own, carry, strict=True)], *VERDICTS)
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
