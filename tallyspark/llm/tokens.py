@@ -200,7 +200,17 @@ class Encoder:
 
     def _ids(self, chunks: list[bytes]) -> list[list[int] | None]:
         plain = not _ODD.search(b"\n".join(chunks).decode())
-        return [self._chunk(x.decode(), plain) for x in chunks]
+        tokenize, blank, words, out = self.tokenize, self.letters[32], self.words, []
+        for x in chunks:
+            chunk = x.decode()
+            # most chunks are one pre-token of visible ASCII characters, or of a space before some
+            if plain and chunk.isascii() and chunk > " " and "'" not in chunk and not (words and chunk.isdigit() and len(chunk) > 1):
+                shown = chunk.lower() if words else chunk
+                got = [t.id for t in tokenize(blank + shown[1:] if shown[0] == " " else shown)]
+                out.append(got if len(got) < _ODD_CHUNK else None)
+            else:
+                out.append(self._chunk(chunk, plain))
+        return out
 
     def _slots(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of some texts: the entry of each chunk, each text's first chunk (n + 1), and the texts left to the library."""
