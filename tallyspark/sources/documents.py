@@ -29,6 +29,7 @@ def named(rows: DataFrame) -> DataFrame:
     stem = F.when(safe.rlike(r"\A([_.]|\z)"), F.concat(F.lit("x"), safe)).otherwise(safe)  # Spark's readers pass over names that begin so
     own = rows.withColumn("status", status).withColumn("stem", stem).withColumn("ending", ending)
     clash = own.where("status = 'ok'").groupBy("stem", "ending").agg(F.min("symbol").alias("least"), F.countDistinct("symbol").alias("n")).where("n > 1").drop("n")
+    clash = materialise(clash, workspace(rows.sparkSession, "clashes"))  # few, and Spark then knows: the documents don't move for it
     own = own.join(clash, ["stem", "ending"], "left")
     mark = F.when(F.col("least").isNull() | (F.col("symbol") == F.col("least")), "").otherwise(F.concat(F.lit("~"), F.lower(F.hex(F.crc32("symbol")))))
     file = F.when(F.col("status") == "ok", F.concat("stem", mark, "ending")).when(F.col("status") == "tiny", link).otherwise("")
@@ -39,10 +40,16 @@ def write_documents(rows: DataFrame, folder: str) -> DataFrame:
     """Write the documents of ``rows`` (symbol, link, data) into ``folder`` and return the log: symbol, status and file of each.
 
     A file gets its name only when it is whole, so a lost attempt leaves none, and a repeated one writes the same again. Of rows
-    of one symbol one counts, the one with the least data (null last). Documents go from the tasks that hold them; none passes
-    through the driver. The log is written before it is returned, so the files are there.
+    of one symbol one counts, the one with the least data (null last); only these rows are shuffled for it. Documents go from the
+    tasks that hold them; none passes through the driver. The log is written before it is returned, so the files are there.
     """
-    one = rows.groupBy("symbol").agg(F.min_by(F.struct("link", "data"), F.struct(F.col("data").isNull().alias("k"), "data", "link")).alias("x")).select("symbol", "x.*")
+    spark, rows = rows.sparkSession, rows.select("symbol", "link", "data")
+    several = rows.groupBy("symbol").count().where("count > 1").select(F.col("symbol").alias("several_"))
+    several = materialise(several, workspace(spark, "several"))
+    same = F.col("symbol").eqNullSafe(F.col("several_"))
+    of = F.struct(F.col("data").isNull().alias("k"), "data", "link")
+    least = rows.join(several, same, "left_semi").groupBy("symbol").agg(F.min_by(F.struct("link", "data"), of).alias("x")).select("symbol", "x.*")
+    one = rows.join(several, same, "left_anti").unionByName(least)
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = pafs.FileSystem.from_uri(folder)

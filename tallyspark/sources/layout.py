@@ -10,7 +10,7 @@ import uuid
 
 from pyspark.sql import DataFrame
 
-#: Buckets of resolutions: some 200 MB of votes each at 10 TB.
+#: Buckets of resolutions; a large table takes so many that a year's votes fill some hundred MB in each.
 BUCKETS = 16
 
 

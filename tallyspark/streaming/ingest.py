@@ -101,7 +101,7 @@ def ingest_new(spark: SparkSession, source: str, target: str, files: int = FILES
 
 def still_to_do(items: DataFrame, log: DataFrame) -> DataFrame:
     """Symbols without a final status: errors are tried again."""
-    final = log.where(~F.col("status").startswith("error:")).select("symbol").distinct()
+    final = log.where(~F.col("status").startswith("error")).select("symbol").distinct()
     return items.join(final, "symbol", "left_anti")
 
 
