@@ -33,7 +33,10 @@ def agreement(bits: DataFrame) -> DataFrame:
     a = room.select("v", F.posexplode("v").alias("i", "a"))
     pairs = a.select("a", F.explode(F.slice("v", F.col("i") + 2, F.greatest(F.size("v") - F.col("i") - 1, F.lit(0)))).alias("b"))
     shared, same = "bit_count((a.y | a.n | a.a) & (b.y | b.n | b.a))", "bit_count(a.y & b.y) + bit_count(a.n & b.n) + bit_count(a.a & b.a)"
-    counted = pairs.groupBy(F.col("a.state").alias("state_a"), F.col("b.state").alias("state_b")).agg(F.sum(F.expr(shared)).alias("shared"), F.sum(F.expr(same)).alias("same"))
+    counted = pairs.groupBy(F.col("a.state").alias("state_a"), F.col("b.state").alias("state_b")).agg(
+        F.sum(F.expr(shared)).alias("shared"),
+        F.sum(F.expr(same)).alias("same"),
+    )
     return counted.where("shared > 0")
 
 

@@ -61,9 +61,19 @@ def consensus_flips(res: DataFrame, split_year: int, least: int = 3) -> DataFram
     """Change of the share adopted by consensus from before ``split_year`` to from then on."""
     early, late = F.col("year") < split_year, F.col("year") >= split_year
     hit = F.col("vt") == "C"
-    t = res.groupBy("subject").agg(F.count_if(early).alias("n_early"), F.count_if(late).alias("n_late"), F.count_if(early & hit).alias("c_early"), F.count_if(late & hit).alias("c_late"))
+    t = res.groupBy("subject").agg(
+        F.count_if(early).alias("n_early"),
+        F.count_if(late).alias("n_late"),
+        F.count_if(early & hit).alias("c_early"),
+        F.count_if(late & hit).alias("c_late"),
+    )
     t = t.where((F.col("n_early") >= least) & (F.col("n_late") >= least))
-    return t.select("subject", "n_early", "n_late", F.round(F.col("c_late") * F.lit(100.0) / F.col("n_late") - F.col("c_early") * F.lit(100.0) / F.col("n_early"), 4).alias("delta_pp"))
+    return t.select(
+        "subject",
+        "n_early",
+        "n_late",
+        F.round(F.col("c_late") * F.lit(100.0) / F.col("n_late") - F.col("c_early") * F.lit(100.0) / F.col("n_early"), 4).alias("delta_pp"),
+    )
 
 
 def middle_year(res: DataFrame) -> int:
@@ -89,17 +99,31 @@ def vote_types(res: DataFrame, first_seen: str | None = None) -> DataFrame:
 
 
 def decades(res: DataFrame) -> DataFrame:
-    return res.where("year is not null").groupBy((F.floor(F.col("year") / 10) * 10).cast("long").alias("decade")).agg(F.count("*").alias("all"), F.count_if(F.col("n_rollcall") > 0).alias("recorded"))
+    return res.where("year is not null").groupBy((F.floor(F.col("year") / 10) * 10).cast("long").alias("decade")).agg(
+        F.count("*").alias("all"),
+        F.count_if(F.col("n_rollcall") > 0).alias("recorded"),
+    )
 
 
 def totals_coverage(res: DataFrame) -> DataFrame:
     rest, has = F.col("n_rollcall") == 0, any_totals(F.col("yes"), F.col("no"), F.col("abstain"))
-    return res.agg(F.count("*").alias("resolutions"), F.count_if(~rest).alias("recorded"), F.count_if(rest & has).alias("totals_no_rollcall"), F.count_if(rest & ~has).alias("neither"))
+    return res.agg(
+        F.count("*").alias("resolutions"),
+        F.count_if(~rest).alias("recorded"),
+        F.count_if(rest & has).alias("totals_no_rollcall"),
+        F.count_if(rest & ~has).alias("neither"),
+    )
 
 
 def overview(res: DataFrame, states: DataFrame) -> DataFrame:
     """One row: resolutions, years, subjects, and the number of states."""
-    one = res.agg(F.count("*").alias("n_resolutions"), F.min("year").cast("long").alias("year_min"), F.max("year").cast("long").alias("year_max"), F.countDistinct("subject").alias("n_subjects"), F.count_if(F.col("n_rollcall") == 0).alias("no_rollcall"))
+    one = res.agg(
+        F.count("*").alias("n_resolutions"),
+        F.min("year").cast("long").alias("year_min"),
+        F.max("year").cast("long").alias("year_max"),
+        F.countDistinct("subject").alias("n_subjects"),
+        F.count_if(F.col("n_rollcall") == 0).alias("no_rollcall"),
+    )
     return one.join(states.agg(F.countDistinct("state").alias("n_states")))
 
 
@@ -135,7 +159,16 @@ def related(res: DataFrame, text: str, k: int) -> DataFrame:
 def explorer(res: DataFrame) -> DataFrame:
     """A lean row for every resolution: totals only where there are any."""
     has = any_totals(F.col("yes"), F.col("no"), F.col("abstain"))
-    return res.select("record_id", "title", "year", "body", "subject", F.col("vt").alias("mode"), "am", *[F.when(has, F.col(c)).alias(c) for c in ("yes", "no", "abstain")])
+    return res.select(
+        "record_id",
+        "title",
+        "year",
+        "body",
+        "subject",
+        F.col("vt").alias("mode"),
+        "am",
+        *[F.when(has, F.col(c)).alias(c) for c in ("yes", "no", "abstain")],
+    )
 
 
 def distinct_first(rows: DataFrame, key: str, *order: str) -> DataFrame:

@@ -72,7 +72,12 @@ def shape_path(polygons: Column) -> Column:
 def shapes(features: DataFrame) -> DataFrame:
     """``features``: id, name, polygons and pos. iso3, name and path of every state that has a path; of several features
     of one state the last. Features without an id, and Antarctica, are left out."""
-    own = features.where("id is not null and id <> '' and id <> 'ATA'").select("id", F.coalesce("name", "id").alias("name"), shape_path(F.col("polygons")).alias("path"), "pos").where("path <> ''")
+    own = features.where("id is not null and id <> '' and id <> 'ATA'").select(
+        "id",
+        F.coalesce("name", "id").alias("name"),
+        shape_path(F.col("polygons")).alias("path"),
+        "pos",
+    ).where("path <> ''")
     last = own.groupBy("id").agg(F.max_by(F.struct("name", "path"), "pos").alias("x"))
     return last.select(F.col("id").alias("iso3"), "x.name", "x.path")
 

@@ -17,7 +17,18 @@ from .naming import naming
 from .votes import dense_index, reconciliation
 
 #: Names, besides the states', that make a subject one of a country's situation.
-SITUATIONS = ["PALESTINE", "STATE OF PALESTINE", "OCCUPIED ARAB TERRITORIES", "OCCUPIED PALESTINIAN TERRITORY", "SOUTHERN AFRICA", "KOSOVO", "WESTERN SAHARA", "IRAN", "SYRIA", "BURMA"]
+SITUATIONS = [
+    "PALESTINE",
+    "STATE OF PALESTINE",
+    "OCCUPIED ARAB TERRITORIES",
+    "OCCUPIED PALESTINIAN TERRITORY",
+    "SOUTHERN AFRICA",
+    "KOSOVO",
+    "WESTERN SAHARA",
+    "IRAN",
+    "SYRIA",
+    "BURMA",
+]
 
 
 def recorded(res: DataFrame) -> DataFrame:
@@ -48,7 +59,16 @@ def res_all_rows(res: DataFrame) -> DataFrame:
     """A lean row for every resolution: totals only where there are any."""
     has = R.has_totals(F.col("yes"), F.col("no"), F.col("abstain"))
     totals = [F.when(has, R.number(F.col(c))).alias(n) for c, n in (("yes", "y"), ("no", "n"), ("abstain", "a"))]
-    return res.select(F.col("record_id").alias("id"), F.col("symbol").alias("sym"), R.trim_title(F.col("title")).alias("t"), *_common(), R.mode_code(F.col("vote_type")).alias("vt"), _am(), *totals, "pos")
+    return res.select(
+        F.col("record_id").alias("id"),
+        F.col("symbol").alias("sym"),
+        R.trim_title(F.col("title")).alias("t"),
+        *_common(),
+        R.mode_code(F.col("vote_type")).alias("vt"),
+        _am(),
+        *totals,
+        "pos",
+    )
 
 
 def vote_rows(votes: DataFrame, rows: DataFrame) -> DataFrame:
@@ -67,7 +87,19 @@ def countries(cast: DataFrame, groups: DataFrame) -> DataFrame:
         F.max_by(R.title_case(F.col("country")), last).alias("name"), F.count("*").alias("n"), count("Y", "y"), count("N", "no"), count("A", "a"), count(".", "absent"), count("-", "blank"),
         F.min(year).alias("first"), F.max(year).alias("last"),
     )
-    return made.join(groups.select("iso3", F.col("grp").alias("group")), "iso3", "left").select("iso3", "name", F.coalesce("group", F.lit("")).alias("group"), "n", "y", "no", "a", "absent", "blank", "first", "last")
+    return made.join(groups.select("iso3", F.col("grp").alias("group")), "iso3", "left").select(
+        "iso3",
+        "name",
+        F.coalesce("group", F.lit("")).alias("group"),
+        "n",
+        "y",
+        "no",
+        "a",
+        "absent",
+        "blank",
+        "first",
+        "last",
+    )
 
 
 def matrix(cast: DataFrame) -> DataFrame:
@@ -129,7 +161,19 @@ def meta(res: DataFrame, cast: DataFrame, rows: DataFrame, labels: dict[str, str
     states = cast.agg(F.countDistinct("iso3").alias("nCountries"))
     one = coverage(res).join(types).join(tens).join(states).join(reconciled(cast, rows))  # a row each
     bodies = F.map_filter(F.map_from_arrays(F.array(F.lit("CHR"), F.lit("HRC")), F.array("chr", "hrc")), lambda k, n: n > 0).alias("bodyAll")
-    own = F.struct("totalResolutions", "recordedResolutions", "voteTypes", bodies, "totalsNoRollcall", "neitherTotalsNorRollcall", "decades", "nSubjectsAll", "nSubjectsRecorded", "reconciled", "mismatched")
+    own = F.struct(
+        "totalResolutions",
+        "recordedResolutions",
+        "voteTypes",
+        bodies,
+        "totalsNoRollcall",
+        "neitherTotalsNorRollcall",
+        "decades",
+        "nSubjectsAll",
+        "nSubjectsRecorded",
+        "reconciled",
+        "mismatched",
+    )
     names = F.create_map(*[F.lit(x) for pair in labels.items() for x in pair]) if labels else F.create_map().cast("map<string,string>")
     return one.select(F.struct(F.col("recordedResolutions").alias("nResolutions"), "nCountries", "yearMin", "yearMax", names.alias("groupLabels"), own.alias("coverage")).alias("meta"))
 
@@ -172,7 +216,19 @@ def write(res: DataFrame, votes: DataFrame, groups: DataFrame, labels: dict[str,
         7: (subjects(made, states.select("name")).withColumn("value", json("name", "n", "cs")).withColumn("k", -F.col("n")), ["k", "first_seen"]),
         9: (res_all_rows(res).withColumn("value", files.optional(F.struct(*lean), F.struct("am", "y", "n", "a"))), ["pos"]),
     }
-    sections: list = ['window.DATA = {"meta":' + head + ',"res":[', None, '],"countries":[', None, '],"votes":{', None, '},"subjects":[', None, '],"resAll":[', None, "]};"]
+    sections: list = [
+        'window.DATA = {"meta":' + head + ',"res":[',
+        None,
+        '],"countries":[',
+        None,
+        '],"votes":{',
+        None,
+        '},"subjects":[',
+        None,
+        '],"resAll":[',
+        None,
+        "]};",
+    ]
     for k, (df, order) in listed.items():
         kind = F.col("kind") if "kind" in df.columns else F.lit(parts.ITEM).alias("kind")
         sections[k] = parts.write_section(df.select(kind, "value", *order), order, folder, k, ranges)

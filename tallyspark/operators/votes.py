@@ -15,7 +15,13 @@ VALID = bits.VALID
 
 def one_vote(votes: DataFrame) -> DataFrame:
     """One valid vote for each state and resolution: the least code of several."""
-    return votes.where(F.col("code").isin(*VALID)).groupBy("record_id", "state").agg(F.min("grp").alias("grp"), F.min("code").alias("code"), F.min("year").alias("year"), F.min("month").alias("month"), F.min("subject").alias("subject"))
+    return votes.where(F.col("code").isin(*VALID)).groupBy("record_id", "state").agg(
+        F.min("grp").alias("grp"),
+        F.min("code").alias("code"),
+        F.min("year").alias("year"),
+        F.min("month").alias("month"),
+        F.min("subject").alias("subject"),
+    )
 
 
 def agreement_pairs(votes: DataFrame) -> DataFrame:
@@ -58,7 +64,12 @@ def alignment_map(pairs: DataFrame, anchor_x: str, anchor_y: str, least: int = 1
     """Every other state by its agreement with two anchors, and the votes it shares with both."""
     of = both_ways(pairs).where(F.col("state_b").isin(anchor_x, anchor_y) & ~F.col("state_a").isin(anchor_x, anchor_y))
     x, y = (F.max(F.when(F.col("state_b") == a, F.col("agreement_pct"))) for a in (anchor_x, anchor_y))
-    return of.groupBy(F.col("state_a").alias("state")).agg(x.alias("x"), y.alias("y"), F.min("shared").alias("shared_votes"), F.count("*").alias("k")).where((F.col("k") == 2) & (F.col("shared_votes") >= least)).drop("k")
+    return of.groupBy(F.col("state_a").alias("state")).agg(
+        x.alias("x"),
+        y.alias("y"),
+        F.min("shared").alias("shared_votes"),
+        F.count("*").alias("k"),
+    ).where((F.col("k") == 2) & (F.col("shared_votes") >= least)).drop("k")
 
 
 def _tally(*keys: str):
@@ -79,12 +90,22 @@ def outvoted(one: DataFrame) -> DataFrame:
     side = F.when((F.col("y") == top), "Y").when(F.col("n") == top, "N").otherwise("A")
     ties = (F.col("y") == top).cast("int") + (F.col("n") == top).cast("int") + (F.col("a") == top).cast("int")
     won = t.where(ties == 1).select("record_id", side.alias("won"))
-    return one.join(won, "record_id").groupBy("state").agg(F.round(F.count_if(F.col("code") != F.col("won")) * F.lit(100.0) / F.count("*"), 4).alias("minority_side_pct"), F.count("*").alias("votes"))
+    return one.join(won, "record_id").groupBy("state").agg(
+        F.round(F.count_if(F.col("code") != F.col("won")) * F.lit(100.0) / F.count("*"), 4).alias("minority_side_pct"),
+        F.count("*").alias("votes"),
+    )
 
 
 def composition(one: DataFrame) -> DataFrame:
     t = _tally("state", "year")(one)
-    return t.select("state", "year", F.col("y").alias("yes"), F.col("n").alias("no"), F.col("a").alias("abstain"), F.round(F.col("y") * F.lit(100.0) / (F.col("y") + F.col("n") + F.col("a")), 4).alias("yes_pct"))
+    return t.select(
+        "state",
+        "year",
+        F.col("y").alias("yes"),
+        F.col("n").alias("no"),
+        F.col("a").alias("abstain"),
+        F.round(F.col("y") * F.lit(100.0) / (F.col("y") + F.col("n") + F.col("a")), 4).alias("yes_pct"),
+    )
 
 
 def membership_gaps(one: DataFrame, period: str) -> DataFrame:
@@ -97,14 +118,25 @@ def membership_gaps(one: DataFrame, period: str) -> DataFrame:
 def by_topic(one: DataFrame, by: str) -> DataFrame:
     """Shares of yes, no and abstain by subject and state or group."""
     t = _tally("subject", by)(one).withColumn("all", F.col("y") + F.col("n") + F.col("a"))
-    return t.select("subject", by, *[F.round(F.col(c) * F.lit(100.0) / F.col("all"), 4).alias(f"{name}_pct") for c, name in (("y", "yes"), ("n", "no"), ("a", "abstain"))], F.col("all").alias("votes"))
+    return t.select(
+        "subject",
+        by,
+        *[F.round(F.col(c) * F.lit(100.0) / F.col("all"), 4).alias(f"{name}_pct") for c, name in (("y", "yes"), ("n", "no"), ("a", "abstain"))],
+        F.col("all").alias("votes"),
+    )
 
 
 def tally(votes: DataFrame) -> DataFrame:
     """Votes by code for each resolution; rows without a state don't count."""
     known = votes.where(F.coalesce(F.col("state"), F.lit("")) != "")
     code = F.col("code")
-    return known.groupBy("record_id").agg(F.count_if(code == "Y").alias("y"), F.count_if(code == "N").alias("n"), F.count_if(code == "A").alias("a"), F.count_if(code == ".").alias("absent"), F.count_if(~code.isin("Y", "N", "A", ".")).alias("blank"))
+    return known.groupBy("record_id").agg(
+        F.count_if(code == "Y").alias("y"),
+        F.count_if(code == "N").alias("n"),
+        F.count_if(code == "A").alias("a"),
+        F.count_if(code == ".").alias("absent"),
+        F.count_if(~code.isin("Y", "N", "A", ".")).alias("blank"),
+    )
 
 
 def reconciliation(votes: DataFrame, totals: DataFrame) -> DataFrame:
@@ -119,7 +151,13 @@ def reconciliation(votes: DataFrame, totals: DataFrame) -> DataFrame:
 def state_statistics(votes: DataFrame) -> DataFrame:
     code = F.col("code")
     kinds = {"yes": code == "Y", "no": code == "N", "abstain": code == "A", "absent": code == ".", "blank": ~code.isin("Y", "N", "A", ".")}
-    return votes.groupBy("state").agg(F.min("grp").alias("grp"), F.count("*").alias("n"), *[F.count_if(c).alias(n) for n, c in kinds.items()], F.min("year").cast("long").alias("first"), F.max("year").cast("long").alias("last"))
+    return votes.groupBy("state").agg(
+        F.min("grp").alias("grp"),
+        F.count("*").alias("n"),
+        *[F.count_if(c).alias(n) for n, c in kinds.items()],
+        F.min("year").cast("long").alias("first"),
+        F.max("year").cast("long").alias("last"),
+    )
 
 
 def latest_name(votes: DataFrame, name: str, order: list[str]) -> DataFrame:
@@ -159,7 +197,10 @@ def dense_index(recorded: DataFrame, order: str = "record_id") -> DataFrame:
 
 def rollcall(votes: DataFrame, record_id) -> DataFrame:
     """One roll-call: the states under each code."""
-    return votes.where(F.col("record_id") == record_id).groupBy("code").agg(F.count("*").alias("n"), F.array_join(F.sort_array(F.collect_set("state")), ",").alias("states"))
+    return votes.where(F.col("record_id") == record_id).groupBy("code").agg(
+        F.count("*").alias("n"),
+        F.array_join(F.sort_array(F.collect_set("state")), ",").alias("states"),
+    )
 
 
 def vote_table(votes: DataFrame, state: str, by: str = "year", descending: bool = True) -> DataFrame:
@@ -177,7 +218,12 @@ def ranked(rows: DataFrame, by: str, *ties: str, descending: bool = True) -> Dat
 def topic_trend_by(one: DataFrame, subject: str, by: str) -> DataFrame:
     """Share of yes among a subject's votes, by year and state or group."""
     t = _tally("year", by)(one.where(F.col("subject") == subject))
-    return t.select("year", by, F.round(F.col("y") * F.lit(100.0) / (F.col("y") + F.col("n") + F.col("a")), 4).alias("yes_pct"), (F.col("y") + F.col("n") + F.col("a")).alias("votes"))
+    return t.select(
+        "year",
+        by,
+        F.round(F.col("y") * F.lit(100.0) / (F.col("y") + F.col("n") + F.col("a")), 4).alias("yes_pct"),
+        (F.col("y") + F.col("n") + F.col("a")).alias("votes"),
+    )
 
 
 def most_active(votes: DataFrame, k: int) -> DataFrame:

@@ -20,24 +20,51 @@ def resolutions(spark: SparkSession, sf_dir: str, totals: bool = True) -> DataFr
     o = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
     vt = F.when(F.col("o_orderstatus") == "F", "V").when(F.col("o_orderstatus") == "O", "C").otherwise("WD")
     subject = F.concat("o_orderpriority", F.lit(" "), "c_mktsegment")
-    res = o.select(F.col("o_orderkey").alias("record_id"), year.alias("year"), (year * 12 + F.month("o_orderdate")).alias("month"), F.when(year < 2000, "CHR").otherwise("HRC").alias("body"), vt.alias("vt"), subject.alias("subject"), (F.col("o_orderkey") % 4 == 0).alias("am"), F.concat(F.lit("Order of "), F.lower("c_mktsegment"), F.lit(" no. "), F.col("o_orderkey").cast("string")).alias("title"))
+    res = o.select(
+        F.col("o_orderkey").alias("record_id"),
+        year.alias("year"),
+        (year * 12 + F.month("o_orderdate")).alias("month"),
+        F.when(year < 2000, "CHR").otherwise("HRC").alias("body"),
+        vt.alias("vt"),
+        subject.alias("subject"),
+        (F.col("o_orderkey") % 4 == 0).alias("am"),
+        F.concat(F.lit("Order of "), F.lower("c_mktsegment"), F.lit(" no. "), F.col("o_orderkey").cast("string")).alias("title"),
+    )
     if not totals:
         return res
     flag = F.col("l_returnflag")
-    t = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("record_id")).agg(F.count_if(flag == "R").alias("yes"), F.count_if(flag == "N").alias("no"), F.count_if(flag == "A").alias("abstain"), F.count("*").alias("n"))
+    t = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("record_id")).agg(
+        F.count_if(flag == "R").alias("yes"),
+        F.count_if(flag == "N").alias("no"),
+        F.count_if(flag == "A").alias("abstain"),
+        F.count("*").alias("n"),
+    )
     recorded = F.col("vt") == "V"
     out = res.join(t, "record_id", "left")
-    return out.select(*res.columns, *[F.when(recorded, F.col(c)).alias(c) for c in ("yes", "no", "abstain")], F.coalesce(F.when(recorded, F.col("n")), F.lit(0)).alias("n_rollcall"))
+    return out.select(
+        *res.columns,
+        *[F.when(recorded, F.col(c)).alias(c) for c in ("yes", "no", "abstain")],
+        F.coalesce(F.when(recorded, F.col("n")), F.lit(0)).alias("n_rollcall"),
+    )
 
 
 def states(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "supplier").join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-    return s.join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select("s_suppkey", F.col("n_name").alias("state"), F.col("r_name").alias("grp"))
+    return s.join(
+        table(spark, sf_dir, "region"),
+        F.col("n_regionkey") == F.col("r_regionkey"),
+    ).select("s_suppkey", F.col("n_name").alias("state"), F.col("r_name").alias("grp"))
 
 
 def votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     res = resolutions(spark, sf_dir, False).where("vt = 'V'").select("record_id", "year", "month", "subject", "am")
-    lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("record_id"), "l_suppkey", F.col("l_linenumber").alias("pos"), F.col("l_partkey").alias("part"), _code().alias("code"))
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("record_id"),
+        "l_suppkey",
+        F.col("l_linenumber").alias("pos"),
+        F.col("l_partkey").alias("part"),
+        _code().alias("code"),
+    )
     return lines.join(res, "record_id").join(states(spark, sf_dir), F.col("l_suppkey") == F.col("s_suppkey")).drop("l_suppkey", "s_suppkey")
 
 
@@ -62,7 +89,14 @@ def votes_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     v, line = votes(spark, sf_dir), F.col("pos")
     code = F.when(line % 6 == 0, "").otherwise(F.col("state"))
     order = F.col("record_id") * 100_000_000 + line * 1_000_000 + F.col("part")
-    return v.select(F.col("record_id").cast("string").alias("record_id"), code.alias("iso3"), F.concat(F.col("grp"), F.lit(" of "), F.col("state")).alias("country"), F.col("code").alias("vote"), F.col("year").cast("string").alias("year"), order.alias("pos"))
+    return v.select(
+        F.col("record_id").cast("string").alias("record_id"),
+        code.alias("iso3"),
+        F.concat(F.col("grp"), F.lit(" of "), F.col("state")).alias("country"),
+        F.col("code").alias("vote"),
+        F.col("year").cast("string").alias("year"),
+        order.alias("pos"),
+    )
 
 
 #: The same views for the SQL versions.

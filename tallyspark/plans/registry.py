@@ -200,7 +200,8 @@ def topic_slope(s, d):
     return C.topic_slope(_res(s, d))
 
 
-_SHARES = "round(count(*) FILTER (WHERE code = 'Y') * 100.0::DOUBLE / count(*), 4) AS yes_pct, round(count(*) FILTER (WHERE code = 'N') * 100.0::DOUBLE / count(*), 4) AS no_pct, round(count(*) FILTER (WHERE code = 'A') * 100.0::DOUBLE / count(*), 4) AS abstain_pct, count(*) AS votes"
+_SHARE = "round(count(*) FILTER (WHERE code = '{}') * 100.0::DOUBLE / count(*), 4) AS {}_pct"
+_SHARES = ", ".join(_SHARE.format(c, name) for c, name in (("Y", "yes"), ("N", "no"), ("A", "abstain"))) + ", count(*) AS votes"
 
 
 @_query(f"SELECT subject, state, {_SHARES} FROM one GROUP BY 1, 2")
@@ -451,7 +452,10 @@ def rollcall_detail(s, d):
 
 @_query("SELECT record_id, year, title, code FROM votes JOIN (SELECT record_id, title FROM res0) USING (record_id) WHERE state = 'NATION_3'")
 def state_resolutions(s, d):
-    return P.votes(s, d).where("state = 'NATION_3'").join(P.resolutions(s, d, False).select("record_id", "title"), "record_id").select("record_id", "year", "title", "code")
+    return P.votes(s, d).where("state = 'NATION_3'").join(
+        P.resolutions(s, d, False).select("record_id", "title"),
+        "record_id",
+    ).select("record_id", "year", "title", "code")
 
 
 @_query("SELECT state, count(*) AS n FROM votes GROUP BY 1 ORDER BY n DESC, state LIMIT 10")
@@ -572,7 +576,19 @@ def marc_roundtrip(s, d):
     vote = one("967", ("b", F.col("state")), ("d", F.col("code")))
     rolls = P.votes(s, d).groupBy("record_id").agg(F.array_join(F.collect_list(vote), "").alias("rolls"))
     date = F.concat(F.col("year").cast("string"), F.lit("0"), (F.col("month") % 9 + 1).cast("string"), F.lit("15"))
-    text = F.concat(F.lit(_XML[0]), F.col("record_id").cast("string"), F.lit(_XML[1]), "title", F.lit(_XML[2]), date, F.lit(_XML[3]), "subject", F.lit(_XML[4]), "rolls", F.lit(_XML[5]))
+    text = F.concat(
+        F.lit(_XML[0]),
+        F.col("record_id").cast("string"),
+        F.lit(_XML[1]),
+        "title",
+        F.lit(_XML[2]),
+        date,
+        F.lit(_XML[3]),
+        "subject",
+        F.lit(_XML[4]),
+        "rolls",
+        F.lit(_XML[5]),
+    )
     made = P.resolutions(s, d, False).join(rolls, "record_id").select(text.alias("xml"))
     parsed = marc.parse(marc.from_text(made, "xml", F.lit("made"), F.lit(0)))
     yes = F.size(F.filter("rollcall", lambda v: v["d"] == "Y")).cast("long")
@@ -597,7 +613,15 @@ def scalar_rules(s, d):
     title = F.concat("title", F.when(key % 4 == 0, F.lit(" : draft resolution / adopted by")).when(key % 5 == 0, F.lit(" : amendment / x")).otherwise(F.lit("")))
     draft = F.when(key % 5 == 0, F.lit(" Amendment to")).otherwise(F.lit(""))
     kind = F.when(key % 3 == 0, "ADOPTED WITHOUT VOTE").when(key % 3 == 1, "RECORDED").otherwise("else")
-    return res.select("record_id", R.trim_title(title).alias("trimmed"), R.is_amendment(title, draft).alias("amendment"), R.mode_code(kind).alias("mode"), R.decade(F.col("year")).alias("decade"), R.title_case(F.col("title")).alias("cased"), R.clean_item(F.when(key % 2 == 0, F.concat("subject", F.lit(" -- "))).otherwise(F.lit(""))).alias("item"))
+    return res.select(
+        "record_id",
+        R.trim_title(title).alias("trimmed"),
+        R.is_amendment(title, draft).alias("amendment"),
+        R.mode_code(kind).alias("mode"),
+        R.decade(F.col("year")).alias("decade"),
+        R.title_case(F.col("title")).alias("cased"),
+        R.clean_item(F.when(key % 2 == 0, F.concat("subject", F.lit(" -- "))).otherwise(F.lit(""))).alias("item"),
+    )
 
 
 @_query("SELECT record_id FROM res0 WHERE year BETWEEN 1993 AND 1998 AND record_id % 2 = 0 OR record_id % 2 = 1 AND record_id % 20 <= 11")
@@ -611,7 +635,11 @@ def mirror_scope(s, d):
 @_query("SELECT CAST(record_id AS VARCHAR) AS symbol FROM res0 WHERE NOT (record_id % 3 = 0 AND record_id % 9 <> 0)")
 def still_to_do(s, d):
     res = P.resolutions(s, d, False).select(F.col("record_id").cast("string").alias("symbol"), "record_id")
-    log = res.where("record_id % 3 = 0").select("symbol", F.when(F.col("record_id") % 9 == 0, "error:TimeoutError").otherwise("ok").alias("status"), F.lit("").alias("file"))
+    log = res.where("record_id % 3 = 0").select(
+        "symbol",
+        F.when(F.col("record_id") % 9 == 0, "error:TimeoutError").otherwise("ok").alias("status"),
+        F.lit("").alias("file"),
+    )
     return ingest.still_to_do(res, log).select("symbol")
 
 
@@ -630,7 +658,11 @@ FROM (SELECT record_id,
 FROM votes)
 """)
 def harvest_coverage(s, d):
-    return P.votes(s, d).select("record_id", F.when(F.col("record_id") % 11 != 0, F.col("year")).alias("year")).agg(F.count("*").alias("total"), F.countDistinct("record_id").alias("ids"), F.count_if(F.col("year").isNull()).alias("undated"))
+    return P.votes(s, d).select("record_id", F.when(F.col("record_id") % 11 != 0, F.col("year")).alias("year")).agg(
+        F.count("*").alias("total"),
+        F.countDistinct("record_id").alias("ids"),
+        F.count_if(F.col("year").isNull()).alias("undated"),
+    )
 
 
 _ROB = "[" + ", ".join(map(str, geo.LENGTH)) + "]::DOUBLE[]", "[" + ", ".join(map(str, geo.DISTANCE)) + "]::DOUBLE[]"
@@ -649,7 +681,11 @@ FROM (SELECT event_id,
 FROM events)))
 """, prelude=False)
 def robinson_points(s, d):
-    e = P.table(s, d, "events").select("event_id", (F.col("event_id") % 361 - 180).cast("double").alias("lon"), (F.col("event_id") % 181 - 90).cast("double").alias("lat"))
+    e = P.table(s, d, "events").select(
+        "event_id",
+        (F.col("event_id") % 361 - 180).cast("double").alias("lon"),
+        (F.col("event_id") % 181 - 90).cast("double").alias("lat"),
+    )
     x, y = geo.project(F.col("lon"), F.col("lat"))
     return e.select("event_id", F.round(x, 6).alias("x"), F.round(y, 6).alias("y"))
 
@@ -852,10 +888,28 @@ FROM c
 def payload_meta(s, d):
     rows = PL.recorded(P.catalogue(s, d))
     c = "meta.coverage."
-    return PL.meta(P.catalogue(s, d), PL.vote_rows(P.votes_long(s, d), rows), rows, {"A": "a"}).selectExpr("meta.nResolutions n_resolutions", "meta.nCountries n_countries", "meta.yearMin year_min", "meta.yearMax year_max", f"{c}totalResolutions total", f"{c}bodyAll['HRC'] hrc", f"{c}totalsNoRollcall totals", f"{c}neitherTotalsNorRollcall neither", f"{c}nSubjectsAll subjects", f"{c}nSubjectsRecorded subjects_recorded", f"{c}reconciled", f"{c}mismatched", f"cast(size({c}decades) as long) n_decades")
-
-
-_PAYLOAD = "meta struct<nResolutions long, nCountries long>, res array<struct<id string, y int, am int>>, countries array<struct<iso3 string, n long, first int>>, votes map<string, struct<r array<long>, v string>>, subjects array<struct<name string, n long>>, resAll array<struct<id string, y int>>"
+    return PL.meta(P.catalogue(s, d), PL.vote_rows(P.votes_long(s, d), rows), rows, {"A": "a"}).selectExpr(
+        "meta.nResolutions n_resolutions",
+        "meta.nCountries n_countries",
+        "meta.yearMin year_min",
+        "meta.yearMax year_max",
+        f"{c}totalResolutions total",
+        f"{c}bodyAll['HRC'] hrc",
+        f"{c}totalsNoRollcall totals",
+        f"{c}neitherTotalsNorRollcall neither",
+        f"{c}nSubjectsAll subjects",
+        f"{c}nSubjectsRecorded subjects_recorded",
+        f"{c}reconciled",
+        f"{c}mismatched",
+        f"cast(size({c}decades) as long) n_decades",
+    )
+
+
+_PAYLOAD = (
+    "meta struct<nResolutions long, nCountries long>, res array<struct<id string, y int, am int>>, "
+    "countries array<struct<iso3 string, n long, first int>>, votes map<string, struct<r array<long>, v string>>, "
+    "subjects array<struct<name string, n long>>, resAll array<struct<id string, y int>>"
+)
 
 
 @_query("""
@@ -881,7 +935,17 @@ def payload_file(s, d):
     data = files.read_payload(s, f"{at}/whole", "DATA", _PAYLOAD).select("data.*")
     total = lambda a, f: F.aggregate(a, F.lit(0).cast("long"), lambda acc, x: acc + f(x))
     size = lambda c: F.size(c).cast("long")
-    return data.select(size("res").alias("n_res"), size("resAll").alias("n_all"), size("countries").alias("n_countries"), size("subjects").alias("n_subjects"), total("res", lambda x: F.coalesce(x["y"], F.lit(0))).alias("y"), total("res", lambda x: F.coalesce(x["am"], F.lit(0))).alias("n_am"), total(F.map_values("votes"), lambda x: F.length(x["v"])).alias("n_votes"), F.col("res")[0]["id"].alias("first_id"), F.col("subjects")[0]["name"].alias("top_subject"))
+    return data.select(
+        size("res").alias("n_res"),
+        size("resAll").alias("n_all"),
+        size("countries").alias("n_countries"),
+        size("subjects").alias("n_subjects"),
+        total("res", lambda x: F.coalesce(x["y"], F.lit(0))).alias("y"),
+        total("res", lambda x: F.coalesce(x["am"], F.lit(0))).alias("n_am"),
+        total(F.map_values("votes"), lambda x: F.length(x["v"])).alias("n_votes"),
+        F.col("res")[0]["id"].alias("first_id"),
+        F.col("subjects")[0]["name"].alias("top_subject"),
+    )
 
 
 def _features(s: SparkSession, d: str) -> DataFrame:
@@ -911,7 +975,20 @@ def _plane(lon: str, lat: str) -> str:
     return f"SELECT *, {x} AS x, {y} AS y FROM (SELECT *, (abs(lat) - i * 5) / 5 AS f, {_ROB[0]} AS ll, {_ROB[1]} AS dd FROM (SELECT *, CAST(least(floor(abs(lat) / 5), 17) AS INT) AS i FROM (SELECT *, {lon} AS lon, {lat} AS lat FROM {{}})))"
 
 
-_SHAPES = ", shp AS (SELECT n_name AS iso3, n_name AS name, 'M' || string_agg(CAST(x AS VARCHAR) || ' ' || CAST(y AS VARCHAR), 'L' ORDER BY k) || 'Z' AS path FROM (" + _plane("n_nationkey * 7 - 87.3::DOUBLE + 9 * dx", "n_nationkey * 3 - 41.7::DOUBLE + 9 * dy").format("(SELECT * FROM nation, (VALUES (0, 0, 0), (1, 1, 0), (2, 1, 1), (3, 0, 0)) c(k, dx, dy) WHERE n_nationkey % 5 <> 0 AND n_nationkey NOT IN (7, 8))") + ") GROUP BY 1), dot AS (SELECT n_name AS iso3, name, x, y FROM (" + _plane("n_nationkey * 7 - 87.3::DOUBLE", "n_nationkey * 3 - 41.7::DOUBLE").format("(SELECT nation.*, v.name FROM nation JOIN (SELECT DISTINCT state, grp || '/' || state AS name FROM states) v ON n_name = state WHERE n_nationkey % 10 = 0)") + "))"
+_CORNERS = _plane("n_nationkey * 7 - 87.3::DOUBLE + 9 * dx", "n_nationkey * 3 - 41.7::DOUBLE + 9 * dy").format(
+    "(SELECT * FROM nation, (VALUES (0, 0, 0), (1, 1, 0), (2, 1, 1), (3, 0, 0)) c(k, dx, dy) WHERE n_nationkey % 5 <> 0 AND n_nationkey NOT IN (7, 8))"
+)
+_PLACES = _plane("n_nationkey * 7 - 87.3::DOUBLE", "n_nationkey * 3 - 41.7::DOUBLE").format(
+    "(SELECT nation.*, v.name FROM nation JOIN (SELECT DISTINCT state, grp || '/' || state AS name FROM states) v ON n_name = state WHERE n_nationkey % 10 = 0)"
+)
+_SHAPES = f""", shp AS (SELECT n_name AS iso3, n_name AS name, 'M' || string_agg(CAST(x AS VARCHAR) || ' ' || CAST(y AS VARCHAR), 'L' ORDER BY k) || 'Z' AS path
+FROM ({_CORNERS})
+GROUP BY 1),
+dot AS (SELECT n_name AS iso3, name, x, y
+FROM ({_PLACES}))"""
+    "n_nationkey * 7 - 87.3::DOUBLE + 9 * dx",
+    "n_nationkey * 3 - 41.7::DOUBLE + 9 * dy",
+).format("(SELECT * FROM nation, (VALUES (0, 0, 0), (1, 1, 0), (2, 1, 1), (3, 0, 0)) c(k, dx, dy) WHERE n_nationkey % 5 <> 0 AND n_nationkey NOT IN (7, 8))") + ") GROUP BY 1), dot AS (SELECT n_name AS iso3, name, x, y FROM (" + _plane("n_nationkey * 7 - 87.3::DOUBLE", "n_nationkey * 3 - 41.7::DOUBLE").format("(SELECT nation.*, v.name FROM nation JOIN (SELECT DISTINCT state, grp || '/' || state AS name FROM states) v ON n_name = state WHERE n_nationkey % 10 = 0)") + "))"
 
 
 @_query(_SHAPES + " SELECT * FROM shp")
@@ -960,8 +1037,18 @@ def map_file(s, d):
     drawn = geo.shapes(_features(s, d))
     at = workspace(s, "map")
     geo.world(drawn, geo.dots(_points(s, d), _voters(s, d), drawn)).select(files.payload(F.col("world"), "WORLD").alias("value")).coalesce(1).write.text(at)
-    data = files.read_payload(s, f"{at}/part-*", "WORLD", "W int, H int, paths map<string, string>, dots map<string, array<double>>, names map<string, string>").select("data.*")
-    return data.select(F.size("paths").cast("long").alias("shapes"), F.size("dots").cast("long").alias("dots"), F.aggregate(F.map_values("paths"), F.lit(0).cast("long"), lambda a, x: a + F.length(x)).alias("path_letters"), F.round(F.aggregate(F.map_values("dots"), F.lit(0.0), lambda a, x: a + x[0] + x[1]), 1).alias("dot_sum"))
+    data = files.read_payload(
+        s,
+        f"{at}/part-*",
+        "WORLD",
+        "W int, H int, paths map<string, string>, dots map<string, array<double>>, names map<string, string>",
+    ).select("data.*")
+    return data.select(
+        F.size("paths").cast("long").alias("shapes"),
+        F.size("dots").cast("long").alias("dots"),
+        F.aggregate(F.map_values("paths"), F.lit(0).cast("long"), lambda a, x: a + F.length(x)).alias("path_letters"),
+        F.round(F.aggregate(F.map_values("dots"), F.lit(0.0), lambda a, x: a + x[0] + x[1]), 1).alias("dot_sum"),
+    )
 
 
 _PAGES = "SELECT record_id FROM res0 WHERE record_id % 8 < 5"
@@ -992,7 +1079,11 @@ FROM und))) AS missed
 """)
 def harvest_sets(s, d):
     votes = P.votes(s, d).select("record_id")
-    return ingest.harvest_summary(votes.where("record_id % 11 <> 0"), votes.where("record_id % 11 = 0 and record_id % 2 = 0"), P.resolutions(s, d, False).where("record_id % 8 < 5"))
+    return ingest.harvest_summary(
+        votes.where("record_id % 11 <> 0"),
+        votes.where("record_id % 11 = 0 and record_id % 2 = 0"),
+        P.resolutions(s, d, False).where("record_id % 8 < 5"),
+    )
 
 
 @_query("SELECT record_id FROM cat WHERE NOT regexp_matches(year, '^[0-9]{4}$')")
@@ -1048,10 +1139,21 @@ def _records(s: SparkSession, d: str, parts: int) -> DataFrame:
     one = lambda tag, *subs: F.concat(F.lit(f'<datafield tag="{tag}">'), *[x for code, c in subs for x in (F.lit(f'<subfield code="{code}">'), c, F.lit("</subfield>"))], F.lit("</datafield>"))
     code = F.when((F.col("code") == "Y") & (F.col("pos") % 2 == 0), "y").otherwise(F.col("code"))
     state = F.when(F.col("pos") % 3 == 0, F.concat(F.lit("VEN$e"), "state")).otherwise(F.substring("state", 1, 3))
-    vote = F.struct("pos", "part", one("967", ("a", F.col("pos").cast("string")), ("b", state), ("d", code), ("e", F.when(F.col("pos") % 3 == 0, "").otherwise(F.col("grp")))).alias("x"))
+    vote = F.struct(
+        "pos",
+        "part",
+        one("967", ("a", F.col("pos").cast("string")), ("b", state), ("d", code), ("e", F.when(F.col("pos") % 3 == 0, "").otherwise(F.col("grp")))).alias("x"),
+    )
     rolls = P.votes(s, d).groupBy("record_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(vote)), lambda v: v["x"]), "").alias("rolls"))
     key = F.col("record_id").cast("string")
-    fields = [one("245", ("a", F.col("title")), ("b", F.lit("b"))), one("269", ("a", F.concat(F.col("year").cast("string"), F.lit("0215")))), one("500", ("a", F.concat(F.lit("Main sponsors: "), "subject"))), one("856", ("u", F.concat(F.lit("d/"), key)), ("y", F.lit("Draft resolution"))), one("856", ("u", F.concat(F.lit("r/"), key)), ("y", F.lit("Resolution"))), one("996", ("b", F.lit("3")))]
+    fields = [
+        one("245", ("a", F.col("title")), ("b", F.lit("b"))),
+        one("269", ("a", F.concat(F.col("year").cast("string"), F.lit("0215")))),
+        one("500", ("a", F.concat(F.lit("Main sponsors: "), "subject"))),
+        one("856", ("u", F.concat(F.lit("d/"), key)), ("y", F.lit("Draft resolution"))),
+        one("856", ("u", F.concat(F.lit("r/"), key)), ("y", F.lit("Resolution"))),
+        one("996", ("b", F.lit("3"))),
+    ]
     text = F.concat(F.lit("<record>"), F.concat(F.lit('<controlfield tag="001"> '), key, F.lit("</controlfield>")), *fields, "rolls", F.lit("</record>"))
     made = P.resolutions(s, d, False).join(rolls, "record_id").select("record_id", text.alias("xml")).repartition(parts, "record_id")
     return marc.from_text(made, "xml", F.lit("made"), F.lit(0))
@@ -1103,7 +1205,22 @@ def ingested_twice(s, d):
 @_query("SELECT record_id, symbol, title, draft, date, year, body, vote_type, agenda_subject, agenda_item_title, yes, no, abstain, n_rollcall FROM cat")
 def csv_files(s, d):
     """The catalogue as CSV and back."""
-    at, rows = workspace(s, "csv"), P.catalogue(s, d).select("record_id", "symbol", "title", "draft", "date", "year", "body", "vote_type", "agenda_subject", "agenda_item_title", "yes", "no", "abstain", "n_rollcall")
+    at, rows = workspace(s, "csv"), P.catalogue(s, d).select(
+        "record_id",
+        "symbol",
+        "title",
+        "draft",
+        "date",
+        "year",
+        "body",
+        "vote_type",
+        "agenda_subject",
+        "agenda_item_title",
+        "yes",
+        "no",
+        "abstain",
+        "n_rollcall",
+    )
     files.write_csv(rows, at, "record_id")
     return files.read_csv(s, at, rows.schema)
 
@@ -1128,7 +1245,14 @@ def exported_composition(s, d):
 def geojson_shapes(s, d):
     """The map's features written as GeoJSON, read back and drawn."""
     at = workspace(s, "geojson")
-    feature = F.struct("id", F.struct("name").alias("properties"), F.struct(F.when(F.col("pos") % 2 == 0, "MultiPolygon").otherwise("Polygon").alias("type"), F.when(F.col("pos") % 2 == 0, F.to_json("polygons")).otherwise(F.to_json(F.col("polygons")[0])).alias("coordinates")).alias("geometry"))
+    feature = F.struct(
+        "id",
+        F.struct("name").alias("properties"),
+        F.struct(
+            F.when(F.col("pos") % 2 == 0, "MultiPolygon").otherwise("Polygon").alias("type"),
+            F.when(F.col("pos") % 2 == 0, F.to_json("polygons")).otherwise(F.to_json(F.col("polygons")[0])).alias("coordinates"),
+        ).alias("geometry"),
+    )
     rows = _features(s, d).select("pos", F.regexp_replace(F.replace(F.to_json(feature), F.lit('\\"'), F.lit('"')), r'"(\[.*\])"', "$1").alias("f"))
     text = rows.agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pos", "f"))), lambda x: x["f"]), ",").alias("f")).select(F.concat(F.lit('{"type":"FeatureCollection","features":['), "f", F.lit("]}")).alias("value"))
     text.coalesce(1).write.text(at)
@@ -1145,7 +1269,11 @@ def mirror_log(s, d):
     """What became of documents, appended to a log in two turns."""
     at = workspace(s, "mirrorlog")
     key = F.col("record_id")
-    rows = P.resolutions(s, d, False).where("record_id % 3 <> 0").select(key.cast("string").alias("symbol"), ingest.outcome(key % 11 * 100, F.when(key % 7 == 0, "").otherwise("link")).alias("status"), F.lit("f").alias("file"))
+    rows = P.resolutions(s, d, False).where("record_id % 3 <> 0").select(
+        key.cast("string").alias("symbol"),
+        ingest.outcome(key % 11 * 100, F.when(key % 7 == 0, "").otherwise("link")).alias("status"),
+        F.lit("f").alias("file"),
+    )
     for turn in (1, 2):
         ingest.append_log(rows.where(F.col("symbol").cast("long") % 3 == turn), at)
     return s.read.csv(at, schema=ingest.LOG).select("symbol", "status")
@@ -1193,7 +1321,13 @@ def _paged(s: SparkSession, d: str) -> str:
     at, key = workspace(s, "paged"), F.col("record_id").cast("string")
     res = P.resolutions(s, d, False).select("record_id", "subject", F.col("year").cast("string").alias("query"))
     res = res.unionByName(res.where("subject = '1-URGENT MACHINERY'").withColumn("query", F.lit("urgent: x/y")))
-    xml = F.concat(F.lit('<record><controlfield tag="001">'), key, F.lit('</controlfield><datafield tag="991"><subfield code="d">'), "subject", F.lit("</subfield></datafield></record>"))
+    xml = F.concat(
+        F.lit('<record><controlfield tag="001">'),
+        key,
+        F.lit('</controlfield><datafield tag="991"><subfield code="d">'),
+        "subject",
+        F.lit("</subfield></datafield></record>"),
+    )
     place = F.row_number().over(Window.partitionBy("query").orderBy("record_id")) - 1  # a year's records
     pages.write_pages(res.select("query", place.alias("k"), xml.alias("xml")), at).write.format("noop").mode("overwrite").save()
     return at
@@ -1234,7 +1368,11 @@ FROM pages
 def mirrored_documents(s, d):
     """Every page written as a document of its own, logged, and read back byte for byte."""
     at, key = workspace(s, "documents"), F.col("page_id").cast("string")
-    made = P.table(s, d, "pages").select(F.concat(F.lit("A/"), key).alias("symbol"), F.when(F.col("page_id") % 7 != 0, F.concat(F.lit("E/"), key, F.lit(".PDF"))).alias("link"), F.col("html").cast("binary").alias("data"))
+    made = P.table(s, d, "pages").select(
+        F.concat(F.lit("A/"), key).alias("symbol"),
+        F.when(F.col("page_id") % 7 != 0, F.concat(F.lit("E/"), key, F.lit(".PDF"))).alias("link"),
+        F.col("html").cast("binary").alias("data"),
+    )
     log = documents.write_documents(made, at)
     back = documents.read_documents(s, at).select("file", "n_bytes", F.sha2("data", 256).alias("sha256"))
     return log.join(back, "file", "left").select("symbol", "status", "file", "n_bytes", "sha256")
@@ -1262,7 +1400,13 @@ def payload_manifest(s, d):
 
 
 def _chosen(s: SparkSession, d: str) -> exports.Chosen:
-    return exports.Chosen("NATION_1", "1-URGENT MACHINERY", ["NATION_1", "NATION_2", "NATION_3"], ("NATION_1", "NATION_2"), C.middle_year(C.scoped(P.resolutions(s, d, False))))
+    return exports.Chosen(
+        "NATION_1",
+        "1-URGENT MACHINERY",
+        ["NATION_1", "NATION_2", "NATION_3"],
+        ("NATION_1", "NATION_2"),
+        C.middle_year(C.scoped(P.resolutions(s, d, False))),
+    )
 
 
 @_query("""

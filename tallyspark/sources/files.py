@@ -76,5 +76,13 @@ def read_geojson(spark: SparkSession, path: str) -> DataFrame:
     text = spark.read.text(path, wholetext=True)
     each = text.select(F.posexplode(F.from_json("value", f"features array<{feature}>")["features"]).alias("pos", "f"))
     of = F.col("f.geometry.coordinates")
-    polygons = F.when(F.col("f.geometry.type") == "MultiPolygon", F.from_json(of, f"array<array<{point}>>")).when(F.col("f.geometry.type") == "Polygon", F.array(F.from_json(of, f"array<{point}>")))
-    return each.select(F.coalesce(F.nullif("f.id", F.lit("")), F.col("f.properties.id")).alias("id"), F.col("f.properties.name").alias("name"), polygons.alias("polygons"), "pos")
+    polygons = F.when(
+        F.col("f.geometry.type") == "MultiPolygon",
+        F.from_json(of, f"array<array<{point}>>"),
+    ).when(F.col("f.geometry.type") == "Polygon", F.array(F.from_json(of, f"array<{point}>")))
+    return each.select(
+        F.coalesce(F.nullif("f.id", F.lit("")), F.col("f.properties.id")).alias("id"),
+        F.col("f.properties.name").alias("name"),
+        polygons.alias("polygons"),
+        "pos",
+    )

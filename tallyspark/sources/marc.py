@@ -28,7 +28,11 @@ def xml_rows(reader):
 
 def located(rows: DataFrame) -> DataFrame:
     """A reader's rows with the file and the block that each is from."""
-    return rows.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.struct("controlfield", "datafield").alias("record"))
+    return rows.select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.struct("controlfield", "datafield").alias("record"),
+    )
 
 
 def placed(located: DataFrame) -> DataFrame:
@@ -48,7 +52,13 @@ def checked(spark: SparkSession, files: list[str]) -> DataFrame:
     rows = reader.load([unquote(f) for f in files])
     pos = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
     bad = F.col(_DAMAGED).isNotNull()
-    return rows.select(F.col("_metadata.file_path").alias("file"), pos.alias("pos"), F.when(~bad, F.struct("controlfield", "datafield")).alias("record"), bad.alias("damaged"), F.col(_DAMAGED).alias("text"))
+    return rows.select(
+        F.col("_metadata.file_path").alias("file"),
+        pos.alias("pos"),
+        F.when(~bad, F.struct("controlfield", "datafield")).alias("record"),
+        bad.alias("damaged"),
+        F.col(_DAMAGED).alias("text"),
+    )
 
 
 def ends(spark: SparkSession, files: list[str]) -> DataFrame:
@@ -110,7 +120,10 @@ def _of_first(tag: str, code: str) -> Column:
 
 
 def _link(wanted) -> Column:
-    got = F.filter(F.transform(_fields("856"), lambda d: F.struct(F.lower(_value(d, "y")).alias("y"), _value(d, "u").alias("u"))), lambda x: wanted(x["y"]) & (x["u"] != ""))
+    got = F.filter(
+        F.transform(_fields("856"), lambda d: F.struct(F.lower(_value(d, "y")).alias("y"), _value(d, "u").alias("u"))),
+        lambda x: wanted(x["y"]) & (x["u"] != ""),
+    )
     return R.filled(F.get(got, F.lit(0))["u"])
 
 
@@ -136,7 +149,11 @@ def parse(records: DataFrame) -> DataFrame:
         "record_url": F.concat(F.lit(RECORD_URL), "record_id"),
     }
     votes = F.transform(_fields(VOTE), lambda d: F.struct(_value(d, "a").alias("seq"), _value(d, "b").alias("b"), _value(d, "d").alias("d"), _value(d, "e").alias("e")))
-    flat = wide.select("record_id", F.struct("file", "pos").alias("place"), F.struct(*[c.alias(n) for n, c in columns.items()], votes.alias("rollcall"), "file", "pos").alias("row"))
+    flat = wide.select(
+        "record_id",
+        F.struct("file", "pos").alias("place"),
+        F.struct(*[c.alias(n) for n, c in columns.items()], votes.alias("rollcall"), "file", "pos").alias("row"),
+    )
     return flat.groupBy("record_id").agg(F.min_by("row", "place").alias("row")).select("record_id", "row.*")
 
 
@@ -148,7 +165,18 @@ def votes_long(parsed: DataFrame) -> DataFrame:
     """A row for every vote of a roll-call, with its record's columns."""
     rows = parsed.select("record_id", "symbol", "date", "year", "body", "vote_type", F.explode("rollcall").alias("v"))
     code = F.when(F.col("v.d") == "y", "Y").otherwise(F.col("v.d"))
-    return rows.select("record_id", "symbol", "date", "year", "body", "vote_type", F.col("v.seq").alias("seq"), R.repaired_iso(F.col("v.b")).alias("iso3"), R.recovered_name(F.col("v.b"), F.col("v.e")).alias("country"), code.alias("vote"))
+    return rows.select(
+        "record_id",
+        "symbol",
+        "date",
+        "year",
+        "body",
+        "vote_type",
+        F.col("v.seq").alias("seq"),
+        R.repaired_iso(F.col("v.b")).alias("iso3"),
+        R.recovered_name(F.col("v.b"), F.col("v.e")).alias("country"),
+        code.alias("vote"),
+    )
 
 
 def merged(parts: list[DataFrame]) -> DataFrame:

@@ -87,7 +87,11 @@ def records(pages: DataFrame) -> DataFrame:
     """file (the query), pos (page and place in it) and record of every page's records, as marc.read() gives those of files."""
     body = F.regexp_extract_all("xml", F.lit(r"(?s)(<record\b.*?</record>)"), 1)
     each = pages.select(F.col("query").alias("file"), "first", F.posexplode(body).alias("k", "xml"))
-    return each.select("file", F.struct(F.col("first").alias("block"), F.col("k").cast("long").alias("row")).alias("pos"), F.from_xml("xml", RECORD, {"rowTag": "record"}).alias("record"))
+    return each.select(
+        "file",
+        F.struct(F.col("first").alias("block"), F.col("k").cast("long").alias("row")).alias("pos"),
+        F.from_xml("xml", RECORD, {"rowTag": "record"}).alias("record"),
+    )
 
 
 def summary(pages: DataFrame) -> DataFrame:

@@ -72,11 +72,24 @@ def _one_run(spark: SparkSession, files: DataFrame, names: list[str], target: st
     found = rows.groupBy("file").agg(F.count_if("damaged").alias("damaged"), F.count_if(~F.col("damaged")).alias("n_records"))
     reason = F.when(F.col("n_bytes") == 0, "empty").when(F.col("damaged") > 0, "a malformed record").when(F.col("whole").isNull(), "no collection ends")
     tried = files.join(found.withColumnRenamed("file", "path"), "path", "left").join(ends.withColumnRenamed("file", "path"), "path", "left")
-    tried = tried.select("path", "modified", "n_bytes", F.coalesce("n_records", F.lit(0).cast("long")).alias("n_records"), reason.alias("reason"), F.lit(run).cast("long").alias("run"))
+    tried = tried.select(
+        "path",
+        "modified",
+        "n_bytes",
+        F.coalesce("n_records", F.lit(0).cast("long")).alias("n_records"),
+        reason.alias("reason"),
+        F.lit(run).cast("long").alias("run"),
+    )
     tried = materialise(tried, f"{at}/tried")  # FILES rows at most
     own = rows.join(F.broadcast(tried.select(F.col("path").alias("file"), "reason", "run")), "file")
     own.where("reason is null").select("file", "pos", "record", "run").write.mode("overwrite").parquet(f"{target}/records/part={run}")
-    own.where("reason is not null and damaged").select(F.col("file").alias("path"), "reason", "pos", "text", "run").write.mode("overwrite").parquet(f"{target}/aside/part={run}")
+    own.where("reason is not null and damaged").select(
+        F.col("file").alias("path"),
+        "reason",
+        "pos",
+        "text",
+        "run",
+    ).write.mode("overwrite").parquet(f"{target}/aside/part={run}")
     tried.write.mode("overwrite").parquet(f"{target}/ledger/part={run}")
 
 
