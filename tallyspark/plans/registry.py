@@ -986,9 +986,6 @@ FROM ({_CORNERS})
 GROUP BY 1),
 dot AS (SELECT n_name AS iso3, name, x, y
 FROM ({_PLACES}))"""
-    "n_nationkey * 7 - 87.3::DOUBLE + 9 * dx",
-    "n_nationkey * 3 - 41.7::DOUBLE + 9 * dy",
-).format("(SELECT * FROM nation, (VALUES (0, 0, 0), (1, 1, 0), (2, 1, 1), (3, 0, 0)) c(k, dx, dy) WHERE n_nationkey % 5 <> 0 AND n_nationkey NOT IN (7, 8))") + ") GROUP BY 1), dot AS (SELECT n_name AS iso3, name, x, y FROM (" + _plane("n_nationkey * 7 - 87.3::DOUBLE", "n_nationkey * 3 - 41.7::DOUBLE").format("(SELECT nation.*, v.name FROM nation JOIN (SELECT DISTINCT state, grp || '/' || state AS name FROM states) v ON n_name = state WHERE n_nationkey % 10 = 0)") + "))"
 
 
 @_query(_SHAPES + " SELECT * FROM shp")
