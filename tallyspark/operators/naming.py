@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.folders import materialise, workspace
+
 #: A text that holds a name of fewer letters doesn't name it.
 LEAST = 6
 
@@ -21,15 +23,21 @@ def _places(text: Column, size: int) -> Column:
 
 def held(texts: DataFrame, names: DataFrame, least: int = LEAST) -> DataFrame:
     """``texts``: text; ``names``: name. The distinct pairs (text, name) in which a text holds a name of ``least`` letters or
-    more. Nulls on either side are in none; repeated rows count once."""
-    own = names.select("name").where(F.length("name") >= least).distinct()
+    more. Nulls on either side are in none; repeated rows count once.
+
+    A place's row has the text's number and as many letters as the longest name, not the whole text."""
+    at = workspace(texts.sparkSession, "names")
+    own = materialise(names.select("name").where(F.length("name") >= least).distinct(), f"{at}/names")
+    longest = own.agg(F.max(F.length("name"))).first()[0] or 0
     begin = own.select(F.substring("name", 1, least).alias("head"), F.length("name").alias("size")).distinct()
     begin = begin.groupBy("head").agg(F.collect_set("size").alias("sizes"))  # as many as there are lengths of names
-    text = F.col("text")
-    at = texts.select("text").where(text.isNotNull()).distinct().select("text", F.explode(_places(text, least)).alias("at"))
-    at = at.withColumn("head", F.substr(text, F.col("at"), F.lit(least)))
-    could = at.join(begin, "head").select("text", "at", F.explode("sizes").alias("size")).where(F.col("at") + F.col("size") - 1 <= F.length(text))
-    return could.select("text", F.substr(text, F.col("at"), F.col("size")).alias("name")).distinct().join(own, "name").select("text", "name")
+    known = texts.select("text").where(F.length("text") >= least).distinct().withColumn("n", F.monotonically_increasing_id())
+    known = materialise(known, f"{at}/texts")  # written, so the numbers stay
+    letters = F.transform(_places(F.col("text"), least), lambda k: F.substr("text", k, F.lit(longest)))
+    place = known.select("n", F.explode(letters).alias("rest")).withColumn("head", F.substring("rest", 1, least))
+    could = place.join(begin, "head").select("n", "rest", F.explode("sizes").alias("size")).where(F.length("rest") >= F.col("size"))
+    found = could.select("n", F.substr("rest", F.lit(1), F.col("size")).alias("name")).distinct().join(own, "name")
+    return found.join(known, "n").select("text", "name")
 
 
 def naming(texts: DataFrame, names: DataFrame, least: int = LEAST) -> DataFrame:
