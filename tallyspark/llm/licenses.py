@@ -23,6 +23,8 @@ from .shared import only
 SHINGLE, BANDS, CONTAINMENT = 5, 128, 0.8
 #: Templates go to all workers: their bytes at most.
 TEMPLATE_BYTES = 16 << 20
+#: Templates of one width up to which each is compared with every window; beyond, a band's sorted values are searched.
+FEW = 16
 
 #: The names and wordings that licences themselves prescribe.
 TEMPLATES = {
@@ -85,22 +87,46 @@ class Templates:
                 w *= 2
             if n:
                 self.width.setdefault(w, []).append(k)
+        # the band index: of each width and band the templates' values in order, and whose they are
+        self.order = {w: np.argsort(self.values[members], axis=0, kind="stable") for w, members in self.width.items()}
+        self.sorted = {w: np.take_along_axis(self.values[members], self.order[w], axis=0) for w, members in self.width.items()}
+
+    def _search(self, w: int, band: int, window: np.ndarray) -> np.ndarray:
+        """The template's place among its width's and the window, as one number, of every equal value."""
+        order, values, found = self.order[w][:, band], self.sorted[w][:, band], [np.zeros(0, np.int64)]
+        at = np.searchsorted(values, window)
+        here = np.flatnonzero((at < len(values)) & (values[np.minimum(at, len(values) - 1)] == window))
+        at = at[here]
+        while len(here):  # once for each of the templates that share a value
+            found.append(order[at] * len(window) + here)
+            at += 1
+            more = (at < len(values)) & (values[np.minimum(at, len(values) - 1)] == window[here])
+            at, here = at[more], here[more]
+        return np.concatenate(found)
 
     def _retrieve(self, g: np.ndarray) -> dict[int, list[np.ndarray]]:
         """Of each width the windows (numbers along all texts, a new one every half window) and templates that share a band."""
         last = max(self.width, default=8)
         n = -(-len(g) // last) * last
         padded = np.concatenate([g, np.repeat(g[-1:], n - len(g))])  # repeats change no minimum
-        hit = {w: np.zeros((len(members), 2 * n // w), bool) for w, members in self.width.items()}
+        hit = {w: np.zeros((len(members), 2 * n // w), bool) for w, members in self.width.items() if len(members) <= FEW}
+        pairs: dict[int, np.ndarray] = {w: np.zeros(0, np.int64) for w in self.width if w not in hit}
         for band, (a, b) in enumerate(self.seeds):
             half, w = ((padded ^ a) * b).reshape(-1, 4).min(axis=1), 8
             while w <= last:
-                if w in hit:
+                if w in self.width:
                     window = np.minimum(half, np.append(half[1:], half[-1:]))
-                    for row, k in enumerate(self.width[w]):
-                        hit[w][row] |= window == self.values[k, band]
+                    if w in hit:
+                        for row, k in enumerate(self.width[w]):
+                            hit[w][row] |= window == self.values[k, band]
+                    else:
+                        pairs[w] = np.union1d(pairs[w], self._search(w, band, window))
                 half, w = half.reshape(-1, 2).min(axis=1) if w < last else half, 2 * w
-        return {w: [np.flatnonzero(row) for row in rows] for w, rows in hit.items()}
+        out = {w: [np.flatnonzero(row) for row in rows] for w, rows in hit.items()}
+        for w, own in pairs.items():
+            row, window = np.divmod(own, 2 * n // w)
+            out[w] = np.split(window, np.searchsorted(row, np.arange(1, len(self.width[w]))))
+        return {w: out[w] for w in self.width}
 
     def scan(self, data: np.ndarray, off: np.ndarray) -> Iterator[tuple[int, int, float, int, int]]:
         """(text, template, containment, first and last byte of the shared words) of every matching place: retrieved

@@ -423,3 +423,16 @@ def test_op9_one_long_text_doesnt_end_learning(spark):
 
 def test_op9_null_id_isnt_held_out(spark):
     assert spark.createDataFrame([(None,)], "doc_id long").select(ftrl.held_out()).first()[0] is False
+
+
+def test_op6_the_band_index_finds_what_comparing_all_finds(spark, monkeypatch):
+    """600 templates, some of them equal and some sharing their beginning, by sorted values and one by one."""
+    rng = np.random.default_rng(9)
+    word = lambda n: " ".join("".join(rng.choice(list("abcdefgh"), 4)) for _ in range(n))
+    some = {f"t{k}": word(int(rng.integers(1, 60))) for k in range(300)}
+    some |= {f"u{k}": some[f"t{k}"] if k % 3 else some[f"t{k}"] + " " + word(9) for k in range(300)}
+    rows = [(k, f"{word(int(rng.integers(0, 80)))} {some[f't{int(rng.integers(0, 300))}']} {word(20)}") for k in range(60)] + [(60, ""), (61, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted(map(tuple, licenses.matches(docs, templates=some).collect()))
+    monkeypatch.setattr(licenses, "FEW", 1000)
+    assert sorted(map(tuple, licenses.matches(docs, templates=some).collect())) == found and len(found) > 60
