@@ -905,47 +905,39 @@ def payload_meta(s, d):
     )
 
 
-_PAYLOAD = (
-    "meta struct<nResolutions long, nCountries long>, res array<struct<id string, y int, am int>>, "
-    "countries array<struct<iso3 string, n long, first int>>, votes map<string, struct<r array<long>, v string>>, "
-    "subjects array<struct<name string, n long>>, resAll array<struct<id string, y int>>"
-)
-
-
-@_query("""
-SELECT (SELECT count(*)
-FROM made) AS n_res, (SELECT count(*)
-FROM cat) AS n_all, (SELECT count(*)
-FROM land) AS n_countries, (SELECT count(DISTINCT subj)
-FROM made) AS n_subjects, (SELECT CAST(sum(y) AS BIGINT)
-FROM made) AS y, (SELECT count(am)
-FROM made) AS n_am, (SELECT count(*)
-FROM cast_) AS n_votes, (SELECT arg_min(id, ri)
-FROM made) AS first_id, (SELECT subj
+@_query(r"""
+SELECT 'res' AS section, ri AS place, id AS key, CAST(y AS BIGINT) AS number, CAST(am AS BIGINT) AS flag, title AS text
 FROM made
-GROUP BY 1
-ORDER BY count(*) DESC,
-       min(ri) LIMIT 1) AS top_subject
+UNION ALL SELECT 'countries', CAST(row_number() OVER (ORDER BY iso3) - 1 AS BIGINT), iso3, n, NULL,
+       array_to_string(list_transform(regexp_extract_all(lower(name), '[a-z]+|[^a-z]+'), lambda x: upper(x[1]) || x[2:]), '')
+FROM land
+UNION ALL SELECT 'subjects', CAST(row_number() OVER (ORDER BY n DESC, first_seen) - 1 AS BIGINT), subj, n, 0, ''
+FROM (SELECT subj, count(*) AS n, min(ri) AS first_seen FROM made WHERE subj <> '' GROUP BY 1)
+UNION ALL SELECT 'resAll', CAST(row_number() OVER (ORDER BY pos) - 1 AS BIGINT), record_id,
+       CASE WHEN has THEN CAST(yes AS BIGINT) END,
+       CASE WHEN regexp_matches(title, ':\s*amendment', 'i') OR regexp_matches(draft, '^\s*amendment', 'i') THEN 1 END,
+       trim(regexp_replace(trim(title), '\s*:\s*(draft\s+)?(resolution|decision|amendment)s?\s*/[^\n]*$', '', 'i'))
+FROM (SELECT *,
+       coalesce(TRY_CAST(nullif(yes, '') AS INT) + TRY_CAST(nullif(no, '') AS INT) + TRY_CAST(nullif(abstain, '') AS INT) > 0, false) AS has
+FROM cat)
 """)
 def payload_file(s, d):
-    """The whole payload written in parts, joined to one script and read back."""
-    at = workspace(s, "payload")
-    PL.write(P.catalogue(s, d), P.votes_long(s, d), _groups(s, d), {"A": "a"}, f"{at}/parts")
-    parts.join_parts(s, f"{at}/parts", f"{at}/whole/data.js")
-    data = files.read_payload(s, f"{at}/whole", "DATA", _PAYLOAD).select("data.*")
-    total = lambda a, f: F.aggregate(a, F.lit(0).cast("long"), lambda acc, x: acc + f(x))
-    size = lambda c: F.size(c).cast("long")
-    return data.select(
-        size("res").alias("n_res"),
-        size("resAll").alias("n_all"),
-        size("countries").alias("n_countries"),
-        size("subjects").alias("n_subjects"),
-        total("res", lambda x: F.coalesce(x["y"], F.lit(0))).alias("y"),
-        total("res", lambda x: F.coalesce(x["am"], F.lit(0))).alias("n_am"),
-        total(F.map_values("votes"), lambda x: F.length(x["v"])).alias("n_votes"),
-        F.col("res")[0]["id"].alias("first_id"),
-        F.col("subjects")[0]["name"].alias("top_subject"),
-    )
+    """Every item of the payload's lists, as its parts have them, in order."""
+    at, out = workspace(s, "payload"), None
+    PL.write(P.catalogue(s, d), P.votes_long(s, d), _groups(s, d), {"A": "a"}, at)
+    none = F.lit(None).cast("long")
+    sections = {
+        "res": (1, "struct<id string, y long, am long, title string>", "item.id", F.col("item.y"), F.col("item.am"), F.col("item.title")),
+        "countries": (3, "struct<iso3 string, n long, name string>", "item.iso3", F.col("item.n"), none, F.col("item.name")),
+        "subjects": (7, "struct<name string, n long, cs boolean>", "item.name", F.col("item.n"), F.col("item.cs").cast("long"), F.lit("")),
+        "resAll": (9, "struct<id string, y long, am long, t string>", "item.id", F.col("item.y"), F.col("item.am"), F.col("item.t")),
+    }
+    for name, (k, schema, key, number, flag, text) in sections.items():
+        own = parts.items(s, at, k, schema).select(
+            F.lit(name).alias("section"), "place", F.col(key).alias("key"), number.alias("number"), flag.alias("flag"), text.alias("text")
+        )
+        out = own if out is None else out.unionByName(own)
+    return out
 
 
 def _features(s: SparkSession, d: str) -> DataFrame:
@@ -1023,29 +1015,19 @@ def agreement_map(s, d):
 
 
 @_query(_SHAPES + """
- SELECT (SELECT count(*)
-FROM shp) AS shapes, (SELECT count(*)
-FROM dot) AS dots, (SELECT sum(length(path))
-FROM shp)::BIGINT AS path_letters, (SELECT round(sum(x + y), 1)
-FROM dot) AS dot_sum
+SELECT iso3, name, path, NULL::DOUBLE AS x, NULL::DOUBLE AS y FROM shp
+UNION ALL SELECT iso3, name, NULL, x, y FROM dot
 """)
 def map_file(s, d):
-    """The map's script written and read back."""
-    drawn = geo.shapes(_features(s, d))
-    at = workspace(s, "map")
-    geo.world(drawn, geo.dots(_points(s, d), _voters(s, d), drawn)).select(files.payload(F.col("world"), "WORLD").alias("value")).coalesce(1).write.text(at)
-    data = files.read_payload(
-        s,
-        f"{at}/part-*",
-        "WORLD",
-        "W int, H int, paths map<string, string>, dots map<string, array<double>>, names map<string, string>",
-    ).select("data.*")
-    return data.select(
-        F.size("paths").cast("long").alias("shapes"),
-        F.size("dots").cast("long").alias("dots"),
-        F.aggregate(F.map_values("paths"), F.lit(0).cast("long"), lambda a, x: a + F.length(x)).alias("path_letters"),
-        F.round(F.aggregate(F.map_values("dots"), F.lit(0.0), lambda a, x: a + x[0] + x[1]), 1).alias("dot_sum"),
-    )
+    """The map's script written and read back: every shape and dot with its name."""
+    drawn, at = geo.shapes(_features(s, d)), workspace(s, "map")
+    made = geo.world(drawn, geo.dots(_points(s, d), _voters(s, d), drawn))
+    made.select(files.payload(F.col("world"), "WORLD").alias("value")).coalesce(1).write.text(at)  # some two hundred states
+    kind = "W int, H int, paths map<string, string>, dots map<string, array<double>>, names map<string, string>"
+    data = files.read_payload(s, f"{at}/part-*", "WORLD", kind).select("data.*")
+    each = data.select("paths", "dots", F.explode("names").alias("iso3", "name"))
+    dot = F.try_element_at("dots", "iso3")
+    return each.select("iso3", "name", F.try_element_at("paths", "iso3").alias("path"), F.get(dot, F.lit(0)).alias("x"), F.get(dot, F.lit(1)).alias("y"))
 
 
 _PAGES = "SELECT record_id FROM res0 WHERE record_id % 8 < 5"

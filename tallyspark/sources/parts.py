@@ -80,6 +80,19 @@ def manifest(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(MANIFEST).parquet(f"{folder}/manifest").orderBy("section", "part")
 
 
+def items(spark: SparkSession, folder: str, section: int, schema: str) -> DataFrame:
+    """The JSON items of a section that is a plain list, read by its parts: place (from 0 in the section) and item."""
+    listed = manifest(spark, folder).where((F.col("section") == section) & F.col("file").isNotNull())
+    before = F.sum("n_rows").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))  # a row for each file
+    listed = listed.select("file", F.coalesce(before, F.lit(0)).alias("before"))
+    names = [f"{folder}/{r.file}" for r in listed.select("file").collect()]
+    if not names:
+        return spark.createDataFrame([], f"place long, item {schema}")
+    text = spark.read.text(names, wholetext=True).select(F.col("_metadata.file_name").alias("file"), F.concat(F.lit("["), "value", F.lit("]")).alias("list"))
+    each = text.join(listed, "file").select("before", F.posexplode(F.from_json("list", f"array<{schema}>")).alias("k", "item"))
+    return each.select((F.col("before") + F.col("k")).alias("place"), "item")
+
+
 def read_parts(spark: SparkSession, folder: str) -> Iterator[bytes]:
     """The text in pieces of at most a MB, one after another; for whoever sends it on. Only names pass besides."""
     fs, base = pafs.FileSystem.from_uri(folder)

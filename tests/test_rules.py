@@ -336,6 +336,9 @@ def test_payload_of_a_small_catalogue(spark, tmp_path, ranges):
     assert n == len(raw) == sum(r.n_bytes + len(r.text.encode()) for r in listed)
     assert ranges == 1 or sum(r.section == 5 for r in listed) > 8 and {r.first_kind for r in listed if r.section == 5} == {parts.ITEM, parts.INNER, parts.PLAIN}
     data = json.loads(raw.decode().removeprefix("window.DATA = ").removesuffix(";"))
+    for section, name, key in ((1, "res", "id"), (3, "countries", "iso3"), (7, "subjects", "name"), (9, "resAll", "id")):
+        got = parts.items(spark, f"file://{tmp_path}/p", section, f"struct<{key} string>").orderBy("place").collect()
+        assert [(r.place, r.item[key]) for r in got] == [(k, x[key]) for k, x in enumerate(data[name])]
     assert [r["id"] for r in data["res"]] == ["1", "2", "4"] and list(data) == ["meta", "res", "countries", "votes", "subjects", "resAll"]
     assert data["res"][0] == {"id": "1", "sym": "S1", "title": "T : draft resolution / x", "year": 1999, "date": "1999", "body": "HRC", "subj": "B", "item": "I", "spon": "Cuba", "mtg": "m", "urlR": "u", "urlD": "d", "y": 1, "n": 1, "a": 0}
     assert data["res"][1]["am"] == 1 and data["res"][1]["y"] is None and data["res"][2]["title"] == 'Quote " é'
