@@ -135,7 +135,21 @@ def rewrite(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **h
     return own.select(*[F.when(text.isNotNull(), F.col(f"`{made}`")).alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])
 
 
-def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """transform() with digests of the output and of the text rebuilt from it, in place of the output."""
-    made = transform(docs, id_col, text_col)
-    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", digest(F.col("output")).alias("output_sha256"), digest(restore(F.col("output"), F.col("form"))).alias("restored_sha256"))
+def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", unit: str = LINES, marks: tuple[str, str, str] = MARKS, seed: int = SEED, rate: int = RATE, spm_rate: int = SPM_RATE) -> DataFrame:
+    """transform() with digests of every output and of the text rebuilt from it, in place of the outputs: they are made and taken
+    apart again where they are, so no output travels."""
+    _check(marks)
+    sha = lambda text: hashlib.sha256(text.encode()).hexdigest()
+
+    @F.pandas_udf("n long, form string, prefix_chars long, middle_chars long, output_sha256 string, restored_sha256 string")
+    def cut(names: pd.Series, texts: pd.Series) -> pd.DataFrame:
+        own, rows = regex.compile(unit), []
+        for name, text in zip(names, texts, strict=True):
+            n, form, prefix, middle, output = told(text, name, own, marks, seed, rate, spm_rate)
+            rows.append((n, form, prefix, middle, sha(output), sha(rebuilt(output, form, marks))))
+        out = pd.DataFrame(rows, columns=["n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256"])
+        return out.astype({"prefix_chars": "Int64", "middle_chars": "Int64"})
+
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    made = only(docs, doc_id=id_col, text=text_col).select("doc_id", cut(name, F.coalesce("text", F.lit(""))).alias("cut"))
+    return made.select("doc_id", "cut.*")

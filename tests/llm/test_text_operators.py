@@ -65,6 +65,9 @@ def test_op11_other_units_rates_and_marks(awkward):
     rows = fillin.transform(awkward, **how).collect()
     assert {r.form for r in rows} == {"plain", "spm"}
     text = {r.doc_id: r.text or "" for r in awkward.select("doc_id", "text").collect()}
+    made = fillin.transform(awkward, **how)
+    digests = made.select("doc_id", fillin.digest(made.output).alias("a"), fillin.digest(fillin.restore(made.output, made.form, how["marks"])).alias("b"))
+    assert sorted(map(str, digests.collect())) == sorted(str(x).replace("output_sha256", "a").replace("restored_sha256", "b") for x in fillin.report(awkward, **how).select("doc_id", "output_sha256", "restored_sha256").collect())
     for r in rows:
         assert fillin.rebuilt(r.output, r.form, how["marks"]) == text[r.doc_id]
         assert r.n == len(regex.findall(how["unit"], text[r.doc_id]))
