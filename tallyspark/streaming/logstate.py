@@ -6,11 +6,8 @@ once: of several final ones the best counts, so the state is that of the lines a
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from .ingest import LOG
 
@@ -20,15 +17,9 @@ FINAL = ["ok", "tiny", "missing"]
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def _place(status: str, file: str) -> tuple:
-    """What orders two lines of one symbol: the lesser counts."""
-    if status.startswith("error"):
-        return 9, status, file
-    return FINAL.index(status) if status in FINAL else len(FINAL), status, file
-
-
 def state_of(log: DataFrame) -> DataFrame:
-    """The same from a whole log at once: symbol, status, file and open. Null statuses and files are ''; lines without a symbol don't count."""
+    """symbol, status, file and open of a log, a whole one or a stream of lines. Null statuses and files are ''; lines without a symbol don't
+    count."""
     status, file = F.coalesce("status", F.lit("")), F.coalesce("file", F.lit(""))
 
     def order(c: Column) -> Column:
@@ -39,32 +30,13 @@ def state_of(log: DataFrame) -> DataFrame:
     return log.where("symbol is not null").groupBy("symbol").agg(best).select("symbol", "x.status", "x.file", (F.col("x.place") == 9).alias("open"))
 
 
-class Outcome(StatefulProcessor):
-    """A symbol's best line so far; a row goes out when it changes."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.line = handle.getValueState("line", "status string, file string")
-
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        had = self.line.get() if self.line.exists() else None
-        lines = [(r.status or "", r.file or "") for r in rows]
-        best = min(lines if had is None else [tuple(had), *lines], key=lambda x: _place(*x))
-        if had is None or tuple(had) != best:
-            self.line.update(best)
-            yield Row(symbol=key[0], status=best[0], file=best[1], open=best[0].startswith("error"))
-
-    def close(self) -> None:
-        pass
-
-
 def follow(spark: SparkSession, log: str, target: str, checkpoint: str) -> None:
-    """Take in the log's new files (CSV lines without a header), and write what changed below ``target``. A run that ends early goes on
+    """Take in the log's new files (CSV lines without a header), and write the state of their symbols below ``target``. A run that ends early goes on
     from its checkpoint; a batch that is repeated writes its folder again."""
     before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
     try:
-        lines = spark.readStream.schema(LOG).csv(log).where("symbol is not null")
-        changed = lines.groupBy("symbol").transformWithState(Outcome(), STATE, "Update", "None")
+        changed = state_of(spark.readStream.schema(LOG).csv(log))  # the least line of a symbol is the state that Spark keeps
 
         def put(batch: DataFrame, number: int) -> None:
             batch.withColumn("batch", F.lit(number).cast("long")).write.mode("overwrite").parquet(f"{target}/part={number}")
