@@ -9,7 +9,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -35,21 +37,25 @@ def write_section(rows: DataFrame, order: list[str], folder: str, section: int,
         fs, base = pafs.FileSystem.from_uri(folder)
         name, out = f"{section:02d}-{part:05d}-{uuid.uuid4().hex[:10]}", None
         for b in batches:
-            piece = []
-            for kind, value in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                if last is None:
-                    first = kind
-                elif kind == ITEM or kind == INNER and last != ITEM:
-                    piece.append(",")
-                piece.append(value)
-                last = kind
-            if piece:
-                if out is None:
-                    fs.create_dir(base, recursive=True)
-                    out = fs.open_output_stream(f"{base}/{name}")
-                raw = "".join(piece).encode()
-                out.write(raw)
-                n_rows, n_bytes = n_rows + b.num_rows, n_bytes + len(raw)
+            if not b.num_rows:
+                continue
+            kind, value = b.column(0).to_numpy(), b.column(1)
+            if value.null_count:
+                raise ValueError("a row without a text")
+            before = np.concatenate([[PLAIN if last is None else last], kind[:-1]])
+            comma = (kind == ITEM) | (kind == INNER) & (before != ITEM)
+            if last is None:
+                first, comma[0] = int(kind[0]), False
+            last = int(kind[-1])
+            joined = pc.binary_join_element_wise(pc.if_else(pa.array(comma), ",", ""), value, "")
+            # the texts lie one after another in the column's buffer
+            ends = np.frombuffer(joined.buffers()[1], np.int32, len(joined) + 1, joined.offset * 4)
+            raw = (joined.buffers()[2] or pa.py_buffer(b"")).slice(int(ends[0]), int(ends[-1] - ends[0]))
+            if out is None:
+                fs.create_dir(base, recursive=True)
+                out = fs.open_output_stream(f"{base}/{name}")
+            out.write(raw)
+            n_rows, n_bytes = n_rows + b.num_rows, n_bytes + raw.size
         if out is not None:
             out.close()
             numbers = lambda *x: [pa.array([k], pa.int32()) for k in x]
