@@ -8,7 +8,10 @@ itself. Texts of one and two letters have a gram of their own size, so they need
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,16 +28,55 @@ def _grams(text: Column, size: int) -> Column:
     return F.when(n > 0, F.transform(F.sequence(F.lit(1), n), lambda k: F.substr(text, k, F.lit(size)))).otherwise(F.array().cast("array<string>"))
 
 
-def all_grams(text: Column) -> Column:
-    """The distinct grams of a lower-cased text."""
-    return F.array_distinct(F.concat(*[_grams(text, k) for k in range(1, SIZE + 1)]))
-
-
 def search_grams(text: Column) -> Column:
     """Those that a search needs: of SIZE letters, or the text itself if it is shorter."""
     return F.when(F.length(text) >= SIZE, F.array_distinct(_grams(text, SIZE))).when(text != "", F.array(text)).otherwise(F.array().cast("array<string>"))
 
 
+def _held(texts: list[str], rows: np.ndarray, size: int) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """The grams of one size in some rows' texts: the distinct ones, and of each gram and word of 64 rows the gram's place among
+    them, the word and the rows' bits."""
+    lengths = np.array([len(t) for t in texts], np.int64)
+    letters = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32).astype(np.int64)
+    row, left = np.repeat(rows, lengths), np.repeat(np.cumsum(lengths), lengths) - np.arange(len(letters))
+    at = np.flatnonzero(left >= size)
+    code = np.zeros(len(at), np.int64)
+    for k in range(size):
+        code = code << 21 | letters[at + k]  # 21 bits a letter: SIZE of them fill a long
+    codes, place = np.unique(code, return_inverse=True)
+    words, word = np.unique(row[at] >> 6, return_inverse=True)
+    key = place * len(words) + word
+    order = np.argsort(key)
+    key = key[order]
+    starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
+    bits = np.left_shift(np.uint64(1), (row[at][order] & 63).astype(np.uint64))
+    bits = np.bitwise_or.reduceat(bits, starts) if len(key) else bits
+    grams = ["".join(chr(c >> 21 * k & 0x1FFFFF) for k in reversed(range(size))) for c in codes.tolist()]
+    return grams, key[starts] // len(words) if len(key) else starts, words[key[starts] % len(words)] if len(key) else starts, bits.view(np.int64)
+
+
+def gram_words(rows: DataFrame, fields: list[str]) -> DataFrame:
+    """field, gram, word and bits of ``rows``' lower-cased texts, of each batch of rows by itself: several rows may have a word's bits."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            number = b.column(0).to_numpy()
+            for k, field in enumerate(fields, 1):
+                texts = b.column(k).to_pylist()
+                some = np.array([bool(t) for t in texts], bool)
+                if not some.any():
+                    continue
+                texts = [t for t in texts if t]
+                for size in range(1, SIZE + 1):
+                    grams, place, word, bits = _held(texts, number[some], size)
+                    if len(place):
+                        own = pa.array(grams, pa.string()).take(pa.array(place))
+                        yield pa.record_batch([pa.repeat(field, len(place)), own, pa.array(word, pa.int64()), pa.array(bits, pa.int64())], names=["field", "gram", "word", "bits"])
+
+    lower = [F.lower(F.col(f"`{f}`")).alias(f"text_{k}") for k, f in enumerate(fields)]
+    return rows.select(_ROW, *lower).mapInArrow(run, "field string, gram string, word long, bits long")
+
+
 def _slot(gram: Column) -> Column:
     return F.pmod(F.xxhash64(gram), F.lit(SLOTS)).cast("int")
 
@@ -57,12 +99,7 @@ class TextIndex:
         numbered.write.mode("overwrite").partitionBy("folder").parquet(f"{at}/rows")
         spark.createDataFrame([(numbered.schema.json(),)], "value string").coalesce(1).write.mode("overwrite").text(f"{at}/schema")
         kept = spark.read.schema(numbered.schema).parquet(f"{at}/rows")
-        each = None
-        for f in fields:
-            own = kept.select(F.lit(f).alias("field"), F.col(_ROW), F.explode(all_grams(F.lower(F.col(f"`{f}`")))).alias("gram"))
-            each = own if each is None else each.unionByName(own)
-        bit = F.expr(f"shiftleft(1L, cast({_ROW} & 63 as int))")
-        words = each.groupBy("field", "gram", F.shiftright(_ROW, 6).alias("word")).agg(F.bit_or(bit).alias("bits")).withColumn("slot", _slot(F.col("gram")))
+        words = gram_words(kept, fields).groupBy("field", "gram", "word").agg(F.bit_or("bits").alias("bits")).withColumn("slot", _slot(F.col("gram")))
         # by ranges, so a frequent gram's words spread over several tasks and files
         words.repartitionByRange("slot", "gram", "field", "word").sortWithinPartitions("slot", "gram", "field", "word").write.mode("overwrite").partitionBy("slot").parquet(f"{at}/words")
         return cls(spark, at)
