@@ -39,13 +39,34 @@ STEP = 1024
 MOST_IDS = 1 << 24
 #: Ids of a shard; occurrences from which a rule (two symbols) is shorter than what it replaces; the bar's fall from round to round.
 SHARD_TOKENS, LEAST, SHRINK = 2_000_000, 3, 16
-#: Tasks that read files: one for each, up to so many.
-MOST_TASKS = 50_000
+#: Files that a task reads one after another, where there are enough for ``LEAST_TASKS``; tasks at most.
+TASK_FILES, LEAST_TASKS, MOST_TASKS = 4, 64, 50_000
 #: Rows, and bytes of text, that are encoded at a time; a shard's share of ids by which it may be too large.
 SLICE_ROWS, SLICE_BYTES, OVER = 512, 4 << 20, 0.1
-#: Ids up to which an expansion is held whole while decoding: longer ones are taken apart first.
-_WHOLE = 64
-_NONE = np.iinfo(np.int32).max
+#: While decoding, expansions are held whole up to so many ids each, and up to any length if all together fit in ``_POOL`` ids:
+#: longer ones are taken apart first.
+_WHOLE, _POOL = 64, 1 << 21
+
+
+def _grouped(left: np.ndarray, right: np.ndarray, at: np.ndarray, out: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Pairs of symbols below ``top`` in order, without those at the indices ``out``: left << wide | right; their places; ``wide``."""
+    wide, deep, n = top.bit_length(), int(at[-1]).bit_length(), len(at) - len(out)
+    key = left.astype(np.uint64)
+    key <<= np.uint64(wide)
+    key |= right
+    if 2 * wide + deep > 64:
+        key, at = np.delete(key, out), np.delete(at, out)
+        order = np.argsort(key)
+        return key[order], at[order], wide
+    # a pair and its place in one number: sorting numbers is several times faster than sorting their places
+    key <<= np.uint64(deep)
+    key |= at.view(np.uint64)
+    key[out] = np.iinfo(np.uint64).max  # the last ones
+    key.sort()
+    key = key[:n]
+    at = (key & np.uint64((1 << deep) - 1)).view(np.int64)
+    key >>= np.uint64(deep)
+    return key, at, wide
 
 
 def compress(ids: np.ndarray, least: int = LEAST, shrink: int = SHRINK) -> tuple[np.ndarray, list[np.ndarray], int]:
@@ -54,66 +75,70 @@ def compress(ids: np.ndarray, least: int = LEAST, shrink: int = SHRINK) -> tuple
     if base > MOST_IDS:
         raise ValueError(f"ids must be below {MOST_IDS}")
     seq, made, count, bar = ids.astype(np.uint32), [], 0, 0
-    lost, fresh = None, base  # places that lost at the lowest bar, and the first symbol of the last round
+    near = None  # at the lowest bar: places near the last replacements
     while len(seq) > 1:
-        if lost is None:
-            near = np.arange(len(seq) - 1)
-            key = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:]
-        else:  # any other pair was too rare in the last round already, and has not become more frequent
-            new = seq >= fresh
-            near = np.flatnonzero(lost[:-1] | new[:-1] | new[1:])
-            key = (seq[near].astype(np.uint64) << np.uint64(32)) | seq[near + 1]
+        if near is None:
+            at, left, right = np.arange(len(seq) - 1), seq[:-1], seq[1:]
+        elif len(near):  # any other pair was too rare in the last round already, and has not become more frequent
+            at, left, right = near, seq[near], seq[near + 1]
+        else:
+            break
         # of a run of equal ids every other pair counts
-        same = near[(key >> np.uint64(32)) == (key & np.uint64(0xFFFFFFFF))]
-        out = np.zeros(0, np.int64)
-        if len(same):
-            at = np.arange(len(same))
-            first = np.concatenate([[True], same[1:] != same[:-1] + 1])
-            out = same[(at - np.maximum.accumulate(np.where(first, at, 0))) & 1 == 1]
-            out = np.searchsorted(near, out)
-        # a count of hashes leaves out most pairs that are too rare, before any sorting
-        bits = min(20, max(8, len(near).bit_length()))
-        cell = ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.intp)
-        cell[out] = 1 << bits
-        times = np.bincount(cell, minlength=(1 << bits) + 1)
-        times[1 << bits] = 0
+        equal = np.flatnonzero(left == right)
+        same = at[equal]
+        k = np.arange(len(same))
+        first = np.concatenate([[True], same[1:] != same[:-1] + 1])[: len(same)]
+        out = equal[(k - np.maximum.accumulate(np.where(first, k, 0))) & 1 == 1]
+        ordered, at, wide = _grouped(left, right, at, out, base + count)
+        edge = np.concatenate([[0], np.flatnonzero(ordered[1:] != ordered[:-1]) + 1])
+        times = np.diff(np.append(edge, len(at)))
         bar = bar or max(least, int(times.max()) // shrink)
         often = times >= bar
-        some = np.flatnonzero(often[cell])
-        at, key = near[some], key[some]
-        order = np.argsort(key)
-        ordered = key[order]
-        edge = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(at) else at
-        times = np.diff(np.append(edge, len(at)))
-        chosen = np.flatnonzero(times >= bar)
+        chosen = np.flatnonzero(often)
         if not len(chosen):
             if bar == least:
                 break
             bar = max(least, bar // shrink)
             continue
+        pair, size = ordered[edge[chosen]], times[chosen]
+        pair = np.stack([pair >> np.uint64(wide), pair & np.uint64((1 << wide) - 1)], 1)
         # by frequency (in steps of half a power of two), then as hashes fall, so that neighbours don't wait in long lines
-        step = np.floor(np.log2(times[chosen]) * 2)
-        chosen = chosen[np.lexsort((mix(ordered[edge[chosen]]), -step))]
-        size = times[chosen]
-        rank = np.repeat(np.arange(len(chosen), dtype=np.int32), size)
-        place = at[order[np.repeat(edge[chosen] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))]]
-        # of overlapping occurrences the lowest rank wins
-        around = np.full(len(seq) + 1, _NONE, np.int32)
-        around[place + 1] = rank
-        won = (rank < around[place]) & (rank < around[place + 2])
-        good = np.bincount(rank[won], minlength=len(chosen)) >= least  # true of rank 0 at any rate
+        step = np.floor(np.log2(size) * 2).astype(np.uint64)
+        line = np.argsort(((np.uint64(127) - step) << np.uint64(57)) | (mix((pair[:, 0] << np.uint64(32)) | pair[:, 1]) >> np.uint64(7)))
+        rank = np.empty(len(chosen), np.int64)
+        rank[line] = np.arange(len(chosen))
+        # by place: of overlapping occurrences, which are neighbours then, the lowest rank wins
+        place, rank = at[np.flatnonzero(np.repeat(often, times))], np.repeat(rank, size)
+        if len(place) < len(seq) // 8:
+            order = np.argsort(place)
+            place, rank = place[order], rank[order]
+        else:  # nearly every place has one
+            ranks = np.full(len(seq), -1, np.int32)
+            ranks[place] = rank
+            place = np.flatnonzero(ranks >= 0)
+            rank = ranks[place]
+        beside, lower = place[1:] == place[:-1] + 1, rank[1:] < rank[:-1]
+        won = np.ones(len(place), bool)
+        won[1:] = ~beside | lower
+        won[:-1] &= ~(beside & lower)
+        good = np.bincount(rank[np.flatnonzero(won)], minlength=len(chosen)) >= least  # true of rank 0 at any rate
         won &= good[rank]
-        at_bottom, lost = bar == least, np.zeros(len(seq), bool)
-        lost[place[~won]] = lost[same] = True  # a run counts whole: which of its places do may change
-        place, number = place[won], (np.cumsum(good) - 1)[rank[won]]
-        pair = ordered[edge[chosen[good]]]
-        made.append(np.stack([pair >> np.uint64(32), pair & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32))
-        fresh = base + count
-        seq[place] = fresh + number
+        here = np.flatnonzero(won)
+        own = place[here]
+        made.append(pair[line][good].astype(np.uint32))
+        seq[own] = base + count + (np.cumsum(good) - 1)[rank[here]]
+        count += len(made[-1])
         stay = np.ones(len(seq), bool)
-        stay[place + 1] = False
-        seq, lost = seq[stay], lost[stay] if at_bottom else None
-        count += len(pair)
+        stay[own + 1] = False
+        kept = stay if len(own) < len(seq) // 32 else np.flatnonzero(stay)
+        if bar == least:
+            watch = np.zeros(len(seq), bool)
+            watch[place[np.flatnonzero(~won)]] = watch[same] = True  # a run counts whole: which of its places do may change
+            watch = watch[kept]
+            own -= np.arange(len(own))  # the new symbols' places, as what went was behind earlier ones
+            watch[own] = watch[np.maximum(own, 1) - 1] = True
+            near = np.flatnonzero(watch[:-1])
+        seq = seq[kept]
         bar = max(least, bar // shrink)
     return seq, made, base
 
@@ -129,10 +154,19 @@ def expansion_lengths(rules: list[np.ndarray], base: int) -> np.ndarray:
 
 def pack_bits(values: np.ndarray, width: int) -> bytes:
     """Numbers of ``width`` bits each (none: all are zero), the lowest first."""
-    parts, step = [], 1 << 16  # a multiple of eight: parts end at a byte
-    for lo in range(0, len(values), step):
-        bits = (values[lo : lo + step, None].astype(np.uint32) >> np.arange(width, dtype=np.uint32)) & np.uint32(1)
-        parts.append(np.packbits(bits.astype(np.uint8), bitorder="little").tobytes())
+    parts, step = [], 1 << 16  # a multiple of 64: parts end at a whole word
+    for lo in range(0, len(values) if width else 0, step):
+        some = values[lo : lo + step]
+        rows = np.zeros(-(-len(some) // 64) * 64, np.uint64)
+        rows[: len(some)] = some
+        rows = rows.reshape(-1, 64)  # 64 numbers fill ``width`` words
+        out = np.zeros((width, len(rows)), np.uint64)
+        for k, x in enumerate(rows.T):
+            word, bit = divmod(k * width, 64)
+            out[word] |= x << np.uint64(bit)
+            if bit + width > 64:
+                out[word + 1] |= x >> np.uint64(64 - bit)
+        parts.append(out.T.astype("<u8").tobytes()[: -(-len(some) * width // 8)])
     return b"".join(parts)
 
 
@@ -201,9 +235,12 @@ class Shard:
         self.doc_ids = [None if z else i for i, z in zip(ids.tolist(), null.tolist(), strict=True)]
         self.short, self.codes = take("u1", -(-self.n_symbols // 8)), packed(n_short, self.bits)
         self.long = packed(self.n_symbols - n_short, self.width)
-        # the expansions of all symbols of at most _WHOLE ids, one after another: terminals first, then round by round
+        # the expansions of all symbols of at most ``whole`` ids, one after another: terminals first, then round by round
         self.size = np.concatenate([np.ones(self.base, np.int64), self.lengths])
-        held = np.where(self.size <= _WHOLE, self.size, 0)
+        rising = np.sort(self.lengths)
+        over = np.flatnonzero(np.cumsum(rising) > _POOL)
+        self.whole = max(_WHOLE, int(rising[over[0]]) - 1 if len(over) else int(self.lengths.max(initial=0)))
+        held = np.where(self.size <= self.whole, self.size, 0)
         self.at = np.cumsum(held) - held
         self.pool = np.zeros(int(held.sum()), np.uint32)
         self.pool[: self.base] = np.arange(self.base)
@@ -230,7 +267,7 @@ class Shard:
         return out
 
     def _expand(self, symbols: np.ndarray) -> np.ndarray:
-        while (long := self.size[symbols] > _WHOLE).any():
+        while (long := self.size[symbols] > self.whole).any():
             n = np.where(long, 2, 1)
             at = np.cumsum(n) - n
             out = np.repeat(symbols, n)
@@ -331,7 +368,8 @@ def read(manifest: DataFrame, ids: bool = True) -> DataFrame:
                     yield pa.record_batch(cols, names=["doc_id", "start", "n_tokens", "ids_crc32", *["ids"] * ids])
 
     some = manifest.select("path", "start")
-    some = some.repartition(max(1, min(MOST_TASKS, manifest.count())))
+    files = manifest.count()
+    some = some.repartition(max(1, min(MOST_TASKS, files, max(LEAST_TASKS, files // TASK_FILES))))
     return some.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<long>" * ids)
 
 

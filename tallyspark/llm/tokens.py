@@ -11,6 +11,7 @@ and texts that hold a special token's string, go to the library whole.
 from __future__ import annotations
 
 import json
+from codecs import charmap_decode
 from functools import lru_cache
 
 import numpy as np
@@ -44,7 +45,13 @@ _ENDS = np.zeros((2, 7, 7), bool)
 _ENDS[:, [_SPACE, _BLANK, _DIGIT], :] = _ENDS[:, :, [_SPACE, _BLANK, _DIGIT]] = True
 _ENDS[:, _LETTER, [_OTHER, _APOSTROPHE]] = _ENDS[:, _OTHER, _LETTER] = True
 _ENDS[0, _DIGIT, _DIGIT] = False
-_ENDS = _ENDS.reshape(2, 49)
+# as tables of bytes.translate(), which is several times faster than indices
+_KINDS, _BLANKS, _ENDS = _KIND.tobytes(), (_KIND <= _BLANK).tobytes(), [np.pad(x.ravel(), (0, 207)).tobytes() for x in _ENDS]
+
+
+def _look_up(data: np.ndarray | bytes, table: bytes, kind: type = np.uint8) -> np.ndarray:
+    """Each byte's entry of a table of 256."""
+    return np.frombuffer((data if isinstance(data, bytes) else data.tobytes()).translate(table), kind)
 
 
 def split(data: np.ndarray, off: np.ndarray, digits: bool, blanks: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -52,20 +59,21 @@ def split(data: np.ndarray, off: np.ndarray, digits: bool, blanks: bool) -> tupl
     space only if ``blanks`` are chunks; ``digits``: each one alone."""
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(off), np.int64)
-    kind = _KIND[data]
+    kind = _look_up(data, _KINDS)
     cut = np.ones(len(data) + 1, bool)
-    cut[1:-1] = _ENDS[int(digits)][kind[:-1] * np.uint8(7) + kind[1:]]
+    cut[1:-1] = _look_up(kind[:-1] * np.uint8(7) + kind[1:], _ENDS[int(digits)], bool)
     cut[off] = True
     at = np.flatnonzero(cut)
-    real = kind[at[:-1]] > (_SPACE if blanks else _BLANK)
-    return at[:-1][real], at[1:][real], np.searchsorted(at[:-1][real], off)
+    real = np.flatnonzero(kind[at[:-1]] > (_SPACE if blanks else _BLANK))
+    starts = at[real]
+    return starts, at[real + 1], np.searchsorted(starts, off)
 
 
-def _byte_letters() -> dict[int, str]:
+def _byte_letters() -> str:
     """The printable letter that stands for each byte in byte-level vocabularies."""
     shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     rest = iter(range(256, 512))
-    return {b: chr(b) if b in shown else chr(next(rest)) for b in range(256)}
+    return "".join(chr(b) if b in shown else chr(next(rest)) for b in range(256))
 
 
 class Table:
@@ -90,8 +98,12 @@ class Table:
     def find(self, h: np.ndarray, first: np.ndarray, last: np.ndarray, length: np.ndarray) -> np.ndarray:
         """Each short chunk's entry, or -1."""
         slot = (h & self.mask).astype(np.int64)
-        out = np.full(len(h), -1, np.int64)
-        live = np.arange(len(h))
+        out = self.slot[slot].astype(np.int64) - 1
+        # most are in the first slot looked at (an empty one's number, -1, is some entry's index here)
+        other = (self.first[out] != first) | (self.last[out] != last) | (self.length[out] != length)
+        live = np.flatnonzero(other & (out >= 0))
+        out[live] = -1
+        slot[live] = (slot[live] + 1) & int(self.mask)
         while len(live):
             k = self.slot[slot[live]].astype(np.int64) - 1
             live, k = live[k >= 0], k[k >= 0]
@@ -158,18 +170,14 @@ class Encoder:
     def library(self, text: str) -> list[int]:
         return self.whole.encode(text, add_special_tokens=False).ids
 
-    def _model(self, piece: str) -> list[int]:
+    def _model(self, piece: bytes) -> list[int]:
         """A pre-token's ids by the library's model."""
-        if piece.isascii() and piece > " ":  # a visible character, or a space before some: white space has letters of its own
-            shown = self.letters[32] + piece[1:] if piece[0] == " " else piece
-        else:
-            shown = piece.encode().decode("latin-1").translate(self.letters)
-        return [t.id for t in self.tokenize(shown)]
+        return [t.id for t in self.tokenize(charmap_decode(piece, "strict", self.letters)[0])]
 
     def _piece(self, piece: str) -> list[int]:
         ids = self.pieces.get(piece)
         if ids is None:
-            ids = self._model(piece)
+            ids = self._model(piece.encode())
             if len(self.pieces) >= 20_000:
                 self.pieces.clear()
             self.pieces[piece] = ids
@@ -181,9 +189,11 @@ class Encoder:
         if self.words:
             chunk = chunk.lower()
         if chunk.isascii() and "'" not in chunk and (len(chunk) == 1 or not self.words or not chunk.isdigit()):
-            got = self._model(chunk)  # one pre-token
+            got = self._model(chunk.encode())  # one pre-token
+        elif len(pieces := self.pattern.findall(chunk)) == 1:
+            got = self._model(pieces[0].encode())
         else:
-            got = [t for p in self.pattern.findall(chunk) for t in self._piece(p)]
+            got = [t for p in pieces for t in self._piece(p)]
         return got if len(got) < _ODD_CHUNK else None
 
     def odd(self, chunks: list[str]) -> np.ndarray:
@@ -200,16 +210,14 @@ class Encoder:
 
     def _ids(self, chunks: list[bytes]) -> list[list[int] | None]:
         plain = not _ODD.search(b"\n".join(chunks).decode())
-        tokenize, blank, words, out = self.tokenize, self.letters[32], self.words, []
+        tokenize, letters, words, out = self.tokenize, self.letters, self.words, []
         for x in chunks:
-            chunk = x.decode()
             # most chunks are one pre-token of visible ASCII characters, or of a space before some
-            if plain and chunk.isascii() and chunk > " " and "'" not in chunk and not (words and chunk.isdigit() and len(chunk) > 1):
-                shown = chunk.lower() if words else chunk
-                got = [t.id for t in tokenize(blank + shown[1:] if shown[0] == " " else shown)]
+            if plain and x.isascii() and x > b" " and b"'" not in x and not (words and x.isdigit() and len(x) > 1):
+                got = [t.id for t in tokenize(charmap_decode(x.lower() if words else x, "strict", letters)[0])]
                 out.append(got if len(got) < _ODD_CHUNK else None)
             else:
-                out.append(self._chunk(chunk, plain))
+                out.append(self._chunk(x.decode(), plain))
         return out
 
     def _slots(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -228,28 +236,28 @@ class Encoder:
         lead = np.ones(len(s), bool)
         if not self.words and len(s):
             # white space is one space, which goes with what follows, or another blank that stands alone
-            blank = (_KIND <= _BLANK)[data]
+            blank = _look_up(raw, _BLANKS, bool)
             bad = np.zeros(len(data) + 1, bool)
             bad[1:-1] = blank[1:] & blank[:-1]
             bad[off] = False  # texts side by side
             filled = off[1:] > off[:-1]
             bad[off[:-1][filled]] |= blank[off[:-1][filled]]
             bad[off[1:][filled] - 1] |= blank[off[1:][filled] - 1]
-            odd |= np.diff(np.concatenate([[0], np.cumsum(bad)])[off]) > 0
+            odd |= np.diff(np.searchsorted(np.flatnonzero(bad), off)) > 0
             lead = (data[np.maximum(s, 1) - 1] != 32) | (s == 0)
             lead[first[:-1][first[1:] > first[:-1]]] = True
         if self.table.full():
             self.table.clear()
         from_ = s - ~lead
-        slot = np.full(len(s), -1, np.int64)
-        short = np.flatnonzero(keys[2] <= K.SHORT)
-        key = (h[short], keys[0][short], keys[1][short], (keys[2] + _LEAD * lead)[short].astype(np.uint8))
-        slot[short] = self.table.find(*key)
-        while (missing := np.flatnonzero(slot[short] < 0)).size:  # chunks that share a hash take a turn each
+        # longer chunks are looked up too, and never found, as none of their length is in
+        key = (h, keys[0], keys[1], np.minimum(keys[2], K.SHORT + 1).astype(np.uint8) + np.uint8(_LEAD) * lead)
+        slot = self.table.find(*key)
+        missing, long = np.flatnonzero((slot < 0) & (keys[2] <= K.SHORT)), np.flatnonzero(keys[2] > K.SHORT)
+        while missing.size:  # chunks that share a hash take a turn each
             which = missing[np.unique(key[0][missing], return_index=True)[1]]
-            self.table.add(*(k[which] for k in key), self._ids([raw[a:b] for a, b in zip(from_[short[which]].tolist(), e[short[which]].tolist(), strict=True)]))
-            slot[short[missing]] = self.table.find(*(k[missing] for k in key))
-        long = np.flatnonzero(keys[2] > K.SHORT)
+            self.table.add(*(k[which] for k in key), self._ids([raw[a:b] for a, b in zip(from_[which].tolist(), e[which].tolist(), strict=True)]))
+            slot[missing] = self.table.find(*(k[missing] for k in key))
+            missing = missing[slot[missing] < 0]
         if len(long):
             own = [(raw[a:b], x) for a, b, x in zip(s[long].tolist(), e[long].tolist(), lead[long].tolist(), strict=True)]
             new = {x: raw[a:b] for x, a, b in zip(own, from_[long].tolist(), e[long].tolist(), strict=True) if x not in self.table.long}

@@ -4,6 +4,7 @@ import time
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tallyspark.llm import packing, repair, shared, tokens
@@ -103,3 +104,62 @@ def test_shards_keep_their_bound(spark, monkeypatch, slice_bytes):
     got = {r.doc_id: r.ids for r in repair.read(made).collect()}
     own = repair.encoder("byte_bpe_50k.json")
     assert all(got[i] == [*own.library(t or ""), 0] for i, t in rows)
+
+
+def test_places_are_not_sorted_indirectly(monkeypatch):
+    """Pairs and places are sorted as plain numbers: sorting indices of all places took most of op3's seconds. Ids too wide for that go the other way."""
+    sizes, sort = [], np.argsort
+    monkeypatch.setattr(np, "argsort", lambda x, *a, **k: sizes.append(len(x)) or sort(x, *a, **k))
+    ids = np.minimum(RNG.zipf(1.3, 200_000), 40_000).astype(np.uint32)
+    seq, rules, base = repair.compress(ids)
+    assert max(sizes) < len(ids) // 8 and most_frequent_pair(seq.tolist()) < repair.LEAST
+    ids = np.append(ids, repair.MOST_IDS - 1)  # two symbols of 25 bits and a place of 18
+    seq, rules, base = repair.compress(ids)
+    assert max(sizes) > len(ids) // 2 and most_frequent_pair(seq.tolist()) < repair.LEAST
+    assert (repair.Shard(repair.serialise(seq, rules, base, np.array([0, len(ids)]), [1])).decode(0, len(ids)) == ids).all()
+
+
+def test_both_ways_of_grouping_agree():
+    for top, n in ((9, 500), (2000, 90_000)):
+        left, right = RNG.integers(0, top, (2, n)).astype(np.uint32)
+        at, out = np.sort(RNG.choice(10 * n, n, replace=False)), np.sort(RNG.choice(n, n // 7, replace=False))
+        a = repair._grouped(left, right, at, out, top)
+        b = repair._grouped(left, right, at, out, 1 << 30)
+        stay = np.delete(np.arange(n), out)
+        want = sorted(zip(left[stay].tolist(), right[stay].tolist(), at[stay].tolist(), strict=True))
+        for key, place, wide in (a, b):
+            assert (key[1:] >= key[:-1]).all()
+            got = sorted(zip((key >> np.uint64(wide)).tolist(), (key & np.uint64((1 << wide) - 1)).tolist(), place.tolist(), strict=True))
+            assert got == want
+
+
+@pytest.mark.parametrize("name", CASES)
+def test_expansions_are_held_or_taken_apart(name, monkeypatch):
+    """Where all expansions fit in the pool none is taken apart; where they don't the ids are the same."""
+    ids = CASES[name].astype(np.uint32)
+    seq, rules, base = repair.compress(ids)
+    raw = repair.serialise(seq, rules, base, np.array([0, len(ids)]), [1])
+    if int(repair.expansion_lengths(rules, base).sum()) <= repair._POOL:
+        shard = repair.Shard(raw)
+        assert shard.whole >= int(shard.lengths.max(initial=0))
+        assert (shard.decode(0, len(ids)) == ids).all()
+    for pool in (0, 1000):
+        monkeypatch.setattr(repair, "_POOL", pool)
+        shard = repair.Shard(raw)
+        assert len(shard.pool) <= base + max(pool, int(shard.lengths[shard.lengths <= repair._WHOLE].sum()))
+        assert (shard.decode(0, len(ids)) == ids).all()
+
+
+def test_a_task_reads_several_files(spark):
+    """A task for each file spent half its time on starting; few files still have a task each."""
+    for files, tasks in ((0, 1), (5, 5), (600, 150)):
+        manifest = spark.range(files).selectExpr("cast(id as string) AS path", "id AS start")
+        assert repair.read(manifest).rdd.getNumPartitions() == tasks
+
+
+def test_chunks_with_any_letters_are_the_librarys():
+    own = tokens.encoder("byte_bpe_50k.json")
+    texts = ["", "a", " r\u00e9. \u00fcber-\u00e4hnlich l'\u00e9t\u00e9's", "x\ty\nz", "na\u00efve caf\u00e9\u201c\u201d 12\u00e9 \u00e9" + "\u00e9" * 30, "\u4f60\u597d \u00e9", "q" * 200 + " " + "q" * 17, "it's 12345 $%& <|endoftext|> caf\u00e9"]
+    for some in (texts, texts[:1], texts[1:2]):
+        ids, n = own.encode(pa.array(some))
+        assert ids.tolist() == [t for x in some for t in own.library(x)] and n.tolist() == [len(own.library(x)) for x in some]
